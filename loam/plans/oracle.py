@@ -92,6 +92,121 @@ def _prop_min_max(prop: str, stat: str) -> str:
     return with_fixture(sql, ["mapunit", "legend", "component", "chorizon"], ctes)
 
 
+RULES_IN = "(" + ", ".join(f"'{r}'" for r in RULE_NAMES) + ")"
+RULES_LIST = "[" + ", ".join(f"'{r}'" for r in RULE_NAMES) + "]"
+ROUND2 = "floor(({x}) * 100.0 + 0.5 + 1e-9) / 100.0"
+INTERP_TABLES = ["mapunit", "legend", "component", "cointerp"]
+
+
+def _reasons_dominant_cte() -> str:
+    return (
+        "SELECT mukey, mrulename, substring(string_agg(interphrc, '; ' ORDER BY interphr DESC NULLS LAST, "
+        "interphrc), 1, 1000) AS reason FROM (SELECT DISTINCT dom.mukey, ci.mrulename, ci.interphrc, ci.interphr "
+        "FROM dom JOIN component c ON c.cokey = dom.cokey JOIN cointerp ci ON ci.cokey = dom.cokey "
+        "WHERE lower(c.compkind) != 'miscellaneous area' AND ci.ruledepth != 0 "
+        f"AND lower(ci.interphrc) NOT LIKE 'not%' AND ci.mrulename IN {RULES_IN}) GROUP BY mukey, mrulename"
+    )
+
+
+def _reasons_all_cte() -> str:
+    return (
+        "SELECT mukey, mrulename, substring(string_agg(interphrc, '; ' ORDER BY interphrc), 1, 1000) AS reason "
+        "FROM (SELECT DISTINCT c.mukey, ci.mrulename, ci.interphrc FROM component c "
+        "JOIN cointerp ci ON ci.cokey = c.cokey WHERE lower(c.compkind) != 'miscellaneous area' "
+        f"AND ci.ruledepth != 0 AND lower(ci.interphrc) NOT LIKE 'not%' AND ci.mrulename IN {RULES_IN}) "
+        "GROUP BY mukey, mrulename"
+    )
+
+
+def _interp_dom_comp() -> str:
+    ctes = [
+        ("mu", MU), ("dom", _dom()),
+        ("d0", f"SELECT cokey, mrulename, interphr, interphrc FROM cointerp WHERE ruledepth = 0 "
+               f"AND mrulename IN {RULES_IN}"),
+        ("rules", f"SELECT unnest({RULES_LIST}) AS mrulename"),
+        ("rd", _reasons_dominant_cte()),
+    ]
+    sql = (
+        f"SELECT {MU_COLS}, r.mrulename, d0.interphr AS rating, d0.interphrc AS \"class\", rd.reason "
+        "FROM mu JOIN dom ON dom.mukey = mu.mukey CROSS JOIN rules r "
+        "LEFT JOIN d0 ON d0.cokey = dom.cokey AND d0.mrulename = r.mrulename "
+        "LEFT JOIN rd ON rd.mukey = mu.mukey AND rd.mrulename = r.mrulename"
+    )
+    return with_fixture(sql, INTERP_TABLES, ctes)
+
+
+def _interp_dom_cond() -> str:
+    rows = (f"SELECT c.mukey, c.comppct_r, ci.mrulename, ci.interphr, ci.interphrc FROM cointerp ci "
+            f"JOIN component c ON c.cokey = ci.cokey WHERE ci.ruledepth = 0 AND ci.mrulename IN {RULES_IN}")
+    ctes = [
+        ("mu", MU), ("dom", _dom()), ("rws", rows),
+        ("grp", "SELECT mukey, mrulename, interphrc, interphr, SUM(comppct_r) AS s FROM rws "
+                "GROUP BY mukey, mrulename, interphrc, interphr"),
+        ("rt", "SELECT mukey, mrulename, " + ROUND2.format(x="cavg") + " AS rating FROM ("
+               "SELECT mukey, mrulename, AVG(interphr) OVER (PARTITION BY mukey, mrulename, interphrc) AS cavg, "
+               "s, interphr, interphrc FROM grp) QUALIFY row_number() OVER (PARTITION BY mukey, mrulename "
+               "ORDER BY s DESC NULLS LAST, interphr ASC NULLS LAST, interphrc ASC NULLS LAST) = 1"),
+        ("cl", "SELECT mukey, mrulename, interphrc AS cls FROM (SELECT mukey, mrulename, interphrc, "
+               "SUM(DISTINCT comppct_r) AS cs FROM rws GROUP BY mukey, mrulename, interphrc) "
+               "QUALIFY row_number() OVER (PARTITION BY mukey, mrulename ORDER BY cs DESC NULLS LAST, "
+               "interphrc ASC NULLS LAST) = 1"),
+        ("rules", f"SELECT unnest({RULES_LIST}) AS mrulename"),
+        ("rd", _reasons_dominant_cte()),
+    ]
+    sql = (
+        f"SELECT {MU_COLS}, r.mrulename, rt.rating, cl.cls AS \"class\", rd.reason "
+        "FROM mu JOIN dom ON dom.mukey = mu.mukey CROSS JOIN rules r "
+        "LEFT JOIN rt ON rt.mukey = mu.mukey AND rt.mrulename = r.mrulename "
+        "LEFT JOIN cl ON cl.mukey = mu.mukey AND cl.mrulename = r.mrulename "
+        "LEFT JOIN rd ON rd.mukey = mu.mukey AND rd.mrulename = r.mrulename"
+    )
+    return with_fixture(sql, INTERP_TABLES, ctes)
+
+
+def _band_sql(ratio: str, design: str) -> str:
+    from loam.functions.interp_bins import LIMITATION_LABELS, SUITABILITY_LABELS
+
+    parts = []
+    for name, labels in (("suitability", SUITABILITY_LABELS), ("limitation", LIMITATION_LABELS)):
+        d = f"{design} = '{name}'"
+        parts += [
+            f"WHEN {d} AND {ratio} <= 0 THEN '{labels[0]}'",
+            f"WHEN {d} AND {ratio} > 0.001 AND {ratio} <= 0.333 THEN '{labels[1]}'",
+            f"WHEN {d} AND {ratio} > 0.334 AND {ratio} <= 0.666 THEN '{labels[2]}'",
+            f"WHEN {d} AND {ratio} > 0.667 AND {ratio} <= 0.999 THEN '{labels[3]}'",
+            f"WHEN {d} AND {ratio} = 1 THEN '{labels[4]}'",
+        ]
+    return " ".join(parts)
+
+
+def _interp_weighted_avg() -> str:
+    ctes = [
+        ("mu", MU),
+        ("agg", "SELECT c.mukey, ci.mrulename, " + ROUND2.format(x="SUM(ci.interphr * c.comppct_r)") + " AS rr, "
+                + ROUND2.format(x="SUM(CASE WHEN ci.interphr IS NOT NULL THEN c.comppct_r END)") + " AS sc, "
+                "CASE MIN(ci.ruledesign) WHEN 1 THEN 'limitation' WHEN 2 THEN 'suitability' END AS design "
+                "FROM cointerp ci JOIN component c ON c.cokey = ci.cokey "
+                f"WHERE ci.ruledepth = 0 AND ci.mrulename IN {RULES_IN} GROUP BY c.mukey, ci.mrulename"),
+        ("sc2", "SELECT mukey, mrulename, rr, design, CASE WHEN sc = 0 THEN NULL ELSE "
+                + ROUND2.format(x="rr / sc") + " END AS ratio FROM agg"),
+        ("rules", f"SELECT unnest({RULES_LIST}) AS mrulename"),
+        ("ra", _reasons_all_cte()),
+    ]
+    cls = "CASE WHEN sc2.rr IS NULL THEN 'Not Rated' " + _band_sql("sc2.ratio", "sc2.design") + " END"
+    sql = (
+        f"SELECT {MU_COLS}, r.mrulename, coalesce(sc2.ratio, 99.0) AS rating, {cls} AS \"class\", ra.reason "
+        "FROM mu JOIN (SELECT DISTINCT mukey FROM component) hc ON hc.mukey = mu.mukey CROSS JOIN rules r "
+        "LEFT JOIN sc2 ON sc2.mukey = mu.mukey AND sc2.mrulename = r.mrulename "
+        "LEFT JOIN ra ON ra.mukey = mu.mukey AND ra.mrulename = r.mrulename"
+    )
+    return with_fixture(sql, INTERP_TABLES, ctes)
+
+
+def _interp_reasons_all() -> str:
+    return with_fixture("SELECT mukey, mrulename, reason FROM ra", ["component", "cointerp"],
+                        [("ra", _reasons_all_cte())])
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "prop_dom_comp_cat": _prop_dom_comp_cat(),
@@ -101,6 +216,10 @@ def oracle_sql() -> dict[str, str]:
         "prop_min": _prop_min_max("claytotal_r", "MIN"),
         "prop_max": _prop_min_max("om_r", "MAX"),
         "prop_multi": _weighted_sql(MULTI_PROPS, 0, 50, dominant_only=False),
+        "interp_dom_comp": _interp_dom_comp(),
+        "interp_dom_cond": _interp_dom_cond(),
+        "interp_weighted_avg": _interp_weighted_avg(),
+        "interp_reasons_all": _interp_reasons_all(),
     }
 
 

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loam.operators import interps as I
 from loam.operators import properties as P
 from loam.operators.joins import mapunit_frame
 from loam.sources.fixtures import SoilFixture
@@ -65,6 +66,26 @@ def q_prop_multi(spark, sf_dir):
     return P.prop_multi(_mu(fx), fx.component, fx.chorizon, fx.chtexturegrp, MULTI_PROPS, 0, 50)
 
 
+def q_interp_dom_comp(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return I.interp_dom_comp(_mu(fx), fx.component, fx.cointerp, RULE_NAMES)
+
+
+def q_interp_dom_cond(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return I.interp_dom_cond(_mu(fx), fx.component, fx.cointerp, RULE_NAMES)
+
+
+def q_interp_weighted_avg(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return I.interp_weighted_avg(_mu(fx), fx.component, fx.cointerp, RULE_NAMES)
+
+
+def q_interp_reasons_all(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return I.interp_reasons_all(fx.component, fx.cointerp, RULE_NAMES)
+
+
 QUERIES: dict[str, QueryFn] = {
     "prop_dom_comp_cat": q_prop_dom_comp_cat,
     "prop_dom_cond": q_prop_dom_cond,
@@ -73,4 +94,8 @@ QUERIES: dict[str, QueryFn] = {
     "prop_min": q_prop_min,
     "prop_max": q_prop_max,
     "prop_multi": q_prop_multi,
+    "interp_dom_comp": q_interp_dom_comp,
+    "interp_dom_cond": q_interp_dom_cond,
+    "interp_weighted_avg": q_interp_weighted_avg,
+    "interp_reasons_all": q_interp_reasons_all,
 }
