@@ -207,6 +207,70 @@ def _interp_reasons_all() -> str:
                         [("ra", _reasons_all_cte())])
 
 
+HYDRIC_COUNTS_SQL = (
+    "SELECT mukey, COUNT(*) AS comp_count, "
+    "COUNT(*) FILTER (WHERE lower(majcompflag) = 'yes') AS count_maj_comp, "
+    "COUNT(*) FILTER (WHERE lower(hydricrating) = 'yes') AS all_hydric, "
+    "COUNT(*) FILTER (WHERE lower(majcompflag) = 'yes' AND lower(hydricrating) = 'yes') AS maj_hydric, "
+    "COUNT(*) FILTER (WHERE lower(majcompflag) = 'yes' AND lower(hydricrating) != 'yes') AS maj_not_hydric, "
+    "COUNT(*) FILTER (WHERE lower(majcompflag) != 'yes' AND lower(hydricrating) = 'yes') AS hydric_inclusions, "
+    "COUNT(*) FILTER (WHERE lower(hydricrating) != 'yes') AS all_not_hydric, "
+    "COUNT(*) FILTER (WHERE hydricrating IS NULL) AS hydric_null FROM component GROUP BY mukey"
+)
+HC_COLS = ["comp_count", "count_maj_comp", "all_hydric", "maj_hydric", "maj_not_hydric", "hydric_inclusions",
+           "all_not_hydric", "hydric_null"]
+
+
+def _hydric_counts() -> str:
+    cols = ", ".join(f"coalesce(hc.{c}, 0) AS {c}" for c in HC_COLS)
+    sql = f"SELECT {MU_COLS}, {cols} FROM mu LEFT JOIN hc USING (mukey)"
+    return with_fixture(sql, ["mapunit", "legend", "component"], [("mu", MU), ("hc", HYDRIC_COUNTS_SQL)])
+
+
+def _hydric_rating() -> str:
+    cols = ", ".join(f"coalesce(hc.{c}, 0) AS {c}" for c in HC_COLS)
+    rating = (
+        "CASE WHEN comp_count = all_not_hydric + hydric_null THEN 'Nonhydric' "
+        "WHEN comp_count = all_hydric THEN 'Hydric' "
+        "WHEN comp_count != all_hydric AND count_maj_comp = maj_hydric THEN 'Predominantly Hydric' "
+        "WHEN hydric_inclusions >= 0.5 AND maj_hydric < 0.5 THEN 'Predominantly Nonhydric' "
+        "WHEN maj_not_hydric >= 0.5 AND maj_hydric >= 0.5 THEN 'Partially Hydric' ELSE 'Error' END"
+    )
+    sql = (f"SELECT areasymbol, musym, muname, mukey, int_mukey, {rating} AS hydric_rating FROM "
+           f"(SELECT {MU_COLS}, {cols} FROM mu LEFT JOIN hc USING (mukey))")
+    return with_fixture(sql, ["mapunit", "legend", "component"], [("mu", MU), ("hc", HYDRIC_COUNTS_SQL)])
+
+
+def _parent_material(general: bool) -> str:
+    name = parent_material_case_sql("pm.pmgroupname") if general else "pm.pmgroupname"
+    ctes = [
+        ("mu", MU), ("dom", _dom("compname, comppct_r")),
+        ("pm", "SELECT cokey, pmgroupname FROM copmgrp "
+               "QUALIFY row_number() OVER (PARTITION BY cokey ORDER BY pmgroupname ASC NULLS LAST) = 1"),
+    ]
+    sql = (f"SELECT {MU_COLS}, dom.compname, dom.comppct_r, {name} AS pmgroupname "
+           "FROM mu JOIN dom ON dom.mukey = mu.mukey JOIN pm ON pm.cokey = dom.cokey")
+    return with_fixture(sql, ["mapunit", "legend", "component", "copmgrp"], ctes)
+
+
+def _muaggatt_extract() -> str:
+    from loam.operators.summaries import MUAGGATT_COLUMNS, MUAGGATT_FLOAT_COLUMNS, MUAGGATT_INT_COLUMNS
+
+    cols = []
+    for c in MUAGGATT_COLUMNS:
+        if c in ("musym", "muname", "mukey"):
+            cols.append(f"m.{c}")
+        elif c in MUAGGATT_FLOAT_COLUMNS:
+            cols.append(f"TRY_CAST(a.{c} AS DOUBLE) AS {c}")
+        elif c in MUAGGATT_INT_COLUMNS:
+            cols.append(f"TRY_CAST(a.{c} AS INTEGER) AS {c}")
+        else:
+            cols.append(f"nullif(a.{c}, '') AS {c}")
+    sql = (f"SELECT {', '.join(cols)} FROM mapunit m JOIN legend l ON m.lkey = l.lkey "
+           "JOIN muaggatt a ON a.mukey = m.mukey")
+    return with_fixture(sql, ["mapunit", "legend", "muaggatt"])
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "prop_dom_comp_cat": _prop_dom_comp_cat(),
@@ -220,6 +284,11 @@ def oracle_sql() -> dict[str, str]:
         "interp_dom_cond": _interp_dom_cond(),
         "interp_weighted_avg": _interp_weighted_avg(),
         "interp_reasons_all": _interp_reasons_all(),
+        "hydric_counts": _hydric_counts(),
+        "hydric_rating": _hydric_rating(),
+        "parent_material": _parent_material(False),
+        "parent_material_general": _parent_material(True),
+        "muaggatt_extract": _muaggatt_extract(),
     }
 
 

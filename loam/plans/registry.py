@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loam.operators import interps as I
 from loam.operators import properties as P
+from loam.operators import summaries as S
 from loam.operators.joins import mapunit_frame
 from loam.sources.fixtures import SoilFixture
 
@@ -86,6 +87,31 @@ def q_interp_reasons_all(spark, sf_dir):
     return I.interp_reasons_all(fx.component, fx.cointerp, RULE_NAMES)
 
 
+def q_hydric_counts(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return S.hydric_counts(_mu(fx), fx.component)
+
+
+def q_hydric_rating(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return S.hydric_rating(_mu(fx), fx.component)
+
+
+def q_parent_material(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return S.parent_material(_mu(fx), fx.component, fx.copmgrp, general=False)
+
+
+def q_parent_material_general(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return S.parent_material(_mu(fx), fx.component, fx.copmgrp, general=True)
+
+
+def q_muaggatt_extract(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return S.muaggatt_extract(_mu(fx), fx.muaggatt)
+
+
 QUERIES: dict[str, QueryFn] = {
     "prop_dom_comp_cat": q_prop_dom_comp_cat,
     "prop_dom_cond": q_prop_dom_cond,
@@ -98,4 +124,9 @@ QUERIES: dict[str, QueryFn] = {
     "interp_dom_cond": q_interp_dom_cond,
     "interp_weighted_avg": q_interp_weighted_avg,
     "interp_reasons_all": q_interp_reasons_all,
+    "hydric_counts": q_hydric_counts,
+    "hydric_rating": q_hydric_rating,
+    "parent_material": q_parent_material,
+    "parent_material_general": q_parent_material_general,
+    "muaggatt_extract": q_muaggatt_extract,
 }
