@@ -145,6 +145,51 @@ FIXTURE_CTES: dict[str, str] = {
     ),
 }
 
+def report_lines_sql(form: str) -> str:
+    from loam.sources.fixtures import REPORT_STOP_LINE as BIG
+
+    kind = ("CASE WHEN c_nationkey % 11 = 4 THEN CASE WHEN o_orderkey % 2 = 0 THEN 'Suitability' ELSE 'Limitation' "
+            "END WHEN c_nationkey % 5 = 2 THEN 'Suitability' ELSE 'Limitation' END")
+    mukey = "CAST(o_orderkey AS VARCHAR)"
+    musym = "substring(o_orderpriority, 1, 1) || o_orderstatus"
+    r1 = "'0.' || lpad(CAST(o_orderkey % 100 AS VARCHAR), 2, '0')"
+    r2 = "'0.' || lpad(CAST((o_orderkey * 7) % 100 AS VARCHAR), 2, '0')"
+    c1 = "['Not limited', 'Somewhat limited', 'Very limited, wet'][o_orderkey % 3 + 1]"
+    src = "FROM orders JOIN customer ON o_custkey = c_custkey"
+    rid = "'NC' || lpad(CAST(c_nationkey AS VARCHAR), 3, '0')"
+    if form == "project":
+        recs = [
+            f"SELECT {rid}, o_orderkey * 4, '\"' || {mukey} || '\"|' || {musym} || '|' || {r1} || '|' || {c1} "
+            f"|| '|non-mlra map unit|' || {kind} {src}",
+            f"SELECT {rid}, o_orderkey * 4 + 1, {mukey} || '|' || {musym} || '|' || {r2} || '|Somewhat limited|mmu|' "
+            f"|| {kind} {src} WHERE o_orderkey % 3 != 0",
+            f"SELECT {rid}, o_orderkey * 4 + 2, {mukey} || '|' || {musym} || '|0.99|Very limited, wet|non-mlra map unit|'"
+            f" || {kind} {src} WHERE o_orderkey % 50 = 0",
+            f"SELECT {rid}, o_orderkey * 4 + 3, {mukey} || '|non-mlra map unit' {src} WHERE o_orderkey % 97 = 0",
+        ]
+        header = "mukey|musym|rating|class|mukind|kind"
+    else:
+        recs = [
+            f"SELECT {rid}, o_orderkey * 4, '\"' || {mukey} || '\"|\"' || {musym} || '\"|' || {r1} || '|' || {c1} "
+            f"|| '|' || {kind} {src}",
+            f"SELECT {rid}, o_orderkey * 4 + 2, {mukey} || '|' || {musym} || '|0.99|Very limited, wet|' || {kind} {src} "
+            "WHERE o_orderkey % 50 = 0",
+            f"SELECT {rid}, o_orderkey * 4 + 3, {mukey} || '|' || {musym} {src} WHERE o_orderkey % 97 = 0",
+        ]
+        header = "mukey|musym|rating|class|kind"
+    frame = [
+        "SELECT areasymbol, -3, 'Interpretation report ' || areasymbol FROM legend",
+        "SELECT areasymbol, -2, '' FROM legend",
+        "SELECT areasymbol, -1, CASE WHEN CAST(lkey AS INTEGER) % 7 = 3 THEN 'BEGIN' ELSE '  <b>START</b> ' END "
+        "FROM legend",
+        f"SELECT areasymbol, 0, '{header}' FROM legend",
+        f"SELECT areasymbol, {BIG}, 'STOP ' FROM legend",
+        f"SELECT areasymbol, {BIG + 1}, 'end of report' FROM legend",
+    ]
+    body = " UNION ALL ".join(frame + recs)
+    return f"SELECT col0 AS report_id, CAST(col1 AS BIGINT) AS line_no, col2 AS line FROM ({body}) AS t(col0, col1, col2)"
+
+
 # CTEs each fixture table depends on (must precede it).
 _DEPS = {
     "sacatalog": ["legend"],

@@ -9,7 +9,7 @@ ratio to 1e-8, weight to 1e-2, weight x mean to 1e-8, result to 1e-2).
 from __future__ import annotations
 
 from loam.functions.parent_material import parent_material_case_sql
-from loam.plans.fixture_sql import with_fixture
+from loam.plans.fixture_sql import report_lines_sql, with_fixture
 from loam.plans.registry import BOTTOM, MULTI_PROPS, RULE_NAMES, TOP
 
 MU = (
@@ -271,6 +271,105 @@ def _muaggatt_extract() -> str:
     return with_fixture(sql, ["mapunit", "legend", "muaggatt"])
 
 
+PROJECT_RE = r"^([^|]*)\|([^|]*)\|([^|]*)\|([^|]*)\|([^|]*)\|(.*)$"
+
+
+def _framed_ctes(form: str, min_lines: int = 0) -> list[tuple[str, str]]:
+    ctes = [
+        ("rl", report_lines_sql(form)),
+        ("t", r"SELECT report_id, line_no, regexp_replace(line, '^\s+|\s+$', '', 'g') AS line FROM rl"),
+        ("t1", "SELECT *, MIN(CASE WHEN line LIKE '%START%' THEN line_no END) OVER (PARTITION BY report_id) AS s "
+               "FROM t"),
+        ("t2", "SELECT *, MIN(CASE WHEN line = 'STOP' AND line_no > s THEN line_no END) "
+               "OVER (PARTITION BY report_id) AS e FROM t1"),
+        ("fr0", "SELECT report_id, line_no, line FROM t2 WHERE s IS NOT NULL AND line_no > s "
+                "AND (e IS NULL OR line_no < e)"),
+    ]
+    if min_lines:
+        ctes.append(("framed", "SELECT report_id, line_no, line FROM fr0 QUALIFY COUNT(*) OVER "
+                               f"(PARTITION BY report_id) >= {min_lines}"))
+    else:
+        ctes.append(("framed", "SELECT * FROM fr0"))
+    return ctes
+
+
+def _project_parsed_ctes() -> list[tuple[str, str]]:
+    return _framed_ctes("project") + [
+        ("pc", "SELECT report_id, line_no, line, replace(line, '\"', '') AS l FROM framed"),
+        ("pr", "SELECT report_id, line_no, line, l, CASE WHEN l LIKE '%non-mlra map unit%' THEN 'non_mlra' "
+               "WHEN l LIKE '%mmu%' THEN 'mlra' END AS route, "
+               f"regexp_matches(l, '{PROJECT_RE}') AS m, "
+               f"regexp_extract(l, '{PROJECT_RE}', ['k', 's', 'rating', 'cls', 'mukind', 'kind']) AS p FROM pc"),
+        ("pv", "SELECT report_id, line_no, line, route, m AND TRY_CAST(p.k AS BIGINT) IS NOT NULL AS ok, "
+               "CASE WHEN m THEN p.k ELSE split_part(l, '|', 1) END AS mukey, p.rating, p.cls, p.mukind, p.kind "
+               "FROM pr WHERE route IS NOT NULL"),
+        ("lastv", "SELECT * FROM pv WHERE ok QUALIFY row_number() OVER "
+                  "(PARTITION BY report_id, route, mukey ORDER BY line_no DESC) = 1"),
+    ]
+
+
+def _report_extract() -> str:
+    return with_fixture("SELECT report_id, line_no, line FROM framed", ["legend"], _framed_ctes("project"))
+
+
+def _report_merge_ratings() -> str:
+    sql = (
+        "SELECT n.report_id, n.mukey, CAST(n.mukey AS BIGINT) AS int_mukey, n.rating AS n_rating, "
+        "n.cls AS n_class, n.mukind AS n_type, n.kind AS n_kind, coalesce(m.rating, 'UNK') AS m_rating, "
+        "coalesce(m.cls, 'UNK') AS m_class, coalesce(m.mukind, 'UNK') AS m_type, coalesce(m.kind, 'UNK') AS m_kind "
+        "FROM (SELECT * FROM lastv WHERE route = 'non_mlra') n "
+        "LEFT JOIN (SELECT * FROM lastv WHERE route = 'mlra') m ON m.report_id = n.report_id AND m.mukey = n.mukey"
+    )
+    return with_fixture(sql, ["legend"], _project_parsed_ctes())
+
+
+def _report_rejects() -> str:
+    sql = ("SELECT report_id, line_no, line, CASE WHEN TRY_CAST(mukey AS BIGINT) IS NULL THEN 'non-numeric key' "
+           "ELSE 'too few fields' END AS reason FROM pv WHERE NOT ok")
+    return with_fixture(sql, ["legend"], _project_parsed_ctes())
+
+
+def _area_parsed_ctes() -> list[tuple[str, str]]:
+    return _framed_ctes("area", 2) + [
+        ("ac", "SELECT report_id, line_no, replace(line, '\"', '') AS l FROM framed"),
+        ("ap", "SELECT report_id, line_no, l, string_split(l, '|') AS p FROM ac"),
+        ("av", "SELECT report_id, line_no, l, p[1] AS mukey, p[2] AS musym, p[3] AS rating, p[4] AS cls, "
+               "p[5] AS kind, len(p) >= 5 AND TRY_CAST(p[1] AS BIGINT) IS NOT NULL AS ok FROM ap"),
+    ]
+
+
+def _report_parse_area_sql() -> str:
+    return ("SELECT report_id, mukey, CAST(mukey AS BIGINT) AS int_mukey, rating, cls AS \"class\", kind FROM av "
+            "WHERE ok QUALIFY row_number() OVER (PARTITION BY report_id, mukey ORDER BY line_no DESC) = 1")
+
+
+def _report_parse_area() -> str:
+    return with_fixture(_report_parse_area_sql(), ["legend"], _area_parsed_ctes())
+
+
+def _report_parse_area_batch() -> str:
+    sql = ("SELECT report_id, line_no, TRY_CAST(mukey AS BIGINT) AS mukey, musym, rating, cls AS \"class\", kind, "
+           "mukey AS str_mukey FROM av WHERE regexp_matches(l, '^[0-9]')")
+    return with_fixture(sql, ["legend"], _area_parsed_ctes())
+
+
+def _report_single_kind() -> str:
+    sql = ("SELECT report_id, CASE WHEN COUNT(DISTINCT k) = 1 THEN MIN(k) END AS kind FROM (SELECT report_id, "
+           "CASE WHEN line LIKE '%Limitation%' THEN 'Limitation' WHEN line LIKE '%Suitability%' THEN 'Suitability' "
+           "END AS k FROM framed) GROUP BY report_id")
+    return with_fixture(sql, ["legend"], _framed_ctes("area", 2))
+
+
+def _report_key_reconcile() -> str:
+    ctes = _area_parsed_ctes() + [("rk", _report_parse_area_sql())]
+    sql = ("SELECT coalesce(r.report_id, p.areasymbol) AS areasymbol, coalesce(r.mukey, p.mukey) AS mukey, "
+           "CASE WHEN p.mukey IS NULL THEN 'report_only' ELSE 'local_only' END AS side "
+           "FROM (SELECT DISTINCT report_id, mukey FROM rk) r FULL OUTER JOIN "
+           "(SELECT DISTINCT areasymbol, mukey FROM mupolygon) p ON r.report_id = p.areasymbol AND r.mukey = p.mukey "
+           "WHERE r.mukey IS NULL OR p.mukey IS NULL")
+    return with_fixture(sql, ["legend", "mapunit", "mupolygon"], ctes)
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "prop_dom_comp_cat": _prop_dom_comp_cat(),
@@ -289,6 +388,13 @@ def oracle_sql() -> dict[str, str]:
         "parent_material": _parent_material(False),
         "parent_material_general": _parent_material(True),
         "muaggatt_extract": _muaggatt_extract(),
+        "report_extract": _report_extract(),
+        "report_merge_ratings": _report_merge_ratings(),
+        "report_rejects": _report_rejects(),
+        "report_parse_area": _report_parse_area(),
+        "report_parse_area_batch": _report_parse_area_batch(),
+        "report_single_kind": _report_single_kind(),
+        "report_key_reconcile": _report_key_reconcile(),
     }
 
 

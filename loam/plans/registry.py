@@ -13,8 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loam.operators import interps as I
 from loam.operators import properties as P
+from loam.operators import reports as R
 from loam.operators import summaries as S
 from loam.operators.joins import mapunit_frame
+from loam.sources import reports as RS
 from loam.sources.fixtures import SoilFixture
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -112,6 +114,45 @@ def q_muaggatt_extract(spark, sf_dir):
     return S.muaggatt_extract(_mu(fx), fx.muaggatt)
 
 
+def _project_framed(spark, sf_dir):
+    return RS.report_extract(_fx(spark, sf_dir).report_lines("project"))
+
+
+def _area_framed(fx):
+    return RS.report_extract(fx.report_lines("area"), min_lines=2)
+
+
+def q_report_extract(spark, sf_dir):
+    return _project_framed(spark, sf_dir)
+
+
+def q_report_merge_ratings(spark, sf_dir):
+    non, mlra = RS.report_parse_project(_project_framed(spark, sf_dir))
+    return R.merge_ratings(non, mlra)
+
+
+def q_report_rejects(spark, sf_dir):
+    return R.drop_malformed(_project_framed(spark, sf_dir))
+
+
+def q_report_parse_area(spark, sf_dir):
+    return RS.report_parse_area(_area_framed(_fx(spark, sf_dir)))
+
+
+def q_report_parse_area_batch(spark, sf_dir):
+    return RS.report_parse_area_batch(_area_framed(_fx(spark, sf_dir)))
+
+
+def q_report_single_kind(spark, sf_dir):
+    return R.single_kind(_area_framed(_fx(spark, sf_dir)))
+
+
+def q_report_key_reconcile(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    keys = RS.report_parse_area(_area_framed(fx)).withColumnRenamed("report_id", "areasymbol")
+    return R.key_reconcile(keys, fx.mupolygon)
+
+
 QUERIES: dict[str, QueryFn] = {
     "prop_dom_comp_cat": q_prop_dom_comp_cat,
     "prop_dom_cond": q_prop_dom_cond,
@@ -129,4 +170,11 @@ QUERIES: dict[str, QueryFn] = {
     "parent_material": q_parent_material,
     "parent_material_general": q_parent_material_general,
     "muaggatt_extract": q_muaggatt_extract,
+    "report_extract": q_report_extract,
+    "report_merge_ratings": q_report_merge_ratings,
+    "report_rejects": q_report_rejects,
+    "report_parse_area": q_report_parse_area,
+    "report_parse_area_batch": q_report_parse_area_batch,
+    "report_single_kind": q_report_single_kind,
+    "report_key_reconcile": q_report_key_reconcile,
 }

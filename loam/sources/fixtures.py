@@ -277,6 +277,74 @@ class SoilFixture:
         )
         return r.select(F.col("r_regionkey").cast("int").alias("aoi_id"), F.inline(pts))
 
+    # ---- text reports ------------------------------------------------------------
+    def report_lines(self, form: str = "project") -> DataFrame:
+        """Report text per survey area as (report_id, line_no, line).
+
+        Noise lines, a START line (missing in areas with lkey % 7 = 3), a
+        header, one record per map unit, an MLRA record for most map units
+        (project form), a later repeat of some keys, short records, a class
+        holding a comma, and mixed kinds in areas with lkey % 11 = 4.
+        """
+        on = self._orders_nation()
+        key = F.col("o_orderkey")
+        nk = F.col("c_nationkey")
+        mukey = key.cast("string")
+        musym = F.concat(F.substring("o_orderpriority", 1, 1), F.col("o_orderstatus"))
+        kind = (
+            F.when(nk % 11 == 4, F.when(key % 2 == 0, F.lit("Suitability")).otherwise(F.lit("Limitation")))
+            .when(nk % 5 == 2, F.lit("Suitability"))
+            .otherwise(F.lit("Limitation"))
+        )
+        rating1 = F.concat(F.lit("0."), F.lpad((key % 100).cast("string"), 2, "0"))
+        rating2 = F.concat(F.lit("0."), F.lpad(((key * 7) % 100).cast("string"), 2, "0"))
+        class1 = F.element_at(F.array(F.lit("Not limited"), F.lit("Somewhat limited"), F.lit("Very limited, wet")),
+                              (key % 3).cast("int") + 1)
+        q = F.lit('"')
+
+        def rec(offset: int, line: Column) -> Column:
+            return F.struct((key * 4 + offset).alias("line_no"), line.alias("line"))
+
+        if form == "project":
+            recs = [
+                rec(0, F.concat_ws("|", F.concat(q, mukey, q), musym, rating1, class1, F.lit("non-mlra map unit"),
+                                   kind)),
+                rec(1, F.when(key % 3 != 0, F.concat_ws("|", mukey, musym, rating2, F.lit("Somewhat limited"),
+                                                        F.lit("mmu"), kind))),
+                rec(2, F.when(key % 50 == 0, F.concat_ws("|", mukey, musym, F.lit("0.99"), F.lit("Very limited, wet"),
+                                                         F.lit("non-mlra map unit"), kind))),
+                rec(3, F.when(key % 97 == 0, F.concat(mukey, F.lit("|non-mlra map unit")))),
+            ]
+            header = "mukey|musym|rating|class|mukind|kind"
+        else:
+            recs = [
+                rec(0, F.concat_ws("|", F.concat(q, mukey, q), F.concat(q, musym, q), rating1, class1, kind)),
+                rec(2, F.when(key % 50 == 0, F.concat_ws("|", mukey, musym, F.lit("0.99"), F.lit("Very limited, wet"),
+                                                         kind))),
+                rec(3, F.when(key % 97 == 0, F.concat(mukey, F.lit("|"), musym))),
+            ]
+            header = "mukey|musym|rating|class|kind"
+        area = F.concat(F.lit("NC"), F.lpad(nk.cast("string"), 3, "0"))
+        records = (
+            on.select(area.alias("report_id"), F.explode(F.array(*recs)).alias("r"))
+            .select("report_id", "r.line_no", "r.line")
+            .filter(F.col("line").isNotNull())
+        )
+        lk = F.col("lkey").cast("int")
+        def fl(n: int, text: Column) -> Column:
+            return F.struct(F.lit(n).cast("bigint").alias("line_no"), text.alias("line"))
+
+        frame = F.array(
+            fl(-3, F.concat(F.lit("Interpretation report "), F.col("areasymbol"))),
+            fl(-2, F.lit("")),
+            fl(-1, F.when(lk % 7 == 3, F.lit("BEGIN")).otherwise(F.lit("  <b>START</b> "))),
+            fl(0, F.lit(header)),
+            fl(REPORT_STOP_LINE, F.lit("STOP ")),
+            fl(REPORT_STOP_LINE + 1, F.lit("end of report")),
+        )
+        frames = self.legend.select(F.col("areasymbol").alias("report_id"), F.inline(frame))
+        return frames.unionByName(records)
+
     def tables(self) -> dict[str, DataFrame]:
         return {
             name: getattr(self, name)
@@ -285,6 +353,8 @@ class SoilFixture:
         }
 
 
+REPORT_STOP_LINE = 9_000_000_000_000_000_000
+
 MUAGGATT_TEXT_ONLY = ["mustatus", "flodfreqdcd", "flodfreqmax", "pondfreqprs", "drclassdcd", "drclasswettest",
                       "hydgrpdcd", "iccdcd", "niccdcd", "engdwobdcd", "engdwbdcd", "engdwbll", "engdwbml",
                       "engstafdcd", "engstafll", "engstafml", "engsldcd", "engsldcp", "englrsdcd", "engcmssdcd",
