@@ -370,6 +370,98 @@ def _report_key_reconcile() -> str:
     return with_fixture(sql, ["legend", "mapunit", "mupolygon"], ctes)
 
 
+AOI_BOX = ("SELECT aoi_id, MIN(x) AS ax0, MAX(x) AS ax1, MIN(y) AS ay0, MAX(y) AS ay1 FROM aoi_points "
+           "GROUP BY aoi_id")
+POLY_BOX = (
+    "SELECT poly_id, mukey, areasymbol, list_min(xs) AS x0, list_max(xs) AS x1, list_min(ys) AS y0, "
+    "list_max(ys) AS y1 FROM (SELECT poly_id, mukey, areasymbol, "
+    "list_transform(string_split(regexp_extract(wkt, '\\(\\(([^()]*)\\)', 1), ', '), "
+    "lambda p: CAST(split_part(p, ' ', 1) AS DOUBLE)) AS xs, "
+    "list_transform(string_split(regexp_extract(wkt, '\\(\\(([^()]*)\\)', 1), ', '), "
+    "lambda p: CAST(split_part(p, ' ', 2) AS DOUBLE)) AS ys FROM mupolygon)"
+)
+CLIP_SQL = (
+    "SELECT aoi_id, poly_id, mukey, areasymbol, (cx1 - cx0) * (cy1 - cy0) AS area, cx0 AS minx, cy0 AS miny, "
+    "cx1 AS maxx, cy1 AS maxy FROM (SELECT a.aoi_id, p.poly_id, p.mukey, p.areasymbol, "
+    "greatest(p.x0, a.ax0) AS cx0, least(p.x1, a.ax1) AS cx1, greatest(p.y0, a.ay0) AS cy0, "
+    "least(p.y1, a.ay1) AS cy1 FROM pbox p, abox a) WHERE cx1 > cx0 AND cy1 > cy0"
+)
+AOI_TABLES = ["mapunit", "legend", "mupolygon", "aoi_points"]
+
+
+def _aoi_ring() -> str:
+    sql = ("SELECT aoi_id, COUNT(*) AS n_points, 'POLYGON ((' || string_agg(CAST(x AS VARCHAR) || ' ' || "
+           "CAST(y AS VARCHAR), ', ' ORDER BY seq) || ', ' || arg_min(CAST(x AS VARCHAR) || ' ' || "
+           "CAST(y AS VARCHAR), seq) || '))' AS wkt FROM aoi_points GROUP BY aoi_id")
+    return with_fixture(sql, ["aoi_points"])
+
+
+def _aoi_ctes() -> list[tuple[str, str]]:
+    return [("abox", AOI_BOX), ("pbox", POLY_BOX), ("clip", CLIP_SQL)]
+
+
+def _aoi_clip() -> str:
+    return with_fixture("SELECT * FROM clip", AOI_TABLES, _aoi_ctes())
+
+
+def _aoi_mukeys() -> str:
+    return with_fixture("SELECT DISTINCT aoi_id, mukey FROM clip", AOI_TABLES, _aoi_ctes())
+
+
+def _aoi_prop_weighted_avg() -> str:
+    inner = _weighted_sql(["claytotal_r"], TOP, BOTTOM, dominant_only=False)
+    keys = with_fixture("SELECT DISTINCT mukey FROM clip", AOI_TABLES, _aoi_ctes())
+    return f"SELECT * FROM ({inner}) w WHERE w.mukey IN ({keys})"
+
+
+def _coverage_report() -> str:
+    ctes = _area_parsed_ctes() + [("rk", _report_parse_area_sql())]
+    sql = ("SELECT s.areasymbol, 'area report' AS request FROM sacatalog s "
+           "WHERE s.areasymbol NOT IN (SELECT report_id FROM rk)")
+    return with_fixture(sql, ["legend", "sacatalog"], ctes)
+
+
+def _legend_breaks_numeric() -> str:
+    inner = _weighted_sql(["claytotal_r"], TOP, BOTTOM, dominant_only=False)
+    return f"SELECT DISTINCT coalesce(round(claytotal_r, 3), -1.0) AS break_value FROM ({inner})"
+
+
+def _legend_breaks_text() -> str:
+    return f"SELECT DISTINCT coalesce(\"class\", ' Not Rated') AS break_value FROM ({_interp_weighted_avg()})"
+
+
+def _sample_features() -> str:
+    sql = (f"SELECT * FROM mu ORDER BY ((int_mukey % 1000003) * 2654435761 + 0) % 4294967311, int_mukey LIMIT 50")
+    return with_fixture(sql, ["mapunit", "legend"], [("mu", MU)])
+
+
+def _dedupe_last() -> str:
+    batch = _report_parse_area_batch()
+    return (f"SELECT str_mukey AS mukey, line_no, report_id, rating, \"class\", kind FROM ({batch}) "
+            "QUALIFY row_number() OVER (PARTITION BY str_mukey ORDER BY line_no DESC) = 1")
+
+
+def _property_catalog() -> str:
+    lines = ("SELECT CAST(p_partkey AS BIGINT) AS line_no, replace(replace(lower(p_type) || '_' || "
+             "CAST(p_partkey % 13 AS VARCHAR) || ',' || p_type || '  #' || CAST(p_size % 7 AS VARCHAR), '  ', ' '), "
+             "'#', 'no. ') AS l FROM part")
+    return (f"SELECT label, arg_max(code, line_no) AS code FROM (SELECT line_no, split_part(l, ',', 1) AS code, "
+            f"substring(l, strpos(l, ',') + 1) AS label FROM ({lines}) WHERE strpos(l, ',') > 0) GROUP BY label")
+
+
+def _polygon_attribute_join() -> str:
+    hr = _hydric_rating()
+    return (f"SELECT p.areasymbol, p.mukey, p.poly_id, p.wkt, h.musym, h.muname, h.int_mukey, h.hydric_rating "
+            f"FROM ({with_fixture('SELECT * FROM mupolygon', ['mapunit', 'legend', 'mupolygon'])}) p "
+            f"LEFT JOIN ({hr}) h ON h.mukey = p.mukey")
+
+
+def _polygon_extract() -> str:
+    merged = _report_merge_ratings()
+    return (f"SELECT * FROM ({with_fixture('SELECT * FROM mupolygon', ['mapunit', 'legend', 'mupolygon'])}) p "
+            f"WHERE p.mukey IN (SELECT mukey FROM ({merged}))")
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "prop_dom_comp_cat": _prop_dom_comp_cat(),
@@ -395,6 +487,18 @@ def oracle_sql() -> dict[str, str]:
         "report_parse_area_batch": _report_parse_area_batch(),
         "report_single_kind": _report_single_kind(),
         "report_key_reconcile": _report_key_reconcile(),
+        "aoi_ring": _aoi_ring(),
+        "aoi_clip": _aoi_clip(),
+        "aoi_mukeys": _aoi_mukeys(),
+        "aoi_prop_weighted_avg": _aoi_prop_weighted_avg(),
+        "coverage_report": _coverage_report(),
+        "legend_breaks_numeric": _legend_breaks_numeric(),
+        "legend_breaks_text": _legend_breaks_text(),
+        "sample_features": _sample_features(),
+        "dedupe_last": _dedupe_last(),
+        "property_catalog": _property_catalog(),
+        "polygon_attribute_join": _polygon_attribute_join(),
+        "polygon_extract": _polygon_extract(),
     }
 
 

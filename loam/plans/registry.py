@@ -10,12 +10,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from loam.operators import aoi as A
+from loam.operators import bookkeeping as B
 from loam.operators import interps as I
 from loam.operators import properties as P
 from loam.operators import reports as R
 from loam.operators import summaries as S
-from loam.operators.joins import mapunit_frame
+from loam.operators.filters import filter_mukeys
+from loam.operators.joins import mapunit_frame, polygon_attribute_join, polygon_extract
+from loam.sources.catalog import property_catalog
 from loam.sources import reports as RS
 from loam.sources.fixtures import SoilFixture
 
@@ -153,6 +158,67 @@ def q_report_key_reconcile(spark, sf_dir):
     return R.key_reconcile(keys, fx.mupolygon)
 
 
+def q_aoi_ring(spark, sf_dir):
+    return A.aoi_ring(_fx(spark, sf_dir).aoi_points)
+
+
+def _clipped(fx):
+    return A.aoi_clip(fx.mupolygon, fx.aoi_points)
+
+
+def q_aoi_clip(spark, sf_dir):
+    return _clipped(_fx(spark, sf_dir)).drop("wkt")
+
+
+def q_aoi_mukeys(spark, sf_dir):
+    return A.aoi_mukeys(_clipped(_fx(spark, sf_dir)))
+
+
+def q_aoi_prop_weighted_avg(spark, sf_dir):
+    """The AOI property tool: weighted average for the map units inside any AOI."""
+    fx = _fx(spark, sf_dir)
+    mus = filter_mukeys(_mu(fx), A.aoi_mukeys(_clipped(fx)).select("mukey"))
+    return P.prop_weighted_avg(mus, fx.component, fx.chorizon, fx.chtexturegrp, "claytotal_r", TOP, BOTTOM)
+
+
+def q_coverage_report(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    parsed = RS.report_parse_area(_area_framed(fx)).withColumnRenamed("report_id", "areasymbol")
+    return B.coverage_report(fx.sacatalog, ["area report"], parsed, "request")
+
+
+def q_legend_breaks_numeric(spark, sf_dir):
+    return B.legend_breaks(q_prop_weighted_avg(spark, sf_dir), "claytotal_r")
+
+
+def q_legend_breaks_text(spark, sf_dir):
+    return B.legend_breaks(q_interp_weighted_avg(spark, sf_dir), "class")
+
+
+def q_sample_features(spark, sf_dir):
+    return B.sample_features(_mu(_fx(spark, sf_dir)), "int_mukey", 50)
+
+
+def q_dedupe_last(spark, sf_dir):
+    rows = q_report_parse_area_batch(spark, sf_dir).select(
+        F.col("str_mukey").alias("mukey"), "line_no", "report_id", "rating", "class", "kind")
+    return B.dedupe_last(rows, "mukey", "line_no")
+
+
+def q_property_catalog(spark, sf_dir):
+    return property_catalog(_fx(spark, sf_dir).catalog_lines())
+
+
+def q_polygon_attribute_join(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return polygon_attribute_join(fx.mupolygon, S.hydric_rating(_mu(fx), fx.component))
+
+
+def q_polygon_extract(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return polygon_extract(fx.mupolygon, q_report_merge_ratings(spark, sf_dir))
+
+
 QUERIES: dict[str, QueryFn] = {
     "prop_dom_comp_cat": q_prop_dom_comp_cat,
     "prop_dom_cond": q_prop_dom_cond,
@@ -177,4 +243,16 @@ QUERIES: dict[str, QueryFn] = {
     "report_parse_area_batch": q_report_parse_area_batch,
     "report_single_kind": q_report_single_kind,
     "report_key_reconcile": q_report_key_reconcile,
+    "aoi_ring": q_aoi_ring,
+    "aoi_clip": q_aoi_clip,
+    "aoi_mukeys": q_aoi_mukeys,
+    "aoi_prop_weighted_avg": q_aoi_prop_weighted_avg,
+    "coverage_report": q_coverage_report,
+    "legend_breaks_numeric": q_legend_breaks_numeric,
+    "legend_breaks_text": q_legend_breaks_text,
+    "sample_features": q_sample_features,
+    "dedupe_last": q_dedupe_last,
+    "property_catalog": q_property_catalog,
+    "polygon_attribute_join": q_polygon_attribute_join,
+    "polygon_extract": q_polygon_extract,
 }

@@ -345,6 +345,13 @@ class SoilFixture:
         frames = self.legend.select(F.col("areasymbol").alias("report_id"), F.inline(frame))
         return frames.unionByName(records)
 
+    def catalog_lines(self) -> DataFrame:
+        """``code,label`` lines (labels repeat; double blanks and '#' to clean) from the part table."""
+        p = self._t("part")
+        line = F.concat(F.lower("p_type"), F.lit("_"), (F.col("p_partkey") % 13).cast("string"), F.lit(","),
+                        F.col("p_type"), F.lit("  #"), (F.col("p_size") % 7).cast("string"))
+        return p.select(F.col("p_partkey").cast("bigint").alias("line_no"), line.alias("line"))
+
     def tables(self) -> dict[str, DataFrame]:
         return {
             name: getattr(self, name)
