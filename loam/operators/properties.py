@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loam.functions.numeric import dec52
@@ -89,46 +89,61 @@ def thickness_total(rows: DataFrame) -> DataFrame:
     return rows.groupBy("cokey").agg(dec52(F.sum("_thk_int")).alias("sum_thickness"))
 
 
-def component_mean(rows: DataFrame, props: Sequence[str]) -> DataFrame:
-    """Per component: sum over horizons of (thickness / total thickness) x value.
+MEAN_TYPE = "decimal(29,10)"  # sum of decimal(19,10) terms
+
 
-    The total is a grouped sum joined back (partial aggregation + AQE skew
-    handling) rather than a window, so a component with very many horizon
-    rows is never gathered into a single task.
+def component_mean(rows: DataFrame, props: Sequence[str]) -> DataFrame:
+    """Per component: sum over horizon rows of (thickness / total thickness) x value.
+
+    Every term needs its component's total thickness.  Identical rows (copies
+    of a horizon) are first collapsed into one row with a count -- an
+    aggregate that combines map-side, so a component with very many copies
+    never reaches one task whole.  The distinct rows of a component are one
+    soil profile inside the depth range; a window over ``cokey`` adds the
+    total and the grouped sum that follows reuses its partitioning.
     """
-    tot = thickness_total(rows)
-    joined = rows.join(tot, "cokey", "inner")
-    return joined.groupBy("cokey").agg(
-        *[F.sum((F.col("thickness") / F.col("sum_thickness")) * F.col(p)).alias(p) for p in props]
+    # the count stays INT so n x term is an exact decimal(30,10)
+    distinct_rows = rows.groupBy("cokey", "_thk_int", "thickness", *props).agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy("cokey")
+    with_total = distinct_rows.select(
+        "*", dec52(F.sum(F.col("_thk_int") * F.col("_n")).over(w)).alias("sum_thickness")
+    )
+    return with_total.groupBy("cokey").agg(
+        *[F.sum((F.col("thickness") / F.col("sum_thickness")) * F.col(p) * F.col("_n").cast("int")).cast(MEAN_TYPE).alias(p)
+          for p in props]
     )
 
 
-def component_weight(comps: DataFrame) -> DataFrame:
-    """Per component: share of comppct_r among ``comps`` of its map unit.
+def component_weight(pct: str = "comppct_r", sum_pct: str = "_sum_pct"):
+    """Share of a component's percent among the components of its map unit (a column expression).
 
     Exactly 1 when it is alone (``pct = sum``), else
     ``cast(cast(pct as decimal(5,2)) / cast(sum as decimal(5,2)) as decimal(5,2))``.
     """
-    sums = comps.groupBy("mukey").agg(F.sum("comppct_r").alias("_sum_pct"))
-    w = F.when(F.col("comppct_r") == F.col("_sum_pct"), F.lit(1)).otherwise(
-        dec52(dec52(F.col("comppct_r")) / dec52(F.col("_sum_pct")))
-    )
-    return comps.select("mukey", "cokey", "comppct_r").join(sums, "mukey", "inner").select(
-        "mukey", "cokey", w.alias("weight")
-    )
+    return F.when(F.col(pct) == F.col(sum_pct), F.lit(1)).otherwise(dec52(dec52(F.col(pct)) / dec52(F.col(sum_pct))))
 
 
-def mapunit_total(weights: DataFrame, means: DataFrame, props: Sequence[str]) -> DataFrame:
-    """Per map unit: decimal(5,2) of sum(weight x component mean), as DOUBLE."""
+def mapunit_total(comps: DataFrame, means: DataFrame, props: Sequence[str]) -> DataFrame:
+    """Per map unit: decimal(5,2) of sum(weight x component mean), as DOUBLE.
+
+    ``comps`` are the weighted components (mukey, cokey, comppct_r); all of
+    them share the weight, also those without usable horizons (SURVEY Q2).
+    The percent total per map unit is a map-side-combined aggregate joined
+    back on ``mukey`` (AQE splits a skewed map unit), and the final sum is
+    again an ordinary aggregate.
+    """
+    c = comps.select("mukey", "cokey", "comppct_r")
+    sums = c.groupBy("mukey").agg(F.sum("comppct_r").alias("_sum_pct"))
+    weights = c.join(sums, "mukey", "inner").select("mukey", "cokey", component_weight().alias("_w"))
     j = weights.join(means, "cokey", "inner")
-    return j.groupBy("mukey").agg(*[dec52(F.sum(F.col("weight") * F.col(p))).cast("double").alias(p) for p in props])
+    return j.groupBy("mukey").agg(*[dec52(F.sum(F.col("_w") * F.col(p))).cast("double").alias(p) for p in props])
 
 
-def _weighted(mapunits: DataFrame, weights: DataFrame, chorizon: DataFrame, chtexturegrp: DataFrame,
+def _weighted(mapunits: DataFrame, comps: DataFrame, chorizon: DataFrame, chtexturegrp: DataFrame,
               props: Sequence[str], top: int, bottom: int, case_sensitive: bool) -> DataFrame:
     rows = usable_horizons(chorizon, chtexturegrp, props, top, bottom, case_sensitive)
     means = component_mean(rows, props)
-    totals = mapunit_total(weights, means, props)
+    totals = mapunit_total(comps, means, props)
     # every selected map unit is kept; units with nothing usable get NULL
     return mapunits.join(totals, "mukey", "left").select(*KEY_COLS, *props)
 
@@ -137,8 +152,7 @@ def prop_weighted_avg(mapunits: DataFrame, component: DataFrame, chorizon: DataF
                       prop: str, top: int, bottom: int, case_sensitive: bool = False) -> DataFrame:
     """Component-percent weighted, thickness-weighted average over the major components."""
     majors = filter_major(component.select("mukey", "cokey", "comppct_r", "majcompflag"), case_sensitive)
-    return _weighted(mapunits, component_weight(majors), chorizon, chtexturegrp, [prop], top, bottom,
-                     case_sensitive)
+    return _weighted(mapunits, majors, chorizon, chtexturegrp, [prop], top, bottom, case_sensitive)
 
 
 def prop_dom_comp_num(mapunits: DataFrame, component: DataFrame, chorizon: DataFrame, chtexturegrp: DataFrame,
@@ -146,16 +160,14 @@ def prop_dom_comp_num(mapunits: DataFrame, component: DataFrame, chorizon: DataF
     """Thickness-weighted average on the dominant component, NULL unless it is major."""
     dom = dominant_component(component, ["comppct_r", "majcompflag"])
     majors = filter_major(dom, case_sensitive)
-    return _weighted(mapunits, component_weight(majors), chorizon, chtexturegrp, [prop], top, bottom,
-                     case_sensitive)
+    return _weighted(mapunits, majors, chorizon, chtexturegrp, [prop], top, bottom, case_sensitive)
 
 
 def prop_multi(mapunits: DataFrame, component: DataFrame, chorizon: DataFrame, chtexturegrp: DataFrame,
                props: Sequence[str], top: int, bottom: int, case_sensitive: bool = False) -> DataFrame:
     """Several weighted averages in one wide table from one horizon scan (shared thickness)."""
     majors = filter_major(component.select("mukey", "cokey", "comppct_r", "majcompflag"), case_sensitive)
-    return _weighted(mapunits, component_weight(majors), chorizon, chtexturegrp, list(props), top, bottom,
-                     case_sensitive)
+    return _weighted(mapunits, majors, chorizon, chtexturegrp, list(props), top, bottom, case_sensitive)
 
 
 def prop_min_max(mapunits: DataFrame, component: DataFrame, chorizon: DataFrame, prop: str, stat: str = "MIN",

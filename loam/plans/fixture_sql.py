@@ -80,11 +80,11 @@ FIXTURE_CTES: dict[str, str] = {
         "FROM orders JOIN customer ON o_custkey = c_custkey"
     ),
     "lp": (
-        "SELECT *, CAST(round(abs(l_discount) * 100) AS INTEGER) AS k FROM ("
         "SELECT l.*, p_name, p_type, p_size, "
-        "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS cokey "
-        "FROM lineitem l JOIN part ON l_partkey = p_partkey "
-        "QUALIFY row_number() OVER (PARTITION BY cokey ORDER BY l_extendedprice, l_shipdate) = 1)"
+        "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, "
+        "CAST(round(l_extendedprice * 100) AS BIGINT)) AS cokey, "
+        "CAST(round(abs(l_discount) * 100) AS INTEGER) AS k "
+        "FROM lineitem l JOIN part ON l_partkey = p_partkey"
     ),
     "component": (
         "SELECT cokey, CAST(l_orderkey AS VARCHAR) AS mukey, p_name AS compname, "

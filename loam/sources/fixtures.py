@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loam.session import sf_table
@@ -89,18 +89,12 @@ class SoilFixture:
     def _lineitem_part(self) -> DataFrame:
         li = self._t("lineitem")
         p = self._t("part").select("p_partkey", "p_name", "p_type", "p_size")
-        joined = li.join(p, li.l_partkey == p.p_partkey, "inner").withColumn(
-            "cokey",
-            F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"),
-                        F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")),
-        )
-        # one row per cokey (the source key repeats at sf0.001)
-        w = Window.partitionBy("cokey").orderBy("l_extendedprice", "l_shipdate")
-        return (
-            joined.withColumn("_rn", F.row_number().over(w))
-            .filter(F.col("_rn") == 1)
-            .drop("_rn")
-            .withColumn("k", F.round(F.abs(F.col("l_discount")) * 100).cast("int"))
+        # the four source keys repeat once at sf0.001; the price in cents makes the key unique
+        cokey = F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey",
+                                                                       "l_suppkey")],
+                            F.round(F.col("l_extendedprice") * 100).cast("bigint").cast("string"))
+        return li.join(p, li.l_partkey == p.p_partkey, "inner").select(
+            "*", cokey.alias("cokey"), F.round(F.abs(F.col("l_discount")) * 100).cast("int").alias("k")
         )
 
     @cached_property
