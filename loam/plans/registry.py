@@ -1,8 +1,13 @@
-"""Registered queries: each callable takes (spark, sf_dir) and returns a DataFrame.
-
-Every query reads the driver tables through the soil fixture, so its work
-grows with them.  Parameters (depth range, property codes, rule names) are
-fixed per query, as a user of the batch tools would set them.
+"""Registered queries.
+
+``PLANS[name](tables)`` builds the query over a tables object (attributes
+``legend, mapunit, component, ...`` plus ``report_lines(form)`` and
+``catalog_lines()``): either the in-plan fixture derived from the driver
+tables (``SoilFixture``) or stored soil tables (``SoilTables``).
+``QUERIES[name](spark, sf_dir)`` binds a plan to the fixture of ``sf_dir``,
+so every query reads the given tables and its work grows with them.
+Parameters (depth range, property codes, rule names) are fixed per query,
+as a user of the batch tools would set them.
 """
 
 from __future__ import annotations
@@ -20,239 +25,234 @@ from loam.operators import reports as R
 from loam.operators import summaries as S
 from loam.operators.filters import filter_mukeys
 from loam.operators.joins import mapunit_frame, polygon_attribute_join, polygon_extract
-from loam.sources.catalog import property_catalog
 from loam.sources import reports as RS
+from loam.sources.catalog import property_catalog
 from loam.sources.fixtures import SoilFixture
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
+PlanFn = Callable[[object], DataFrame]
 
 TOP, BOTTOM = 0, 100
 MULTI_PROPS = ["claytotal_r", "om_r"]
 RULE_NAMES = ["ENG - Dwellings", "AGR - Corn Suitability"]
 
 
-def _fx(spark: SparkSession, sf_dir: str) -> SoilFixture:
-    return SoilFixture(spark, sf_dir)
-
-
-def _mu(fx: SoilFixture) -> DataFrame:
-    return mapunit_frame(fx.legend, fx.mapunit)
+def _mu(t) -> DataFrame:
+    return mapunit_frame(t.legend, t.mapunit)
 
 
-def q_prop_dom_comp_cat(spark, sf_dir):
-    fx = _fx(spark, sf_dir)
-    return P.prop_dom_comp_cat(_mu(fx), fx.component, "drainagecl")
+# ---- properties ---------------------------------------------------------------
+def p_prop_dom_comp_cat(t):
+    return P.prop_dom_comp_cat(_mu(t), t.component, "drainagecl")
 
 
-def q_prop_dom_cond(spark, sf_dir):
-    fx = _fx(spark, sf_dir)
-    return P.prop_dom_cond(_mu(fx), fx.component, "drainagecl")
+def p_prop_dom_cond(t):
+    return P.prop_dom_cond(_mu(t), t.component, "drainagecl")
 
 
-def q_prop_weighted_avg(spark, sf_dir):
-    fx = _fx(spark, sf_dir)
-    return P.prop_weighted_avg(_mu(fx), fx.component, fx.chorizon, fx.chtexturegrp, "claytotal_r", TOP, BOTTOM)
+def p_prop_weighted_avg(t):
+    return P.prop_weighted_avg(_mu(t), t.component, t.chorizon, t.chtexturegrp, "claytotal_r", TOP, BOTTOM)
 
 
-def q_prop_dom_comp_num(spark, sf_dir):
-    fx = _fx(spark, sf_dir)
-    return P.prop_dom_comp_num(_mu(fx), fx.component, fx.chorizon, fx.chtexturegrp, "claytotal_r", TOP, BOTTOM)
+def p_prop_dom_comp_num(t):
+    return P.prop_dom_comp_num(_mu(t), t.component, t.chorizon, t.chtexturegrp, "claytotal_r", TOP, BOTTOM)
 
 
-def q_prop_min(spark, sf_dir):
-    fx = _fx(spark, sf_dir)
-    return P.prop_min_max(_mu(fx), fx.component, fx.chorizon, "claytotal_r", "MIN")
+def p_prop_min(t):
+    return P.prop_min_max(_mu(t), t.component, t.chorizon, "claytotal_r", "MIN")
 
 
-def q_prop_max(spark, sf_dir):
-    fx = _fx(spark, sf_dir)
-    return P.prop_min_max(_mu(fx), fx.component, fx.chorizon, "om_r", "MAX")
+def p_prop_max(t):
+    return P.prop_min_max(_mu(t), t.component, t.chorizon, "om_r", "MAX")
 
 
-def q_prop_multi(spark, sf_dir):
-    fx = _fx(spark, sf_dir)
-    return P.prop_multi(_mu(fx), fx.component, fx.chorizon, fx.chtexturegrp, MULTI_PROPS, 0, 50)
+def p_prop_multi(t):
+    return P.prop_multi(_mu(t), t.component, t.chorizon, t.chtexturegrp, MULTI_PROPS, 0, 50)
 
 
-def q_interp_dom_comp(spark, sf_dir):
-    fx = _fx(spark, sf_dir)
-    return I.interp_dom_comp(_mu(fx), fx.component, fx.cointerp, RULE_NAMES)
+# ---- interpretations ------------------------------------------------------------
+def p_interp_dom_comp(t):
+    return I.interp_dom_comp(_mu(t), t.component, t.cointerp, RULE_NAMES)
 
 
-def q_interp_dom_cond(spark, sf_dir):
-    fx = _fx(spark, sf_dir)
-    return I.interp_dom_cond(_mu(fx), fx.component, fx.cointerp, RULE_NAMES)
+def p_interp_dom_cond(t):
+    return I.interp_dom_cond(_mu(t), t.component, t.cointerp, RULE_NAMES)
 
 
-def q_interp_weighted_avg(spark, sf_dir):
-    fx = _fx(spark, sf_dir)
-    return I.interp_weighted_avg(_mu(fx), fx.component, fx.cointerp, RULE_NAMES)
+def p_interp_weighted_avg(t):
+    return I.interp_weighted_avg(_mu(t), t.component, t.cointerp, RULE_NAMES)
 
 
-def q_interp_reasons_all(spark, sf_dir):
-    fx = _fx(spark, sf_dir)
-    return I.interp_reasons_all(fx.component, fx.cointerp, RULE_NAMES)
+def p_interp_reasons_all(t):
+    return I.interp_reasons_all(t.component, t.cointerp, RULE_NAMES)
 
 
-def q_hydric_counts(spark, sf_dir):
-    fx = _fx(spark, sf_dir)
-    return S.hydric_counts(_mu(fx), fx.component)
+# ---- map-unit summaries -----------------------------------------------------------
+def p_hydric_counts(t):
+    return S.hydric_counts(_mu(t), t.component)
 
 
-def q_hydric_rating(spark, sf_dir):
-    fx = _fx(spark, sf_dir)
-    return S.hydric_rating(_mu(fx), fx.component)
+def p_hydric_rating(t):
+    return S.hydric_rating(_mu(t), t.component)
 
 
-def q_parent_material(spark, sf_dir):
-    fx = _fx(spark, sf_dir)
-    return S.parent_material(_mu(fx), fx.component, fx.copmgrp, general=False)
+def p_parent_material(t):
+    return S.parent_material(_mu(t), t.component, t.copmgrp, general=False)
 
 
-def q_parent_material_general(spark, sf_dir):
-    fx = _fx(spark, sf_dir)
-    return S.parent_material(_mu(fx), fx.component, fx.copmgrp, general=True)
+def p_parent_material_general(t):
+    return S.parent_material(_mu(t), t.component, t.copmgrp, general=True)
 
 
-def q_muaggatt_extract(spark, sf_dir):
-    fx = _fx(spark, sf_dir)
-    return S.muaggatt_extract(_mu(fx), fx.muaggatt)
+def p_muaggatt_extract(t):
+    return S.muaggatt_extract(_mu(t), t.muaggatt)
 
 
-def _project_framed(spark, sf_dir):
-    return RS.report_extract(_fx(spark, sf_dir).report_lines("project"))
+# ---- text reports -------------------------------------------------------------------
+def _project_framed(t):
+    return RS.report_extract(t.report_lines("project"))
 
 
-def _area_framed(fx):
-    return RS.report_extract(fx.report_lines("area"), min_lines=2)
+def _area_framed(t):
+    return RS.report_extract(t.report_lines("area"), min_lines=2)
 
 
-def q_report_extract(spark, sf_dir):
-    return _project_framed(spark, sf_dir)
+def p_report_extract(t):
+    return _project_framed(t)
 
 
-def q_report_merge_ratings(spark, sf_dir):
-    non, mlra = RS.report_parse_project(_project_framed(spark, sf_dir))
+def p_report_merge_ratings(t):
+    non, mlra = RS.report_parse_project(_project_framed(t))
     return R.merge_ratings(non, mlra)
 
 
-def q_report_rejects(spark, sf_dir):
-    return R.drop_malformed(_project_framed(spark, sf_dir))
+def p_report_rejects(t):
+    return R.drop_malformed(_project_framed(t))
 
 
-def q_report_parse_area(spark, sf_dir):
-    return RS.report_parse_area(_area_framed(_fx(spark, sf_dir)))
+def p_report_parse_area(t):
+    return RS.report_parse_area(_area_framed(t))
 
 
-def q_report_parse_area_batch(spark, sf_dir):
-    return RS.report_parse_area_batch(_area_framed(_fx(spark, sf_dir)))
+def p_report_parse_area_batch(t):
+    return RS.report_parse_area_batch(_area_framed(t))
 
 
-def q_report_single_kind(spark, sf_dir):
-    return R.single_kind(_area_framed(_fx(spark, sf_dir)))
+def p_report_single_kind(t):
+    return R.single_kind(_area_framed(t))
 
 
-def q_report_key_reconcile(spark, sf_dir):
-    fx = _fx(spark, sf_dir)
-    keys = RS.report_parse_area(_area_framed(fx)).withColumnRenamed("report_id", "areasymbol")
-    return R.key_reconcile(keys, fx.mupolygon)
+def p_report_key_reconcile(t):
+    keys = RS.report_parse_area(_area_framed(t)).withColumnRenamed("report_id", "areasymbol")
+    return R.key_reconcile(keys, t.mupolygon)
 
 
-def q_aoi_ring(spark, sf_dir):
-    return A.aoi_ring(_fx(spark, sf_dir).aoi_points)
+# ---- area of interest ---------------------------------------------------------------------
+def _clipped(t):
+    return A.aoi_clip(t.mupolygon, t.aoi_points)
 
 
-def _clipped(fx):
-    return A.aoi_clip(fx.mupolygon, fx.aoi_points)
+def p_aoi_ring(t):
+    return A.aoi_ring(t.aoi_points)
 
 
-def q_aoi_clip(spark, sf_dir):
-    return _clipped(_fx(spark, sf_dir)).drop("wkt")
+def p_aoi_clip(t):
+    return _clipped(t).drop("wkt")
 
 
-def q_aoi_mukeys(spark, sf_dir):
-    return A.aoi_mukeys(_clipped(_fx(spark, sf_dir)))
+def p_aoi_mukeys(t):
+    return A.aoi_mukeys(_clipped(t))
 
 
-def q_aoi_prop_weighted_avg(spark, sf_dir):
+def p_aoi_prop_weighted_avg(t):
     """The AOI property tool: weighted average for the map units inside any AOI."""
-    fx = _fx(spark, sf_dir)
-    mus = filter_mukeys(_mu(fx), A.aoi_mukeys(_clipped(fx)).select("mukey"))
-    return P.prop_weighted_avg(mus, fx.component, fx.chorizon, fx.chtexturegrp, "claytotal_r", TOP, BOTTOM)
+    mus = filter_mukeys(_mu(t), A.aoi_mukeys(_clipped(t)).select("mukey"))
+    return P.prop_weighted_avg(mus, t.component, t.chorizon, t.chtexturegrp, "claytotal_r", TOP, BOTTOM)
 
 
-def q_coverage_report(spark, sf_dir):
-    fx = _fx(spark, sf_dir)
-    parsed = RS.report_parse_area(_area_framed(fx)).withColumnRenamed("report_id", "areasymbol")
-    return B.coverage_report(fx.sacatalog, ["area report"], parsed, "request")
+# ---- bookkeeping ----------------------------------------------------------------------------
+def p_coverage_report(t):
+    parsed = RS.report_parse_area(_area_framed(t)).withColumnRenamed("report_id", "areasymbol")
+    return B.coverage_report(t.sacatalog, ["area report"], parsed, "request")
 
 
-def q_legend_breaks_numeric(spark, sf_dir):
-    return B.legend_breaks(q_prop_weighted_avg(spark, sf_dir), "claytotal_r")
+def p_legend_breaks_numeric(t):
+    return B.legend_breaks(p_prop_weighted_avg(t), "claytotal_r")
 
 
-def q_legend_breaks_text(spark, sf_dir):
-    return B.legend_breaks(q_interp_weighted_avg(spark, sf_dir), "class")
+def p_legend_breaks_text(t):
+    return B.legend_breaks(p_interp_weighted_avg(t), "class")
 
 
-def q_sample_features(spark, sf_dir):
-    return B.sample_features(_mu(_fx(spark, sf_dir)), "int_mukey", 50)
+def p_sample_features(t):
+    return B.sample_features(_mu(t), "int_mukey", 50)
 
 
-def q_dedupe_last(spark, sf_dir):
-    rows = q_report_parse_area_batch(spark, sf_dir).select(
+def p_dedupe_last(t):
+    rows = p_report_parse_area_batch(t).select(
         F.col("str_mukey").alias("mukey"), "line_no", "report_id", "rating", "class", "kind")
     return B.dedupe_last(rows, "mukey", "line_no")
 
 
-def q_property_catalog(spark, sf_dir):
-    return property_catalog(_fx(spark, sf_dir).catalog_lines())
-
-
-def q_polygon_attribute_join(spark, sf_dir):
-    fx = _fx(spark, sf_dir)
-    return polygon_attribute_join(fx.mupolygon, S.hydric_rating(_mu(fx), fx.component))
-
-
-def q_polygon_extract(spark, sf_dir):
-    fx = _fx(spark, sf_dir)
-    return polygon_extract(fx.mupolygon, q_report_merge_ratings(spark, sf_dir))
-
-
-QUERIES: dict[str, QueryFn] = {
-    "prop_dom_comp_cat": q_prop_dom_comp_cat,
-    "prop_dom_cond": q_prop_dom_cond,
-    "prop_weighted_avg": q_prop_weighted_avg,
-    "prop_dom_comp_num": q_prop_dom_comp_num,
-    "prop_min": q_prop_min,
-    "prop_max": q_prop_max,
-    "prop_multi": q_prop_multi,
-    "interp_dom_comp": q_interp_dom_comp,
-    "interp_dom_cond": q_interp_dom_cond,
-    "interp_weighted_avg": q_interp_weighted_avg,
-    "interp_reasons_all": q_interp_reasons_all,
-    "hydric_counts": q_hydric_counts,
-    "hydric_rating": q_hydric_rating,
-    "parent_material": q_parent_material,
-    "parent_material_general": q_parent_material_general,
-    "muaggatt_extract": q_muaggatt_extract,
-    "report_extract": q_report_extract,
-    "report_merge_ratings": q_report_merge_ratings,
-    "report_rejects": q_report_rejects,
-    "report_parse_area": q_report_parse_area,
-    "report_parse_area_batch": q_report_parse_area_batch,
-    "report_single_kind": q_report_single_kind,
-    "report_key_reconcile": q_report_key_reconcile,
-    "aoi_ring": q_aoi_ring,
-    "aoi_clip": q_aoi_clip,
-    "aoi_mukeys": q_aoi_mukeys,
-    "aoi_prop_weighted_avg": q_aoi_prop_weighted_avg,
-    "coverage_report": q_coverage_report,
-    "legend_breaks_numeric": q_legend_breaks_numeric,
-    "legend_breaks_text": q_legend_breaks_text,
-    "sample_features": q_sample_features,
-    "dedupe_last": q_dedupe_last,
-    "property_catalog": q_property_catalog,
-    "polygon_attribute_join": q_polygon_attribute_join,
-    "polygon_extract": q_polygon_extract,
+def p_property_catalog(t):
+    return property_catalog(t.catalog_lines())
+
+
+def p_polygon_attribute_join(t):
+    return polygon_attribute_join(t.mupolygon, S.hydric_rating(_mu(t), t.component))
+
+
+def p_polygon_extract(t):
+    return polygon_extract(t.mupolygon, p_report_merge_ratings(t))
+
+
+PLANS: dict[str, PlanFn] = {
+    "prop_dom_comp_cat": p_prop_dom_comp_cat,
+    "prop_dom_cond": p_prop_dom_cond,
+    "prop_weighted_avg": p_prop_weighted_avg,
+    "prop_dom_comp_num": p_prop_dom_comp_num,
+    "prop_min": p_prop_min,
+    "prop_max": p_prop_max,
+    "prop_multi": p_prop_multi,
+    "interp_dom_comp": p_interp_dom_comp,
+    "interp_dom_cond": p_interp_dom_cond,
+    "interp_weighted_avg": p_interp_weighted_avg,
+    "interp_reasons_all": p_interp_reasons_all,
+    "hydric_counts": p_hydric_counts,
+    "hydric_rating": p_hydric_rating,
+    "parent_material": p_parent_material,
+    "parent_material_general": p_parent_material_general,
+    "muaggatt_extract": p_muaggatt_extract,
+    "report_extract": p_report_extract,
+    "report_merge_ratings": p_report_merge_ratings,
+    "report_rejects": p_report_rejects,
+    "report_parse_area": p_report_parse_area,
+    "report_parse_area_batch": p_report_parse_area_batch,
+    "report_single_kind": p_report_single_kind,
+    "report_key_reconcile": p_report_key_reconcile,
+    "aoi_ring": p_aoi_ring,
+    "aoi_clip": p_aoi_clip,
+    "aoi_mukeys": p_aoi_mukeys,
+    "aoi_prop_weighted_avg": p_aoi_prop_weighted_avg,
+    "coverage_report": p_coverage_report,
+    "legend_breaks_numeric": p_legend_breaks_numeric,
+    "legend_breaks_text": p_legend_breaks_text,
+    "sample_features": p_sample_features,
+    "dedupe_last": p_dedupe_last,
+    "property_catalog": p_property_catalog,
+    "polygon_attribute_join": p_polygon_attribute_join,
+    "polygon_extract": p_polygon_extract,
 }
+
+
+def _bind(plan: PlanFn) -> QueryFn:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return plan(SoilFixture(spark, sf_dir))
+
+    query.__name__ = "q_" + plan.__name__[2:]
+    query.__doc__ = plan.__doc__
+    return query
+
+
+QUERIES: dict[str, QueryFn] = {name: _bind(plan) for name, plan in PLANS.items()}
+q_prop_weighted_avg = QUERIES["prop_weighted_avg"]
