@@ -25,7 +25,7 @@ def mapunit_frame(legend: DataFrame, mapunit: DataFrame) -> DataFrame:
     """legend x mapunit: one row per map unit with its area and an integer key copy."""
     lg = bounded_broadcast(legend.select("lkey", "areasymbol"), MAX_LEGEND_ROWS)
     return mapunit.select("mukey", "lkey", "musym", "muname").join(lg, "lkey", "inner").select(
-        "areasymbol", "musym", "muname", "mukey", F.col("mukey").cast("bigint").alias("int_mukey")
+        "areasymbol", "musym", "muname", "mukey", F.col("mukey").try_cast("bigint").alias("int_mukey")
     )
 
 

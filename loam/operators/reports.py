@@ -20,7 +20,7 @@ def merge_ratings(non_mlra: DataFrame, mlra: DataFrame) -> DataFrame:
                     F.col("mukind").alias("m_type"), F.col("kind").alias("m_kind"))
     j = n.join(m, ["report_id", "mukey"], "left")
     return j.select(
-        "report_id", "mukey", F.col("mukey").cast("bigint").alias("int_mukey"), "n_rating", "n_class", "n_type",
+        "report_id", "mukey", F.col("mukey").try_cast("bigint").alias("int_mukey"), "n_rating", "n_class", "n_type",
         "n_kind", *[F.coalesce(F.col(c), F.lit(UNKNOWN)).alias(c) for c in ["m_rating", "m_class", "m_type", "m_kind"]]
     )
 

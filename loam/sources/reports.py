@@ -112,7 +112,7 @@ def report_parse_area(framed: DataFrame) -> DataFrame:
     """
     rows = _split_area(framed).filter("ok")
     last = _last_wins(rows, ["report_id", "mukey"], ["rating", "class", "kind"])
-    return last.select("report_id", "mukey", F.col("mukey").cast("bigint").alias("int_mukey"), "rating", "class",
+    return last.select("report_id", "mukey", F.col("mukey").try_cast("bigint").alias("int_mukey"), "rating", "class",
                        "kind")
 
 
