@@ -17,13 +17,15 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
-# Survey areas are a few thousand nationwide; a legend beyond this is not broadcast.
-MAX_LEGEND_ROWS = 200_000
-
-
 def mapunit_frame(legend: DataFrame, mapunit: DataFrame) -> DataFrame:
-    """legend x mapunit: one row per map unit with its area and an integer key copy."""
-    lg = bounded_broadcast(legend.select("lkey", "areasymbol"), MAX_LEGEND_ROWS)
+    """legend x mapunit: one row per map unit with its area and an integer key copy.
+
+    No hint: the legend (one row per survey area) is broadcast by Spark's
+    own size check -- the Parquet size estimate at planning and the shuffle
+    statistics under AQE, both against ``spark.sql.autoBroadcastJoinThreshold``
+    -- and joined by sort-merge beyond it.
+    """
+    lg = legend.select("lkey", "areasymbol")
     return mapunit.select("mukey", "lkey", "musym", "muname").join(lg, "lkey", "inner").select(
         "areasymbol", "musym", "muname", "mukey", F.col("mukey").try_cast("bigint").alias("int_mukey")
     )

@@ -12,6 +12,16 @@ MERGED_COLUMNS = ["report_id", "mukey", "int_mukey", "n_rating", "n_class", "n_t
                   "m_class", "m_type", "m_kind"]
 
 
+def merge_ratings_wide(wide: DataFrame) -> DataFrame:
+    """Merge from the one-pass parse: keys with a non-MLRA line; a missing MLRA side is 'UNK' x4."""
+    m_cols = [("m_rating", "m_rating"), ("m_class", "m_class"), ("m_type", "m_mukind"), ("m_kind", "m_kind")]
+    return wide.filter(F.col("has_n")).select(
+        "report_id", "mukey", F.col("mukey").try_cast("bigint").alias("int_mukey"),
+        "n_rating", "n_class", F.col("n_mukind").alias("n_type"), "n_kind",
+        *[F.when(F.col("has_m"), F.col(src)).otherwise(F.lit(UNKNOWN)).alias(dst) for dst, src in m_cols],
+    )
+
+
 def merge_ratings(non_mlra: DataFrame, mlra: DataFrame) -> DataFrame:
     """Non-MLRA ratings left-joined with MLRA ratings; a missing MLRA side is 'UNK' x4; MLRA-only keys dropped."""
     n = non_mlra.select("report_id", "mukey", F.col("rating").alias("n_rating"), F.col("class").alias("n_class"),

@@ -122,8 +122,7 @@ def p_report_extract(t):
 
 
 def p_report_merge_ratings(t):
-    non, mlra = RS.report_parse_project(_project_framed(t))
-    return R.merge_ratings(non, mlra)
+    return R.merge_ratings_wide(RS.report_parse_project_wide(_project_framed(t)))
 
 
 def p_report_rejects(t):

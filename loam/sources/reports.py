@@ -26,8 +26,12 @@ def read_report_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+WHITESPACE = " \t\r\n\f\u000b"
+
+
 def _strip(col: Column) -> Column:
-    return F.regexp_replace(col, r"^\s+|\s+$", "")
+    """Strip leading and trailing whitespace (a character-set trim, no regex)."""
+    return F.trim(col, F.lit(WHITESPACE))
 
 
 def report_extract(lines: DataFrame, min_lines: int | None = None) -> DataFrame:
@@ -87,13 +91,37 @@ def _last_wins(df: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_b.{f}").alias(f) for f in fields])
 
 
+PROJECT_VALUE_FIELDS = ["rating", "class", "mukind", "kind"]
+
+
+def report_parse_project_wide(framed: DataFrame) -> DataFrame:
+    """Both rating kinds per (report, key) in one aggregation: ``n_*`` non-MLRA, ``m_*`` MLRA; last line wins.
+
+    ``max_by`` skips rows whose ordering value is NULL, so one pass keeps the
+    last line of each kind without splitting the rows or joining them back.
+    """
+    rows = report_split_project(framed).filter("ok")
+    val = F.struct(*[F.col(f) for f in PROJECT_VALUE_FIELDS])
+    last = {
+        p: F.max_by(val, F.when(F.col("route") == r, F.col("line_no"))).alias(p)
+        for p, r in (("_n", "non_mlra"), ("_m", "mlra"))
+    }
+    g = rows.groupBy("report_id", "mukey").agg(*last.values())
+    return g.select(
+        "report_id", "mukey",
+        F.col("_n").isNotNull().alias("has_n"), F.col("_m").isNotNull().alias("has_m"),
+        *[F.col(f"{p}.{f}").alias(f"{p[1]}_{f}") for p in ("_n", "_m") for f in PROJECT_VALUE_FIELDS],
+    )
+
+
 def report_parse_project(framed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(non-MLRA ratings, MLRA ratings), last line wins per (report, key)."""
-    rows = report_split_project(framed).filter("ok")
-    fields = ["rating", "class", "mukind", "kind"]
-    non = _last_wins(rows.filter(F.col("route") == "non_mlra"), ["report_id", "mukey"], fields)
-    mlra = _last_wins(rows.filter(F.col("route") == "mlra"), ["report_id", "mukey"], fields)
-    return non, mlra
+    wide = report_parse_project_wide(framed)
+    out = []
+    for p in ("n", "m"):
+        side = wide.filter(F.col(f"has_{p}"))
+        out.append(side.select("report_id", "mukey", *[F.col(f"{p}_{f}").alias(f) for f in PROJECT_VALUE_FIELDS]))
+    return out[0], out[1]
 
 
 def _split_area(framed: DataFrame) -> DataFrame:

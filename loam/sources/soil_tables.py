@@ -26,13 +26,20 @@ def read_soil_tables(spark: SparkSession, path: str, names=None) -> dict[str, Da
     return {n: spark.read.schema(SOIL_SCHEMAS[n]).parquet(os.path.join(path, n)) for n in names}
 
 
-def write_soil_tables(tables: dict[str, DataFrame], path: str) -> None:
-    """Write each table as Parquet (overwrite), sorted within files by its usual filter keys."""
+def write_soil_tables(tables: dict[str, DataFrame], path: str, files: int | None = None) -> None:
+    """Write each table as Parquet (overwrite), ``files`` files each, sorted within files by its filter keys.
+
+    ``files`` defaults to twice the default parallelism so a scan keeps every
+    core busy; on a cluster the file count follows the data size instead.
+    """
     for name, df in tables.items():
+        n = files or 2 * df.sparkSession.sparkContext.defaultParallelism
         cols = [f.name for f in SOIL_SCHEMAS[name].fields]
         out = df.select(*[F.col(c).cast(SOIL_SCHEMAS[name][c].dataType) for c in cols])
         if name in SORT_KEYS:
-            out = out.repartitionByRange(*SORT_KEYS[name]).sortWithinPartitions(*SORT_KEYS[name])
+            out = out.repartitionByRange(n, *SORT_KEYS[name]).sortWithinPartitions(*SORT_KEYS[name])
+        else:
+            out = out.repartition(n)
         out.write.mode("overwrite").parquet(os.path.join(path, name))
 
 
