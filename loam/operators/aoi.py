@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from loam.operators.joins import bounded_broadcast
+from loam.session import ship_package
 
 MAX_AOIS = 10_000
 EPS = 1e-12
@@ -48,7 +49,8 @@ def ring_wkt(xs: Column, ys: Column) -> Column:
 def aoi_ring(points: DataFrame) -> DataFrame:
     """Per AOI: point count and the closed ring as WKT polygon (an AOI without points yields nothing)."""
     r = aoi_rings(points)
-    return r.select("aoi_id", (F.size("xs") - 1).alias("n_points"), ring_wkt(F.col("xs"), F.col("ys")).alias("wkt"))
+    return r.select("aoi_id", (F.size("xs") - 1).cast("bigint").alias("n_points"),
+                    ring_wkt(F.col("xs"), F.col("ys")).alias("wkt"))
 
 
 def parse_wkt_ring(wkt: Column) -> tuple[Column, Column]:
@@ -209,6 +211,7 @@ def aoi_clip(polygons: DataFrame, points: DataFrame) -> DataFrame:
     apart into several pieces is dropped, as the reference keeps only
     'Polygon' results.
     """
+    ship_package(polygons.sparkSession)
     aois = with_bbox(aoi_rings(points), "").select(
         "aoi_id", F.col("xs").alias("a_xs"), F.col("ys").alias("a_ys"),
         F.col("minx").alias("a_minx"), F.col("maxx").alias("a_maxx"),
