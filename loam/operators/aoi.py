@@ -15,10 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
-from loam.operators.joins import bounded_broadcast
 from loam.session import ship_package
 
-MAX_AOIS = 10_000
+MAX_AOIS = 1_000          # broadcast bound for the AOI side of the bbox join
+DEFAULT_GRID_CELL = 0.1   # degrees; cell of the grid join used beyond the bound
 EPS = 1e-12
 
 
@@ -203,13 +203,43 @@ def _clip_udf(sx: pd.Series, sy: pd.Series, cx: pd.Series, cy: pd.Series) -> pd.
     })
 
 
-def aoi_clip(polygons: DataFrame, points: DataFrame) -> DataFrame:
+def _cells(lo_x: Column, hi_x: Column, lo_y: Column, hi_y: Column, cell: float) -> Column:
+    """All grid cells (cx, cy) a bounding box touches."""
+    xs = F.sequence(F.floor(lo_x / cell), F.floor(hi_x / cell))
+    ys = F.sequence(F.floor(lo_y / cell), F.floor(hi_y / cell))
+    return F.explode(F.flatten(F.transform(xs, lambda cx: F.transform(ys, lambda cy: F.struct(
+        cx.alias("cx"), cy.alias("cy"))))))
+
+
+def _grid_pairs(polys: DataFrame, aois: DataFrame, cell: float) -> DataFrame:
+    """Candidate (polygon, AOI) pairs by an equi-join on grid cells.
+
+    Each pair is kept only in the cell that holds the lower-left corner of
+    the two boxes' overlap, so a pair sharing several cells appears once
+    without a distinct.
+    """
+    p = polys.select("*", _cells(F.col("minx"), F.col("maxx"), F.col("miny"), F.col("maxy"), cell).alias("_c"))
+    a = aois.select("*", _cells(F.col("a_minx"), F.col("a_maxx"), F.col("a_miny"), F.col("a_maxy"), cell)
+                    .alias("_ac"))
+    j = p.join(a, (F.col("_c.cx") == F.col("_ac.cx")) & (F.col("_c.cy") == F.col("_ac.cy")), "inner")
+    ref_x = F.floor(F.greatest("minx", "a_minx") / cell)
+    ref_y = F.floor(F.greatest("miny", "a_miny") / cell)
+    return j.filter((F.col("_c.cx") == ref_x) & (F.col("_c.cy") == ref_y)).drop("_c", "_ac")
+
+
+def aoi_clip(polygons: DataFrame, points: DataFrame, grid_cell: float | None = None) -> DataFrame:
     """Map-unit polygons intersecting each AOI, clipped to it.
 
     Output: aoi_id, poly_id, mukey, areasymbol, area, minx, miny, maxx, maxy,
     wkt.  Only single-part results are kept (SURVEY Q19): a clip that falls
     apart into several pieces is dropped, as the reference keeps only
     'Polygon' results.
+
+    Candidate pairs come from bounding-box overlap: with at most
+    ``MAX_AOIS`` AOIs (checked by a bounded count) the AOI side is
+    broadcast to every polygon task; beyond that, or when ``grid_cell`` is
+    given, both sides are bucketed into grid cells and equi-joined on the
+    cell, which scales with the data on both sides.
     """
     ship_package(polygons.sparkSession)
     aois = with_bbox(aoi_rings(points), "").select(
@@ -217,14 +247,17 @@ def aoi_clip(polygons: DataFrame, points: DataFrame) -> DataFrame:
         F.col("minx").alias("a_minx"), F.col("maxx").alias("a_maxx"),
         F.col("miny").alias("a_miny"), F.col("maxy").alias("a_maxy"),
     )
-    aois = bounded_broadcast(aois, MAX_AOIS)
     xs, ys = parse_wkt_ring(F.col("wkt"))
     polys = with_bbox(polygons.select("poly_id", "mukey", "areasymbol", xs.alias("xs"), ys.alias("ys")))
     overlap = (
         (F.col("minx") < F.col("a_maxx")) & (F.col("maxx") > F.col("a_minx"))
         & (F.col("miny") < F.col("a_maxy")) & (F.col("maxy") > F.col("a_miny"))
     )
-    cand = polys.join(aois, overlap, "inner")
+    small = grid_cell is None and aois.limit(MAX_AOIS + 1).count() <= MAX_AOIS
+    if small:
+        cand = polys.join(F.broadcast(aois), overlap, "inner")
+    else:
+        cand = _grid_pairs(polys, aois, grid_cell or DEFAULT_GRID_CELL).filter(overlap)
     clipped = cand.select("aoi_id", "poly_id", "mukey", "areasymbol",
                           _clip_udf("xs", "ys", "a_xs", "a_ys").alias("c")).filter(F.col("c").isNotNull())
     single = clipped.filter(F.col("c.parts") == 1)

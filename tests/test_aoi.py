@@ -79,3 +79,13 @@ def test_clip_independent_of_partitioning(spark):
     many = A.aoi_clip(fx.mupolygon.repartition(7), fx.aoi_points).drop("wkt")
     assert sorted(map(tuple, one.collect())) == sorted(map(tuple, many.collect()))
     assert one.count() > 0
+
+
+def test_grid_join_equals_broadcast_join(spark):
+    from loam.sources.fixtures import SoilFixture
+
+    fx = SoilFixture(spark, "/root/testdata/sf0.001")
+    b = A.aoi_clip(fx.mupolygon, fx.aoi_points).drop("wkt")
+    for cell in (7.0, 50.0, 1000.0):
+        g = A.aoi_clip(fx.mupolygon, fx.aoi_points, grid_cell=cell).drop("wkt")
+        assert sorted(map(tuple, g.collect())) == sorted(map(tuple, b.collect()))
