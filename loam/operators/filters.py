@@ -35,7 +35,7 @@ def filter_area(legend: DataFrame, areas: Iterable[str] | DataFrame | str | None
     req = bounded_broadcast(_as_frame(legend.sparkSession, areas, "areasymbol").distinct(), MAX_REQUEST_ROWS)
     if use_like:
         req = req.withColumnRenamed("areasymbol", "_pat")
-        return legend.join(req, F.col("areasymbol").ilike(F.col("_pat")), "left_semi")
+        return legend.join(req, F.ilike(F.col("areasymbol"), F.col("_pat")), "left_semi")
     return legend.join(req, "areasymbol", "left_semi")
 
 

@@ -107,3 +107,13 @@ def test_soil_tables_roundtrip(spark, scratch):
     assert st.report_lines("area").count() == fx.report_lines("area").count()
     with pytest.raises(AttributeError):
         st.nonexistent
+
+
+def test_filter_area_equality_and_like(spark):
+    from loam.operators.filters import filter_area
+
+    legend = spark.createDataFrame([("1", "IA001"), ("2", "IA015"), ("3", "MN001")], "lkey string, areasymbol string")
+    eq = sorted(r.areasymbol for r in filter_area(legend, "IA001; MN001").collect())
+    like = sorted(r.areasymbol for r in filter_area(legend, ["ia0%"], use_like=True).collect())
+    assert eq == ["IA001", "MN001"] and like == ["IA001", "IA015"]
+    assert filter_area(legend, None).count() == 3
