@@ -47,6 +47,18 @@ def filter_mukeys(df: DataFrame, mukeys: DataFrame | Iterable[str] | None) -> Da
     return df.join(keys, "mukey", "left_semi")
 
 
+def restrict_to_mapunits(mapunits: DataFrame, component: DataFrame, *children: DataFrame):
+    """Push a map-unit selection down: components of the selected map units, and children rows
+    (keyed by ``cokey``) of those components.
+
+    Left-semi joins only; a small selection is broadcast by Spark's size check,
+    so the big child tables are filtered before they are shuffled.
+    """
+    comps = component.join(mapunits.select("mukey"), "mukey", "left_semi")
+    keys = comps.select("cokey")
+    return (comps, *[c.join(keys, "cokey", "left_semi") for c in children])
+
+
 def filter_major(component: DataFrame, case_sensitive: bool = False) -> DataFrame:
     return component.filter(text_eq("majcompflag", "Yes", case_sensitive))
 

@@ -23,10 +23,11 @@ from loam.operators import interps as I
 from loam.operators import properties as P
 from loam.operators import reports as R
 from loam.operators import summaries as S
-from loam.operators.filters import filter_mukeys
+from loam.operators.filters import filter_mukeys, restrict_to_mapunits
 from loam.operators.joins import mapunit_frame, polygon_attribute_join, polygon_extract
 from loam.sources import reports as RS
 from loam.sources.catalog import property_catalog
+from loam.session import materialize
 from loam.sources.fixtures import SoilFixture
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -165,8 +166,11 @@ def p_aoi_mukeys(t):
 
 def p_aoi_prop_weighted_avg(t):
     """The AOI property tool: weighted average for the map units inside any AOI."""
-    mus = filter_mukeys(_mu(t), A.aoi_mukeys(_clipped(t)).select("mukey"))
-    return P.prop_weighted_avg(mus, t.component, t.chorizon, t.chtexturegrp, "claytotal_r", TOP, BOTTOM)
+    # the clipped key list feeds three joins: checkpoint it once (shared folder) instead of clipping thrice
+    keys = materialize(A.aoi_mukeys(_clipped(t)).select("mukey").distinct())
+    mus = filter_mukeys(_mu(t), keys)
+    comps, hz = restrict_to_mapunits(mus, t.component, t.chorizon)
+    return P.prop_weighted_avg(mus, comps, hz, t.chtexturegrp, "claytotal_r", TOP, BOTTOM)
 
 
 # ---- bookkeeping ----------------------------------------------------------------------------

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from loam.operators import interps as I
 from loam.operators import properties as P
 from loam.operators.bookkeeping import coverage_report, table_name, write_result
-from loam.operators.filters import filter_area
+from loam.operators.filters import filter_area, restrict_to_mapunits
 from loam.operators.joins import mapunit_frame
 from loam.session import materialize
 from loam.sources.catalog import PROPERTY_LABELS
@@ -44,20 +44,21 @@ def run_property_tool(tables, out_dir: str, labels: Sequence[str], method: str,
         raise ValueError(f"unable to determine aggregation method: {method}")
     props = resolve_labels(labels)
     mu = mapunit_frame(filter_area(tables.legend, areas), tables.mapunit)
+    comp, hz = tables.component, tables.chorizon
+    if areas is not None:
+        comp, hz = restrict_to_mapunits(mu, comp, hz)
     codes = [c for _, c in props]
     if method == "Weighted Average":
-        wide = materialize(P.prop_multi(mu, tables.component, tables.chorizon, tables.chtexturegrp, codes, top,
-                                        bottom))
+        wide = materialize(P.prop_multi(mu, comp, hz, tables.chtexturegrp, codes, top, bottom))
         results = {c: wide.select(*P.KEY_COLS, c) for c in codes}
     elif method == "Dominant Component (Numeric)":
-        results = {c: P.prop_dom_comp_num(mu, tables.component, tables.chorizon, tables.chtexturegrp, c, top, bottom)
-                   for c in codes}
+        results = {c: P.prop_dom_comp_num(mu, comp, hz, tables.chtexturegrp, c, top, bottom) for c in codes}
     elif method == "Min\\Max":
-        results = {c: P.prop_min_max(mu, tables.component, tables.chorizon, c, stat) for c in codes}
+        results = {c: P.prop_min_max(mu, comp, hz, c, stat) for c in codes}
     elif method == "Dominant Condition":
-        results = {c: P.prop_dom_cond(mu, tables.component, c) for c in codes}
+        results = {c: P.prop_dom_cond(mu, comp, c) for c in codes}
     else:
-        results = {c: P.prop_dom_comp_cat(mu, tables.component, c) for c in codes}
+        results = {c: P.prop_dom_comp_cat(mu, comp, c) for c in codes}
     paths: dict[str, str] = {}
     answered: list[DataFrame] = []
     for label, code in props:
@@ -77,7 +78,10 @@ def run_interp_tool(tables, out_dir: str, rules: Sequence[str], method: str, are
     fn = {"Dominant Component": I.interp_dom_comp, "Dominant Condition": I.interp_dom_cond,
           "Weighted Average": I.interp_weighted_avg}[method]
     mu = mapunit_frame(filter_area(tables.legend, areas), tables.mapunit)
-    allrules = materialize(fn(mu, tables.component, tables.cointerp, list(rules)))
+    comp, ci = tables.component, tables.cointerp
+    if areas is not None:
+        comp, ci = restrict_to_mapunits(mu, comp, ci)
+    allrules = materialize(fn(mu, comp, ci, list(rules)))
     paths = {}
     for rule in rules:
         path = os.path.join(out_dir, table_name(rule, method))
