@@ -123,25 +123,29 @@ def interp_dom_cond(mapunits: DataFrame, component: DataFrame, cointerp: DataFra
     Ties: larger sum first, then value ascending (NULL last), then class.
     """
     rows = _overall_with_pct(component, cointerp, rules)
-    groups = rows.groupBy("mukey", "mrulename", "interphrc", "interphr").agg(F.sum("comppct_r").alias("_s"))
+    # One chain of map-side-combined aggregates: (class, value) groups -> classes -> (map unit, rule).
+    # Each group also keeps its set of distinct percents (a percent has at most 101 values), so the
+    # class's distinct-percent sum needs no second pass over the rows.
+    groups = rows.groupBy("mukey", "mrulename", "interphrc", "interphr").agg(
+        F.sum("comppct_r").alias("_s"), F.collect_set("comppct_r").alias("_ps"))
     key = F.struct(F.col("_s").isNull(), -F.col("_s"), F.col("interphr").isNull(), F.col("interphr"))
     per_class = groups.groupBy("mukey", "mrulename", "interphrc").agg(
-        F.avg("interphr").alias("_cavg"), F.min(key).alias("_k")
+        F.avg("interphr").alias("_cavg"), F.min(key).alias("_k"),
+        F.array_distinct(F.flatten(F.collect_list("_ps"))).alias("_pcts"),
     )
-    rating = per_class.groupBy("mukey", "mrulename").agg(
-        F.min_by("_cavg", F.struct("_k", F.col("interphrc").isNull(), F.col("interphrc"))).alias("_cavg")
-    ).select("mukey", "mrulename", round2(F.col("_cavg")).alias("rating"))
-
-    cls_sum = rows.groupBy("mukey", "mrulename", "interphrc").agg(F.sum_distinct("comppct_r").alias("_cs"))
+    cls_sum = F.when(F.size("_pcts") > 0, F.aggregate("_pcts", F.lit(0).cast("bigint"), lambda a, x: a + x))
+    per_class = per_class.withColumn("_cs", cls_sum)
     cls_key = F.struct(F.col("_cs").isNull(), -F.col("_cs"), F.col("interphrc").isNull(), F.col("interphrc"))
-    cls = cls_sum.groupBy("mukey", "mrulename").agg(F.min_by("interphrc", cls_key).alias("class"))
+    best = per_class.groupBy("mukey", "mrulename").agg(
+        F.min_by("_cavg", F.struct("_k", F.col("interphrc").isNull(), F.col("interphrc"))).alias("_cavg"),
+        F.min_by("interphrc", cls_key).alias("class"),
+    ).select("mukey", "mrulename", round2(F.col("_cavg")).alias("rating"), "class")
 
     dom = dominant_component(component)
     base = _per_rule(mapunits.join(dom, "mukey", "inner"), rules)
     reasons = interp_reasons_dominant(component, cointerp, dom, rules, case_sensitive)
     return (
-        base.join(rating, ["mukey", "mrulename"], "left")
-        .join(cls, ["mukey", "mrulename"], "left")
+        base.join(best, ["mukey", "mrulename"], "left")
         .join(reasons, ["mukey", "mrulename"], "left")
         .select(*OUT_COLS)
     )
