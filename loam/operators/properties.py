@@ -67,26 +67,31 @@ def depth_clip(top: int, bottom: int):
 
 def usable_horizons(chorizon: DataFrame, chtexturegrp: DataFrame, props: Sequence[str], top: int, bottom: int,
                     case_sensitive: bool = False) -> DataFrame:
-    """Horizon rows that enter a weighted rollup, with clipped thickness and decimal values.
+    """Horizon rows that enter a weighted rollup, with clipped thickness, decimal values and a multiplicity.
 
-    One row per (horizon, representative texture row): several representative
-    texture rows repeat the horizon (SURVEY Q6).  NULL values count as 0 (Q2).
+    Several representative texture rows repeat the horizon (SURVEY Q6): the
+    texture rows are counted per horizon first (``_ntex``, an aggregate that
+    combines map-side and leaves its output partitioned by ``chkey`` for the
+    join), so each horizon enters the join once and carries its count.
+    NULL values count as 0 (Q2).
     """
     hz = chorizon.select("chkey", "cokey", "hzname", "hzdept_r", "hzdepb_r", *props)
     hz = filter_mineral_horizon(filter_horizon_depth(hz, top, bottom), case_sensitive)
-    tex = filter_texture(chtexturegrp.select("chkey", "rvindicator", "texture"), case_sensitive).select("chkey")
+    tex = filter_texture(chtexturegrp.select("chkey", "rvindicator", "texture"), case_sensitive)
+    tex_n = tex.groupBy("chkey").agg(F.count(F.lit(1)).alias("_ntex"))
     t, b = depth_clip(top, bottom)
-    return hz.join(tex, "chkey", "inner").select(
+    return hz.join(tex_n, "chkey", "inner").select(
         "cokey",
         (b - t).alias("_thk_int"),
         dec52(b - t).alias("thickness"),
         *[dec52(F.coalesce(F.col(p), F.lit(0))).alias(p) for p in props],
+        "_ntex",
     )
 
 
 def thickness_total(rows: DataFrame) -> DataFrame:
-    """Per component: total clipped thickness as decimal(5,2)."""
-    return rows.groupBy("cokey").agg(dec52(F.sum("_thk_int")).alias("sum_thickness"))
+    """Per component: total clipped thickness (each row counted with its multiplicity) as decimal(5,2)."""
+    return rows.groupBy("cokey").agg(dec52(F.sum(F.col("_thk_int") * F.col("_ntex"))).alias("sum_thickness"))
 
 
 MEAN_TYPE = "decimal(29,10)"  # sum of decimal(19,10) terms
@@ -103,7 +108,7 @@ def component_mean(rows: DataFrame, props: Sequence[str]) -> DataFrame:
     total and the grouped sum that follows reuses its partitioning.
     """
     # the count stays INT so n x term is an exact decimal(30,10)
-    distinct_rows = rows.groupBy("cokey", "_thk_int", "thickness", *props).agg(F.count(F.lit(1)).alias("_n"))
+    distinct_rows = rows.groupBy("cokey", "_thk_int", "thickness", *props).agg(F.sum("_ntex").alias("_n"))
     w = Window.partitionBy("cokey")
     with_total = distinct_rows.select(
         "*", dec52(F.sum(F.col("_thk_int") * F.col("_n")).over(w)).alias("sum_thickness")
