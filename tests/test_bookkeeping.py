@@ -117,3 +117,16 @@ def test_filter_area_equality_and_like(spark):
     like = sorted(r.areasymbol for r in filter_area(legend, ["ia0%"], use_like=True).collect())
     assert eq == ["IA001", "MN001"] and like == ["IA001", "IA015"]
     assert filter_area(legend, None).count() == 3
+
+
+def test_restrict_to_mapunits(spark):
+    from helpers import comp, hz, mapunits, table
+
+    from loam.operators.filters import restrict_to_mapunits
+
+    mu = mapunits(spark, ["m1"])
+    c = table(spark, "component", [comp("c1", "m1", 50), comp("c2", "m2", 50)])
+    h = table(spark, "chorizon", [hz("h1", "c1", 0, 10), hz("h2", "c2", 0, 10), hz("h3", "c9", 0, 10)])
+    comps, hzs = restrict_to_mapunits(mu, c, h)
+    assert [r.cokey for r in comps.collect()] == ["c1"]
+    assert [r.chkey for r in hzs.collect()] == ["h1"]
