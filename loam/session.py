@@ -30,6 +30,27 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def cluster_conf(shuffle_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Suggested settings for a large cluster run whose biggest shuffle is about ``shuffle_bytes``.
+
+    AQE with skew-join splitting, partitions of about 256 MB (AQE coalesces
+    the small shuffles), scan splits of the same size.  The broadcast
+    threshold is left at Spark's default: it is the size check behind every
+    un-hinted broadcast in loam.  ``spark.checkpoint.dir`` must point at
+    shared storage and is set by the deployment, not here.
+    """
+    parts = max(200, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 

@@ -130,3 +130,15 @@ def test_restrict_to_mapunits(spark):
     comps, hzs = restrict_to_mapunits(mu, c, h)
     assert [r.cokey for r in comps.collect()] == ["c1"]
     assert [r.chkey for r in hzs.collect()] == ["h1"]
+
+
+def test_cluster_conf(spark):
+    from loam.session import cluster_conf
+
+    conf = cluster_conf(100 * 2**40)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert cluster_conf(1)["spark.sql.shuffle.partitions"] == "200"
+    for k, v in conf.items():
+        if k != "spark.sql.shuffle.partitions":
+            spark.conf.set(k, v)
+    assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
