@@ -53,7 +53,7 @@ def line_dedup(
         pages[id_col].alias("_id"),
         pages[host_col].alias("_host"),
         F.filter(
-            F.transform(F.split(F.coalesce(pages[text_col], F.lit("")), "\n"), F.trim), lambda x: x != ""
+            F.transform(F.split(F.coalesce(pages[text_col], F.lit("")), "\n"), lambda x: F.trim(x)), lambda x: x != ""
         ).alias("_lines"),
     )
     totals = base.groupBy("_host").agg(F.count(F.lit(1)).alias("_pages"))
