@@ -11,9 +11,16 @@ from loam.llm.common import table
 from loam.llm.exact_dedup import exact_dedup
 from loam.llm.line_dedup import html_lines, line_dedup, url_host
 from loam.llm.mixing import mix_sources
+from loam.llm.suffix_dedup import suffix_dedup
 from loam.llm.url_filter import url_filter
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
+    )
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boilerplate lines of every page, by host."""
     pages = table(spark, sf_dir, "pages").select(
@@ -39,6 +46,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_line_dedup": op2_line_dedup,
     "op4_url_filters": op4_url_filters,
     "op7_exact_dedup": op7_exact_dedup,
