@@ -11,6 +11,7 @@ from loam.llm.common import table
 from loam.llm.exact_dedup import exact_dedup
 from loam.llm.line_dedup import html_lines, line_dedup, url_host
 from loam.llm.mixing import mix_sources
+from loam.llm.ngram_join import ngram_jaccard_join
 from loam.llm.suffix_dedup import suffix_dedup
 from loam.llm.url_filter import url_filter
 
@@ -31,6 +32,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "score")
 
@@ -48,6 +53,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_line_dedup": op2_line_dedup,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_url_filters": op4_url_filters,
     "op7_exact_dedup": op7_exact_dedup,
     "op10_mix_sources": op10_mix_sources,
