@@ -12,6 +12,8 @@ from loam.llm.exact_dedup import exact_dedup
 from loam.llm.line_dedup import html_lines, line_dedup, url_host
 from loam.llm.mixing import mix_sources
 from loam.llm.ngram_join import ngram_jaccard_join
+from loam.llm.quality_classifier import quality_classifier
+from loam.llm.quality_rules import quality_rules
 from loam.llm.suffix_dedup import suffix_dedup
 from loam.llm.url_filter import url_filter
 
@@ -40,10 +42,20 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "probability"
+    )
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), digest=True)
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
@@ -55,6 +67,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_url_filters": op4_url_filters,
+    "op5_quality_rules": op5_quality_rules,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_quality_classifier": op8_quality_classifier,
     "op10_mix_sources": op10_mix_sources,
 }
