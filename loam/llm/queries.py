@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loam.llm.common import table
 from loam.llm.exact_dedup import exact_dedup
+from loam.llm.html_extract import extract_text
 from loam.llm.line_dedup import html_lines, line_dedup, url_host
 from loam.llm.mixing import mix_sources
 from loam.llm.ngram_join import ngram_jaccard_join
@@ -56,6 +57,10 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
@@ -70,5 +75,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_rules": op5_quality_rules,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_html_extraction": op9_html_extraction,
     "op10_mix_sources": op10_mix_sources,
 }
