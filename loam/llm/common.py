@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import uuid
 import zlib
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,6 +63,29 @@ def slot_of(*cols: str | Column, n: int) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(n))
 
 
+def without(docs: DataFrame, key: Column, gone: DataFrame, n: int = 1 << 19) -> DataFrame:
+    """``docs`` without the rows whose ``key`` is in ``gone`` (one column); null keys stay.
+
+    Rows whose slot no key of ``gone`` has pass at once; only the others, with
+    their texts, are shuffled for the exact anti-join.
+    """
+    gone = stage(gone.select(F.col(gone.columns[0]).alias("_loam_key")).where("_loam_key is not null").distinct(), "gone")
+    marked = (
+        docs.withColumn("_loam_key", key)
+        .withColumn("_slot", slot_of("_loam_key", n=n))
+        .join(slots(gone, "_loam_key", n=n).withColumn("_loam_hit", F.lit(True)), "_slot", "left")
+    )
+    sure = marked.where("_loam_hit is null").select(*docs.columns)
+    checked = marked.where("_loam_hit").join(gone, "_loam_key", "left_anti").select(*docs.columns)
+    return sure.unionByName(checked)
+
+
+def slices(batch: pa.RecordBatch, rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """A batch in small parts, so that what a task makes of it stays small too."""
+    for start in range(0, batch.num_rows, rows):
+        yield batch.slice(start, rows)
+
+
 def ready(spark: SparkSession) -> None:
     """Make this package importable on the Python workers."""
     ship_package(spark)

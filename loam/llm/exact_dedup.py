@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loam.llm.common import ascii_lower, slot_of, slots
+from loam.llm.common import ascii_lower, slot_of, slots, without
 
 #: Rows of the broadcast prefilters (one long each): a fixed bound, not a cap on the data.
 LENGTH_SLOTS = 1 << 16
@@ -88,12 +88,11 @@ def exact_dedup(
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that :func:`exact_dedup` drops; all columns kept.
 
-    The ids to drop are joined by id; rows that share an id share its fate
-    only when their texts are equal, so the join also carries the text's hash.
+    A row goes by its id and text together, so rows that share an id with a
+    dropped one but not its text stay.
     """
     verdict = exact_dedup(docs, id_col, text_col)
-    gone = verdict.where("not kept").select(
-        F.col(id_col).alias("_gone_id"), F.col("text_sha256").alias("_gone_sha")
-    ).distinct()
+    named = lambda key, sha: F.concat_ws("|", F.coalesce(key.cast("string"), F.lit("")), sha)
+    gone = verdict.where("not kept").select(named(F.col(id_col), F.col("text_sha256")).alias("key"))
     sha = F.sha2(ascii_lower(F.coalesce(docs[text_col], F.lit(""))), 256)
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone_id"]) & (sha == gone["_gone_sha"]), "left_anti")
+    return without(docs, named(docs[id_col], sha), gone)

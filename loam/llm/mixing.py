@@ -143,6 +143,8 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataF
     Rows without words and rows that the mix leaves out go.  Ids must be
     unique; rows with a null id go.
     """
-    taken = mix_sources(docs, id_col, **options).where("copies > 0").select(F.col(id_col).alias("_mix_id"), "copies")
+    taken = mix_sources(docs, id_col, **options).where("copies > 0").select(
+        F.col(id_col).alias("_mix_id"), F.sequence(F.lit(1), "copies").alias("_mix_copies")
+    )
     joined = docs.join(taken, docs[id_col] == taken["_mix_id"])
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*[docs[c] for c in docs.columns])
+    return joined.withColumn("_mix_copy", F.explode("_mix_copies")).select(*[docs[c] for c in docs.columns])
