@@ -25,7 +25,7 @@ DOC_SLOTS = 1 << 19
 GRAM = 40
 
 _NULL_ID = -(1 << 63)
-_PARSE = "id long, at long, phrase long, trigger int, starts int"
+_PARSE = "id long, place long, phrase long, trigger int, cores long"
 
 
 def trigger_groups(s: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -51,8 +51,25 @@ def trigger_groups(s: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, n
     return first, last, at[first], h[at[first]]
 
 
+#: A place packs, from high to low: 15 bits of the text's hash, 34 of a position, 7 of the trigger's offset, 7 of the
+#: number of starts; so rows stay slim and places of one id sort by text, then position.
+_POS, _OFF, _RUN = 14, 7, 0
+
+
 def _tag(text_hash: int) -> int:
-    return (text_hash & 0x7FFF) << 40
+    return (text_hash & 0x7FFF) << 48
+
+
+def _tag_of(place):
+    return F.shiftright(place, 48)
+
+
+def _pos_of(place):
+    return F.shiftright(place, _POS).bitwiseAND(F.lit((1 << 34) - 1))
+
+
+def _bits(place, low: int):
+    return F.shiftright(place, low).bitwiseAND(F.lit(127)).cast("int")
 
 
 def _repeats_in_batch(keys: np.ndarray, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -71,8 +88,10 @@ def _as_int64(x: np.ndarray) -> np.ndarray:
 
 
 def _parse(length: int, gram: int):
+    half = (length - gram) // 2
+
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Phrases of each text; those that repeat inside the batch come out as ready spans (phrase null)."""
+        """Phrases of each text; those that repeat inside the batch come out as ready runs (no starts in the place, their number as phrase)."""
         for batch in batches:
             parts = []
             for i, h, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
@@ -82,14 +101,19 @@ def _parse(length: int, gram: int):
                 s = prefix_sums(data)
                 first, last, at, th = trigger_groups(s, length, gram)
                 phrase = window_hashes(s, first, last + length) + (at - first).astype(np.uint64) * np.uint64(0xA24BAED4963EE407)
-                parts.append((np.full(len(first), i), first + _tag(h), phrase, th >> np.uint64(32), last - first + 1))
+                before, after = at - first >= half, at - last <= half
+                left = window_hashes(s, np.maximum(at - half, 0), at + gram) >> np.uint64(33)
+                right = window_hashes(s, at, np.minimum(at + gram + half, len(data))) >> np.uint64(33)
+                cores = (left + np.uint64(1)) * before.astype(np.uint64) << np.uint64(32) | (right + np.uint64(1)) * after.astype(np.uint64)
+                place = (first << _POS) + ((at - first) << _OFF) + (last - first + 1) + _tag(h)
+                parts.append((np.full(len(first), i), place, phrase, th >> np.uint64(32), cores))
             if not parts:
                 continue
-            ids, at, phrase, trigger, n = (np.concatenate(x) for x in zip(*parts))
+            ids, place, phrase, trigger, cores = (np.concatenate(x) for x in zip(*parts))
             trigger = trigger.astype(np.uint32).view(np.int32)
-            later = _repeats_in_batch(phrase, ids, at)
+            later = _repeats_in_batch(phrase, ids, place)
             # neighbouring ready phrases of one text become one row, dealt out by the text and not by the phrase
-            r_id, r_at, r_n = ids[later], at[later], n[later]
+            r_id, r_at, r_n = ids[later], place[later] >> _POS, place[later] & 127
             if len(r_id):
                 new = np.concatenate(([True], (r_id[1:] != r_id[:-1]) | (r_at[1:] != r_at[:-1] + r_n[:-1])))
                 head = np.flatnonzero(new)
@@ -97,18 +121,16 @@ def _parse(length: int, gram: int):
                 r_id, r_at = r_id[head], r_at[head]
             spread = mix(r_id.astype(np.uint64) + r_at.astype(np.uint64)).astype(np.uint32).view(np.int32)
             keep = ~later
+            none = np.zeros(len(r_id), np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate((ids[keep], r_id))),
-                    pa.array(np.concatenate((at[keep], r_at))),
-                    pa.array(
-                        np.concatenate((_as_int64(phrase[keep]), np.zeros(len(r_id), np.int64))),
-                        mask=np.concatenate((np.zeros(keep.sum(), bool), np.ones(len(r_id), bool))),
-                    ),
+                    pa.array(np.concatenate((place[keep], r_at << _POS))),
+                    pa.array(np.concatenate((_as_int64(phrase[keep]), r_n))),
                     pa.array(np.concatenate((trigger[keep], spread))),
-                    pa.array(np.concatenate((n[keep], r_n)).astype(np.int32)),
+                    pa.array(np.concatenate((_as_int64(cores[keep]), none))),
                 ],
-                names=["id", "at", "phrase", "trigger", "starts"],
+                names=["id", "place", "phrase", "trigger", "cores"],
             )
 
     return parse
@@ -128,9 +150,9 @@ def _suffixes(length: int):
                         pa.array(_as_int64(one)),
                         pa.array(_as_int64(two)),
                         pa.array(np.full(len(starts), i)),
-                        pa.array(starts + _tag(h)),
+                        pa.array((starts << _POS) + _tag(h)),
                     ],
-                    names=["one", "two", "id", "at"],
+                    names=["one", "two", "id", "place"],
                 )
 
     return suffixes
@@ -172,8 +194,8 @@ def _cut(length: int):
 def repeated_starts(docs: DataFrame, length: int = 100, gram: int = GRAM) -> DataFrame:
     """Runs of starts whose next ``length`` bytes also start earlier.
 
-    ``docs`` has ``id`` (long), ``h`` (a hash of the text) and ``text``; returns ``id, at, starts``, where ``at``
-    holds the hash's low bits over the start's position (see :func:`_tag`).
+    ``docs`` has ``id`` (long), ``h`` (a hash of the text) and ``text``; returns ``id, place, starts``, where ``place``
+    packs the hash's low bits and the first start's position.
 
     The parse: one row per phrase occurrence with a hash of all the bytes its
     starts need.  Equal rows next to each other in (trigger, phrase, place)
@@ -181,39 +203,65 @@ def repeated_starts(docs: DataFrame, length: int = 100, gram: int = GRAM) -> Dat
     repeats as a whole.  The dictionary: where one trigger has several
     phrases, the first occurrence of each is taken apart into its suffixes, and
     equal suffixes next to each other in (suffix, place) order are a block.
+    Two windows of one trigger agree in its left or in its right core (the
+    trigger with half of the other bytes), so phrases that share neither with
+    another are settled before that.
     """
-    low = (1 << 40) - 1
-    pos = F.col("at").bitwiseAND(F.lit(low))
     parse = docs.mapInArrow(_parse(length, gram), _PARSE)
-    block = Window.partitionBy("trigger", "phrase").orderBy("id", "at")
+    block = Window.partitionBy("trigger", "phrase").orderBy("id", "place")
     of_trigger = Window.partitionBy("trigger")
+    ready_run = _bits("place", _RUN) == 0
     ranked = parse.select(
         "*",
         F.rank().over(block).alias("_rank"),
         (F.min("phrase").over(of_trigger) != F.max("phrase").over(of_trigger)).alias("_several"),
-    ).where("phrase is null or _rank > 1 or _several")
+    ).where(ready_run | (F.col("_rank") > 1) | F.col("_several"))
+    whole = ready_run | (F.col("_rank") > 1)
     ranked = stage(
-        ranked.select("id", "at", "starts", (F.col("phrase").isNull() | (F.col("_rank") > 1)).alias("whole")),
+        ranked.select(
+            "id",
+            "place",
+            F.when(ready_run, F.col("phrase")).otherwise(_bits("place", _RUN)).alias("starts"),
+            whole.alias("whole"),
+            F.when(~whole, F.col("trigger")).alias("trigger"),
+            F.when(~whole, F.col("cores")).alias("cores"),
+        ),
         "repeat-phrases",
     )
-    open_phrases = (
+    half = (length - gram) // 2
+    left, right = F.shiftright("cores", 32), F.col("cores").bitwiseAND(F.lit((1 << 32) - 1))
+    several = lambda core: F.count(F.lit(1)).over(Window.partitionBy("trigger", core)) > 1
+    opened = (
         ranked.where("not whole")
+        .select("id", "place", "trigger", left.alias("left"), right.alias("right"))
         .distinct()
-        .groupBy("id", F.shiftright("at", 40).alias("tag"))
-        .agg(F.collect_list(F.struct(pos.cast("int").alias("pos"), "starts")).alias("phrases"))
+        .withColumn("before", (F.col("left") != 0) & several("left"))
+        .withColumn("after", (F.col("right") != 0) & several("right"))
+        .where("before or after")
+    )
+    pos, offset, run = _pos_of("place"), _bits("place", _OFF), _bits("place", _RUN)
+    # starts at least `half` before the trigger hold its left core, those at most so far before it the right one
+    skipped = F.when(F.col("before"), F.lit(0)).otherwise(F.greatest(F.lit(0), offset - half))
+    ended = F.when(F.col("after"), run).otherwise(F.least(run, offset - half + 1))
+    open_phrases = (
+        opened.select("id", _tag_of("place").alias("tag"), (pos + skipped).alias("pos"), (ended - skipped).alias("starts"))
+        .where("starts > 0")
+        .groupBy("id", "tag")
+        .agg(F.collect_list(F.struct("pos", "starts")).alias("phrases"))
     )
+    open_phrases = stage(open_phrases, "repeat-open")
     few = docs.withColumn("_slot", slot_of("id", n=DOC_SLOTS)).join(
         slots(open_phrases, "id", n=DOC_SLOTS), "_slot", "left_semi"
     )
     texts = few.withColumn("tag", F.col("h").bitwiseAND(0x7FFF)).join(open_phrases, ["id", "tag"])
     # rows that repeat id and text give the same suffixes: one of them is enough
     suffixes = texts.dropDuplicates(["id", "tag"]).select("id", "h", "text", "phrases").mapInArrow(
-        _suffixes(length), "one long, two long, id long, at long"
+        _suffixes(length), "one long, two long, id long, place long"
     )
-    first = Window.partitionBy("one", "two").orderBy("id", "at")
-    single = suffixes.select("id", "at", F.rank().over(first).alias("_rank")).where("_rank > 1")
-    return ranked.where("whole").select("id", "at", "starts").unionByName(
-        single.select("id", "at", F.lit(1).alias("starts"))
+    first = Window.partitionBy("one", "two").orderBy("id", "place")
+    single = suffixes.select("id", "place", F.rank().over(first).alias("_rank")).where("_rank > 1")
+    return ranked.where("whole").select("id", "place", "starts").unionByName(
+        single.select("id", "place", F.lit(1).cast("long").alias("starts"))
     )
 
 
@@ -248,10 +296,8 @@ def suffix_dedup(
         text.alias("text"),
     )
     runs = stage(repeated_starts(base.select("id", "h", "text"), length, gram), "repeat-starts")
-    per_text = runs.groupBy("id", F.shiftright("at", 40).alias("tag")).agg(
-        F.collect_list(
-            F.struct(F.col("at").bitwiseAND(F.lit((1 << 40) - 1)).cast("int").alias("pos"), "starts")
-        ).alias("repeats")
+    per_text = runs.groupBy("id", _tag_of("place").alias("tag")).agg(
+        F.collect_list(F.struct(_pos_of("place").alias("pos"), "starts")).alias("repeats")
     )
     marked = base.withColumn("_slot", slot_of("id", n=DOC_SLOTS)).join(
         slots(runs, "id", n=DOC_SLOTS).withColumn("_hit", F.lit(True)), "_slot", "left"
