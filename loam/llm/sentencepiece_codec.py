@@ -238,9 +238,13 @@ def _chunks(buckets: int, chunk_chars: int, kind: pa.DataType):
 # --- the lattice --------------------------------------------------------------------------------
 
 
-def piece_table(spark: SparkSession, vocabulary: Vocabulary) -> DataFrame:
-    """``piece, id, score`` of the pieces that texts are matched with; as many rows as the model has, so it is broadcast."""
+def piece_table(spark: SparkSession, vocabulary: Vocabulary, empty: bool = False) -> DataFrame:
+    """``piece, id, score`` of the pieces that texts are matched with; as many rows as the model has, so it is broadcast.
+
+    ``empty`` adds a row for the empty text, without an id.
+    """
     rows = [(p, i, float(s)) for i, (p, s, ok) in enumerate(zip(vocabulary.pieces, vocabulary.scores, vocabulary.normal)) if ok]
+    rows += [("", None, 0.0)] if empty else []
     return F.broadcast(spark.createDataFrame(rows, "piece string, id int, score double"))
 
 
@@ -291,7 +295,7 @@ def encode_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         .select("bucket", "word", "lo", (F.col("lo") + F.col("size")).alias("hi"), F.expr("substring(word, lo + 1, size)").alias("piece"))
     )
     if vocabulary.bpe:
-        matched = spans.join(pieces.unionByName(_empty_piece(words.sparkSession)), "piece")
+        matched = spans.join(piece_table(words.sparkSession, vocabulary, empty=True), "piece")
         edge = F.struct(
             (-F.col("score")).alias("rank"),
             "lo",
@@ -349,10 +353,6 @@ def encode_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return sql.unionByName(rest)
 
 
-def _empty_piece(spark: SparkSession) -> DataFrame:
-    return spark.range(1).select(F.lit("").alias("piece"), F.lit(None).cast("int").alias("id"), F.lit(0.0).alias("score"))
-
-
 # --- encoding and decoding ----------------------------------------------------------------------
 
 
