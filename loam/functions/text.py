@@ -7,6 +7,10 @@ for every LIKE / equality on soil text is case-insensitive; pass
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
+from itertools import product
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,9 +25,30 @@ def not_like(col: Column | str, pattern: str, case_sensitive: bool = False) -> C
     return ~like(col, pattern, case_sensitive)
 
 
+def _spellings(value: str) -> list[str]:
+    return ["".join(x) for x in product(*[sorted({c.lower(), c.upper()}) for c in value])]
+
+
 def text_eq(col: Column | str, value: str, case_sensitive: bool = False) -> Column:
+    """Equality under the case rule.
+
+    A short flag is compared with all its spellings, which reaches the Parquet
+    scan as an ``IN`` filter; a longer text is lower-cased.
+    """
     c = F.col(col) if isinstance(col, str) else col
-    return c == F.lit(value) if case_sensitive else F.lower(c) == F.lit(value.lower())
+    if case_sensitive:
+        return c == F.lit(value)
+    if len(value) <= 3 and value.isascii():
+        return c.isin(_spellings(value))
+    return F.lower(c) == F.lit(value.lower())
+
+
+def any_like(col: Column | str, patterns: list[str], case_sensitive: bool = False) -> Column:
+    """True where the column matches one of the LIKE patterns (never for an empty list)."""
+    found = F.lit(False)
+    for p in patterns:
+        found = found | like(col, p, case_sensitive)
+    return found
 
 
 def text_ne(col: Column | str, value: str, case_sensitive: bool = False) -> Column:
@@ -32,16 +57,17 @@ def text_ne(col: Column | str, value: str, case_sensitive: bool = False) -> Colu
     return c != F.lit(value) if case_sensitive else F.lower(c) != F.lit(value.lower())
 
 
-def rule_name_normalise(col: Column | str) -> Column:
-    """Rule names as the report tools use them.
+def request_list(text: str | Iterable[str]) -> list[str]:
+    """Requests of a ``;``-separated text (or a list): blanks and quotes around each dropped, ``{:}`` read as ``;``."""
+    parts = text.split(";") if isinstance(text, str) else list(text)
+    clean = [p.strip().strip("'\"").replace("{:}", ";") for p in parts]
+    return list(dict.fromkeys(p for p in clean if p))
 
-    ``{:}`` stands for ``;`` inside a rule name (``;`` separates list entries),
-    the site prefix up to the first ``:`` is dropped, quotes are removed.
-    """
-    c = F.col(col) if isinstance(col, str) else col
-    c = F.replace(c, F.lit("{:}"), F.lit(";"))
-    c = F.regexp_replace(c, "^[^:]*:", "")
-    return F.trim(F.regexp_replace(c, "[\"']", ""))
+
+def report_rule_name(name: str) -> str:
+    """A rule name as the report tools take it: the site prefix up to the first ``:`` and quotes dropped, ``{:}`` read as ``;``."""
+    bare = re.sub("^[^:{]*:", "", name)
+    return re.sub("[\"']", "", bare).replace("{:}", ";").strip()
 
 
 # XML entities the tabular service escapes in reason text, in the

@@ -1,25 +1,22 @@
 """Area-of-interest operators: AOI rings, polygon clipping, map units inside an AOI.
 
-Map-unit polygons travel as WKT text (lon/lat).  Parsing, bounding boxes and
-the bbox prune are Spark SQL expressions; only the exact clip of the
-surviving (polygon, AOI) pairs runs in Python, as an Arrow-batched pandas
-UDF over coordinate arrays.  The AOI side is small by nature (user-drawn
-areas) and is broadcast only after a bounded row count.
+Map-unit polygons travel as WKT text (lon/lat).  Bounding boxes and the grid
+join that pairs polygons with AOIs are Spark SQL expressions; only the exact
+clip of the surviving pairs runs in Python, in Arrow batches, once per pair.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
+from loam.functions.polygons import intersection, parts_area, read_wkt, write_wkt
 from loam.session import ship_package
 
-MAX_AOIS = 1_000          # broadcast bound for the AOI side of the bbox join
-DEFAULT_GRID_CELL = 0.1   # degrees; cell of the grid join used beyond the bound
-EPS = 1e-12
+DEFAULT_GRID_CELL = 0.1   # degrees
 
 
 # ---------------------------------------------------------------------------
@@ -53,220 +50,104 @@ def aoi_ring(points: DataFrame) -> DataFrame:
                     ring_wkt(F.col("xs"), F.col("ys")).alias("wkt"))
 
 
-def parse_wkt_ring(wkt: Column) -> tuple[Column, Column]:
-    """Outer ring of a WKT POLYGON as (xs, ys) double arrays."""
-    body = F.regexp_extract(wkt, r"\(\(([^()]*)\)", 1)
-    pts = F.transform(F.split(F.trim(body), r"\s*,\s*"), lambda p: F.split(F.trim(p), r"\s+"))
-    xs = F.transform(pts, lambda p: p[0].cast("double"))
-    ys = F.transform(pts, lambda p: p[1].cast("double"))
-    return xs, ys
+_COORDINATES = r"(-?[0-9][0-9.eE+-]*)\s+(-?[0-9][0-9.eE+-]*)"
 
 
-def with_bbox(df: DataFrame, prefix: str = "") -> DataFrame:
-    xs, ys = F.col(f"{prefix}xs"), F.col(f"{prefix}ys")
-    return df.select(
-        "*",
-        F.array_min(xs).alias(f"{prefix}minx"), F.array_max(xs).alias(f"{prefix}maxx"),
-        F.array_min(ys).alias(f"{prefix}miny"), F.array_max(ys).alias(f"{prefix}maxy"),
-    )
+def wkt_box(wkt: Column) -> list[Column]:
+    """``minx, maxx, miny, maxy`` of all rings of a WKT polygon."""
+    axis = lambda k: F.transform(F.regexp_extract_all(wkt, F.lit(_COORDINATES), F.lit(k)),
+                                 lambda v: v.cast("double"))
+    return [F.array_min(axis(1)).alias("minx"), F.array_max(axis(1)).alias("maxx"),
+            F.array_min(axis(2)).alias("miny"), F.array_max(axis(2)).alias("maxy")]
 
 
-# ---------------------------------------------------------------------------
-# exact clip (Sutherland-Hodgman against a convex AOI)
-# ---------------------------------------------------------------------------
-def _open_ring(xs, ys):
-    pts = list(zip(map(float, xs), map(float, ys)))
-    if len(pts) > 1 and pts[0] == pts[-1]:
-        pts.pop()
-    return pts
-
-
-def _signed_area(pts) -> float:
-    a = 0.0
-    for i in range(len(pts)):
-        x1, y1 = pts[i]
-        x2, y2 = pts[(i + 1) % len(pts)]
-        a += x1 * y2 - x2 * y1
-    return a / 2.0
-
-
-def _is_convex(pts) -> bool:
-    sign = 0
-    n = len(pts)
-    for i in range(n):
-        (x1, y1), (x2, y2), (x3, y3) = pts[i], pts[(i + 1) % n], pts[(i + 2) % n]
-        c = (x2 - x1) * (y3 - y2) - (y2 - y1) * (x3 - x2)
-        if abs(c) > EPS:
-            s = 1 if c > 0 else -1
-            if sign and s != sign:
-                return False
-            sign = s
-    return True
-
-
-def _side(p, a, b) -> float:
-    return (b[0] - a[0]) * (p[1] - a[1]) - (b[1] - a[1]) * (p[0] - a[0])
-
-
-def _cut(s, e, a, b):
-    """Intersection of segment s-e with the line a-b (exact on axis-parallel clip edges)."""
-    dx, dy = e[0] - s[0], e[1] - s[1]
-    denom = (b[0] - a[0]) * dy - (b[1] - a[1]) * dx
-    t = ((b[0] - a[0]) * (a[1] - s[1]) - (b[1] - a[1]) * (a[0] - s[0])) / denom
-    x, y = s[0] + t * dx, s[1] + t * dy
-    if a[0] == b[0]:
-        x = a[0]
-    if a[1] == b[1]:
-        y = a[1]
-    if dx == 0:
-        x = s[0]
-    if dy == 0:
-        y = s[1]
-    return (x, y)
-
-
-def _bridges(out, clip) -> int:
-    """Pairs of output edges running back over each other along a clip edge (a multi-part result)."""
-    n = len(out)
-    count = 0
-    for i in range(len(clip)):
-        a, b = clip[i], clip[(i + 1) % len(clip)]
-        L = np.hypot(b[0] - a[0], b[1] - a[1])
-        ux, uy = (b[0] - a[0]) / L, (b[1] - a[1]) / L
-        segs = []
-        for k in range(n):
-            p, q = out[k], out[(k + 1) % n]
-            if abs(_side(p, a, b)) <= 1e-9 * L and abs(_side(q, a, b)) <= 1e-9 * L and p != q:
-                tp = (p[0] - a[0]) * ux + (p[1] - a[1]) * uy
-                tq = (q[0] - a[0]) * ux + (q[1] - a[1]) * uy
-                segs.append((min(tp, tq), max(tp, tq), 1 if tq > tp else -1))
-        for m in range(len(segs)):
-            for k in range(m + 1, len(segs)):
-                lo = max(segs[m][0], segs[k][0])
-                hi = min(segs[m][1], segs[k][1])
-                if hi - lo > 1e-9 and segs[m][2] != segs[k][2]:
-                    count += 1
-    return count
-
-
-def clip_polygon(sx, sy, cx, cy):
-    """Clip a simple polygon by a convex one; returns (xs, ys, area, parts) or None when they do not overlap."""
-    clip = _open_ring(cx, cy)
-    if len(clip) < 3:
-        raise ValueError("AOI needs at least three points")
-    if not _is_convex(clip):
-        raise ValueError("only convex areas of interest are supported")
-    if _signed_area(clip) < 0:
-        clip.reverse()
-    out = _open_ring(sx, sy)
-    for i in range(len(clip)):
-        if not out:
-            break
-        a, b = clip[i], clip[(i + 1) % len(clip)]
-        inp, out = out, []
-        s = inp[-1]
-        for e in inp:
-            e_in, s_in = _side(e, a, b) >= 0, _side(s, a, b) >= 0
-            if e_in:
-                if not s_in:
-                    out.append(_cut(s, e, a, b))
-                out.append(e)
-            elif s_in:
-                out.append(_cut(s, e, a, b))
-            s = e
-    if len(out) < 3:
-        return None
-    area = abs(_signed_area(out))
-    if area <= 0:
-        return None
-    xs = [p[0] for p in out] + [out[0][0]]
-    ys = [p[1] for p in out] + [out[0][1]]
-    return xs, ys, area, 1 + _bridges(out, clip)
-
-
-CLIP_TYPE = StructType([
-    StructField("xs", ArrayType(DoubleType())),
-    StructField("ys", ArrayType(DoubleType())),
-    StructField("area", DoubleType()),
-    StructField("parts", IntegerType()),
-])
-
-
-@F.pandas_udf(CLIP_TYPE)
-def _clip_udf(sx: pd.Series, sy: pd.Series, cx: pd.Series, cy: pd.Series) -> pd.DataFrame:
-    rows = [clip_polygon(a, b, c, d) for a, b, c, d in zip(sx, sy, cx, cy)]
-    return pd.DataFrame({
-        "xs": [r[0] if r else None for r in rows],
-        "ys": [r[1] if r else None for r in rows],
-        "area": [r[2] if r else None for r in rows],
-        "parts": [r[3] if r else None for r in rows],
-    })
-
-
-def _cells(lo_x: Column, hi_x: Column, lo_y: Column, hi_y: Column, cell: float) -> Column:
-    """All grid cells (cx, cy) a bounding box touches."""
-    xs = F.sequence(F.floor(lo_x / cell), F.floor(hi_x / cell))
-    ys = F.sequence(F.floor(lo_y / cell), F.floor(hi_y / cell))
-    return F.explode(F.flatten(F.transform(xs, lambda cx: F.transform(ys, lambda cy: F.struct(
-        cx.alias("cx"), cy.alias("cy"))))))
-
-
-def _grid_pairs(polys: DataFrame, aois: DataFrame, cell: float) -> DataFrame:
-    """Candidate (polygon, AOI) pairs by an equi-join on grid cells.
+def _in_cells(boxes: DataFrame, cell: float, prefix: str = "") -> DataFrame:
+    """One row per grid cell that a bounding box touches (generated row by row)."""
+    span = lambda lo, hi: F.sequence(F.floor(F.col(prefix + lo) / cell), F.floor(F.col(prefix + hi) / cell))
+    return boxes.withColumn("_cx", F.explode(span("minx", "maxx"))).withColumn("_cy", F.explode(span("miny", "maxy")))
+
+
+def box_pairs(polys: DataFrame, aois: DataFrame, cell: float) -> DataFrame:
+    """Pairs whose bounding boxes overlap, by an equi-join on grid cells.
 
     Each pair is kept only in the cell that holds the lower-left corner of
     the two boxes' overlap, so a pair sharing several cells appears once
-    without a distinct.
+    without a distinct.  One plan for any number of AOIs; a small side is
+    broadcast by Spark's own size check.
     """
-    p = polys.select("*", _cells(F.col("minx"), F.col("maxx"), F.col("miny"), F.col("maxy"), cell).alias("_c"))
-    a = aois.select("*", _cells(F.col("a_minx"), F.col("a_maxx"), F.col("a_miny"), F.col("a_maxy"), cell)
-                    .alias("_ac"))
-    j = p.join(a, (F.col("_c.cx") == F.col("_ac.cx")) & (F.col("_c.cy") == F.col("_ac.cy")), "inner")
-    ref_x = F.floor(F.greatest("minx", "a_minx") / cell)
-    ref_y = F.floor(F.greatest("miny", "a_miny") / cell)
-    return j.filter((F.col("_c.cx") == ref_x) & (F.col("_c.cy") == ref_y)).drop("_c", "_ac")
+    j = _in_cells(polys, cell).join(_in_cells(aois, cell, "a_"), ["_cx", "_cy"], "inner")
+    overlap = (
+        (F.col("minx") < F.col("a_maxx")) & (F.col("maxx") > F.col("a_minx"))
+        & (F.col("miny") < F.col("a_maxy")) & (F.col("maxy") > F.col("a_miny"))
+    )
+    first = (F.col("_cx") == F.floor(F.greatest("minx", "a_minx") / cell)) & (
+        F.col("_cy") == F.floor(F.greatest("miny", "a_miny") / cell))
+    return j.filter(overlap & first).drop("_cx", "_cy")
+
+
+def _clip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Clip each pair; pairs that share no area give no row."""
+    for batch in batches:
+        out = {c: [] for c in ("aoi_id", "poly_id", "mukey", "areasymbol", "area", "minx", "miny", "maxx", "maxy", "wkt",
+                               "parts")}
+        outlines: dict[str, list] = {}
+        for row in batch.to_pylist():
+            if row["a_wkt"] not in outlines:
+                outlines[row["a_wkt"]] = read_wkt(row["a_wkt"])
+            parts = intersection(read_wkt(row["wkt"]), outlines[row["a_wkt"]])
+            if not parts:
+                continue
+            xs = [x for part in parts for x, _ in part[0]]
+            ys = [y for part in parts for _, y in part[0]]
+            found = {**{c: row[c] for c in ("aoi_id", "poly_id", "mukey", "areasymbol")}, "area": parts_area(parts),
+                     "minx": min(xs), "miny": min(ys), "maxx": max(xs), "maxy": max(ys), "wkt": write_wkt(parts),
+                     "parts": len(parts)}
+            for c, v in found.items():
+                out[c].append(v)
+        types = {"aoi_id": pa.int32(), "parts": pa.int32(), **{c: pa.float64() for c in ("area", "minx", "miny", "maxx", "maxy")}}
+        yield pa.RecordBatch.from_arrays([pa.array(v, types.get(c, pa.string())) for c, v in out.items()], names=list(out))
+
+
+def aoi_clip_parts(polygons: DataFrame, points: DataFrame, grid_cell: float = DEFAULT_GRID_CELL) -> DataFrame:
+    """Map-unit polygons clipped to each AOI, with the number of ``parts`` of the result.
+
+    Polygons may have holes and several parts; an AOI is any simple outline.
+    Only ids and boxes of the AOIs go through the grid; the outline is joined
+    to the pairs by id, and each pair is clipped once.  ``grid_cell`` (in map
+    units) should be near the usual size of a polygon.
+    """
+    ship_package(polygons.sparkSession)
+    rings = aoi_rings(points).select("aoi_id", ring_wkt(F.col("xs"), F.col("ys")).alias("a_wkt"), "xs", "ys")
+    boxes = rings.select(
+        "aoi_id", F.array_min("xs").alias("a_minx"), F.array_max("xs").alias("a_maxx"),
+        F.array_min("ys").alias("a_miny"), F.array_max("ys").alias("a_maxy"),
+    )
+    polys = polygons.select("poly_id", "mukey", "areasymbol", "wkt", *wkt_box(F.col("wkt")))
+    pairs = box_pairs(polys, boxes, grid_cell).select("aoi_id", "poly_id", "mukey", "areasymbol", "wkt")
+    return pairs.join(rings.select("aoi_id", "a_wkt"), "aoi_id").mapInArrow(
+        _clip,
+        "aoi_id int, poly_id string, mukey string, areasymbol string, area double, minx double, miny double, "
+        "maxx double, maxy double, wkt string, parts int",
+    )
 
 
-def aoi_clip(polygons: DataFrame, points: DataFrame, grid_cell: float | None = None) -> DataFrame:
+def aoi_clip(polygons: DataFrame, points: DataFrame, grid_cell: float = DEFAULT_GRID_CELL,
+             single_part: bool = True) -> DataFrame:
     """Map-unit polygons intersecting each AOI, clipped to it.
 
     Output: aoi_id, poly_id, mukey, areasymbol, area, minx, miny, maxx, maxy,
-    wkt.  Only single-part results are kept (SURVEY Q19): a clip that falls
-    apart into several pieces is dropped, as the reference keeps only
-    'Polygon' results.
-
-    Candidate pairs come from bounding-box overlap: with at most
-    ``MAX_AOIS`` AOIs (checked by a bounded count) the AOI side is
-    broadcast to every polygon task; beyond that, or when ``grid_cell`` is
-    given, both sides are bucketed into grid cells and equi-joined on the
-    cell, which scales with the data on both sides.
+    wkt.  With ``single_part`` a clip that falls apart into several pieces is
+    left out, as the service keeps 'Polygon' results only (SURVEY Q19);
+    :func:`aoi_clip_dropped` lists those.
     """
-    ship_package(polygons.sparkSession)
-    aois = with_bbox(aoi_rings(points), "").select(
-        "aoi_id", F.col("xs").alias("a_xs"), F.col("ys").alias("a_ys"),
-        F.col("minx").alias("a_minx"), F.col("maxx").alias("a_maxx"),
-        F.col("miny").alias("a_miny"), F.col("maxy").alias("a_maxy"),
-    )
-    xs, ys = parse_wkt_ring(F.col("wkt"))
-    polys = with_bbox(polygons.select("poly_id", "mukey", "areasymbol", xs.alias("xs"), ys.alias("ys")))
-    overlap = (
-        (F.col("minx") < F.col("a_maxx")) & (F.col("maxx") > F.col("a_minx"))
-        & (F.col("miny") < F.col("a_maxy")) & (F.col("maxy") > F.col("a_miny"))
-    )
-    small = grid_cell is None and aois.limit(MAX_AOIS + 1).count() <= MAX_AOIS
-    if small:
-        cand = polys.join(F.broadcast(aois), overlap, "inner")
-    else:
-        cand = _grid_pairs(polys, aois, grid_cell or DEFAULT_GRID_CELL).filter(overlap)
-    clipped = cand.select("aoi_id", "poly_id", "mukey", "areasymbol",
-                          _clip_udf("xs", "ys", "a_xs", "a_ys").alias("c")).filter(F.col("c").isNotNull())
-    single = clipped.filter(F.col("c.parts") == 1)
-    return single.select(
-        "aoi_id", "poly_id", "mukey", "areasymbol", F.col("c.area").alias("area"),
-        F.array_min("c.xs").alias("minx"), F.array_min("c.ys").alias("miny"),
-        F.array_max("c.xs").alias("maxx"), F.array_max("c.ys").alias("maxy"),
-        ring_wkt(F.col("c.xs"), F.col("c.ys")).alias("wkt"),
-    )
+    parts = aoi_clip_parts(polygons, points, grid_cell)
+    return (parts.filter("parts = 1") if single_part else parts).drop("parts")
+
+
+def aoi_clip_dropped(polygons: DataFrame, points: DataFrame, grid_cell: float = DEFAULT_GRID_CELL) -> DataFrame:
+    """The (AOI, polygon) pairs that ``aoi_clip`` leaves out, with area and number of parts."""
+    parts = aoi_clip_parts(polygons, points, grid_cell)
+    return parts.filter("parts > 1").select("aoi_id", "poly_id", "mukey", "areasymbol", "area", "parts")
 
 
 def aoi_mukeys(clipped: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -29,7 +30,9 @@ def dedupe_last(df: DataFrame, key: str, order_col: str) -> DataFrame:
     often never gathers all its rows in one place.
     """
     others = [c for c in df.columns if c != key]
-    best = F.max_by(F.struct(*[F.col(c) for c in others]), F.col(order_col)).alias("_b")
+    # of rows with one order value, the greatest row wins
+    row = F.struct(*[F.col(c) for c in others])
+    best = F.max_by(row, F.struct(F.col(order_col), row)).alias("_b")
     return df.groupBy(key).agg(best).select(key, *[F.col(f"_b.{c}").alias(c) for c in others])
 
 
@@ -65,8 +68,8 @@ def legend_breaks(result: DataFrame, col: str) -> DataFrame:
 
 
 def sample_hash(id_col: Column, seed: int = 0) -> Column:
-    """Deterministic pseudo-random rank of an integer id (multiplicative hash modulo a prime)."""
-    return ((id_col % F.lit(1000003)) * F.lit(2654435761) + F.lit(seed)) % F.lit(4294967311)
+    """Deterministic pseudo-random rank of a row: the MD5 of its whole id and the seed."""
+    return F.md5(F.concat_ws("|", id_col.cast("string"), F.lit(str(seed))))
 
 
 def sample_features(df: DataFrame, id_col: str, n: int = 50, seed: int = 0) -> DataFrame:
@@ -81,19 +84,25 @@ def sample_features(df: DataFrame, id_col: str, n: int = 50, seed: int = 0) -> D
 
 def table_name(label: str, method: str, top: int | None = None, bottom: int | None = None,
                stat: str | None = None, prefix: str = "tbl_") -> str:
-    """Output table name: cleaned label + method suffix (+ depth range or MIN/MAX)."""
+    """Output table name: cleaned label + method suffix (+ depth range or MIN/MAX where the request has one)."""
     base = re.sub(r"[^0-9A-Za-z_]", "_", label)
     base = re.sub(r"_+", "_", base)
     if base[:1].isdigit():
         base = "x" + base
     name = prefix + base + METHOD_SUFFIX[method]
-    if method in ("Weighted Average", "Dominant Component (Numeric)"):
+    if method in ("Weighted Average", "Dominant Component (Numeric)") and top is not None:
         name += f"_{top}_{bottom}"
     elif method == "Min\\Max":
         name += "_" + (stat or "").upper()
     return name
 
 
+def unique_names(labels: Sequence[str], names: Sequence[str]) -> dict[str, str]:
+    """Table name of each label; labels that clean to one name get a checksum of the label after it."""
+    shared = {n for n in names if list(names).count(n) > 1}
+    return {lab: f"{n}_{zlib.crc32(lab.encode()):08x}" if n in shared else n for lab, n in zip(labels, names)}
+
+
 def write_result(df: DataFrame, path: str, sort_key: str = "mukey", mode: str = "overwrite") -> None:
     """One table per property / rule as Parquet, rows sorted by key within each file."""
     df.sortWithinPartitions(sort_key).write.mode(mode).parquet(path)

@@ -7,12 +7,10 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loam.functions.text import like, not_like, text_eq, text_ne
-from loam.operators.joins import bounded_broadcast
+from loam.functions.text import any_like, like, not_like, request_list, text_eq, text_ne
 
 # Texture patterns that disqualify a representative texture group.
 EXCLUDED_TEXTURE_PATTERNS = ["%PM%", "%DOM", "%MPT%", "%MUCK", "%PEAT%", "%br%", "%wb%"]
-MAX_REQUEST_ROWS = 100_000
 
 
 def _as_frame(spark, values: Iterable[str] | DataFrame, col: str) -> DataFrame:
@@ -22,21 +20,38 @@ def _as_frame(spark, values: Iterable[str] | DataFrame, col: str) -> DataFrame:
 
 
 def filter_area(legend: DataFrame, areas: Iterable[str] | DataFrame | str | None = None,
-                use_like: bool = False) -> DataFrame:
-    """Keep legend rows of the requested survey areas (``;``-separated text allowed).
+                case_sensitive: bool = False) -> DataFrame:
+    """Keep legend rows of the requested survey areas.
 
-    ``use_like`` treats each request as a LIKE pattern (non-equi, both sides
-    tiny); otherwise a left-semi equi-join on ``areasymbol``.
+    A list or ``;``-separated text holds LIKE patterns under the case rule
+    (an area without wildcards matches itself): one predicate on the legend.
+    A table of areas is an equi-join under the case rule, whatever its size.
     """
     if areas is None:
         return legend
-    if isinstance(areas, str):
-        areas = [a.strip() for a in areas.split(";") if a.strip()]
-    req = bounded_broadcast(_as_frame(legend.sparkSession, areas, "areasymbol").distinct(), MAX_REQUEST_ROWS)
-    if use_like:
-        req = req.withColumnRenamed("areasymbol", "_pat")
-        return legend.join(req, F.ilike(F.col("areasymbol"), F.col("_pat")), "left_semi")
-    return legend.join(req, "areasymbol", "left_semi")
+    if not isinstance(areas, DataFrame):
+        return legend.filter(any_like("areasymbol", request_list(areas), case_sensitive))
+    fold = (lambda c: c) if case_sensitive else F.lower
+    req = areas.select(fold(F.col("areasymbol")).alias("_area")).distinct()
+    return legend.join(req, fold(F.col("areasymbol")) == F.col("_area"), "left_semi")
+
+
+def requested_areas(legend: DataFrame, areas: Iterable[str] | DataFrame | str | None = None,
+                    case_sensitive: bool = False) -> DataFrame:
+    """The ``areasymbol`` list a caller asked for: matching legend areas, and requests that match none as they stand."""
+    have = filter_area(legend, areas, case_sensitive).select("areasymbol")
+    if areas is None:
+        return have.distinct()
+    if isinstance(areas, DataFrame):
+        wanted = areas.select(F.col("areasymbol").alias("_area"))
+    else:
+        wanted = _as_frame(legend.sparkSession, request_list(areas), "_area")
+    # a pattern has an answer when it matches some area; plain requests are compared as text
+    fold = (lambda c: c) if case_sensitive else F.lower
+    known = have.select(fold(F.col("areasymbol")).alias("_known")).distinct()
+    plain = wanted.filter(~F.col("_area").rlike("[%_]"))
+    missing = plain.join(known, fold(F.col("_area")) == F.col("_known"), "left_anti")
+    return have.union(missing).distinct()
 
 
 def filter_mukeys(df: DataFrame, mukeys: DataFrame | Iterable[str] | None) -> DataFrame:
@@ -97,11 +112,19 @@ def filter_texture(chtexturegrp: DataFrame, case_sensitive: bool = False) -> Dat
     return chtexturegrp.filter(cond)
 
 
-def filter_rule(cointerp: DataFrame, rules: Iterable[str], overall: bool = True) -> DataFrame:
-    """Rows of the requested rules: depth 0 (overall rating) or the sub-rules.
+def resolve_rules(cointerp: DataFrame, requests: Iterable[str] | str, case_sensitive: bool = False) -> list[str]:
+    """Rule names that the requests (LIKE patterns under the case rule) match, sorted.
 
-    Rule names are matched exactly so the ``IN`` filter reaches the Parquet scan.
+    One aggregate over the name column; as many names come to the driver as
+    the survey has rules.  The names then filter the ratings exactly, so that
+    the filter reaches the scan.
     """
+    names = cointerp.select("mrulename").filter(any_like("mrulename", request_list(requests), case_sensitive)).distinct()
+    return sorted(r.mrulename for r in names.collect())
+
+
+def filter_rule(cointerp: DataFrame, rules: Iterable[str], overall: bool = True) -> DataFrame:
+    """Rows of the rules named exactly (see :func:`resolve_rules`): depth 0 (overall rating) or the sub-rules."""
     rules = list(rules)
     depth = F.col("ruledepth") == 0 if overall else F.col("ruledepth") != 0
     return cointerp.filter(F.col("mrulename").isin(rules) & depth)

@@ -21,7 +21,8 @@ from loam.operators.filters import filter_reason, filter_reason_components, filt
 
 KEY_COLS = ["areasymbol", "musym", "muname", "mukey", "int_mukey"]
 OUT_COLS = [*KEY_COLS, "mrulename", "rating", "class", "reason"]
-REASON_MAX_CHARS = 1000  # the tabular service returns SUBSTRING(list, 3, 1000)
+#: What the tabular service returns of a reason list; pass it as ``reason_chars`` to cut as it does.
+SERVICE_REASON_CHARS = 1000
 
 
 def _rules_col(rules: Sequence[str]) -> Column:
@@ -66,12 +67,17 @@ def _sub_rule_reasons(cointerp: DataFrame, rules: Sequence[str], case_sensitive:
     return filter_reason(filter_rule(ci, rules, overall=False), case_sensitive)
 
 
-def interp_reasons_dominant(component: DataFrame, cointerp: DataFrame, dominant: DataFrame, rules: Sequence[str],
-                            case_sensitive: bool = False) -> DataFrame:
-    """Reasons of the dominant component: distinct (class, value), value DESC then class, '; '-joined."""
-    comps = filter_reason_components(component.select("cokey", "compkind"), case_sensitive).join(
-        dominant.select("mukey", "cokey"), "cokey", "inner"
-    )
+def _cut(col: str, chars: int | None) -> Column:
+    return F.col(col) if chars is None else F.substring(col, 1, chars)
+
+
+def interp_reasons_dominant(dominant: DataFrame, cointerp: DataFrame, rules: Sequence[str],
+                            case_sensitive: bool = False, reason_chars: int | None = None) -> DataFrame:
+    """Reasons of the dominant component: distinct (class, value), value DESC then class, '; '-joined.
+
+    ``dominant`` has ``mukey, cokey, compkind``.  The list is whole unless ``reason_chars`` says where to cut it.
+    """
+    comps = filter_reason_components(dominant.select("mukey", "cokey", "compkind"), case_sensitive)
     pairs = (
         _sub_rule_reasons(cointerp, rules, case_sensitive)
         .join(comps.select("mukey", "cokey"), "cokey", "inner")
@@ -80,11 +86,11 @@ def interp_reasons_dominant(component: DataFrame, cointerp: DataFrame, dominant:
     )
     agg = pairs.groupBy("mukey", "mrulename").agg(_listagg("interphrc", "interphr DESC NULLS LAST, interphrc")
                                                   .alias("_r"))
-    return agg.select("mukey", "mrulename", F.substring("_r", 1, REASON_MAX_CHARS).alias("reason"))
+    return agg.select("mukey", "mrulename", _cut("_r", reason_chars).alias("reason"))
 
 
 def interp_reasons_all(component: DataFrame, cointerp: DataFrame, rules: Sequence[str],
-                       case_sensitive: bool = False) -> DataFrame:
+                       case_sensitive: bool = False, reason_chars: int | None = None) -> DataFrame:
     """Reasons over all components of the map unit: distinct classes in class order."""
     comps = filter_reason_components(component.select("mukey", "cokey", "compkind"), case_sensitive)
     classes = (
@@ -94,16 +100,19 @@ def interp_reasons_all(component: DataFrame, cointerp: DataFrame, rules: Sequenc
         .distinct()
     )
     agg = classes.groupBy("mukey", "mrulename").agg(_listagg("interphrc", "interphrc").alias("_r"))
-    return agg.select("mukey", "mrulename", F.substring("_r", 1, REASON_MAX_CHARS).alias("reason"))
+    return agg.select("mukey", "mrulename", _cut("_r", reason_chars).alias("reason"))
 
 
 def interp_dom_comp(mapunits: DataFrame, component: DataFrame, cointerp: DataFrame, rules: Sequence[str],
-                    case_sensitive: bool = False) -> DataFrame:
-    """Rating and class of the dominant component's overall row; reasons of the dominant component."""
-    dom = dominant_component(component)
-    rows = _per_rule(mapunits.join(dom, "mukey", "inner"), rules, ["cokey"])
+                    case_sensitive: bool = False, reason_chars: int | None = None) -> DataFrame:
+    """Rating and class of the dominant component's overall row; reasons of the dominant component.
+
+    The dominant component is found once; it brings its kind along for the reasons.
+    """
+    dom = dominant_component(component, ["compkind"])
+    rows = _per_rule(mapunits.join(dom.select("mukey", "cokey"), "mukey", "inner"), rules, ["cokey"])
     rated = rows.join(overall_rating_unique(cointerp, rules), ["cokey", "mrulename"], "left")
-    reasons = interp_reasons_dominant(component, cointerp, dom, rules, case_sensitive)
+    reasons = interp_reasons_dominant(dom, cointerp, rules, case_sensitive, reason_chars)
     return rated.join(reasons, ["mukey", "mrulename"], "left").select(
         *KEY_COLS, "mrulename", F.col("interphr").alias("rating"), F.col("interphrc").alias("class"), "reason"
     )
@@ -114,7 +123,7 @@ def _overall_with_pct(component: DataFrame, cointerp: DataFrame, rules: Sequence
 
 
 def interp_dom_cond(mapunits: DataFrame, component: DataFrame, cointerp: DataFrame, rules: Sequence[str],
-                    case_sensitive: bool = False) -> DataFrame:
+                    case_sensitive: bool = False, reason_chars: int | None = None) -> DataFrame:
     """Dominant condition.
 
     rating: (class, value) groups ranked by summed percent; the rating is the
@@ -123,27 +132,28 @@ def interp_dom_cond(mapunits: DataFrame, component: DataFrame, cointerp: DataFra
     Ties: larger sum first, then value ascending (NULL last), then class.
     """
     rows = _overall_with_pct(component, cointerp, rules)
-    # One chain of map-side-combined aggregates: (class, value) groups -> classes -> (map unit, rule).
-    # Each group also keeps its set of distinct percents (a percent has at most 101 values), so the
-    # class's distinct-percent sum needs no second pass over the rows.
-    groups = rows.groupBy("mukey", "mrulename", "interphrc", "interphr").agg(
-        F.sum("comppct_r").alias("_s"), F.collect_set("comppct_r").alias("_ps"))
+    # rows of one class, value and percent become one; a NULL class stands as a flag, so that it joins
+    unit = ["mukey", "mrulename", "_none", "_class"]
+    counted = rows.select(
+        "mukey", "mrulename", F.col("interphrc").isNull().alias("_none"),
+        F.coalesce("interphrc", F.lit("")).alias("_class"), "interphr", "comppct_r",
+    ).groupBy(*unit, "interphr", "comppct_r").agg(F.count(F.lit(1)).alias("_rows"))
+    values = counted.groupBy(*unit, "interphr").agg(F.sum(F.col("comppct_r") * F.col("_rows")).alias("_s"))
     key = F.struct(F.col("_s").isNull(), -F.col("_s"), F.col("interphr").isNull(), F.col("interphr"))
-    per_class = groups.groupBy("mukey", "mrulename", "interphrc").agg(
-        F.avg("interphr").alias("_cavg"), F.min(key).alias("_k"),
-        F.array_distinct(F.flatten(F.collect_list("_ps"))).alias("_pcts"),
+    ratings = values.groupBy(*unit).agg(F.avg("interphr").alias("_cavg"), F.min(key).alias("_k"))
+    shares = (
+        counted.groupBy(*unit, "comppct_r").agg(F.lit(1)).groupBy(*unit).agg(F.sum("comppct_r").alias("_cs"))
     )
-    cls_sum = F.when(F.size("_pcts") > 0, F.aggregate("_pcts", F.lit(0).cast("bigint"), lambda a, x: a + x))
-    per_class = per_class.withColumn("_cs", cls_sum)
-    cls_key = F.struct(F.col("_cs").isNull(), -F.col("_cs"), F.col("interphrc").isNull(), F.col("interphrc"))
-    best = per_class.groupBy("mukey", "mrulename").agg(
-        F.min_by("_cavg", F.struct("_k", F.col("interphrc").isNull(), F.col("interphrc"))).alias("_cavg"),
-        F.min_by("interphrc", cls_key).alias("class"),
+    classes = ratings.join(shares, unit)
+    cls_key = F.struct(F.col("_cs").isNull(), -F.col("_cs"), F.col("_none"), F.col("_class"))
+    best = classes.groupBy("mukey", "mrulename").agg(
+        F.min_by("_cavg", F.struct("_k", "_none", "_class")).alias("_cavg"),
+        F.min_by(F.when(~F.col("_none"), F.col("_class")), cls_key).alias("class"),
     ).select("mukey", "mrulename", round2(F.col("_cavg")).alias("rating"), "class")
 
-    dom = dominant_component(component)
-    base = _per_rule(mapunits.join(dom, "mukey", "inner"), rules)
-    reasons = interp_reasons_dominant(component, cointerp, dom, rules, case_sensitive)
+    dom = dominant_component(component, ["compkind"])
+    base = _per_rule(mapunits.join(dom.select("mukey"), "mukey", "inner"), rules)
+    reasons = interp_reasons_dominant(dom, cointerp, rules, case_sensitive, reason_chars)
     return (
         base.join(best, ["mukey", "mrulename"], "left")
         .join(reasons, ["mukey", "mrulename"], "left")
@@ -152,7 +162,7 @@ def interp_dom_cond(mapunits: DataFrame, component: DataFrame, cointerp: DataFra
 
 
 def interp_weighted_avg(mapunits: DataFrame, component: DataFrame, cointerp: DataFrame, rules: Sequence[str],
-                        case_sensitive: bool = False) -> DataFrame:
+                        case_sensitive: bool = False, reason_chars: int | None = None) -> DataFrame:
     """Percent-weighted rating: round(sum(value x pct), 2) / round(sum(pct of rated), 2), rounded; NULL -> 99.
 
     A zero denominator gives NULL (-> 99) instead of an error (SURVEY Q8).
@@ -173,7 +183,7 @@ def interp_weighted_avg(mapunits: DataFrame, component: DataFrame, cointerp: Dat
     )
     has_comp = component.select("mukey").distinct()
     base = _per_rule(mapunits.join(has_comp, "mukey", "inner"), rules)
-    reasons = interp_reasons_all(component, cointerp, rules, case_sensitive)
+    reasons = interp_reasons_all(component, cointerp, rules, case_sensitive, reason_chars)
     out = base.join(scored, ["mukey", "mrulename"], "left").join(reasons, ["mukey", "mrulename"], "left")
     # a map unit with no overall row for the rule: rating NULL -> 99, class Not Rated
     return out.select(

@@ -1,4 +1,4 @@
-"""Hierarchy joins and the size-checked broadcast."""
+"""Hierarchy joins."""
 
 from __future__ import annotations
 
@@ -6,17 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it provably holds at most ``max_rows`` rows.
-
-    The check is a bounded count (``limit(max_rows + 1)``) that stops reading
-    as soon as the bound is exceeded; beyond it the caller's join falls back
-    to a shuffle join (AQE may still convert it at run time).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def mapunit_frame(legend: DataFrame, mapunit: DataFrame) -> DataFrame:
     """legend x mapunit: one row per map unit with its area and an integer key copy.
 
@@ -31,14 +20,6 @@ def mapunit_frame(legend: DataFrame, mapunit: DataFrame) -> DataFrame:
     )
 
 
-def join_hierarchy(mapunits: DataFrame, component: DataFrame, *children: tuple[DataFrame, str]) -> DataFrame:
-    """Inner equi-joins down the hierarchy: map units -> components -> children on their key."""
-    out = mapunits.join(component, "mukey", "inner")
-    for child, key in children:
-        out = out.join(child, key, "inner")
-    return out
-
-
 def polygon_attribute_join(polygons: DataFrame, result: DataFrame) -> DataFrame:
     """Append result columns to map-unit polygons (left join on mukey)."""
     extra = [c for c in result.columns if c not in polygons.columns or c == "mukey"]

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loam.functions.numeric import dec52
@@ -28,6 +28,7 @@ from loam.operators.filters import (
     filter_profile_horizon,
     filter_texture,
 )
+from loam.schemas import COMPONENT_PROPERTIES, HORIZON_PROPERTIES, property_level
 
 KEY_COLS = ["areasymbol", "musym", "muname", "mukey", "int_mukey"]
 
@@ -35,24 +36,47 @@ KEY_COLS = ["areasymbol", "musym", "muname", "mukey", "int_mukey"]
 # ---------------------------------------------------------------------------
 # dominant component / dominant condition (component-level columns)
 # ---------------------------------------------------------------------------
-def prop_dom_comp_cat(mapunits: DataFrame, component: DataFrame, prop: str) -> DataFrame:
-    """Value of a component column on the dominant component (map units without components are absent)."""
-    dom = dominant_component(component, [prop])
-    return mapunits.join(dom.select("mukey", prop), "mukey", "inner").select(*KEY_COLS, prop)
+def _codes(prop: str | Sequence[str], level: str) -> list[str]:
+    """Property codes of a request; a catalogue code of the other table is refused."""
+    codes = [prop] if isinstance(prop, str) else list(prop)
+    for c in codes:
+        if c in (HORIZON_PROPERTIES if level == "component" else COMPONENT_PROPERTIES):
+            raise ValueError(f"{c} is a {property_level(c)} property; this method needs a {level} property")
+    return codes
 
 
-def prop_dom_cond(mapunits: DataFrame, component: DataFrame, prop: str, distinct_pct: bool = True) -> DataFrame:
-    """Most extensive value of a component column per map unit.
+def prop_dom_comp_cat(mapunits: DataFrame, component: DataFrame, prop: str | Sequence[str]) -> DataFrame:
+    """Component columns of the dominant component (map units without components are absent); one or several."""
+    props = _codes(prop, "component")
+    dom = dominant_component(component, props)
+    return mapunits.join(dom.select("mukey", *props), "mukey", "inner").select(*KEY_COLS, *props)
+
+
+def prop_dom_cond(mapunits: DataFrame, component: DataFrame, prop: str | Sequence[str],
+                  distinct_pct: bool = True) -> DataFrame:
+    """Most extensive value of a component column per map unit; several columns from one component scan.
 
     Percent is summed over *distinct* (value, percent) pairs (SURVEY Q3;
     ``distinct_pct=False`` sums plainly).  NULL is a candidate value.  Ties go
     to the smallest value, NULL last (Q4).
     """
+    props = _codes(prop, "component")
     pct = F.sum_distinct("comppct_r") if distinct_pct else F.sum("comppct_r")
-    per_value = component.groupBy("mukey", prop).agg(pct.alias("_pct"))
-    order = F.struct(F.col("_pct").isNull(), -F.col("_pct"), F.col(prop).isNull(), F.col(prop))
-    best = per_value.groupBy("mukey").agg(F.min_by(F.col(prop), order).alias(prop))
-    return mapunits.join(best, "mukey", "inner").select(*KEY_COLS, prop)
+    types = dict(component.select(*props).dtypes)
+    # one row per component and column, values side by side by type, so that ties compare as what they are
+    texts = [p for p in props if types[p] == "string"]
+    value = [F.struct(F.lit(p).alias("_prop"),
+                      (F.col(p) if p in texts else F.lit(None).cast("string")).alias("_text"),
+                      (F.lit(None).cast("double") if p in texts else F.col(p).cast("double")).alias("_number"))
+             for p in props]
+    long = component.select("mukey", "comppct_r", F.inline(F.array(*value)))
+    per_value = long.groupBy("mukey", "_prop", "_text", "_number").agg(pct.alias("_pct"))
+    empty = F.col("_text").isNull() & F.col("_number").isNull()
+    order = F.struct(F.col("_pct").isNull(), -F.col("_pct"), empty, F.col("_text"), F.col("_number"))
+    picked = [F.min_by(F.col("_text" if p in texts else "_number"), F.when(F.col("_prop") == p, order)).cast(types[p])
+              .alias(p) for p in props]
+    best = per_value.groupBy("mukey").agg(*picked)
+    return mapunits.join(best, "mukey", "inner").select(*KEY_COLS, *props)
 
 
 # ---------------------------------------------------------------------------
@@ -66,7 +90,7 @@ def depth_clip(top: int, bottom: int):
 
 
 def usable_horizons(chorizon: DataFrame, chtexturegrp: DataFrame, props: Sequence[str], top: int, bottom: int,
-                    case_sensitive: bool = False) -> DataFrame:
+                    case_sensitive: bool = False, selected: bool = False) -> DataFrame:
     """Horizon rows that enter a weighted rollup, with clipped thickness, decimal values and a multiplicity.
 
     Several representative texture rows repeat the horizon (SURVEY Q6): the
@@ -78,6 +102,9 @@ def usable_horizons(chorizon: DataFrame, chtexturegrp: DataFrame, props: Sequenc
     hz = chorizon.select("chkey", "cokey", "hzname", "hzdept_r", "hzdepb_r", *props)
     hz = filter_mineral_horizon(filter_horizon_depth(hz, top, bottom), case_sensitive)
     tex = filter_texture(chtexturegrp.select("chkey", "rvindicator", "texture"), case_sensitive)
+    if selected:
+        # the horizons are few: texture rows of others go before the shuffle (a broadcast by Spark's size check)
+        tex = tex.join(hz.select("chkey"), "chkey", "left_semi")
     tex_n = tex.groupBy("chkey").agg(F.count(F.lit(1)).alias("_ntex"))
     t, b = depth_clip(top, bottom)
     return hz.join(tex_n, "chkey", "inner").select(
@@ -89,9 +116,9 @@ def usable_horizons(chorizon: DataFrame, chtexturegrp: DataFrame, props: Sequenc
     )
 
 
-def thickness_total(rows: DataFrame) -> DataFrame:
+def thickness_total(rows: DataFrame, count: str = "_ntex") -> DataFrame:
     """Per component: total clipped thickness (each row counted with its multiplicity) as decimal(5,2)."""
-    return rows.groupBy("cokey").agg(dec52(F.sum(F.col("_thk_int") * F.col("_ntex"))).alias("sum_thickness"))
+    return rows.groupBy("cokey").agg(dec52(F.sum(F.col("_thk_int") * F.col(count))).alias("sum_thickness"))
 
 
 MEAN_TYPE = "decimal(29,10)"  # sum of decimal(19,10) terms
@@ -101,18 +128,14 @@ def component_mean(rows: DataFrame, props: Sequence[str]) -> DataFrame:
     """Per component: sum over horizon rows of (thickness / total thickness) x value.
 
     Every term needs its component's total thickness.  Identical rows (copies
-    of a horizon) are first collapsed into one row with a count -- an
-    aggregate that combines map-side, so a component with very many copies
-    never reaches one task whole.  The distinct rows of a component are one
-    soil profile inside the depth range; a window over ``cokey`` adds the
-    total and the grouped sum that follows reuses its partitioning.
+    of a horizon) are first collapsed into one row with a count, an aggregate
+    that combines map-side; the total is an aggregate over those rows joined
+    back on ``cokey``, which adaptive execution can split.  Both sides of the
+    join read the same shuffled rows.
     """
     # the count stays INT so n x term is an exact decimal(30,10)
     distinct_rows = rows.groupBy("cokey", "_thk_int", "thickness", *props).agg(F.sum("_ntex").alias("_n"))
-    w = Window.partitionBy("cokey")
-    with_total = distinct_rows.select(
-        "*", dec52(F.sum(F.col("_thk_int") * F.col("_n")).over(w)).alias("sum_thickness")
-    )
+    with_total = distinct_rows.join(thickness_total(distinct_rows, "_n"), "cokey", "inner")
     return with_total.groupBy("cokey").agg(
         *[F.sum((F.col("thickness") / F.col("sum_thickness")) * F.col(p) * F.col("_n").cast("int")).cast(MEAN_TYPE).alias(p)
           for p in props]
@@ -145,8 +168,9 @@ def mapunit_total(comps: DataFrame, means: DataFrame, props: Sequence[str]) -> D
 
 
 def _weighted(mapunits: DataFrame, comps: DataFrame, chorizon: DataFrame, chtexturegrp: DataFrame,
-              props: Sequence[str], top: int, bottom: int, case_sensitive: bool) -> DataFrame:
-    rows = usable_horizons(chorizon, chtexturegrp, props, top, bottom, case_sensitive)
+              prop: str | Sequence[str], top: int, bottom: int, case_sensitive: bool, selected: bool) -> DataFrame:
+    props = _codes(prop, "horizon")
+    rows = usable_horizons(chorizon, chtexturegrp, props, top, bottom, case_sensitive, selected)
     means = component_mean(rows, props)
     totals = mapunit_total(comps, means, props)
     # every selected map unit is kept; units with nothing usable get NULL
@@ -154,40 +178,57 @@ def _weighted(mapunits: DataFrame, comps: DataFrame, chorizon: DataFrame, chtext
 
 
 def prop_weighted_avg(mapunits: DataFrame, component: DataFrame, chorizon: DataFrame, chtexturegrp: DataFrame,
-                      prop: str, top: int, bottom: int, case_sensitive: bool = False) -> DataFrame:
-    """Component-percent weighted, thickness-weighted average over the major components."""
+                      prop: str | Sequence[str], top: int, bottom: int, case_sensitive: bool = False,
+                      selected: bool = False) -> DataFrame:
+    """Component-percent weighted, thickness-weighted average over the major components.
+
+    Several properties share one horizon scan and one thickness.  ``selected``
+    says that component and chorizon hold a selection of the map units.
+    """
     majors = filter_major(component.select("mukey", "cokey", "comppct_r", "majcompflag"), case_sensitive)
-    return _weighted(mapunits, majors, chorizon, chtexturegrp, [prop], top, bottom, case_sensitive)
+    return _weighted(mapunits, majors, chorizon, chtexturegrp, prop, top, bottom, case_sensitive, selected)
 
 
 def prop_dom_comp_num(mapunits: DataFrame, component: DataFrame, chorizon: DataFrame, chtexturegrp: DataFrame,
-                      prop: str, top: int, bottom: int, case_sensitive: bool = False) -> DataFrame:
-    """Thickness-weighted average on the dominant component, NULL unless it is major."""
+                      prop: str | Sequence[str], top: int, bottom: int, case_sensitive: bool = False,
+                      selected: bool = False) -> DataFrame:
+    """Thickness-weighted average on the dominant component, NULL unless it is major; one or several."""
     dom = dominant_component(component, ["comppct_r", "majcompflag"])
     majors = filter_major(dom, case_sensitive)
-    return _weighted(mapunits, majors, chorizon, chtexturegrp, [prop], top, bottom, case_sensitive)
-
-
-def prop_multi(mapunits: DataFrame, component: DataFrame, chorizon: DataFrame, chtexturegrp: DataFrame,
-               props: Sequence[str], top: int, bottom: int, case_sensitive: bool = False) -> DataFrame:
-    """Several weighted averages in one wide table from one horizon scan (shared thickness)."""
-    majors = filter_major(component.select("mukey", "cokey", "comppct_r", "majcompflag"), case_sensitive)
-    return _weighted(mapunits, majors, chorizon, chtexturegrp, list(props), top, bottom, case_sensitive)
+    return _weighted(mapunits, majors, chorizon, chtexturegrp, prop, top, bottom, case_sensitive, selected)
 
 
-def prop_min_max(mapunits: DataFrame, component: DataFrame, chorizon: DataFrame, prop: str, stat: str = "MIN",
-                 case_sensitive: bool = False) -> DataFrame:
-    """MIN or MAX of a horizon column over the dominant component's whole profile.
+def prop_min_max(mapunits: DataFrame, component: DataFrame, chorizon: DataFrame, prop: str | Sequence[str],
+                 stat: str = "MIN", case_sensitive: bool = False) -> DataFrame:
+    """MIN or MAX of horizon columns over the dominant component's whole profile; one or several.
 
-    Horizons are reduced to one value per component first (partial
+    Horizons are reduced to one row per component first (partial
     aggregation), then joined to the dominant components.
     """
+    props = _codes(prop, "horizon")
     agg = F.min if stat.upper() == "MIN" else F.max
-    hz = filter_profile_horizon(chorizon.select("cokey", "hzname", "hzdept_r", prop), case_sensitive)
-    per_comp = hz.groupBy("cokey").agg(agg(prop).alias(prop))
+    hz = filter_profile_horizon(chorizon.select("cokey", "hzname", "hzdept_r", *props), case_sensitive)
+    per_comp = hz.groupBy("cokey").agg(*[agg(p).alias(p) for p in props])
     dom = dominant_component(component)
-    vals = dom.join(per_comp, "cokey", "left").select("mukey", prop)
-    return mapunits.join(vals, "mukey", "inner").select(*KEY_COLS, prop)
+    vals = dom.join(per_comp, "cokey", "left").select("mukey", *props)
+    return mapunits.join(vals, "mukey", "inner").select(*KEY_COLS, *props)
+
+
+def prop_multi(method: str, mapunits: DataFrame, component: DataFrame, chorizon: DataFrame, chtexturegrp: DataFrame,
+               props: Sequence[str], top: int = 0, bottom: int = 100, stat: str = "MIN",
+               case_sensitive: bool = False, selected: bool = False) -> DataFrame:
+    """Wide table of several properties by one method of the property tools, in one plan."""
+    props = list(props)
+    if method == "Dominant Component (Category)":
+        return prop_dom_comp_cat(mapunits, component, props)
+    if method == "Dominant Condition":
+        return prop_dom_cond(mapunits, component, props)
+    if method == "Min\\Max":
+        return prop_min_max(mapunits, component, chorizon, props, stat, case_sensitive)
+    weighted = {"Weighted Average": prop_weighted_avg, "Dominant Component (Numeric)": prop_dom_comp_num}.get(method)
+    if weighted is None:
+        raise ValueError(f"unable to determine aggregation method: {method}")
+    return weighted(mapunits, component, chorizon, chtexturegrp, props, top, bottom, case_sensitive, selected)
 
 
 __all__ = [

@@ -22,19 +22,6 @@ def merge_ratings_wide(wide: DataFrame) -> DataFrame:
     )
 
 
-def merge_ratings(non_mlra: DataFrame, mlra: DataFrame) -> DataFrame:
-    """Non-MLRA ratings left-joined with MLRA ratings; a missing MLRA side is 'UNK' x4; MLRA-only keys dropped."""
-    n = non_mlra.select("report_id", "mukey", F.col("rating").alias("n_rating"), F.col("class").alias("n_class"),
-                        F.col("mukind").alias("n_type"), F.col("kind").alias("n_kind"))
-    m = mlra.select("report_id", "mukey", F.col("rating").alias("m_rating"), F.col("class").alias("m_class"),
-                    F.col("mukind").alias("m_type"), F.col("kind").alias("m_kind"))
-    j = n.join(m, ["report_id", "mukey"], "left")
-    return j.select(
-        "report_id", "mukey", F.col("mukey").try_cast("bigint").alias("int_mukey"), "n_rating", "n_class", "n_type",
-        "n_kind", *[F.coalesce(F.col(c), F.lit(UNKNOWN)).alias(c) for c in ["m_rating", "m_class", "m_type", "m_kind"]]
-    )
-
-
 def drop_malformed(framed: DataFrame) -> DataFrame:
     """Routed record lines rejected by the field-count / numeric-key check, with the reason."""
     rows = report_split_project(framed).filter(~F.col("ok"))

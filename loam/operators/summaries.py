@@ -11,6 +11,7 @@ from loam.functions.hydric import HYDRIC_COUNT_COLUMNS, hydric_rating as hydric_
 from loam.functions.parent_material import parent_material_general
 from loam.functions.text import text_eq, text_ne
 from loam.operators.dominant import dominant_component
+from loam.schemas import MUAGGATT_COLUMNS, MUAGGATT_FLOAT, MUAGGATT_INT
 from loam.sources.tabular import cast_columns_lenient
 
 KEY_COLS = ["areasymbol", "musym", "muname", "mukey", "int_mukey"]
@@ -64,23 +65,12 @@ def parent_material(mapunits: DataFrame, component: DataFrame, copmgrp: DataFram
                                                          name.alias("pmgroupname"))
 
 
-# Muaggatt columns in the reference output order, and the
-# columns converted to floating point and to integer.
-MUAGGATT_COLUMNS = ["musym", "muname", "mustatus", "slopegraddcp", "slopegradwta", "brockdepmin", "wtdepannmin",
-                    "wtdepaprjunmin", "flodfreqdcd", "flodfreqmax", "pondfreqprs", "aws025wta", "aws050wta",
-                    "aws0100wta", "aws0150wta", "drclassdcd", "drclasswettest", "hydgrpdcd", "iccdcd", "iccdcdpct",
-                    "niccdcd", "niccdcdpct", "engdwobdcd", "engdwbdcd", "engdwbll", "engdwbml", "engstafdcd",
-                    "engstafll", "engstafml", "engsldcd", "engsldcp", "englrsdcd", "engcmssdcd", "engcmssmp",
-                    "urbrecptdcd", "urbrecptwta", "forpehrtdcp", "hydclprs", "awmmfpwwta", "mukey"]
-MUAGGATT_FLOAT_COLUMNS = ["slopegraddcp", "slopegradwta", "aws025wta", "aws050wta", "aws0100wta", "aws0150wta",
-                          "urbrecptwta", "awmmfpwwta"]
-MUAGGATT_INT_COLUMNS = ["brockdepmin", "wtdepannmin", "wtdepaprjunmin", "iccdcdpct", "niccdcdpct"]
-
-
 def muaggatt_extract(mapunits: DataFrame, muaggatt: DataFrame, columns: Sequence[str] = MUAGGATT_COLUMNS) -> DataFrame:
-    """Typed map-unit attributes of the selected map units (text -> DOUBLE / INT, bad text -> NULL)."""
-    ma_cols = [c for c in muaggatt.columns if c not in ("musym", "muname")]
-    joined = mapunits.select("mukey", "musym", "muname").join(muaggatt.select(*ma_cols), "mukey", "inner")
-    text_cols = [c for c in columns if c not in MUAGGATT_FLOAT_COLUMNS + MUAGGATT_INT_COLUMNS]
-    typed = cast_columns_lenient(joined, text_cols, MUAGGATT_FLOAT_COLUMNS, MUAGGATT_INT_COLUMNS)
+    """Typed map-unit attributes of the selected map units (text -> DOUBLE / INT, bad text -> NULL).
+
+    Symbol and name are the attribute table's own.
+    """
+    joined = muaggatt.join(mapunits.select("mukey"), "mukey", "left_semi")
+    text_cols = [c for c in columns if c not in MUAGGATT_FLOAT + MUAGGATT_INT]
+    typed = cast_columns_lenient(joined, text_cols, MUAGGATT_FLOAT, MUAGGATT_INT)
     return typed.select(*columns)

@@ -7,10 +7,9 @@ query needs, so an oracle statement reads only the given tables.
 
 from __future__ import annotations
 
+from loam.schemas import MUAGGATT_FLOAT, MUAGGATT_INT, MUAGGATT_TEXT
 from loam.sources.fixtures import (
-    MUAGGATT_FLOAT,
-    MUAGGATT_INT,
-    MUAGGATT_TEXT_ONLY,
+    HYDGRP,
     PM_NAMES,
     RULES,
     SUBRULE_CLASSES,
@@ -39,8 +38,10 @@ def _muaggatt_sql() -> str:
         "mustatus": "o_orderstatus",
         "flodfreqdcd": "o_orderpriority",
         "hydclprs": "substring(o_orderpriority, 1, 1)",
+        "musym": "'a' || CAST(o_orderkey % 97 AS VARCHAR)",
+        "muname": "'attributes of ' || CAST(o_orderkey AS VARCHAR)",
     }
-    for name in MUAGGATT_TEXT_ONLY:
+    for name in MUAGGATT_TEXT:
         src = text_src.get(name, f"'{name[:3]}-' || CAST(o_orderkey % 7 AS VARCHAR)")
         cols.append(f"CASE WHEN (o_orderkey + {len(name)}) % 13 = 0 THEN NULL ELSE {src} END AS {name}")
     return "SELECT " + ", ".join(cols) + " FROM orders"
@@ -92,7 +93,9 @@ FIXTURE_CTES: dict[str, str] = {
         "CASE WHEN l_linestatus = 'F' THEN 'Yes' ELSE 'No' END AS majcompflag, "
         "CASE l_returnflag WHEN 'A' THEN 'Yes' WHEN 'N' THEN 'No' ELSE NULL END AS hydricrating, "
         "CASE p_size % 10 WHEN 0 THEN 'miscellaneous area' WHEN 1 THEN NULL ELSE 'series' END AS compkind, "
-        "CASE WHEN p_type LIKE '%PROMO%' THEN NULL ELSE p_type END AS drainagecl FROM lp"
+        "CASE WHEN p_type LIKE '%PROMO%' THEN NULL ELSE p_type END AS drainagecl, "
+        f"{_list(HYDGRP)}[(p_size + l_linenumber) % 6 + 1] AS hydgrp, "
+        "CASE WHEN p_size % 5 = 0 THEN NULL ELSE CAST(p_size % 6 AS DOUBLE) END AS tfact FROM lp"
     ),
     "hb": (
         "SELECT cokey, k, p_size, l_linenumber, i, cokey || ':' || CAST(i AS VARCHAR) AS chkey, "
@@ -103,12 +106,14 @@ FIXTURE_CTES: dict[str, str] = {
         "CASE WHEN (p_size + i) % 7 = 0 THEN NULL ELSE CAST(k * 4 + i * 20 + p_size AS DOUBLE) / 4.0 END "
         "AS claytotal_r, "
         "CASE WHEN (p_size + 2 * i) % 9 = 0 THEN NULL ELSE CAST(l_linenumber * 8 + i * 3 + p_size % 8 AS DOUBLE) "
-        "/ 8.0 END AS om_r "
+        "/ 8.0 END AS om_r, "
+        "CASE WHEN (p_size + 3 * i) % 8 = 0 THEN NULL ELSE CAST(l_linenumber * 6 + i * 8 + p_size AS DOUBLE) / 2.0 END "
+        "AS sandtotal_r "
         "FROM lp, (SELECT unnest([0, 1, 2]) AS i) AS h"
     ),
     "chorizon": (
         "SELECT chkey, cokey, hzname, CAST(hzdept_r AS INTEGER) AS hzdept_r, CAST(hzdepb_r AS INTEGER) AS hzdepb_r, "
-        "claytotal_r, om_r FROM hb"
+        "claytotal_r, om_r, sandtotal_r FROM hb"
     ),
     "chtexturegrp": (
         f"SELECT chkey, 'Yes' AS rvindicator, {_list(TEXTURES)}[(l_linenumber * 3 + i + p_size) % 11 + 1] AS texture "

@@ -100,8 +100,8 @@ INTERP_TABLES = ["mapunit", "legend", "component", "cointerp"]
 
 def _reasons_dominant_cte() -> str:
     return (
-        "SELECT mukey, mrulename, substring(string_agg(interphrc, '; ' ORDER BY interphr DESC NULLS LAST, "
-        "interphrc), 1, 1000) AS reason FROM (SELECT DISTINCT dom.mukey, ci.mrulename, ci.interphrc, ci.interphr "
+        "SELECT mukey, mrulename, string_agg(interphrc, '; ' ORDER BY interphr DESC NULLS LAST, "
+        "interphrc) AS reason FROM (SELECT DISTINCT dom.mukey, ci.mrulename, ci.interphrc, ci.interphr "
         "FROM dom JOIN component c ON c.cokey = dom.cokey JOIN cointerp ci ON ci.cokey = dom.cokey "
         "WHERE lower(c.compkind) != 'miscellaneous area' AND ci.ruledepth != 0 "
         f"AND lower(ci.interphrc) NOT LIKE 'not%' AND ci.mrulename IN {RULES_IN}) GROUP BY mukey, mrulename"
@@ -110,7 +110,7 @@ def _reasons_dominant_cte() -> str:
 
 def _reasons_all_cte() -> str:
     return (
-        "SELECT mukey, mrulename, substring(string_agg(interphrc, '; ' ORDER BY interphrc), 1, 1000) AS reason "
+        "SELECT mukey, mrulename, string_agg(interphrc, '; ' ORDER BY interphrc) AS reason "
         "FROM (SELECT DISTINCT c.mukey, ci.mrulename, ci.interphrc FROM component c "
         "JOIN cointerp ci ON ci.cokey = c.cokey WHERE lower(c.compkind) != 'miscellaneous area' "
         f"AND ci.ruledepth != 0 AND lower(ci.interphrc) NOT LIKE 'not%' AND ci.mrulename IN {RULES_IN}) "
@@ -254,15 +254,15 @@ def _parent_material(general: bool) -> str:
 
 
 def _muaggatt_extract() -> str:
-    from loam.operators.summaries import MUAGGATT_COLUMNS, MUAGGATT_FLOAT_COLUMNS, MUAGGATT_INT_COLUMNS
+    from loam.schemas import MUAGGATT_COLUMNS, MUAGGATT_FLOAT, MUAGGATT_INT
 
     cols = []
     for c in MUAGGATT_COLUMNS:
-        if c in ("musym", "muname", "mukey"):
-            cols.append(f"m.{c}")
-        elif c in MUAGGATT_FLOAT_COLUMNS:
+        if c == "mukey":
+            cols.append("a.mukey")
+        elif c in MUAGGATT_FLOAT:
             cols.append(f"TRY_CAST(a.{c} AS DOUBLE) AS {c}")
-        elif c in MUAGGATT_INT_COLUMNS:
+        elif c in MUAGGATT_INT:
             cols.append(f"TRY_CAST(a.{c} AS INTEGER) AS {c}")
         else:
             cols.append(f"nullif(a.{c}, '') AS {c}")
@@ -401,7 +401,46 @@ def _aoi_ctes() -> list[tuple[str, str]]:
 
 
 def _aoi_clip() -> str:
-    return with_fixture("SELECT * FROM clip", AOI_TABLES, _aoi_ctes())
+    n = lambda c: f"CAST({c} AS VARCHAR)"
+    pt = lambda x, y: f"{n(x)} || ' ' || {n(y)}"
+    ring = " || ', ' || ".join([pt("minx", "miny"), pt("maxx", "miny"), pt("maxx", "maxy"), pt("minx", "maxy"),
+                                pt("minx", "miny")])
+    return with_fixture(f"SELECT *, 'POLYGON ((' || {ring} || '))' AS wkt FROM clip", AOI_TABLES, _aoi_ctes())
+
+
+def _aoi_clip_holes() -> str:
+    """Closed formulas: a box against a right triangle (half-plane sums) or an L (box minus its notch)."""
+    key = "CAST(mukey AS BIGINT)"
+    x, y = f"({key} % 500) * 10", f"({key} // 500) * 10"
+    box = lambda cond, dx, dy, w, h, sign: (
+        f"SELECT areasymbol, mukey, {sign} AS sg, CAST({x} + {dx} AS DOUBLE) AS x0, CAST({y} + {dy} AS DOUBLE) AS y0, "
+        f"CAST({x} + {dx + w} AS DOUBLE) AS x1, CAST({y} + {dy + h} AS DOUBLE) AS y1 FROM mu WHERE {key} % 3 {cond}")
+    boxes = " UNION ALL ".join([box("= 0", 0, 0, 12, 12, 1), box("= 1", 0, 0, 12, 12, 1), box("= 1", 3, 3, 6, 6, -1),
+                                box("= 2", 0, 0, 4, 4, 1), box("= 2", 6, 2, 5, 9, 1)])
+
+    def corner_area(u: str, v: str) -> str:
+        # area of [0, u] x [0, v] below x + y = 150
+        cu, cv = f"greatest({u}, 0)", f"greatest({v}, 0)"
+        q = lambda e: f"greatest({e}, 0) * greatest({e}, 0)"
+        return f"((22500 - {q(f'150 - {cu}')} - {q(f'150 - {cv}')} + {q(f'150 - {cu} - {cv}')}) / 2)"
+
+    u0, u1, v0, v1 = "(x0 - ax)", "(x1 - ax)", "(y0 - ay)", "(y1 - ay)"
+    triangle = (f"({corner_area(u1, v1)} - {corner_area(u0, v1)} - {corner_area(u1, v0)} + {corner_area(u0, v0)})")
+    over = lambda w0, w1, h0, h1: (
+        f"(greatest(least({u1}, {w1}) - greatest({u0}, {w0}), 0) * "
+        f"greatest(least({v1}, {h1}) - greatest({v0}, {h0}), 0))")
+    bent = f"({over(0, 200, 0, 130)} - {over(80, 200, 60, 130)})"
+    ctes = [
+        ("mu", "SELECT areasymbol, mukey FROM mapunit JOIN legend USING (lkey)"),
+        ("box", boxes),
+        ("shape", "SELECT CAST(r_regionkey AS INTEGER) AS aoi_id, r_regionkey * 100 + 3.5::DOUBLE AS ax, "
+                  "r_regionkey * 40 + 1.5::DOUBLE AS ay FROM region"),
+        ("piece", f"SELECT aoi_id, areasymbol, mukey, sg * CASE WHEN aoi_id % 2 = 0 THEN {triangle} ELSE {bent} END "
+                  "AS a FROM box, shape"),
+    ]
+    sql = ("SELECT aoi_id, mukey || '.s' AS poly_id, mukey, areasymbol, sum(a) AS area FROM piece "
+           "GROUP BY aoi_id, mukey, areasymbol HAVING sum(a) > 0")
+    return with_fixture(sql, ["mapunit", "legend"], ctes)
 
 
 def _aoi_mukeys() -> str:
@@ -414,6 +453,56 @@ def _aoi_prop_weighted_avg() -> str:
     return f"SELECT * FROM ({inner}) w WHERE w.mukey IN ({keys})"
 
 
+def _in_aoi(inner: str) -> str:
+    keys = with_fixture("SELECT DISTINCT mukey FROM clip", AOI_TABLES, _aoi_ctes())
+    return f"SELECT * FROM ({inner}) w WHERE w.mukey IN ({keys})"
+
+
+def _prop_multi_dom_comp() -> str:
+    cols = "drainagecl, hydgrp, tfact"
+    sql = f"SELECT {MU_COLS}, {cols} FROM mu JOIN dom USING (mukey)"
+    return with_fixture(sql, ["mapunit", "legend", "component"], [("mu", MU), ("dom", _dom(cols))])
+
+
+def _prop_multi_dom_cond() -> str:
+    ctes = [("mu", MU)]
+    for c in ("drainagecl", "hydgrp", "tfact"):
+        ctes.append((f"best_{c}", f"SELECT mukey, {c} FROM (SELECT mukey, {c}, SUM(DISTINCT comppct_r) AS s FROM component "
+                     f"GROUP BY mukey, {c}) QUALIFY row_number() OVER (PARTITION BY mukey "
+                     f"ORDER BY s DESC NULLS LAST, {c} ASC NULLS LAST) = 1"))
+    sql = (f"SELECT {MU_COLS}, drainagecl, hydgrp, tfact FROM mu JOIN best_drainagecl USING (mukey) "
+           "JOIN best_hydgrp USING (mukey) JOIN best_tfact USING (mukey)")
+    return with_fixture(sql, ["mapunit", "legend", "component"], ctes)
+
+
+def _prop_multi_min_max() -> str:
+    return (f"SELECT a.*, b.om_r FROM ({_prop_min_max('claytotal_r', 'MIN')}) a "
+            f"JOIN ({_prop_min_max('om_r', 'MIN')}) b USING (mukey)")
+
+
+def _prop_catalog_any() -> str:
+    dom = with_fixture("SELECT mukey, hydgrp FROM dom", ["component"], [("dom", _dom("hydgrp"))])
+    return (f"SELECT w.*, d.hydgrp FROM ({_weighted_sql(['sandtotal_r'], TOP, BOTTOM, dominant_only=False)}) w "
+            f"LEFT JOIN ({dom}) d USING (mukey)")
+
+
+def _filter_area_like() -> str:
+    return with_fixture("SELECT lkey, areasymbol FROM legend WHERE areasymbol ILIKE 'nc00%' OR "
+                        "lower(areasymbol) = 'nc021'", ["legend"])
+
+
+def _interp_rule_like() -> str:
+    return f"SELECT * FROM ({_interp_weighted_avg()}) WHERE lower(mrulename) LIKE 'eng - dwell%'"
+
+
+def _coverage_requests() -> str:
+    ctes = _area_parsed_ctes() + [("rk", _report_parse_area_sql())]
+    sql = ("SELECT areasymbol, 'area report' AS request FROM (SELECT areasymbol FROM legend WHERE "
+           "upper(areasymbol) IN ('NC001', 'NC003') OR areasymbol LIKE 'NC01%' UNION SELECT 'ZZ999') "
+           "WHERE areasymbol NOT IN (SELECT report_id FROM rk)")
+    return with_fixture(sql, ["legend"], ctes)
+
+
 def _coverage_report() -> str:
     ctes = _area_parsed_ctes() + [("rk", _report_parse_area_sql())]
     sql = ("SELECT s.areasymbol, 'area report' AS request FROM sacatalog s "
@@ -431,7 +520,7 @@ def _legend_breaks_text() -> str:
 
 
 def _sample_features() -> str:
-    sql = (f"SELECT * FROM mu ORDER BY ((int_mukey % 1000003) * 2654435761 + 0) % 4294967311, int_mukey LIMIT 50")
+    sql = "SELECT * FROM mu ORDER BY md5(CAST(int_mukey AS VARCHAR) || '|0'), int_mukey LIMIT 50"
     return with_fixture(sql, ["mapunit", "legend"], [("mu", MU)])
 
 
@@ -471,6 +560,18 @@ def oracle_sql() -> dict[str, str]:
         "prop_min": _prop_min_max("claytotal_r", "MIN"),
         "prop_max": _prop_min_max("om_r", "MAX"),
         "prop_multi": _weighted_sql(MULTI_PROPS, 0, 50, dominant_only=False),
+        "prop_multi_dom_comp": _prop_multi_dom_comp(),
+        "prop_multi_dom_comp_num": _weighted_sql(MULTI_PROPS, 0, 50, dominant_only=True),
+        "prop_multi_dom_cond": _prop_multi_dom_cond(),
+        "prop_multi_min_max": _prop_multi_min_max(),
+        "prop_catalog_any": _prop_catalog_any(),
+        "filter_area_like": _filter_area_like(),
+        "interp_rule_like": _interp_rule_like(),
+        "aoi_clip_holes": _aoi_clip_holes(),
+        "aoi_prop_dom_cond": _in_aoi(_prop_dom_cond()),
+        "aoi_interp_dom_comp": _in_aoi(_interp_dom_comp()),
+        "aoi_interp_weighted_avg": _in_aoi(_interp_weighted_avg()),
+        "coverage_requests": _coverage_requests(),
         "interp_dom_comp": _interp_dom_comp(),
         "interp_dom_cond": _interp_dom_cond(),
         "interp_weighted_avg": _interp_weighted_avg(),

@@ -23,11 +23,11 @@ from loam.operators import interps as I
 from loam.operators import properties as P
 from loam.operators import reports as R
 from loam.operators import summaries as S
-from loam.operators.filters import filter_mukeys, restrict_to_mapunits
+from loam.operators.filters import filter_area, requested_areas, resolve_rules
 from loam.operators.joins import mapunit_frame, polygon_attribute_join, polygon_extract
 from loam.sources import reports as RS
-from loam.sources.catalog import property_catalog
-from loam.session import materialize
+from loam.plans.tools import selected_tables
+from loam.sources.catalog import catalog_frame, property_catalog, resolve_property
 from loam.sources.fixtures import SoilFixture
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -35,7 +35,13 @@ PlanFn = Callable[[object], DataFrame]
 
 TOP, BOTTOM = 0, 100
 MULTI_PROPS = ["claytotal_r", "om_r"]
+COMPONENT_PROPS = ["drainagecl", "hydgrp", "tfact"]
+CATALOG_LABELS = ["Total Sand - Rep Value", "Hydrologic Group"]
 RULE_NAMES = ["ENG - Dwellings", "AGR - Corn Suitability"]
+RULE_REQUEST = "eng - dwell%; No Such Rule"
+AREA_REQUEST = "nc00%; NC021; zz999"
+COVERAGE_AREAS = "NC001; nc003; NC01%; ZZ999"
+GRID_CELL = 25.0
 
 
 def _mu(t) -> DataFrame:
@@ -68,7 +74,41 @@ def p_prop_max(t):
 
 
 def p_prop_multi(t):
-    return P.prop_multi(_mu(t), t.component, t.chorizon, t.chtexturegrp, MULTI_PROPS, 0, 50)
+    return P.prop_multi("Weighted Average", _mu(t), t.component, t.chorizon, t.chtexturegrp, MULTI_PROPS, 0, 50)
+
+
+def p_prop_multi_dom_comp(t):
+    return P.prop_multi("Dominant Component (Category)", _mu(t), t.component, t.chorizon, t.chtexturegrp,
+                        COMPONENT_PROPS)
+
+
+def p_prop_multi_dom_comp_num(t):
+    return P.prop_multi("Dominant Component (Numeric)", _mu(t), t.component, t.chorizon, t.chtexturegrp,
+                        MULTI_PROPS, 0, 50)
+
+
+def p_prop_multi_dom_cond(t):
+    return P.prop_multi("Dominant Condition", _mu(t), t.component, t.chorizon, t.chtexturegrp, COMPONENT_PROPS)
+
+
+def p_prop_multi_min_max(t):
+    return P.prop_multi("Min\\Max", _mu(t), t.component, t.chorizon, t.chtexturegrp, MULTI_PROPS, stat="MIN")
+
+
+def p_prop_catalog_any(t):
+    """Properties looked up by label: a horizon one by weighted average, a component one by dominant component."""
+    asked = t.legend.sparkSession.createDataFrame([(lab,) for lab in CATALOG_LABELS], "label string")
+    spark = asked.sparkSession
+    code = {r.label: r.code for r in resolve_property(asked, catalog_frame(spark)).collect()}
+    horizon, comp = (code[lab] for lab in CATALOG_LABELS)
+    wide = P.prop_weighted_avg(_mu(t), t.component, t.chorizon, t.chtexturegrp, horizon, TOP, BOTTOM)
+    cat = P.prop_dom_comp_cat(_mu(t), t.component, comp).select("mukey", comp)
+    return wide.join(cat, "mukey", "left").select(*P.KEY_COLS, horizon, comp)
+
+
+def p_filter_area_like(t):
+    """Areas by pattern and by name, any case; and a name that no area has."""
+    return filter_area(t.legend, AREA_REQUEST).select("lkey", "areasymbol")
 
 
 # ---- interpretations ------------------------------------------------------------
@@ -84,6 +124,11 @@ def p_interp_weighted_avg(t):
     return I.interp_weighted_avg(_mu(t), t.component, t.cointerp, RULE_NAMES)
 
 
+def p_interp_rule_like(t):
+    """Rules by LIKE pattern, any case."""
+    return I.interp_weighted_avg(_mu(t), t.component, t.cointerp, resolve_rules(t.cointerp, RULE_REQUEST))
+
+
 def p_interp_reasons_all(t):
     return I.interp_reasons_all(t.component, t.cointerp, RULE_NAMES)
 
@@ -149,7 +194,7 @@ def p_report_key_reconcile(t):
 
 # ---- area of interest ---------------------------------------------------------------------
 def _clipped(t):
-    return A.aoi_clip(t.mupolygon, t.aoi_points)
+    return A.aoi_clip(t.mupolygon, t.aoi_points, GRID_CELL)
 
 
 def p_aoi_ring(t):
@@ -157,7 +202,13 @@ def p_aoi_ring(t):
 
 
 def p_aoi_clip(t):
-    return _clipped(t).drop("wkt")
+    return _clipped(t)
+
+
+def p_aoi_clip_holes(t):
+    """Polygons with holes and parts against a triangle or an L per AOI."""
+    return A.aoi_clip(t.mupolygon_shapes, t.aoi_shapes, GRID_CELL, single_part=False).select(
+        "aoi_id", "poly_id", "mukey", "areasymbol", "area")
 
 
 def p_aoi_mukeys(t):
@@ -166,11 +217,26 @@ def p_aoi_mukeys(t):
 
 def p_aoi_prop_weighted_avg(t):
     """The AOI property tool: weighted average for the map units inside any AOI."""
-    # the clipped key list feeds three joins: checkpoint it once (shared folder) instead of clipping thrice
-    keys = materialize(A.aoi_mukeys(_clipped(t)).select("mukey").distinct())
-    mus = filter_mukeys(_mu(t), keys)
-    comps, hz = restrict_to_mapunits(mus, t.component, t.chorizon)
-    return P.prop_weighted_avg(mus, comps, hz, t.chtexturegrp, "claytotal_r", TOP, BOTTOM)
+    mus, comps, hz = selected_tables(t, mukeys=A.aoi_mukeys(_clipped(t)), child="chorizon")
+    return P.prop_weighted_avg(mus, comps, hz, t.chtexturegrp, "claytotal_r", TOP, BOTTOM, selected=True)
+
+
+def p_aoi_prop_dom_cond(t):
+    """The AOI property tool: dominant condition."""
+    mus, comps = selected_tables(t, mukeys=A.aoi_mukeys(_clipped(t)))
+    return P.prop_dom_cond(mus, comps, "drainagecl")
+
+
+def p_aoi_interp_dom_comp(t):
+    """The AOI interpretation tool: dominant component, both rules."""
+    mus, comps, ci = selected_tables(t, mukeys=A.aoi_mukeys(_clipped(t)), child="cointerp")
+    return I.interp_dom_comp(mus, comps, ci, RULE_NAMES)
+
+
+def p_aoi_interp_weighted_avg(t):
+    """The AOI interpretation tool: weighted average, both rules."""
+    mus, comps, ci = selected_tables(t, mukeys=A.aoi_mukeys(_clipped(t)), child="cointerp")
+    return I.interp_weighted_avg(mus, comps, ci, RULE_NAMES)
 
 
 # ---- bookkeeping ----------------------------------------------------------------------------
@@ -179,6 +245,12 @@ def p_coverage_report(t):
     return B.coverage_report(t.sacatalog, ["area report"], parsed, "request")
 
 
+def p_coverage_requests(t):
+    """Areas as a user lists them (any case, one unknown) without a parsed area report."""
+    parsed = RS.report_parse_area(_area_framed(t)).withColumnRenamed("report_id", "areasymbol")
+    return B.coverage_report(requested_areas(t.legend, COVERAGE_AREAS), ["area report"], parsed, "request")
+
+
 def p_legend_breaks_numeric(t):
     return B.legend_breaks(p_prop_weighted_avg(t), "claytotal_r")
 
@@ -217,6 +289,13 @@ PLANS: dict[str, PlanFn] = {
     "prop_min": p_prop_min,
     "prop_max": p_prop_max,
     "prop_multi": p_prop_multi,
+    "prop_multi_dom_comp": p_prop_multi_dom_comp,
+    "prop_multi_dom_comp_num": p_prop_multi_dom_comp_num,
+    "prop_multi_dom_cond": p_prop_multi_dom_cond,
+    "prop_multi_min_max": p_prop_multi_min_max,
+    "prop_catalog_any": p_prop_catalog_any,
+    "filter_area_like": p_filter_area_like,
+    "interp_rule_like": p_interp_rule_like,
     "interp_dom_comp": p_interp_dom_comp,
     "interp_dom_cond": p_interp_dom_cond,
     "interp_weighted_avg": p_interp_weighted_avg,
@@ -236,6 +315,11 @@ PLANS: dict[str, PlanFn] = {
     "aoi_ring": p_aoi_ring,
     "aoi_clip": p_aoi_clip,
     "aoi_mukeys": p_aoi_mukeys,
+    "aoi_clip_holes": p_aoi_clip_holes,
+    "aoi_prop_dom_cond": p_aoi_prop_dom_cond,
+    "aoi_interp_dom_comp": p_aoi_interp_dom_comp,
+    "aoi_interp_weighted_avg": p_aoi_interp_weighted_avg,
+    "coverage_requests": p_coverage_requests,
     "aoi_prop_weighted_avg": p_aoi_prop_weighted_avg,
     "coverage_report": p_coverage_report,
     "legend_breaks_numeric": p_legend_breaks_numeric,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 
@@ -21,7 +22,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
@@ -54,12 +55,15 @@ def cluster_conf(shuffle_bytes: int, target_partition_bytes: int = 256 << 20) ->
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the folder is set by the deployment and must be shared
-    storage; we only pick a scratch folder when the setting is absent (tests,
-    local runs).
+    On a cluster the deployment sets it, to shared storage; without it this
+    raises there.  Only a local master, whose tasks all run on one machine,
+    gets a scratch folder of its own.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
         path = tempfile.mkdtemp(prefix="loam-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

@@ -5,84 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loam.operators.joins import bounded_broadcast
-
-# The active (label, property code) pairs of the property tools,
-# in their original order.  Labels keep their trailing blanks.
-PROPERTY_LABELS = [
-    ("0.1 bar H2O - Rep Value", "wtenthbar_r"),
-    ("0.33 bar H2O - Rep Value", "wthirdbar_r"),
-    ("15 bar H2O - Rep Value", "wfifteenbar_r"),
-    ("Available Water Capacity - Rep Value", "awc_r"),
-    ("Bray 1 Phosphate - Rep Value", "pbray1_r"),
-    ("Bulk Density 0.1 bar H2O - Rep Value", "dbtenthbar_r"),
-    ("Bulk Density 0.33 bar H2O - Rep Value", "dbthirdbar_r"),
-    ("Bulk Density 15 bar H2O - Rep Value", "dbfifteenbar_r"),
-    ("Bulk Density oven dry - Rep Value", "dbovendry_r"),
-    ("CaCO3 Clay - Rep Value", "claysizedcarb_r"),
-    ("Calcium Carbonate - Rep Value", "caco3_r"),
-    ("Cation Exchange Capcity - Rep Value", "cec7_r"),
-    ("Coarse Sand - Rep Value", "sandco_r"),
-    ("Coarse Silt - Rep Value", "siltco_r"),
-    ("Corrosion of Steel", "corsteel"),
-    ("Corrosion of Concrete", "corcon"),
-    ("Drainage Class", "drainagecl"),
-    ("Effective Cation Exchange Capcity - Rep Value", "ecec_r"),
-    ("Electrial Conductivity 1:5 by volume - Rep Value", "ec15_r"),
-    ("Electrical Conductivity - Rep Value", "ec_r"),
-    ("Exchangeable Sodium Percentage - Rep Value", "esp_r"),
-    ("Extract Aluminum - Rep Value", "extral_r"),
-    ("Extractable Acidity - Rep Value", "extracid_r"),
-    ("Fine Sand - Rep Value", "sandfine_r"),
-    ("Fine Silt - Rep Value", "siltfine_r"),
-    ("Free Iron - Rep Value", "freeiron_r"),
-    ("Gypsum - Rep Value", "gypsum_r"),
-    ("Hydrologic Group", "hydgrp"),
-    ("Kf ", "kffact"),
-    ("Ki ", "kifact"),
-    ("Kr ", "krfact"),
-    ("Kw ", "kwfact"),
-    ("LEP - Rep Value", "lep_r"),
-    ("Liquid Limit - Rep Value", "ll_r"),
-    ("Medium Sand - Rep Value", "sandmed_r"),
-    ("Organic Matter - Rep Value", "om_r"),
-    ("Oxalate Aluminum - Rep Value", "aloxalate_r"),
-    ("Oxalate Iron - Rep Value", "feoxalate_r"),
-    ("Oxalate Phosphate - Rep Value", "poxalate_r"),
-    ("Plasticity Index - Rep Value", "pi_r"),
-    ("Rock Fragments 3 - 10 cm - Rep Value", "frag3to10_r"),
-    ("Rock Fragments > 10 cm - Rep Value", "fraggt10_r"),
-    ("Rubbed Fiber % - Rep Value", "fiberrubbedpct_r"),
-    ("Satiated H2O - Rep Value", "wsatiated_r"),
-    ("Saturated Hydraulic Conductivity - Rep Value", "ksat_r"),
-    ("Sodium Adsorption Ratio - Rep Value", "sar_r"),
-    ("Sum of Bases - Rep Value", "sumbases_r"),
-    ("Taxonomic Class Name", "taxclname"),
-    ("Taxonomic Order", "taxorder"),
-    ("Taxonomic Suborder", "taxsuborder"),
-    ("Taxonomic Temperature Regime", "taxtempregime"),
-    ("Total Clay - Rep Value", "claytotal_r"),
-    ("Total Phosphate - Rep Value", "ptotal_r"),
-    ("Total Rock Fragment Volume - Rep Value", "fragvoltot_r"),
-    ("Total Sand - Rep Value", "sandtotal_r"),
-    ("Total Silt - Rep Value", "silttotal_r"),
-    ("Unrubbed Fiber % - Rep Value", "fiberunrubbedpct_r"),
-    ("Very Coarse Sand - Rep Value", "sandvc_r"),
-    ("Very Fine Sand - Rep Value", "sandvf_r"),
-    ("Water Soluble Phosphate - Rep Value", "ph2osoluble_r"),
-    ("Wind Erodibility Group", "weg"),
-    ("Wind Erodibility Index", "wei"),
-    ("no. 10 sieve - Rep Value", "sieveno10_r"),
-    ("no. 200 sieve - Rep Value", "sieveno200_r"),
-    ("no. 4 sieve - Rep Value", "sieveno4_r"),
-    ("no. 40 sieve - Rep Value", "sieveno40_r"),
-    ("pH .01M CaCl2 - Rep Value", "ph01mcacl2_r"),
-    ("pH 1:1 water - Rep Value", "ph1to1h2o_r"),
-    ("pH Oxidized - Rep Value", "phoxidized_r"),
-    ("t Factor", "tfact"),
-]
-MAX_CATALOG_ROWS = 100_000
-
+from loam.schemas import PROPERTY_LABELS
 
 def property_catalog(lines: DataFrame) -> DataFrame:
     """Catalogue from ``code,label`` text lines (``line_no``, ``line``).
@@ -110,5 +33,4 @@ def resolve_property(requests: DataFrame, catalog: DataFrame) -> DataFrame:
 
     The caller reports or rejects the NULL rows (the tools stop on an unknown label).
     """
-    cat = bounded_broadcast(catalog.select("label", "code"), MAX_CATALOG_ROWS)
-    return requests.join(cat, "label", "left")
+    return requests.join(catalog.select("label", "code"), "label", "left")

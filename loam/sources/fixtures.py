@@ -18,11 +18,13 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loam.schemas import MUAGGATT_FLOAT, MUAGGATT_INT, MUAGGATT_TEXT
 from loam.session import sf_table
 
 # Fixed fixture vocabularies (test data, not reference values).
 TEXTURES = ["SIL", "L", "MPT", "SIL", "MUCK", "CL", "S", "GR-SPM", "BR", "SIC", None]
 RULES = [("ENG - Dwellings", 1), ("AGR - Corn Suitability", 2)]
+HYDGRP = ["A", "B", "C", "D", "A/D", None]
 SUBRULE_CLASSES = ["Slope", "Depth to saturated zone", "Shrink-swell", "Not limiting", "Flooding & ponding"]
 PM_NAMES = [
     "Loess",
@@ -35,12 +37,6 @@ PM_NAMES = [
     None,
 ]
 
-# muaggatt column roles (reference column order, see loam.operators.summaries).
-MUAGGATT_FLOAT = ["slopegraddcp", "slopegradwta", "aws025wta", "aws050wta", "aws0100wta", "aws0150wta",
-                  "urbrecptwta", "awmmfpwwta"]
-MUAGGATT_INT = ["brockdepmin", "wtdepannmin", "wtdepaprjunmin", "iccdcdpct", "niccdcdpct"]
-
-
 def _pick(idx: Column, values: list) -> Column:
     """values[idx] as a literal array lookup (NULL entries allowed)."""
     arr = F.array(*[F.lit(v).cast("string") for v in values])
@@ -113,6 +109,9 @@ class SoilFixture:
             .otherwise("series").alias("compkind"),
             F.when(F.col("p_type").contains("PROMO"), F.lit(None).cast("string"))
             .otherwise(F.col("p_type")).alias("drainagecl"),
+            _pick((F.col("p_size") + F.col("l_linenumber")) % 6, HYDGRP).alias("hydgrp"),
+            F.when(F.col("p_size") % 5 == 0, F.lit(None).cast("double"))
+            .otherwise((F.col("p_size") % 6).cast("double")).alias("tfact"),
         )
 
     # ---- horizon level ---------------------------------------------------------
@@ -141,11 +140,15 @@ class SoilFixture:
             F.when((F.col("p_size") + 2 * i) % 9 == 0, F.lit(None).cast("double"))
             .otherwise((F.col("l_linenumber") * 8 + i * 3 + F.col("p_size") % 8).cast("double") / F.lit(8.0))
             .alias("om_r"),
+            F.when((F.col("p_size") + 3 * i) % 8 == 0, F.lit(None).cast("double"))
+            .otherwise((F.col("l_linenumber") * 6 + i * 8 + F.col("p_size")).cast("double") / F.lit(2.0))
+            .alias("sandtotal_r"),
         )
 
     @cached_property
     def chorizon(self) -> DataFrame:
-        return self._horizon_base.select("chkey", "cokey", "hzname", "hzdept_r", "hzdepb_r", "claytotal_r", "om_r")
+        return self._horizon_base.select("chkey", "cokey", "hzname", "hzdept_r", "hzdepb_r", "claytotal_r", "om_r",
+                                         "sandtotal_r")
 
     @cached_property
     def chtexturegrp(self) -> DataFrame:
@@ -224,8 +227,11 @@ class SoilFixture:
             "mustatus": F.col("o_orderstatus"),
             "flodfreqdcd": F.col("o_orderpriority"),
             "hydclprs": F.substring("o_orderpriority", 1, 1),
+            # not the map unit's own symbol and name: a rollup must not mix them up
+            "musym": F.concat(F.lit("a"), (key % 97).cast("string")),
+            "muname": F.concat(F.lit("attributes of "), key.cast("string")),
         }
-        for name in MUAGGATT_TEXT_ONLY:
+        for name in MUAGGATT_TEXT:
             src = text_src.get(name, F.concat(F.lit(name[:3] + "-"), (key % 7).cast("string")))
             cols.append(F.when((key + len(name)) % 13 == 0, F.lit(None).cast("string")).otherwise(src).alias(name))
         return o.select(*cols)
@@ -271,6 +277,46 @@ class SoilFixture:
         )
         return r.select(F.col("r_regionkey").cast("int").alias("aoi_id"), F.inline(pts))
 
+    @cached_property
+    def mupolygon_shapes(self) -> DataFrame:
+        """Polygons with a hole (key % 3 = 1), of two parts (key % 3 = 2), and plain boxes."""
+        mu = self.mapunit.join(self.legend, "lkey")
+        key = F.col("mukey").cast("bigint")
+        x0 = (key % 500) * 10
+        y0 = F.floor(key / 500).cast("bigint") * 10
+
+        def ring(ax: Column, ay: Column, w: int, h: int, hole: bool = False) -> Column:
+            pts = [(ax, ay), (ax + w, ay), (ax + w, ay + h), (ax, ay + h), (ax, ay)]
+            pts = pts[::-1] if hole else pts
+            return F.concat(F.lit("("), F.concat_ws(", ", *[F.concat_ws(" ", x.cast("string"), y.cast("string"))
+                                                            for x, y in pts]), F.lit(")"))
+
+        wkt = (
+            F.when(key % 3 == 1, F.concat(F.lit("POLYGON ("), ring(x0, y0, 12, 12), F.lit(", "),
+                                          ring(x0 + 3, y0 + 3, 6, 6, hole=True), F.lit(")")))
+            .when(key % 3 == 2, F.concat(F.lit("MULTIPOLYGON (("), ring(x0, y0, 4, 4), F.lit("), ("),
+                                         ring(x0 + 6, y0 + 2, 5, 9), F.lit("))")))
+            .otherwise(F.concat(F.lit("POLYGON ("), ring(x0, y0, 12, 12), F.lit(")")))
+        )
+        return mu.select("areasymbol", "mukey", F.concat(F.col("mukey"), F.lit(".s")).alias("poly_id"),
+                         wkt.alias("wkt"))
+
+    @cached_property
+    def aoi_shapes(self) -> DataFrame:
+        """Per region a right triangle (even id) or an L (odd id, not convex); legs along the axes."""
+        r = self._t("region")
+        ax0 = F.col("r_regionkey").cast("double") * 100 + 3.5
+        ay0 = F.col("r_regionkey").cast("double") * 40 + 1.5
+
+        def outline(*corners: tuple[float, float]) -> Column:
+            return F.array(*[F.struct(F.lit(i + 1).alias("seq"), (ax0 + dx).alias("x"), (ay0 + dy).alias("y"))
+                             for i, (dx, dy) in enumerate(corners)])
+
+        triangle = outline((0, 0), (150, 0), (0, 150))
+        bent = outline((0, 0), (200, 0), (200, 60), (80, 60), (80, 130), (0, 130))
+        key = F.col("r_regionkey").cast("int")
+        return r.select(key.alias("aoi_id"), F.inline(F.when(key % 2 == 0, triangle).otherwise(bent)))
+
     # ---- text reports ------------------------------------------------------------
     def report_lines(self, form: str = "project") -> DataFrame:
         """Report text per survey area as (report_id, line_no, line).
@@ -350,17 +396,8 @@ class SoilFixture:
         return {
             name: getattr(self, name)
             for name in ("sacatalog", "legend", "mapunit", "component", "chorizon", "chtexturegrp", "cointerp",
-                         "copmgrp", "muaggatt", "mupolygon", "aoi_points")
+                         "copmgrp", "muaggatt", "mupolygon", "aoi_points", "mupolygon_shapes", "aoi_shapes")
         }
 
 
 REPORT_STOP_LINE = 9_000_000_000_000_000_000
-
-MUAGGATT_TEXT_ONLY = ["mustatus", "flodfreqdcd", "flodfreqmax", "pondfreqprs", "drclassdcd", "drclasswettest",
-                      "hydgrpdcd", "iccdcd", "niccdcd", "engdwobdcd", "engdwbdcd", "engdwbll", "engdwbml",
-                      "engstafdcd", "engstafll", "engstafml", "engsldcd", "engsldcp", "englrsdcd", "engcmssdcd",
-                      "engcmssmp", "urbrecptdcd", "forpehrtdcp", "hydclprs"]
-
-
-def soil_fixture(spark: SparkSession, sf_dir: str) -> SoilFixture:
-    return SoilFixture(spark, sf_dir)

@@ -9,7 +9,7 @@ file, read whole so the line order is exact).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 PROJECT_FIELDS = ["mukey", "skip", "rating", "class", "mukind", "kind"]
@@ -39,23 +39,25 @@ def report_extract(lines: DataFrame, min_lines: int | None = None) -> DataFrame:
 
     Reports without a START line are invalid and yield nothing; with no STOP
     the frame runs to the end.  ``min_lines`` (2 for the area reports)
-    drops reports with fewer framed lines.  The per-report bounds are small
-    aggregates joined back to the lines.
+    drops reports with fewer framed lines.  One aggregate over the marker lines
+    gives each report's bounds (and, over all lines, how many lie within),
+    one join on the report brings them back: two reads of the lines.
     """
     t = lines.select("report_id", "line_no", _strip(F.col("line")).alias("line"))
-    starts = t.filter(F.col("line").contains("START")).groupBy("report_id").agg(F.min("line_no").alias("_start"))
-    with_start = t.join(starts, "report_id", "inner")
-    stops = (
-        with_start.filter((F.col("line") == "STOP") & (F.col("line_no") > F.col("_start")))
-        .groupBy("report_id")
-        .agg(F.min("line_no").alias("_stop"))
+    start = F.min(F.when(F.col("line").contains("START"), F.col("line_no"))).alias("_start")
+    # marker lines only: a report holds a handful of them
+    stops = F.collect_set(F.when(F.col("line") == "STOP", F.col("line_no"))).alias("_stops")
+    marks = t.filter(F.col("line").contains("START") | (F.col("line") == "STOP")).groupBy("report_id").agg(start, stops)
+    bounds = marks.filter(F.col("_start").isNotNull()).select(
+        "report_id", "_start", F.array_min(F.filter("_stops", lambda x: x > F.col("_start"))).alias("_stop")
     )
-    framed = with_start.join(stops, "report_id", "left").filter(
+    framed = t.join(bounds, "report_id", "inner").filter(
         (F.col("line_no") > F.col("_start")) & (F.col("_stop").isNull() | (F.col("line_no") < F.col("_stop")))
     ).select("report_id", "line_no", "line")
     if min_lines:
-        enough = framed.groupBy("report_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_lines)
-        framed = framed.join(enough.select("report_id"), "report_id", "left_semi")
+        # the frame's grouping by report serves the count, no further read or shuffle
+        near = Window.partitionBy("report_id").orderBy("line_no").rowsBetween(-(min_lines - 1), min_lines - 1)
+        framed = framed.withColumn("_n", F.count(F.lit(1)).over(near)).filter(F.col("_n") >= min_lines).drop("_n")
     return framed
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,27 +18,51 @@ SORT_KEYS = {
 }
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, in whatever file system its URI names."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
+def table_path(path: str, name: str) -> str:
+    return f"{path.rstrip('/')}/{name}"
+
+
 def read_soil_tables(spark: SparkSession, path: str, names=None) -> dict[str, DataFrame]:
-    """Load the hierarchy tables under ``path`` (one Parquet folder per table) with declared schemas."""
-    names = names or [n for n in SOIL_SCHEMAS if os.path.exists(os.path.join(path, n))]
-    return {n: spark.read.schema(SOIL_SCHEMAS[n]).parquet(os.path.join(path, n)) for n in names}
+    """Load the hierarchy tables under ``path`` (one Parquet folder per table) with declared schemas.
+
+    ``path`` may be a URI of any file system.  Named tables must exist; by
+    default all that exist are read, and at least one must.
+    """
+    found = [n for n in (names or SOIL_SCHEMAS) if _exists(spark, table_path(path, n))]
+    missing = [n for n in (names or []) if n not in found]
+    if missing or not found:
+        raise FileNotFoundError(f"no soil tables {missing or sorted(SOIL_SCHEMAS)} under {path}")
+    return {n: spark.read.schema(SOIL_SCHEMAS[n]).parquet(table_path(path, n)) for n in found}
 
 
-def write_soil_tables(tables: dict[str, DataFrame], path: str, files: int | None = None) -> None:
-    """Write each table as Parquet (overwrite), ``files`` files each, sorted within files by its filter keys.
+def write_soil_tables(tables: dict[str, DataFrame], path: str, files: int | None = None,
+                      rows_per_file: int = 5_000_000) -> None:
+    """Write each table as Parquet (overwrite), sorted within files by its filter keys.
 
-    ``files`` defaults to twice the default parallelism so a scan keeps every
-    core busy; on a cluster the file count follows the data size instead.
+    Rows are dealt out over ``files`` tasks (twice the default parallelism
+    unless given) by ranges of the sort key, and a task starts a new file after
+    ``rows_per_file`` rows, so files grow in number and not in size with the
+    data.  Columns that a table lacks are NULL.
     """
     for name, df in tables.items():
         n = files or 2 * df.sparkSession.sparkContext.defaultParallelism
-        cols = [f.name for f in SOIL_SCHEMAS[name].fields]
-        out = df.select(*[F.col(c).cast(SOIL_SCHEMAS[name][c].dataType) for c in cols])
+        cols = [
+            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in SOIL_SCHEMAS[name].fields
+        ]
+        out = df.select(*cols)
         if name in SORT_KEYS:
             out = out.repartitionByRange(n, *SORT_KEYS[name]).sortWithinPartitions(*SORT_KEYS[name])
         else:
             out = out.repartition(n)
-        out.write.mode("overwrite").parquet(os.path.join(path, name))
+        out.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(table_path(path, name))
 
 
 class SoilTables:

@@ -5,8 +5,17 @@ from pyspark.sql import functions as F
 from loam.schemas import SOIL_SCHEMAS
 
 
+# columns that the short row makers below fill; the other columns of the stored tables are NULL
+FILLED = {
+    "component": ["cokey", "mukey", "compname", "comppct_r", "majcompflag", "hydricrating", "compkind", "drainagecl"],
+    "chorizon": ["chkey", "cokey", "hzname", "hzdept_r", "hzdepb_r", "claytotal_r", "om_r"],
+}
+
+
 def table(spark, name, rows):
-    return spark.createDataFrame(rows, SOIL_SCHEMAS[name])
+    schema = SOIL_SCHEMAS[name]
+    names = FILLED.get(name, schema.names)
+    return spark.createDataFrame([tuple(dict(zip(names, r)).get(c) for c in schema.names) for r in rows], schema)
 
 
 def mapunits(spark, keys, area="AA001"):

@@ -1,7 +1,9 @@
 """AOI ring, exact clip against brute-force areas, multi-part results (Q19)."""
 
+import numpy as np
 import pytest
 
+from loam.functions.polygons import intersection, parts_area, read_wkt, write_wkt
 from loam.operators import aoi as A
 
 
@@ -32,60 +34,87 @@ def test_clip_triangle_area(spark):
     assert (got[0].minx, got[0].miny, got[0].maxx, got[0].maxy) == (0.0, 0.0, 10.0, 10.0)
 
 
-def test_clip_brute_force_grid():
-    """Area of the clip vs a fine grid count inside both shapes."""
-    import numpy as np
-
-    subject = [(1, 1), (9, 2), (8, 8), (5, 5), (2, 9)]          # concave
-    clip = [(0, 0), (7, 0), (7, 7), (0, 7)]
-    xs, ys, area, parts = A.clip_polygon([p[0] for p in subject], [p[1] for p in subject],
-                                         [p[0] for p in clip], [p[1] for p in clip])
+def _inside(rings, x, y):
+    c = np.zeros_like(x, dtype=bool)
+    for ring in rings:
+        for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1]):
+            if y1 != y2:
+                c ^= ((y1 > y) != (y2 > y)) & (x < (x2 - x1) * (y - y1) / (y2 - y1) + x1)
+    return c
+
+
+SHAPES = {
+    "concave": [[(1, 1), (9, 2), (8, 8), (5, 5), (2, 9)]],
+    "square": [[(0, 0), (7, 0), (7, 7), (0, 7)]],
+    "hole": [[(0, 0), (10, 0), (10, 10), (0, 10)], [(2, 2), (2, 8), (8, 8), (8, 2)]],
+    "two parts": [[(0, 0), (4, 0), (4, 4), (0, 4)], [(6, 1), (9, 1), (9, 9), (6, 9)]],
+    "L": [[(0, 0), (10, 0), (10, 4), (4, 4), (4, 10), (0, 10)]],
+    "U": [[(0, 0), (9, 0), (9, 9), (6, 9), (6, 3), (3, 3), (3, 9), (0, 9)]],
+    "star": [[(5, 0), (6.5, 3.5), (10, 5), (6.5, 6.5), (5, 10), (3.5, 6.5), (0, 5), (3.5, 3.5)]],
+    "sliver": [[(0.3, 4.7), (9.9, 5.2), (9.8, 5.6)]],
+}
+
+
+@pytest.mark.parametrize("first", SHAPES)
+@pytest.mark.parametrize("second", SHAPES)
+def test_intersection_against_a_fine_grid(first, second):
+    a, b = ([[(float(x), float(y)) for x, y in r] for r in SHAPES[k]] for k in (first, second))
+    parts = intersection(a, b)
+    step = 0.02
+    gx, gy = np.meshgrid(np.arange(step / 2, 10, step), np.arange(step / 2, 10, step))
+    want = _inside(a, gx, gy) & _inside(b, gx, gy)
+    got = _inside([r for part in parts for r in part], gx, gy)
+    assert (want != got).sum() * step * step < 0.02
+    assert parts_area(parts) == pytest.approx(want.sum() * step * step, abs=0.1)
+    again = intersection(b, a)
+    assert parts_area(again) == pytest.approx(parts_area(parts), rel=1e-9) and len(again) == len(parts)
 
-    def inside(poly, x, y):
-        n, c = len(poly), np.zeros_like(x, dtype=bool)
-        for i in range(n):
-            (x1, y1), (x2, y2) = poly[i], poly[(i + 1) % n]
-            cond = ((y1 > y) != (y2 > y)) & (x < (x2 - x1) * (y - y1) / (y2 - y1 + 1e-300) + x1)
-            c ^= cond
-        return c
 
-    step = 0.01
-    gx, gy = np.meshgrid(np.arange(step / 2, 10, step), np.arange(step / 2, 10, step))
-    count = (inside(subject, gx, gy) & inside(clip, gx, gy)).sum() * step * step
-    assert area == pytest.approx(count, rel=2e-3) and parts == 1
+def test_read_and_write_wkt():
+    hole = "POLYGON ((0.0 0.0, 9.0 0.0, 9.0 9.0, 0.0 9.0, 0.0 0.0), (2.0 2.0, 2.0 4.0, 4.0 4.0, 4.0 2.0, 2.0 2.0))"
+    everything = [[(-1.0, -1.0), (20.0, -1.0), (20.0, 20.0), (-1.0, 20.0)]]
+    assert write_wkt(intersection(read_wkt(hole), everything)) == hole
+    two = "MULTIPOLYGON (((0 0, 4 0, 4 4, 0 4, 0 0)), ((6 0, 9 0, 9 3, 6 3, 6 0)))"
+    parts = intersection(read_wkt(two), everything)
+    assert parts_area(parts) == 25 and len(parts) == 2 and write_wkt(parts).startswith("MULTIPOLYGON (((0.0 0.0")
+    assert read_wkt("POLYGON EMPTY") == [] and intersection([], everything) == []
 
 
 def test_multi_part_clip_is_detected_and_dropped(spark):
     u_shape = [(0, 0), (30, 0), (30, 30), (20, 30), (20, 10), (10, 10), (10, 30), (0, 30)]
     box = [(0, 20), (30, 20), (30, 40), (0, 40)]
-    xs, ys, area, parts = A.clip_polygon([p[0] for p in u_shape], [p[1] for p in u_shape],
-                                         [p[0] for p in box], [p[1] for p in box])
-    assert area == pytest.approx(200.0) and parts == 2
     wkt = "POLYGON ((" + ", ".join(f"{x} {y}" for x, y in u_shape + u_shape[:1]) + "))"
-    got = A.aoi_clip(_polys(spark, [("A", "1", "1.1", wkt)]), _points(spark, 1, box)).collect()
-    assert got == []   # Q19: only single 'Polygon' results are kept
+    polys, aoi = _polys(spark, [("A", "1", "1.1", wkt)]), _points(spark, 1, box)
+    assert A.aoi_clip(polys, aoi, 10.0).collect() == []   # Q19: only single 'Polygon' results are kept
+    both = A.aoi_clip(polys, aoi, 10.0, single_part=False).collect()
+    assert [(r.area, r.wkt.count("((")) for r in both] == [(200.0, 2)]
+    assert [(r.poly_id, r.area, r.parts) for r in A.aoi_clip_dropped(polys, aoi, 10.0).collect()] == [("1.1", 200.0, 2)]
 
 
-def test_concave_aoi_rejected():
-    with pytest.raises(ValueError):
-        A.clip_polygon([0, 1, 1, 0], [0, 0, 1, 1], [0, 4, 4, 2, 0], [0, 0, 4, 1, 4])
+def test_concave_aoi_and_one_clip_per_pair(spark):
+    polys = _polys(spark, [("A", "1", "1.1", "POLYGON ((0 0, 10 0, 10 10, 0 10, 0 0))")])
+    aoi = _points(spark, 1, [(0, 0), (20, 0), (20, 4), (4, 4), (4, 20), (0, 20)])
+    df = A.aoi_clip(polys, aoi, 10.0)
+    assert [r.area for r in df.collect()] == [64.0]
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("MapInArrow") == 1 and "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 def test_clip_independent_of_partitioning(spark):
     from loam.sources.fixtures import SoilFixture
 
     fx = SoilFixture(spark, "/root/testdata/sf0.001")
-    one = A.aoi_clip(fx.mupolygon.coalesce(1), fx.aoi_points).drop("wkt")
-    many = A.aoi_clip(fx.mupolygon.repartition(7), fx.aoi_points).drop("wkt")
+    one = A.aoi_clip(fx.mupolygon.coalesce(1), fx.aoi_points, 25.0)
+    many = A.aoi_clip(fx.mupolygon.repartition(7), fx.aoi_points, 25.0)
     assert sorted(map(tuple, one.collect())) == sorted(map(tuple, many.collect()))
     assert one.count() > 0
 
 
-def test_grid_join_equals_broadcast_join(spark):
+def test_grid_cell_size_does_not_matter(spark):
     from loam.sources.fixtures import SoilFixture
 
     fx = SoilFixture(spark, "/root/testdata/sf0.001")
-    b = A.aoi_clip(fx.mupolygon, fx.aoi_points).drop("wkt")
+    b = A.aoi_clip(fx.mupolygon, fx.aoi_points, 25.0)
     for cell in (7.0, 50.0, 1000.0):
-        g = A.aoi_clip(fx.mupolygon, fx.aoi_points, grid_cell=cell).drop("wkt")
+        g = A.aoi_clip(fx.mupolygon, fx.aoi_points, cell)
         assert sorted(map(tuple, g.collect())) == sorted(map(tuple, b.collect()))

@@ -35,12 +35,18 @@ def test_sample_features_exact_and_stable(spark):
     b = [r.fid for r in B.sample_features(df.repartition(5), "fid", 50, seed=3).collect()]
     assert len(a) == 50 == len(set(a)) and sorted(a) == sorted(b)
     assert B.sample_features(df.limit(10), "fid", 50).count() == 10
+    wide = [r.fid for r in B.sample_features(spark.range(3_000_000).select(F.col("id").alias("fid")), "fid", 50).collect()]
+    assert len({i % 1000003 for i in wide}) >= 49
 
 
 def test_table_name():
     assert B.table_name("Total Clay - Rep Value", "Weighted Average", 0, 100) == "tbl_Total_Clay_Rep_Value_wtd_avg_0_100"
     assert B.table_name("pH 1:1 water", "Min\\Max", stat="max") == "tbl_pH_1_1_water_min_max_MAX"
     assert B.table_name("0.1 bar H2O", "Dominant Condition") == "tbl_x0_1_bar_H2O_dom_cond"
+    # rules have no depth range; names that clean to one text stay apart
+    assert B.table_name("R-1", "Weighted Average") == "tbl_R_1_wtd_avg"
+    names = B.unique_names(["R-1", "R 1", "S"], [B.table_name(r, "Weighted Average") for r in ("R-1", "R 1", "S")])
+    assert len(set(names.values())) == 3 and names["S"] == "tbl_S_wtd_avg"
 
 
 def test_write_result_roundtrip(spark, scratch):
@@ -65,12 +71,24 @@ def test_resolve_property(spark):
 
 
 def test_text_helpers(spark):
-    from loam.functions.text import rule_name_normalise, unescape_entities
+    from loam.functions.text import any_like, report_rule_name, request_list, text_eq, unescape_entities
 
-    df = spark.createDataFrame([("NSSC:ENG - Roads{:} and \"Streets\"", "a &amp;lt; b &gt; c")], "r string, t string")
-    r = df.select(rule_name_normalise("r").alias("r"), unescape_entities("t").alias("t")).collect()[0]
-    assert r.r == "ENG - Roads; and Streets"
-    assert r.t == "a &lt; b > c"
+    assert report_rule_name("NSSC:ENG - Roads{:} and \"Streets\"") == "ENG - Roads; and Streets"
+    assert report_rule_name("ENG - Roads{:} Streets") == "ENG - Roads; Streets"
+    # the service tools keep a prefix and only read {:} as ;
+    assert request_list(" NSSC:A{:} b ; 'C';; C") == ["NSSC:A; b", "C"]
+    df = spark.createDataFrame([("a &amp;lt; b &gt; c", "YES"), (None, "no")], "t string, f string")
+    got = df.select(unescape_entities("t").alias("t"), text_eq("f", "Yes").alias("y"), any_like("f", ["n%"]).alias("n")).collect()
+    assert [tuple(r) for r in got] == [("a &lt; b > c", True, False), (None, False, True)]
+
+
+def test_flag_filter_reaches_the_scan(spark, scratch):
+    from loam.operators.filters import filter_major
+
+    spark.createDataFrame([("c", "yes"), ("d", "No")], "cokey string, majcompflag string").write.parquet(scratch + "/c")
+    df = filter_major(spark.read.parquet(scratch + "/c"))
+    assert [r.cokey for r in df.collect()] == ["c"]
+    assert "In(majcompflag" in df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_tabular_xml_and_lenient_cast(spark, scratch):
@@ -86,16 +104,6 @@ def test_tabular_xml_and_lenient_cast(spark, scratch):
     assert got == [("1", 2.5, None), ("2", None, 7)]
 
 
-def test_bounded_broadcast_falls_back(spark):
-    from loam.operators.joins import bounded_broadcast
-
-    small = spark.range(5)
-    big = spark.range(50)
-    assert "ResolvedHint" in small.hint("broadcast")._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in bounded_broadcast(small, 10)._jdf.queryExecution().analyzed().toString().lower()
-    assert "broadcast" not in bounded_broadcast(big, 10)._jdf.queryExecution().analyzed().toString().lower()
-
-
 def test_soil_tables_roundtrip(spark, scratch):
     from loam.sources.fixtures import SoilFixture
     from loam.sources.soil_tables import SoilTables, fixture_tables, write_soil_tables
@@ -109,13 +117,59 @@ def test_soil_tables_roundtrip(spark, scratch):
         st.nonexistent
 
 
+def test_soil_tables_by_uri_with_every_property(spark, scratch):
+    from loam.operators import properties as P
+    from loam.operators.joins import mapunit_frame
+    from loam.schemas import HORIZON_PROPERTIES, property_level
+    from loam.sources.fixtures import SoilFixture
+    from loam.sources.soil_tables import SoilTables, read_soil_tables, write_soil_tables
+
+    fx = SoilFixture(spark, "/root/testdata/sf0.001")
+    names = ("legend", "mapunit", "component", "chorizon", "chtexturegrp")
+    write_soil_tables({n: getattr(fx, n) for n in names}, scratch + "/db", files=2, rows_per_file=2000)
+    st = SoilTables(spark, "file://" + scratch + "/db")
+    assert len(HORIZON_PROPERTIES) + 11 == 70 and set(HORIZON_PROPERTIES) < set(st.chorizon.columns)
+    mu = mapunit_frame(st.legend, st.mapunit)
+    wide = P.prop_weighted_avg(mu, st.component, st.chorizon, st.chtexturegrp, ["sandtotal_r", "ksat_r"], 0, 100)
+    assert wide.filter("sandtotal_r > 0").count() > 0
+    assert property_level("hydgrp") == "component" and property_level("ksat_r") == "horizon"
+    with pytest.raises(ValueError, match="hydgrp is a component property"):
+        P.prop_weighted_avg(mu, st.component, st.chorizon, st.chtexturegrp, "hydgrp", 0, 100)
+    with pytest.raises(ValueError, match="ksat_r is a horizon property"):
+        P.prop_dom_cond(mu, st.component, "ksat_r")
+    with pytest.raises(FileNotFoundError):
+        read_soil_tables(spark, "file://" + scratch + "/nothing")
+    with pytest.raises(FileNotFoundError):
+        read_soil_tables(spark, scratch + "/db", ["legend", "cointerp"])
+
+
+def test_checkpoint_folder_must_be_shared_on_a_cluster():
+    from loam.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Session:
+        conf = Conf()
+        sparkContext = type("Context", (), {"master": "spark://head:7077"})()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
+
+
 def test_filter_area_equality_and_like(spark):
-    from loam.operators.filters import filter_area
+    from loam.operators.filters import filter_area, requested_areas
 
     legend = spark.createDataFrame([("1", "IA001"), ("2", "IA015"), ("3", "MN001")], "lkey string, areasymbol string")
     eq = sorted(r.areasymbol for r in filter_area(legend, "IA001; MN001").collect())
-    like = sorted(r.areasymbol for r in filter_area(legend, ["ia0%"], use_like=True).collect())
+    like = sorted(r.areasymbol for r in filter_area(legend, ["ia0%"]).collect())
     assert eq == ["IA001", "MN001"] and like == ["IA001", "IA015"]
+    assert filter_area(legend, ["ia001"], case_sensitive=True).count() == 0
+    wanted = spark.createDataFrame([("mn001",), ("zz999",)], "areasymbol string")
+    assert [r.areasymbol for r in filter_area(legend, wanted).collect()] == ["MN001"]
+    for request in (wanted, "mn001; zz999", ["MN%", "zz999"]):
+        assert sorted(r.areasymbol for r in requested_areas(legend, request).collect()) == ["MN001", "zz999"]
     assert filter_area(legend, None).count() == 3
 
 

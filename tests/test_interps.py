@@ -89,13 +89,15 @@ def test_duplicate_overall_rows_raise(spark):
         I.interp_dom_comp(mu, c, dup, [R1]).collect()
 
 
-def test_reason_is_cut_at_1000_chars(spark):
+def test_reason_is_whole_unless_cut(spark):
     mu = mapunits(spark, ["m1"])
     c = table(spark, "component", [comp("c1", "m1", 100)])
     rows = [_ci("c1", 0, 0.5, "Somewhat limited")] + [_ci("c1", i + 1, i / 1000, f"{i:04d}" + "x" * 60)
                                                        for i in range(40)]
     out = I.interp_weighted_avg(mu, c, table(spark, "cointerp", rows), [R1]).collect()[0]
-    assert len(out.reason) == 1000 and out.reason.startswith("0000")
+    assert out.reason.count("; ") == 39 and out.reason.startswith("0000")
+    cut = I.interp_weighted_avg(mu, c, table(spark, "cointerp", rows), [R1], reason_chars=I.SERVICE_REASON_CHARS)
+    assert cut.collect()[0].reason == out.reason[:1000]
 
 
 def test_suitability_bands(spark):

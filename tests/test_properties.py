@@ -140,7 +140,7 @@ def test_prop_multi_matches_single_runs(spark):
     h = table(spark, "chorizon", [hz("h1", "c1", 0, 30, clay=12.0, om=2.375), hz("h2", "c1", 30, 60, clay=24.0, om=1.0),
                                   hz("h3", "c2", 0, 60, clay=33.0, om=None)])
     t = _tex(spark, ["h1", "h2", "h3"])
-    wide = P.prop_multi(mu, c, h, t, ["claytotal_r", "om_r"], 0, 50).collect()[0]
+    wide = P.prop_multi("Weighted Average", mu, c, h, t, ["claytotal_r", "om_r"], 0, 50).collect()[0]
     for p in ["claytotal_r", "om_r"]:
         single = P.prop_weighted_avg(mu, c, h, t, p, 0, 50).collect()[0]
         assert wide[p] == single[p]

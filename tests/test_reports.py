@@ -33,8 +33,7 @@ def test_project_parse_merge_and_rejects(spark):
         "104|s|0.2|x|mmu|Limitation",                                   # MLRA only: dropped by the merge
         "header line",                                                  # neither kind: ignored
     ]})
-    non, mlra = RS.report_parse_project(framed)
-    merged = {r.mukey: r for r in R.merge_ratings(non, mlra).collect()}
+    merged = {r.mukey: r for r in R.merge_ratings_wide(RS.report_parse_project_wide(framed)).collect()}
     assert set(merged) == {"101", "102"}
     assert merged["101"].n_rating == "0.9" and merged["101"].n_class == "Very limited, wet"
     assert merged["101"].m_rating == "0.7" and merged["101"].int_mukey == 101
