@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loam.llm.common import ready, slot_of, slots, stage
+from loam.llm.common import ready, slices, slot_of, slots, stage, without
 from loam.llm.components import components
 from loam.llm.kernels import lowered, mix, shingles, word_hashes
 
@@ -106,36 +106,39 @@ def _describe(size: int):
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Set size, key and parity sketch of each text."""
         for batch in batches:
-            n, keys, sketch = [], [], []
-            for sh in _sets(batch.column("text").to_pylist(), size):
-                n.append(len(sh))
-                keys.append(set_key(sh) if len(sh) else None)
-                sketch.append(parity_sketch(sh).tolist() if len(sh) else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), pa.array(n, pa.int64()), pa.array(keys, pa.int64()), pa.array(sketch, pa.list_(pa.int64()))],
-                names=["doc", "n", "key", "sketch"],
-            )
+            for part in slices(batch):
+                n, keys, sketch = [], [], []
+                for sh in _sets(part.column("text").to_pylist(), size):
+                    n.append(len(sh))
+                    keys.append(set_key(sh) if len(sh) else None)
+                    sketch.append(parity_sketch(sh).tolist() if len(sh) else None)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc"), pa.array(n, pa.int64()), pa.array(keys, pa.int64()), pa.array(sketch, pa.list_(pa.int64()))],
+                    names=["doc", "n", "key", "sketch"],
+                )
 
     return describe
 
 
 def _index(size: int, percent: int):
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Index entries of each text's set; equal sets of one batch give theirs once (map-side combine)."""
+        """Index entries of each text's set; equal sets of one task give theirs once (map-side combine)."""
+        done: set[int] = set()
         for batch in batches:
-            sigs, keys, done = [], [], set()
-            for sh in _sets(batch.column("text").to_pylist(), size):
-                key = set_key(sh) if len(sh) else None
-                if key is None or key in done:
-                    continue
-                done.add(key)
-                s = signatures(sh, percent)
-                sigs.append(s)
-                keys.append(np.full(len(s), key))
-            if sigs:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.concatenate(keys))], names=["sig", "key"]
-                )
+            for part in slices(batch):
+                sigs, keys = [], []
+                for sh in _sets(part.column("text").to_pylist(), size):
+                    key = set_key(sh) if len(sh) else None
+                    if key is None or key in done:
+                        continue
+                    done.add(key)
+                    s = signatures(sh, percent)
+                    sigs.append(s)
+                    keys.append(np.full(len(s), key))
+                if sigs:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.concatenate(keys))], names=["sig", "key"]
+                    )
 
     return index
 
@@ -144,11 +147,12 @@ def _elements(size: int):
     def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Key and sorted shingle hashes of each text."""
         for batch in batches:
-            sets = [sh for sh in _sets(batch.column("text").to_pylist(), size) if len(sh)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([set_key(sh) for sh in sets], pa.int64()), pa.array([sh.view(np.int64) for sh in sets], pa.list_(pa.int64()))],
-                names=["key", "items"],
-            )
+            for part in slices(batch):
+                sets = [sh for sh in _sets(part.column("text").to_pylist(), size) if len(sh)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([set_key(sh) for sh in sets], pa.int64()), pa.array([sh.view(np.int64) for sh in sets], pa.list_(pa.int64()))],
+                    names=["key", "items"],
+                )
 
     return elements
 
@@ -156,26 +160,26 @@ def _elements(size: int):
 class _Verifier:
     """Exact check of candidate pairs of keys."""
 
-    def __init__(self, docs: DataFrame, described: DataFrame, size: int, percent: int):
-        self.docs, self.size, self.percent = docs, size, percent
-        self.nodes = described.where("key is not null").groupBy("key").agg(
-            F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
-        )
+    def __init__(self, docs: DataFrame, nodes: DataFrame, size: int, percent: int):
+        self.docs, self.nodes, self.size, self.percent = docs, nodes, size, percent
 
-    def __call__(self, pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs (``a``, ``b``) whose sets are linked."""
-        node = lambda c: self.nodes.select(*[F.col(x).alias(f"{x}_{c}") for x in ("key", "n", "sketch")])
-        sized = pairs.join(node("a"), F.col("a") == F.col("key_a")).join(node("b"), F.col("b") == F.col("key_b"))
-        both = F.col("n_a") + F.col("n_b")
-        least_differing = sum(
-            F.bit_count(F.col("sketch_a")[i].bitwiseXOR(F.col("sketch_b")[i])) for i in range(SKETCH)
+    def may_link(self, a: str, b: str):
+        """Whether sizes and parity sketches of struct columns ``a`` and ``b`` leave room for a link.
+
+        The sketches' differing bits are a lower bound of the elements in
+        which the sets differ, so no linked pair fails.
+        """
+        n_a, n_b = F.col(f"{a}.n"), F.col(f"{b}.n")
+        differing = sum(
+            F.bit_count(F.col(f"{a}.sketch")[i].bitwiseXOR(F.col(f"{b}.sketch")[i])) for i in range(SKETCH)
         )
-        near = stage(
-            sized.where(100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b"))
-            .where((100 + self.percent) * least_differing <= (100 - self.percent) * both)
-            .select("a", "b", "n_a", "n_b"),
-            f"{name}-near",
+        return (100 * F.least(n_a, n_b) >= self.percent * F.greatest(n_a, n_b)) & (
+            (100 + self.percent) * differing <= (100 - self.percent) * (n_a + n_b)
         )
+
+    def __call__(self, pairs: DataFrame, name: str) -> DataFrame:
+        """The pairs (``a``, ``b``, with set sizes ``n_a``, ``n_b``) whose sets are linked."""
+        near = stage(pairs.distinct(), f"{name}-near")
         keys = near.select(F.col("a").alias("key")).union(near.select("b")).distinct()
         chosen = self.nodes.join(keys, "key", "left_semi")
         texts = self.docs.withColumn("_slot", slot_of("doc", n=DOC_SLOTS)).join(
@@ -200,33 +204,55 @@ def ngram_links(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     equal sets share a key.  The second has pairs ``a, b`` of keys: every
     linked pair is a link or lies within one component of the links.
 
-    In a bucket (one index entry), every set is paired with the least only.
-    Where that leaves sets outside the least one's component, those are paired
-    with all sets of the bucket that lie in another component, so a family of
-    ``k`` near copies costs about ``k`` pairs and no link between components
-    is lost.
+    In a bucket (one index entry), every set is first paired with the bucket's
+    hub only: the set that shares the most buckets with others, so of a family
+    of near copies the one with the fewest changes.  Sets that this leaves
+    outside the hub's component are then paired with all sets of the bucket
+    that lie in another component.  So a family of ``k`` near copies costs
+    about ``k`` pairs, and no link between components is lost.  Both joins hold
+    the pair against sizes and sketches before it becomes a row.
     """
-    described = stage(docs.mapInArrow(_describe(size), f"doc {docs.schema['doc'].dataType.simpleString()}, n long, key long, sketch array<long>"), "jaccard-sets")
-    verify = _Verifier(docs, described, size, percent)
+    kind = docs.schema["doc"].dataType.simpleString()
+    described = stage(docs.mapInArrow(_describe(size), f"doc {kind}, n long, key long, sketch array<long>"), "jaccard-sets")
+    nodes = described.where("key is not null").groupBy("key").agg(
+        F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
+    )
+    verify = _Verifier(docs, nodes, size, percent)
     index = docs.select("text").mapInArrow(_index(size, percent), "sig long, key long")
-    in_order = Window.partitionBy("sig").orderBy("key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    bucket = Window.partitionBy("sig")
+    several = F.min("key").over(bucket) != F.max("key").over(bucket)
+    entries = stage(
+        index.withColumn("_several", several).where("_several").select("sig", "key").distinct(), "jaccard-buckets"
+    )
+    sizes = entries.groupBy("sig").count()
+    rank = entries.join(sizes, "sig").groupBy("key").agg(F.sum("count").alias("rank"))
     members = stage(
-        index.withColumn("pivot", F.min("key").over(in_order)).where("key <> pivot").distinct(), "jaccard-buckets"
+        entries.join(rank.join(nodes, "key"), "key").select("sig", "rank", F.struct("key", "n", "sketch").alias("set")),
+        "jaccard-members",
+    )
+    hubs = members.groupBy("sig").agg(F.max_by("set", F.struct("rank", "set.key")).alias("hub"))
+    stars = members.join(hubs, "sig").where((F.col("set.key") != F.col("hub.key")) & verify.may_link("set", "hub"))
+    pair = lambda x, y: [
+        F.when(F.col(f"{x}.key") < F.col(f"{y}.key"), F.col(f"{x}.{c}")).otherwise(F.col(f"{y}.{c}")).alias(n)
+        for c, n in (("key", "a"), ("n", "n_a"))
+    ] + [
+        F.when(F.col(f"{x}.key") < F.col(f"{y}.key"), F.col(f"{y}.{c}")).otherwise(F.col(f"{x}.{c}")).alias(n)
+        for c, n in (("key", "b"), ("n", "n_b"))
+    ]
+    links = verify(stars.select(*pair("set", "hub")), "jaccard-stars")
+    roots = components(links, "jaccard-star-parts").withColumnRenamed("node", "_node")
+    placed = stage(
+        members.join(roots, F.col("set.key") == F.col("_node"), "left").select(
+            "sig", "rank", "set", F.coalesce("root", "set.key").alias("part")
+        ),
+        "jaccard-placed",
     )
-    stars = members.select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct()
-    links = verify(stars, "jaccard-stars")
-    roots = components(links, "jaccard-star-parts")
-
-    def rooted(df: DataFrame, key: str, out: str) -> DataFrame:
-        r = roots.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
-        return df.join(r, F.col(key) == F.col("_node"), "left").withColumn(out, F.coalesce("_root", key)).drop("_node", "_root")
-
-    placed = stage(rooted(rooted(members, "key", "part"), "pivot", "pivot_part"), "jaccard-placed")
-    stray = placed.where("part <> pivot_part").select("sig", F.col("key").alias("a"), F.col("part").alias("part_a"))
-    rest = placed.select("sig", F.col("key").alias("b"), F.col("part").alias("part_b"))
-    cross = stray.join(rest, "sig").where("a <> b and part_a <> part_b")
-    pairs = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = verify(pairs, "jaccard-cross")
+    hub_part = placed.groupBy("sig").agg(F.max_by("part", F.struct("rank", "set.key")).alias("hub_part"))
+    stray = placed.join(hub_part, "sig").where("part <> hub_part").select("sig", "set", "part")
+    rest = placed.select("sig", F.col("set").alias("other"), F.col("part").alias("other_part"))
+    apart = (F.col("s.sig") == F.col("r.sig")) & (F.col("part") != F.col("other_part")) & verify.may_link("set", "other")
+    cross = stray.alias("s").join(rest.alias("r"), apart)
+    more = verify(cross.select(*pair("set", "other")), "jaccard-cross")
     return described, links.unionByName(more)
 
 
@@ -274,5 +300,4 @@ def ngram_jaccard_join(
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one document of each class of :func:`ngram_jaccard_join`, the one of least id; all columns kept."""
     classes = ngram_jaccard_join(docs, id_col, text_col, **options)
-    gone = classes.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone"))
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    return without(docs, docs[id_col], classes.where(F.col(id_col) != F.col("component_id")).select(id_col))
