@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from loam.schemas import SOIL_SCHEMAS
 
+AREA = "areasymbol"
+AREA_TABLES = ("mapunit", "component", "chorizon", "chtexturegrp", "cointerp", "copmgrp")
+
 # Sort keys inside each file so Parquet min/max statistics prune row groups
 # for the usual filters (rule name and depth on cointerp, keys elsewhere).
 SORT_KEYS = {
@@ -29,28 +33,60 @@ def table_path(path: str, name: str) -> str:
     return f"{path.rstrip('/')}/{name}"
 
 
-def read_soil_tables(spark: SparkSession, path: str, names=None) -> dict[str, DataFrame]:
+def _by_area(spark: SparkSession, path: str) -> bool:
+    """Whether a stored table has one folder per survey area."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    found = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(where)
+    return any(f.getPath().getName().startswith(f"{AREA}=") for f in found)
+
+
+def read_soil_tables(spark: SparkSession, path: str, names=None, areas=None) -> dict[str, DataFrame]:
     """Load the hierarchy tables under ``path`` (one Parquet folder per table) with declared schemas.
 
     ``path`` may be a URI of any file system.  Named tables must exist; by
-    default all that exist are read, and at least one must.
+    default all that exist are read, and at least one must.  ``areas`` (exact
+    survey areas) leaves out the folders of other areas in tables that are
+    stored by area.
     """
     found = [n for n in (names or SOIL_SCHEMAS) if _exists(spark, table_path(path, n))]
     missing = [n for n in (names or []) if n not in found]
     if missing or not found:
         raise FileNotFoundError(f"no soil tables {missing or sorted(SOIL_SCHEMAS)} under {path}")
-    return {n: spark.read.schema(SOIL_SCHEMAS[n]).parquet(table_path(path, n)) for n in found}
+    out = {}
+    for n in found:
+        where, schema = table_path(path, n), SOIL_SCHEMAS[n]
+        if n in AREA_TABLES and _by_area(spark, where):
+            df = spark.read.schema(StructType([*schema.fields, StructField(AREA, StringType())])).parquet(where)
+            out[n] = (df if areas is None else df.filter(F.col(AREA).isin(list(areas)))).drop(AREA)
+        else:
+            out[n] = spark.read.schema(schema).parquet(where)
+    return out
+
+
+def area_keys(tables: dict[str, DataFrame]) -> dict[str, tuple[str, DataFrame]]:
+    """For each table that is stored by area: its key column, and the area of each key."""
+    units = tables["mapunit"].join(tables["legend"], "lkey").select("mukey", AREA)
+    comps = tables["component"].join(units, "mukey").select("cokey", AREA)
+    keys = {"mapunit": ("mukey", units), "component": ("mukey", units)}
+    keys |= {n: ("cokey", comps) for n in ("chorizon", "cointerp", "copmgrp")}
+    if "chorizon" in tables:
+        keys["chtexturegrp"] = ("chkey", tables["chorizon"].join(comps, "cokey").select("chkey", AREA))
+    return keys
 
 
 def write_soil_tables(tables: dict[str, DataFrame], path: str, files: int | None = None,
-                      rows_per_file: int = 5_000_000) -> None:
+                      rows_per_file: int = 5_000_000, by_area: bool = False) -> None:
     """Write each table as Parquet (overwrite), sorted within files by its filter keys.
 
     Rows are dealt out over ``files`` tasks (twice the default parallelism
     unless given) by ranges of the sort key, and a task starts a new file after
     ``rows_per_file`` rows, so files grow in number and not in size with the
-    data.  Columns that a table lacks are NULL.
+    data.  Columns that a table lacks are NULL.  ``by_area`` gives the tables
+    of the hierarchy a folder per survey area, so that a request for some
+    areas reads only theirs.
     """
+    keys = area_keys(tables) if by_area else {}
     for name, df in tables.items():
         n = files or 2 * df.sparkSession.sparkContext.defaultParallelism
         cols = [
@@ -58,18 +94,24 @@ def write_soil_tables(tables: dict[str, DataFrame], path: str, files: int | None
             for f in SOIL_SCHEMAS[name].fields
         ]
         out = df.select(*cols)
-        if name in SORT_KEYS:
-            out = out.repartitionByRange(n, *SORT_KEYS[name]).sortWithinPartitions(*SORT_KEYS[name])
+        order = SORT_KEYS.get(name, [])
+        if name in keys:
+            key, of = keys[name]
+            out = out.join(of, key, "left")
+            order = [AREA, *order]
+        if order:
+            out = out.repartitionByRange(n, *order).sortWithinPartitions(*order)
         else:
             out = out.repartition(n)
-        out.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(table_path(path, name))
+        writer = out.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
+        (writer.partitionBy(AREA) if name in keys else writer).parquet(table_path(path, name))
 
 
 class SoilTables:
     """Attribute access to stored soil tables, shaped like the fixture object the plans take."""
 
-    def __init__(self, spark: SparkSession, path: str):
-        self._t = read_soil_tables(spark, path)
+    def __init__(self, spark: SparkSession, path: str, areas=None):
+        self._t = read_soil_tables(spark, path, areas=areas)
 
     def __getattr__(self, name: str) -> DataFrame:
         try:

@@ -143,6 +143,27 @@ def test_soil_tables_by_uri_with_every_property(spark, scratch):
         read_soil_tables(spark, scratch + "/db", ["legend", "cointerp"])
 
 
+def test_tables_by_area_read_only_their_folders(spark, scratch):
+    from loam.operators import properties as P
+    from loam.operators.joins import mapunit_frame
+    from loam.sources.fixtures import SoilFixture
+    from loam.sources.soil_tables import SoilTables, write_soil_tables
+
+    fx = SoilFixture(spark, "/root/testdata/sf0.001")
+    names = ("legend", "mapunit", "component", "chorizon", "chtexturegrp", "cointerp", "copmgrp")
+    write_soil_tables({n: getattr(fx, n) for n in names}, scratch, files=3, by_area=True)
+    every, two = SoilTables(spark, scratch), SoilTables(spark, scratch, ["NC001", "NC003"])
+    for n in names:
+        assert getattr(every, n).count() == getattr(fx, n).count()
+    legend = two.legend.filter("areasymbol in ('NC001', 'NC003')")
+    got = P.prop_weighted_avg(mapunit_frame(legend, two.mapunit), two.component, two.chorizon, two.chtexturegrp, "om_r", 0, 100)
+    whole = P.prop_weighted_avg(mapunit_frame(fx.legend, fx.mapunit), fx.component, fx.chorizon, fx.chtexturegrp, "om_r", 0, 100)
+    want = whole.filter("areasymbol in ('NC001', 'NC003')")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    plan = two.chorizon._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [areasymbol" in plan
+
+
 def test_checkpoint_folder_must_be_shared_on_a_cluster():
     from loam.session import ensure_checkpoint_dir
 

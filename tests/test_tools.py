@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def _rows(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
 def test_property_tool_weighted(spark, scratch):
