@@ -11,6 +11,7 @@ HYDRIC_COUNT_COLUMNS = ["comp_count", "count_maj_comp", "all_hydric", "maj_hydri
 
 def hydric_rating(c=F.col) -> Column:
     """First matching rule wins; 'Error' is kept verbatim."""
+    # The ratings and the order and bounds of their rules.
     return (
         F.when(c("comp_count") == c("all_not_hydric") + c("hydric_null"), F.lit("Nonhydric"))
         .when(c("comp_count") == c("all_hydric"), F.lit("Hydric"))
