@@ -15,7 +15,7 @@ from loam.llm.mixing import mix_sources
 from loam.llm.ngram_join import ngram_jaccard_join
 from loam.llm.quality_classifier import quality_classifier
 from loam.llm.quality_rules import quality_rules
-from loam.llm.sentencepiece_codec import decode, encode
+from loam.llm.sentencepiece_codec import encode
 from loam.llm.suffix_dedup import suffix_dedup
 from loam.llm.url_filter import url_filter
 
@@ -52,7 +52,7 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, and a digest of the text that they decode to."""
-    return decode(encode(table(spark, sf_dir, "documents"))).select(
+    return encode(table(spark, sf_dir, "documents"), decoded=True).select(
         "doc_id", "n_ids", "ids", F.sha2("text", 256).alias("decoded_sha256")
     )
 

@@ -21,6 +21,8 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +32,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from loam.llm.common import ready, stage
+from loam.llm.common import ready, slices, stage
 from loam.session import ensure_checkpoint_dir
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Characters of text whose distinct words are numbered together; a longer text is a chunk by itself.
-CHUNK_CHARS = 32_000_000
+CHUNK_CHARS = 4_000_000
+#: Hash buckets of words for each shuffle partition, so that partitions fill evenly.
+BUCKETS_PER_PARTITION = 16
 #: Words up to this length are folded in SQL (places fit one long), longer ones by :func:`merge_long`.
 FOLD_CHARS = 60
 #: A unigram model's penalty for a character that is no piece, below its least score.
@@ -58,6 +62,11 @@ class Vocabulary:
     def longest(self) -> int:
         return max(len(p) for p, ok in zip(self.pieces, self.normal) if ok)
 
+    @property
+    def pairs(self) -> frozenset[str]:
+        """Neighbouring characters that occur in some piece; no piece goes over any other pair."""
+        return frozenset(p[i : i + 2] for p, ok in zip(self.pieces, self.normal) if ok for i in range(len(p) - 1))
+
     @property
     def ids(self) -> dict[str, int]:
         return {p: i for i, (p, ok) in enumerate(zip(self.pieces, self.normal)) if ok}
@@ -99,6 +108,12 @@ def words_of(text: str) -> list[str]:
     return _WORDS.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
 
+def units_of(word: str, pairs: frozenset[str]) -> list[str]:
+    """A word cut where no piece can go on: its units are encoded apart, with the same result."""
+    cuts = [i for i, pair in enumerate(map(add, word, word[1:]), 1) if pair not in pairs]
+    return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)])] if cuts else [word]
+
+
 def merge_long(word: str, vocabulary: Vocabulary) -> list[int]:
     """Ids of one word by merging the best neighbours first (any length, runs of spaces included)."""
     ids, scores = _ids_of(vocabulary), vocabulary.scores
@@ -163,17 +178,21 @@ def _fallback(char: str, vocabulary: Vocabulary) -> list[int]:
 # --- numbering the words of a chunk -------------------------------------------------------------
 
 
-def pack(numbers: np.ndarray) -> bytes:
-    """Numbers as groups of 7 bits, low group first, the high bit set where more follow."""
+def pack(numbers: np.ndarray, ends: np.ndarray | None = None) -> bytes | list[bytes]:
+    """Numbers as groups of 7 bits, low group first, the high bit set where more follow; a list of such, cut at ``ends``."""
     n = numbers.astype(np.uint64)
     size = 1 + sum((n >= np.uint64(1 << (7 * k))).astype(np.int64) for k in range(1, 5))
-    ends = np.cumsum(size)
-    out = np.zeros(int(ends[-1]) if len(n) else 0, np.uint8)
+    after = np.cumsum(size)
+    out = np.zeros(int(after[-1]) if len(n) else 0, np.uint8)
     for k in range(5):
         has = size > k
         more = (size > k + 1)[has].astype(np.uint8) << 7
-        out[(ends - size)[has] + k] = ((n[has] >> np.uint64(7 * k)) & np.uint64(127)).astype(np.uint8) | more
-    return out.tobytes()
+        out[(after - size)[has] + k] = ((n[has] >> np.uint64(7 * k)) & np.uint64(127)).astype(np.uint8) | more
+    if ends is None:
+        return out.tobytes()
+    cuts = np.concatenate(([0], after))[np.concatenate(([0], ends))].tolist()
+    data = out.tobytes()
+    return [data[x:y] for x, y in zip(cuts, cuts[1:])]
 
 
 def unpack(data: bytes) -> np.ndarray:
@@ -186,8 +205,8 @@ def unpack(data: bytes) -> np.ndarray:
     return np.add.reduceat((b & 127).astype(np.int64) << (7 * place), first)
 
 
-def _chunks(buckets: int, chunk_chars: int, kind: pa.DataType):
-    """Per document its words' numbers in its chunk; per chunk and bucket the distinct words, in number order."""
+def _chunks(buckets: int, chunk_chars: int, kind: pa.DataType, pairs: frozenset[str]):
+    """Per document its units' numbers in its chunk; per chunk and bucket the distinct units, sorted, and their numbers."""
 
     def flush(chunk, numbers):
         by_bucket: dict[int, list[str]] = {}
@@ -204,7 +223,8 @@ def _chunks(buckets: int, chunk_chars: int, kind: pa.DataType):
                     pa.nulls(1, kind),
                     pa.nulls(1, pa.binary()),
                     pa.array([b], pa.int32()),
-                    pa.array([[words[i] for i in order]], pa.list_(pa.string())),
+                    # one text, which shuffles well: the chunk, then the words; a line break stands alone, as the empty line
+                    pa.array(["\n".join([str(chunk), *(words[i] if words[i] != "\n" else "" for i in order)])], pa.string()),
                     pa.array([pack(np.array([where[b][i] for i in order]))], pa.binary()),
                 ],
                 names=["chunk", "doc", "units", "bucket", "words", "numbers"],
@@ -213,20 +233,32 @@ def _chunks(buckets: int, chunk_chars: int, kind: pa.DataType):
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = TaskContext.get().partitionId() << 32
         numbers: dict[str, int] = {}
+        known: dict[str, list[int]] = {}
         size = 0
-        for batch in batches:
-            start, owner, packed = 0, [], []
-            for text in batch.column("text").to_pylist():
-                text = text or ""
-                if size and size + len(text) > chunk_chars:
-                    yield from flush(chunk, numbers)
-                    chunk, numbers, size = chunk + 1, {}, 0
-                size += len(text) or 1
-                packed.append(pack(np.array([numbers.setdefault(w, len(numbers)) for w in words_of(text)], np.int64)))
-                owner.append(chunk)
+        for batch in (part for whole in batches for part in slices(whole)):
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            if size and size + sum(map(len, texts)) > chunk_chars:
+                yield from flush(chunk, numbers)
+                chunk, numbers, known, size = chunk + 1, {}, {}, 0
+            size += sum(map(len, texts)) + 1
+            words = [words_of(t) for t in texts]
+            coded = pa.array(list(chain.from_iterable(words)), pa.string()).dictionary_encode()
+            distinct, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+            for word in distinct:
+                if word not in known:
+                    known[word] = [numbers.setdefault(u, len(numbers)) for u in units_of(word, pairs)]
+            own = [known[w] for w in distinct]
+            sizes = np.fromiter(map(len, own), np.int64, len(own))
+            units = np.fromiter(chain.from_iterable(own), np.int64)
+            # every word's units one after another
+            each = sizes[at]
+            after = np.cumsum(each)
+            place = np.repeat((np.cumsum(sizes) - sizes)[at] - (after - each), each) + np.arange(int(each.sum()))
+            ends = np.concatenate(([0], after))[np.cumsum([len(w) for w in words], dtype=np.int64)]
+            packed = pack(units[place], ends)
             n = len(packed)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(owner, pa.int64()), batch.column("doc"), pa.array(packed, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.list_(pa.string())), pa.nulls(n, pa.binary())],
+                [pa.array(np.full(n, chunk)), batch.column("doc"), pa.array(packed, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.string()), pa.nulls(n, pa.binary())],
                 names=["chunk", "doc", "units", "bucket", "words", "numbers"],
             )
         if numbers:
@@ -249,7 +281,7 @@ def piece_table(spark: SparkSession, vocabulary: Vocabulary, empty: bool = False
 
 
 def _merge_fold(edges: Column, length: Column) -> Column:
-    """Piece boundaries, as bits, after merging along ``edges`` (best score first, then from the left).
+    """Piece boundaries after merging along ``edges`` (best score first, then from the left).
 
     A piece is merged when both its ends are boundaries and exactly one boundary lies between them.
     """
@@ -261,11 +293,16 @@ def _merge_fold(edges: Column, length: Column) -> Column:
         return F.when(ends & one, bits - between).otherwise(bits)
 
     every = F.call_function("shiftleft", F.lit(1).cast("long"), (length + 1).cast("int")) - 1
-    return F.aggregate(edges, every, step)
+    # the bits become a list inside the fold: outside, the optimizer would put the fold into the list's condition
+    return F.aggregate(edges, every, step, lambda bits: _places(bits, length))
+
+
+def _places(bits: Column, length: Column) -> Column:
+    return F.filter(F.sequence(F.lit(0), length), lambda i: F.getbit(bits, i) == 1)
 
 
 def _viterbi_fold(edges: Column, length: Column) -> Column:
-    """Piece boundaries, as bits, of the path of the greatest sum of scores over ``edges`` (by end, then start)."""
+    """Piece boundaries of the path of the greatest sum of scores over ``edges`` (by end, then start)."""
     start = F.transform(F.sequence(F.lit(0), length.cast("int")), lambda i: F.when(i == 0, F.lit(0.0)).otherwise(F.lit(float("-inf"))))
     bits = F.transform(F.sequence(F.lit(0), length.cast("int")), lambda i: F.lit(1).cast("long"))
 
@@ -276,11 +313,14 @@ def _viterbi_fold(edges: Column, length: Column) -> Column:
         put = lambda old, new: F.transform(old, lambda v, i: F.when(better & (i == e["hi"]), new).otherwise(v))
         return F.struct(put(state["best"], total).alias("best"), put(state["bits"], path).alias("bits"))
 
-    return F.aggregate(edges, F.struct(start.alias("best"), bits.alias("bits")), step, lambda s: F.element_at(s["bits"], -1))
+    return F.aggregate(edges, F.struct(start.alias("best"), bits.alias("bits")), step, lambda s: _places(F.element_at(s["bits"], -1), length))
+
 
+def encode_words(words: DataFrame, vocabulary: Vocabulary) -> tuple[DataFrame, DataFrame]:
+    """``bucket, word, ids`` of distinct ``bucket, word`` rows, which are grouped by ``bucket`` already.
 
-def encode_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """``bucket, word, ids`` of distinct ``bucket, word`` rows, which are grouped by ``bucket`` already."""
+    Two tables: words folded in SQL, which keep that grouping, and the others (very long words, runs of spaces).
+    """
     pieces = piece_table(words.sparkSession, vocabulary)
     n = F.length("word")
     plain = (n <= FOLD_CHARS) & ~F.col("word").startswith(SPACE + SPACE)
@@ -313,10 +353,9 @@ def encode_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     folded = (
         matched.groupBy("bucket", "word")
         .agg(F.sort_array(F.collect_list(F.when(real, edge))).alias("edges"))
-        .select("bucket", "word", fold(F.col("edges"), n).alias("bits"))
+        .select("bucket", "word", fold(F.col("edges"), n).alias("cuts"))
     )
-    cuts = F.filter(F.sequence(F.lit(0), n), lambda i: F.getbit("bits", i) == 1)
-    parts = folded.select("bucket", "word", cuts.alias("cuts")).select(
+    parts = folded.select(
         "bucket",
         "word",
         F.posexplode(
@@ -350,22 +389,30 @@ def encode_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("bucket"), batch.column("word"), pa.array(found, pa.list_(pa.int32()))], names=["bucket", "word", "ids"])
 
     rest = words.where(~plain).mapInArrow(long_words, "bucket int, word string, ids array<int>")
-    return sql.unionByName(rest)
+    return sql, rest
 
 
 # --- encoding and decoding ----------------------------------------------------------------------
 
 
+#: Settings for the steps within buckets: rows grouped by some of a join's keys are not dealt out again by all of
+#: them, and lists are collected in a hash table up to the words of a usual partition (sorted and merged beyond).
+_SETTINGS = {
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "50000",
+}
+
+
 @contextmanager
 def _grouping_kept(spark: SparkSession):
-    """While plans are made: rows grouped by some of a join's keys are not dealt out again by all of them."""
-    key = "spark.sql.requireAllClusterKeysForCoPartition"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")
+    before = {k: spark.conf.get(k) for k in _SETTINGS}
+    for k, v in _SETTINGS.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def _by_chunk(rows: DataFrame, buckets: int) -> DataFrame:
@@ -379,12 +426,22 @@ def _by_chunk(rows: DataFrame, buckets: int) -> DataFrame:
     return found
 
 
-def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
+def encode(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    model: str = MODEL,
+    chunk_chars: int = CHUNK_CHARS,
+    decoded: bool = False,
+) -> DataFrame:
     """Piece ids of every whole text: ``id_col, ids, n_ids``, one row per input row, as the model's own encoder gives them.
 
-    1. Texts become numbers of words, numbered by chunk (some MB of text); the
-       chunk's distinct words are dealt out by hash bucket, so a word costs one
-       row per chunk, however often it occurs.
+    With ``decoded`` also ``text``, decoded from the ids in the same pass (see :func:`decode`).
+
+    1. Texts become numbers of words, numbered by chunk (some MB of text) and
+       cut where no piece goes on (:func:`units_of`); the chunk's distinct words
+       are dealt out by hash bucket, so a word costs one entry per chunk,
+       however often it occurs.
     2. Within a bucket the corpus's distinct words go through the lattice
        (:func:`encode_words`).  The bucket's grouping serves every step, there
        is no further shuffle.
@@ -400,36 +457,53 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
     spark = docs.sparkSession
     ready(spark)
     vocabulary = load_vocabulary(model)
-    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    partitions = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = partitions * BUCKETS_PER_PARTITION
     kind = docs.schema[id_col].dataType
     base = docs.select(docs[id_col].alias("doc"), docs[text_col].alias("text"))
     rows = base.mapInArrow(
-        _chunks(buckets, chunk_chars, to_arrow_type(kind)),
-        f"chunk long, doc {kind.simpleString()}, units binary, bucket int, words array<string>, numbers binary",
+        _chunks(buckets, chunk_chars, to_arrow_type(kind), vocabulary.pairs),
+        f"chunk long, doc {kind.simpleString()}, units binary, bucket int, words string, numbers binary",
     )
-    staged = _by_chunk(rows, buckets)
-    dealt = staged.where("words is not null").select("chunk", "bucket", "words").repartition(buckets, "bucket")
-    listed = dealt.select("bucket", "chunk", F.posexplode("words").alias("pos", "word"))
+    staged = _by_chunk(rows, partitions)
+    # four tasks for each partition: a word's lattice takes more memory than the word
+    # (the text is the one column beside the bucket, so that all steps below share one shuffle)
+    dealt = staged.where("words is not null").select("bucket", "words").repartition(4 * partitions, "bucket")
+    lines = F.split("words", "\n")
+    rest = F.transform(F.slice(lines, 2, F.size(lines)), lambda w: F.when(w == "", F.lit("\n")).otherwise(w))
+    # read the text before the explode: beside it, it would be split again for every word
+    read = dealt.select("bucket", F.substring_index("words", "\n", 1).cast("long").alias("chunk"), rest.alias("rest"))
+    listed = read.select("bucket", "chunk", F.posexplode("rest").alias("pos", "word"))
+    width = 2 if len(vocabulary.pieces) <= 1 << 16 else 4
+    digits = lambda i: F.lpad(F.hex(i), 2 * width, "0")
     with _grouping_kept(spark):
-        encoded = encode_words(listed.select("bucket", "word").distinct(), vocabulary)
-        encoded = stage(encoded, "piece-words")
-        replies = (
-            listed.join(encoded, ["bucket", "word"])
-            .groupBy("bucket", "chunk")
-            .agg(F.sort_array(F.collect_list(F.struct("pos", "ids"))).alias("found"))
-            .select("chunk", "bucket", F.transform("found.ids", lambda x: F.size(x)).alias("sizes"), F.flatten("found.ids").alias("ids"))
-        )
+        replies = None
+        for encoded in encode_words(listed.select("bucket", "word").distinct(), vocabulary):
+            some = (
+                listed.join(encoded, ["bucket", "word"])
+                .groupBy("bucket", "chunk")
+                .agg(F.sort_array(F.collect_list(F.struct("pos", "ids"))).alias("found"))
+                .select(
+                    "chunk",
+                    "bucket",
+                    F.col("found.pos").alias("pos"),
+                    F.transform("found.ids", lambda x: F.size(x)).alias("sizes"),
+                    F.unhex(F.array_join(F.transform(F.flatten("found.ids"), digits), "")).alias("ids"),
+                )
+            )
+            replies = some if replies is None else replies.unionByName(some)
         replies = stage(replies, "piece-replies")
     texts = staged.select("chunk", "doc", "units", "bucket", "numbers")
+    spelled = spellings(vocabulary) if decoded else []
 
     def together(left: pa.Table, right: pa.Table) -> pa.Table:
         """One chunk: number -> ids, then every text's ids."""
         numbered = {b: n for b, n in zip(left.column("bucket").to_pylist(), left.column("numbers").to_pylist()) if b is not None}
         number, sizes, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
-        for b, s, i in zip(right.column("bucket").to_pylist(), right.column("sizes"), right.column("ids")):
-            number.append(unpack(numbered[b]))
+        for b, p, s, i in zip(right.column("bucket").to_pylist(), *(right.column(c) for c in ("pos", "sizes", "ids"))):
+            number.append(unpack(numbered[b])[p.values.to_numpy()])
             sizes.append(s.values.to_numpy())
-            ids.append(i.values.to_numpy())
+            ids.append(np.frombuffer(i.as_buffer(), f">u{width}").astype(np.int32))
         number, sizes, ids = np.concatenate(number), np.concatenate(sizes).astype(np.int64), np.concatenate(ids)
         starts, lengths = np.zeros(len(number), np.int64), np.zeros(len(number), np.int64)
         starts[number], lengths[number] = np.cumsum(sizes) - sizes, sizes
@@ -444,10 +518,14 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
             ends.append(ends[-1] + total)
         flat = np.concatenate(out) if out else np.zeros(0, np.int32)
         lists = pa.ListArray.from_arrays(pa.array(np.array(ends), pa.int32()), pa.array(flat, pa.int32()))
-        return pa.table({"doc": docs_only.column("doc"), "ids": lists, "n_ids": pa.array(np.diff(ends), pa.int64())})
+        found = {"doc": docs_only.column("doc"), "ids": lists, "n_ids": pa.array(np.diff(ends), pa.int64())}
+        if decoded:
+            found["text"] = pa.array([decode_ids(i.tolist(), spelled) for i in out], pa.string())
+        return pa.table(found)
 
     joined = texts.groupBy("chunk").cogroup(replies.groupBy("chunk"))
-    return joined.applyInArrow(together, f"doc {kind.simpleString()}, ids array<int>, n_ids long").withColumnRenamed("doc", id_col)
+    schema = f"doc {kind.simpleString()}, ids array<int>, n_ids long" + ", text string" * decoded
+    return joined.applyInArrow(together, schema).withColumnRenamed("doc", id_col)
 
 
 def decode_ids(ids: list[int] | np.ndarray, spelled: list[bytes]) -> str:
@@ -481,8 +559,8 @@ def decode(encoded: DataFrame, ids_col: str = "ids", text_col: str = "text", mod
     schema = source.withColumn(text_col, F.lit("")).schema
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [None if i is None else decode_ids(i, spelled) for i in batch.column(ids_col).to_pylist()]
+        for batch in (part for whole in batches for part in slices(whole)):
+            found = [None if not i.is_valid else decode_ids(i.values.to_numpy().tolist(), spelled) for i in batch.column(ids_col)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], names=[*batch.schema.names, text_col])
 
     return source.mapInArrow(texts, schema)
