@@ -8,6 +8,7 @@ candidate, which is then verified exactly.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -24,8 +25,12 @@ SHINGLE = 4
 PERCENT = 85
 #: Rows of the broadcast prefilter of texts to verify: a bound, not a cap on the data.
 DOC_SLOTS = 1 << 19
-#: 64-bit words of the parity sketch.
+#: 64-bit words of the parity sketch that every set has.
 SKETCH = 8
+#: Candidate pairs of larger sets are held against wide sketches, which grow with the sets, before elements are moved.
+WIDE_FROM = 600
+#: Candidate pairs per block of that step.
+BLOCK_PAIRS = 500_000
 
 _U = np.uint64
 
@@ -91,9 +96,9 @@ def set_key(sh: np.ndarray) -> int:
     return int(mix(np.array([mix(sh ^ _U(0x3C6EF372FE94F82B)).sum() + _U(len(sh))], np.uint64)).view(np.int64)[0])
 
 
-def parity_sketch(sh: np.ndarray) -> np.ndarray:
-    """Parity of the elements in each of 64 * SKETCH places; sets differ by at least the bits that differ."""
-    bits = np.bincount((mix(sh ^ _U(0xA54FF53A5F1D36F1)) % _U(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH)
+def parity_sketch(sh: np.ndarray, words: int = SKETCH) -> np.ndarray:
+    """Parity of the elements in each of ``64 * words`` places; sets differ by at least the bits that differ."""
+    bits = np.bincount((mix(sh ^ _U(0xA54FF53A5F1D36F1)) % _U(64 * words)).astype(np.int64), minlength=64 * words)
     return np.packbits((bits & 1).astype(np.uint8)).view(np.int64)
 
 
@@ -143,14 +148,50 @@ def _index(size: int, percent: int):
     return index
 
 
-def _elements(size: int):
+def wide_words(n: int) -> int:
+    """64-bit words of a set's wide sketch: a power of two, with about two bits for each element."""
+    return max(SKETCH, 1 << max(0, (n // 32 - 1)).bit_length())
+
+
+def _fold_to(sketches: np.ndarray, words: int) -> np.ndarray:
+    """Wide sketches (rows) as they would be with fewer words."""
+    return np.bitwise_xor.reduce(sketches.reshape(len(sketches), -1, words), axis=1)
+
+
+def _may_link_wide(percent: int):
+    def check(pairs: pa.Table, sketches: pa.Table) -> pa.Table:
+        """Pairs of one block whose wide sketches leave room for a link."""
+        keys, first = np.unique(sketches.column("key").to_numpy(), return_index=True)
+        store = sketches.column("items").combine_chunks()
+        flat, offsets = store.values.to_numpy().view(np.uint64), store.offsets.to_numpy()
+        start, words = offsets[:-1][first], np.diff(offsets)[first]
+        a, b = (np.searchsorted(keys, pairs.column(c).to_numpy()) for c in ("a", "b"))
+        room = (100 - percent) * (pairs.column("n_a").to_numpy() + pairs.column("n_b").to_numpy())
+        keep = np.zeros(len(a), dtype=bool)
+        shapes = words[a].astype(np.int64) << 32 | words[b]
+        for shape in np.unique(shapes):
+            wa, wb = int(shape >> 32), int(shape & 0xFFFFFFFF)
+            least = min(wa, wb)
+            rows = np.flatnonzero(shapes == shape)
+            for part in np.array_split(rows, 1 + len(rows) * max(wa, wb) // 4_000_000):
+                x = flat[start[a[part]][:, None] + np.arange(wa)]
+                y = flat[start[b[part]][:, None] + np.arange(wb)]
+                differing = np.bitwise_count(_fold_to(x, least) ^ _fold_to(y, least)).sum(axis=1, dtype=np.int64)
+                keep[part] = (100 + percent) * differing <= room[part]
+        return pairs.filter(pa.array(keep)).drop_columns(["block"])
+
+    return check
+
+
+def _elements(size: int, wide: bool = False):
     def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Key and sorted shingle hashes of each text."""
+        """Key and sorted shingle hashes (or the wide sketch) of each text."""
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, 100):
                 sets = [sh for sh in _sets(part.column("text").to_pylist(), size) if len(sh)]
+                items = [parity_sketch(sh, wide_words(len(sh))) if wide else sh.view(np.int64) for sh in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([set_key(sh) for sh in sets], pa.int64()), pa.array([sh.view(np.int64) for sh in sets], pa.list_(pa.int64()))],
+                    [pa.array([set_key(sh) for sh in sets], pa.int64()), pa.array(items, pa.list_(pa.int64()))],
                     names=["key", "items"],
                 )
 
@@ -180,21 +221,47 @@ class _Verifier:
     def __call__(self, pairs: DataFrame, name: str) -> DataFrame:
         """The pairs (``a``, ``b``, with set sizes ``n_a``, ``n_b``) whose sets are linked."""
         near = stage(pairs.distinct(), f"{name}-near")
-        keys = near.select(F.col("a").alias("key")).union(near.select("b")).distinct()
+        large = F.greatest("n_a", "n_b") > WIDE_FROM
+        near = stage(near.where(~large).unionByName(self._nearer(near.where(large))), f"{name}-nearer")
+        items = self._items(near)
+        side = lambda c: items.select(F.col("key").alias(c), F.col("items").alias(f"items_{c}"))
+        joined = near.join(side("b"), "b").join(side("a"), "a")
+        shared = F.size(F.array_intersect("items_a", "items_b"))
+        linked = 100 * shared >= self.percent * (F.col("n_a") + F.col("n_b") - shared)
+        return stage(joined.where(linked).select("a", "b").distinct(), f"{name}-links")
+
+    def _items(self, pairs: DataFrame, wide: bool = False) -> DataFrame:
+        """``key, items`` (elements or wide sketch) of the sets in ``pairs``; only texts that may be needed are read."""
+        keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
         chosen = self.nodes.join(keys, "key", "left_semi")
         texts = self.docs.withColumn("_slot", slot_of("doc", n=DOC_SLOTS)).join(
             slots(chosen, "doc", n=DOC_SLOTS), "_slot", "left_semi"
         )
-        items = (
+        return (
             texts.select("text")
-            .mapInArrow(_elements(self.size), "key long, items array<long>")
+            .mapInArrow(_elements(self.size, wide), "key long, items array<long>")
             .join(keys, "key", "left_semi")
         )
-        side = lambda c: items.select(F.col("key").alias(c), F.col("items").alias(f"items_{c}"))
-        joined = near.join(side("b"), "b").join(side("a"), "a")
-        shared = F.size(F.array_intersect("items_a", "items_b"))
-        linked = 100 * shared >= self.percent * (F.col("n_a") + F.col("n_b") - shared)
-        return stage(joined.where(linked).select("a", "b").distinct(), f"{name}-links")
+
+    def _nearer(self, pairs: DataFrame) -> DataFrame:
+        """``pairs`` that wide sketches leave room for.
+
+        A block join: keys fall into as many groups as the number of pairs
+        asks for, a block holds the pairs of two groups, and a sketch goes to
+        the blocks of its group; so sketches are sent a few times each, and not
+        once for each pair.
+        """
+        groups = max(2, math.ceil(math.sqrt(pairs.count() / BLOCK_PAIRS)))
+        group = lambda c: F.pmod(F.xxhash64(c), F.lit(groups)).cast("int")
+        blocked = pairs.withColumn("block", group("a") * groups + group("b"))
+        every = F.sequence(F.lit(0), F.lit(groups - 1))
+        blocks = F.concat(
+            F.transform(every, lambda i: group("key") * groups + i), F.transform(every, lambda i: i * groups + group("key"))
+        )
+        sketches = self._items(pairs, wide=True).withColumn("block", F.explode(F.array_distinct(blocks)))
+        return blocked.groupBy("block").cogroup(sketches.groupBy("block")).applyInArrow(
+            _may_link_wide(self.percent), "a long, n_a long, b long, n_b long"
+        )
 
 
 def ngram_links(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:

@@ -77,6 +77,45 @@ def test_index_shares_an_entry_for_every_linked_pair():
             assert np.intersect1d(signatures(a, 85), signatures(b, 85)).size
 
 
+def test_wide_sketches_never_lose_a_link():
+    """The block check against true distances, with sets on both sides of a change of sketch size."""
+    import pyarrow as pa
+
+    from loam.llm.ngram_join import _may_link_wide, parity_sketch, wide_words
+
+    r = np.random.default_rng(8)
+    pairs, items, linked = [], {}, []
+    for i in range(120):
+        n = int(r.integers(600, 2200))
+        common = r.integers(1, 1 << 62, n, dtype=np.uint64)
+        extra = r.integers(1, 1 << 62, int(n * r.uniform(0, 0.6)), dtype=np.uint64)
+        cut = int(r.integers(0, len(extra) + 1))
+        a, b = np.unique(np.concatenate((common, extra[:cut]))), np.unique(np.concatenate((common, extra[cut:])))
+        items[2 * i], items[2 * i + 1] = a, b
+        pairs.append({"a": 2 * i, "n_a": len(a), "b": 2 * i + 1, "n_b": len(b), "block": 0})
+        shared = len(np.intersect1d(a, b))
+        linked.append(100 * shared >= 85 * (len(a) + len(b) - shared))
+    sketches = pa.table({"key": pa.array(list(items), pa.int64()), "items": pa.array([parity_sketch(x, wide_words(len(x))) for x in items.values()], pa.list_(pa.int64()))})
+    kept = set(_may_link_wide(85)(pa.Table.from_pylist(pairs), sketches).column("a").to_pylist())
+    assert {2 * i for i, yes in enumerate(linked) if yes} <= kept
+    assert len(kept) < 100 and sum(linked) > 10
+
+
+def test_long_sets_match_all_pairs(spark):
+    r = random.Random(12)
+    rows = []
+    for k in range(6):
+        words = [f"v{r.randrange(5000)}" for _ in range(r.randint(900, 1500))]
+        for _ in range(5):
+            copy = list(words)
+            for _ in range(r.randint(0, 45)):
+                copy[r.randrange(len(copy))] = f"n{r.randrange(5000)}"
+            rows.append((len(rows), " ".join(copy[: len(copy) - r.randint(0, 60)])))
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in run(spark, rows)}
+    assert got == brute(rows)
+    assert len({c for _, c in got.values()}) < len(rows)
+
+
 def test_bands_hold_linked_sizes():
     floors = band_floors(85)
     for n in range(1, 3000):
