@@ -10,6 +10,8 @@ from loam.llm.common import ascii_lower, slot_of, slots, without
 #: Rows of the broadcast prefilters (one long each): a fixed bound, not a cap on the data.
 LENGTH_SLOTS = 1 << 16
 PREFIX_SLOTS = 1 << 18
+#: A group with more than this part of all rows is hot; groups don't overlap, so at most as many are.
+HOT_PART = 4096
 
 
 def exact_dedup(
@@ -32,9 +34,9 @@ def exact_dedup(
 
     Steps 2 and 3 choose their rows by a broadcast semi-join on a fixed number
     of hash slots (see :func:`slots`), so texts never cross the network; only
-    ids and hashes are shuffled.  Counts are combined before each shuffle and
-    a hot group only makes one side of an ordinary join skewed, which adaptive
-    execution splits.
+    ids and hashes are shuffled.  Counts are combined before each shuffle; rows
+    of hot groups get their group's result from a broadcast of at most
+    ``HOT_PART`` groups, so no key of the last join holds a large part of the rows.
 
     Edge cases: null and empty texts are equal to one another; a null id is
     smaller than any other and stays only when its group has no other id;
@@ -70,11 +72,19 @@ def exact_dedup(
         .where("_n > 1")
         .select(F.col("_sha").alias("_key"), "_keep", "_n")
     )
-    # rows proved unique take a key of their own, so that they don't meet in one partition
-    key = F.when(F.col("_hit"), F.col("_sha")).otherwise(F.concat(F.lit("unique "), F.col("_id").cast("string")))
+    hot_group = F.col("_n") * HOT_PART > base.count()
+    hot = groups.where(hot_group).select(
+        F.col("_key").alias("_sha"), F.col("_keep").alias("_hot_keep"), F.col("_n").alias("_hot_n")
+    )
+    # rows that need no group any more take a key of their own, so that they don't meet in one partition
+    alone = F.concat(F.lit("alone "), F.coalesce(F.col("_id").cast("string"), F.lit("")))
+    key = F.when(F.col("_hit") & F.col("_hot_n").isNull(), F.col("_sha")).otherwise(alone)
     return (
-        third.withColumn("_key", key)
-        .join(groups, "_key", "left")
+        third.join(F.broadcast(hot), "_sha", "left")
+        .withColumn("_key", key)
+        .join(groups.where(~hot_group), "_key", "left")
+        .withColumn("_keep", F.coalesce("_hot_keep", "_keep"))
+        .withColumn("_n", F.coalesce("_hot_n", "_n"))
         .select(
             F.col("_id").alias(id_col),
             F.when(F.col("_n").isNull(), F.col("_id")).otherwise(F.col("_keep")).alias("keep_id"),

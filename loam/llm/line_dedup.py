@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loam.llm.common import stage
+
 #: A line is boilerplate when more than this share of its host's pages hold it.
 RATIO = 0.1
 #: On hosts with fewer pages a share says nothing; their lines stay.
 MIN_PAGES = 5
+#: A host with more than this part of all pages is hot (so at most as many hosts are); its pages meet its boilerplate
+#: in SALTS groups.
+HOT_PART, SALTS = 1024, 64
 
 
 def url_host(url: Column) -> Column:
@@ -40,8 +45,8 @@ def line_dedup(
     The shares of a host's lines sum to its mean number of lines a page, so
     at most ``mean / ratio`` lines of a host can be boilerplate: the list per
     host is short by arithmetic, whatever the number of pages.  Pages meet it
-    in an equi-join on the host that adaptive execution splits when one host
-    is hot.
+    in an equi-join on the host; pages of hot hosts are dealt out over several
+    copies of their host's list.
 
     Edge cases: a null text has no lines; blank lines are kept out of both
     counts; a null host is a host of its own; a line twice on one page counts
@@ -56,7 +61,11 @@ def line_dedup(
             F.transform(F.split(F.coalesce(pages[text_col], F.lit("")), "\n"), lambda x: F.trim(x)), lambda x: x != ""
         ).alias("_lines"),
     )
-    totals = base.groupBy("_host").agg(F.count(F.lit(1)).alias("_pages"))
+    totals = stage(base.groupBy("_host").agg(F.count(F.lit(1)).alias("_pages")), "line-hosts")
+    every = totals.agg(F.coalesce(F.sum("_pages"), F.lit(0))).first()[0]
+    hot = F.broadcast(
+        totals.where(F.col("_pages") * HOT_PART > every).select(F.col("_host").alias("_hot_host"), F.lit(True).alias("_hot"))
+    )
     held = (
         base.select("_host", F.explode(F.array_distinct("_lines")).alias("_line"))
         .groupBy("_host", F.sha2("_line", 256).alias("_sha"))
@@ -71,7 +80,16 @@ def line_dedup(
         .groupBy(F.col("t._host").alias("_bhost"))
         .agg(F.collect_list("_sha").alias("_boiler"))
     )
-    rows = base.join(boiler, F.col("_host").eqNullSafe(F.col("_bhost")), "left")
+    salt = F.pmod(F.xxhash64("_id"), F.lit(SALTS)).cast("int")
+    rows = base.join(hot, F.col("_host").eqNullSafe(F.col("_hot_host")), "left").withColumn(
+        "_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0))
+    ).drop("_hot", "_hot_host")
+    copies = F.sequence(F.lit(0), F.when(F.col("_hot"), F.lit(SALTS - 1)).otherwise(F.lit(0)))
+    boiler = boiler.join(hot, F.col("_bhost").eqNullSafe(F.col("_hot_host")), "left").select(
+        "_bhost", "_boiler", F.explode(copies).alias("_bsalt")
+    )
+    same = F.col("_host").eqNullSafe(F.col("_bhost")) & (F.col("_salt") == F.col("_bsalt"))
+    rows = rows.join(boiler, same, "left")
     stay = F.when(F.col("_boiler").isNull(), F.col("_lines")).otherwise(
         F.filter("_lines", lambda x: ~F.array_contains("_boiler", F.sha2(x, 256)))
     )
