@@ -80,6 +80,24 @@ def without(docs: DataFrame, key: Column, gone: DataFrame, n: int = 1 << 19) ->
     return sure.unionByName(checked)
 
 
+def row_name(key: Column, sha: Column) -> Column:
+    """A row's id and text digest as one text; a null id is an id of its own."""
+    return F.concat_ws("|", F.coalesce(F.concat(F.lit("="), key.cast("string")), F.lit("")), sha)
+
+
+def once(docs: DataFrame, key: Column, repeated: DataFrame, n: int = 1 << 19) -> DataFrame:
+    """``docs`` with one row of each ``key`` in ``repeated`` (one column), the least by its columns in order.
+
+    Rows that share a key must be repeats of one another.  Only rows whose slot
+    a key of ``repeated`` has are grouped, combined before the shuffle.
+    """
+    marked = docs.withColumn("_loam_key", key).withColumn("_slot", slot_of("_loam_key", n=n))
+    marked = marked.join(slots(repeated, repeated.columns[0], n=n).withColumn("_loam_hit", F.lit(True)), "_slot", "left")
+    sure = marked.where("_loam_hit is null").select(*docs.columns)
+    least = marked.where("_loam_hit").groupBy("_loam_key").agg(F.min(F.struct(*docs.columns)).alias("_loam_row"))
+    return sure.unionByName(least.select("_loam_row.*"))
+
+
 def slices(batch: pa.RecordBatch, rows: int = 500) -> Iterator[pa.RecordBatch]:
     """A batch in small parts, so that what a task makes of it stays small too."""
     for start in range(0, batch.num_rows, rows):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loam.llm.common import ascii_lower, slot_of, slots, without
+from loam.llm.common import ascii_lower, once, row_name, slot_of, slots, stage, without
 
 #: Rows of the broadcast prefilters (one long each): a fixed bound, not a cap on the data.
 LENGTH_SLOTS = 1 << 16
@@ -95,14 +95,19 @@ def exact_dedup(
     )
 
 
-def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_exact_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", single: bool = False
+) -> DataFrame:
     """``docs`` without the rows that :func:`exact_dedup` drops; all columns kept.
 
     A row goes by its id and text together, so rows that share an id with a
-    dropped one but not its text stay.
+    dropped one but not its text stay.  Rows that repeat the id and the text
+    that stay are all kept; with ``single`` one of them is (the least by its
+    columns in order), so that every text stays once, null ids included.
     """
-    verdict = exact_dedup(docs, id_col, text_col)
-    named = lambda key, sha: F.concat_ws("|", F.coalesce(key.cast("string"), F.lit("")), sha)
-    gone = verdict.where("not kept").select(named(F.col(id_col), F.col("text_sha256")).alias("key"))
-    sha = F.sha2(ascii_lower(F.coalesce(docs[text_col], F.lit(""))), 256)
-    return without(docs, named(docs[id_col], sha), gone)
+    verdict = exact_dedup(docs, id_col, text_col).where("group_size > 1")
+    name = row_name(F.col(id_col), F.col("text_sha256")).alias("key")
+    judged = stage(verdict.groupBy(name, "kept").count().where("not kept or count > 1"), "exact-judged")
+    sha = F.sha2(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))), 256)
+    kept = without(docs, row_name(F.col(id_col), sha), judged.where("not kept").select("key"))
+    return once(kept, row_name(F.col(id_col), sha), judged.where("kept").select("key")) if single else kept

@@ -74,10 +74,12 @@ def mix_sources(
     share: float = 1.5,
     cap: float = 2.0,
     seed: int = 17,
+    row_col: str | None = None,
 ) -> DataFrame:
     """How many words of each document a weighted mix takes.
 
-    Returns ``id_col, size, source_size, target, taken, copies`` for every row.
+    Returns ``id_col, size, source_size, target, taken, copies`` for every row,
+    and ``row_col``, a unique name of each row, if there is one.
     Sources (code-point order, null last) weigh ``weights``, repeating, and
     share ``share`` of all words; no target exceeds ``cap`` times its source.
 
@@ -92,15 +94,18 @@ def mix_sources(
 
     Edge cases: a null or empty text has size 0 and is never taken; a null
     source is a source; null ids share one key and are ordered by size; rows
-    that repeat an id are taken one after another; an empty table gives an
-    empty result; other columns are ignored.
+    that repeat an id are taken one after another (with ``row_col`` by text
+    hash, then by it); an empty table gives an empty result; other columns are
+    ignored.
     """
+    ties = {"_digest": F.xxhash64(docs[text_col]), "_row": docs[row_col]} if row_col else {}
     base = docs.select(
         docs[id_col].alias("_id"),
         docs[source_col].isNull().alias("_null"),
         F.coalesce(docs[source_col].cast("string"), F.lit("")).alias("_src"),
         word_count(docs[text_col]).alias("_words"),
         random_key(docs[id_col], seed).alias("_key"),
+        *[c.alias(n) for n, c in ties.items()],
     ).withColumn("_range", F.substring("_key", 1, RANGE_DIGITS))
     ranges = stage(base.groupBy("_null", "_src", "_range").agg(F.sum("_words").alias("_sum")), "mix-ranges")
     sizes = ranges.groupBy("_null", "_src").agg(F.sum("_sum").alias("_size"))
@@ -119,7 +124,7 @@ def mix_sources(
     starts = starts.join(plan, source)
     inside = (
         Window.partitionBy(*source, "_range")
-        .orderBy("_key", "_id", "_words")
+        .orderBy("_key", "_id", "_words", *ties)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     rows = base.withColumn("_end", F.sum("_words").over(inside)).join(starts, [*source, "_range"])
@@ -134,17 +139,20 @@ def mix_sources(
         (F.col("_epochs") + F.when((part > 0) & (2 * part >= F.col("_words")), 1).otherwise(0))
         .cast("int")
         .alias("copies"),
+        *([F.col("_row").alias(row_col)] if row_col else []),
     )
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """``docs`` repeated as :func:`mix_sources` says (whole documents, all columns).
 
-    Rows without words and rows that the mix leaves out go.  Ids must be
-    unique; rows with a null id go.
+    Rows without words and rows that the mix leaves out go.  Rows are numbered
+    and meet their copies by number, so ids may be null or repeated; the
+    numbered rows are written first, which fixes the numbers.
     """
-    taken = mix_sources(docs, id_col, **options).where("copies > 0").select(
-        F.col(id_col).alias("_mix_id"), F.sequence(F.lit(1), "copies").alias("_mix_copies")
+    rows = stage(docs.withColumn("_mix_row", F.monotonically_increasing_id()), "mix-rows")
+    taken = mix_sources(rows, id_col, **options, row_col="_mix_row").where("copies > 0").select(
+        F.col("_mix_row").alias("_mix_id"), F.sequence(F.lit(1), "copies").alias("_mix_copies")
     )
-    joined = docs.join(taken, docs[id_col] == taken["_mix_id"])
-    return joined.withColumn("_mix_copy", F.explode("_mix_copies")).select(*[docs[c] for c in docs.columns])
+    joined = rows.join(taken, rows["_mix_row"] == taken["_mix_id"])
+    return joined.withColumn("_mix_copy", F.explode("_mix_copies")).select(*[rows[c] for c in docs.columns])

@@ -57,6 +57,14 @@ def test_exact_dedup_nulls_repeats_and_empty_table(spark):
     assert exact_dedup(empty).count() == 0 and drop_exact_duplicates(empty).count() == 0
 
 
+def test_one_row_of_each_text_stays(spark):
+    rows = [(None, "q", "s"), (3, "Q", "s"), (3, "q", "s"), (None, "alone", "s"), (None, "alone", "t"), (3, "other", "s")]
+    kept = drop_exact_duplicates(spark.createDataFrame(rows, DOCS), single=True).collect()
+    assert sorted((r.doc_id or -1, r.text, r.source) for r in kept) == [(-1, "alone", "s"), (3, "Q", "s"), (3, "other", "s")]
+    text_ids = spark.createDataFrame([(None, "q"), ("", "q")], "doc_id string, text string")
+    assert [r.doc_id for r in drop_exact_duplicates(text_ids, single=True).collect()] == [""]
+
+
 # --- mixing
 
 
@@ -118,6 +126,19 @@ def test_mixed_documents_are_whole(spark):
     assert mixed_documents(df).columns == df.columns
 
 
+def test_mixed_documents_with_null_and_repeated_ids(spark):
+    rows = [(None, f"n{i} b c", "a") for i in range(40)] + [(7, f"r{i} e", "b") for i in range(40)] + [(8, "x y", "b")] * 9
+    df = spark.createDataFrame(rows, DOCS)
+    want = Counter()
+    for r in mix_sources(df).collect():
+        want[r.doc_id] += r.copies
+    got = Counter(r.doc_id for r in mixed_documents(df).collect())
+    assert got == want and got[None] and got[7] and got[8]
+    most = Counter(rows)
+    out = [(r.doc_id, r.text, r.source) for r in mixed_documents(df.repartition(3)).collect()]
+    assert all(n <= 2 * most[r] for r, n in Counter(out).items())
+
+
 # --- line dedup
 
 

@@ -1,5 +1,6 @@
 """The pipeline's stages one after another, each against a brute-force version on its own input."""
 
+import re
 from collections import Counter
 
 import sentencepiece
@@ -35,6 +36,39 @@ def near_classes(rows):
     return {d: find(d) for d in ids}
 
 
+def test_null_and_repeated_ids_go_through_every_stage(spark):
+    """Every text of such rows gets out as often as the mix takes it."""
+    docs = table(spark, SF, "documents")
+    spare = [r.asDict() for r in corpus_pipeline.exact(spark, corpus_pipeline.quality(spark, docs, SF), SF).collect()]
+    own = [" ".join(reversed(r["text"].split())) + f" own{i}" for i, r in enumerate(spare[:60])]
+    odd = [spare[i] | {"doc_id": None, "text": own[i]} for i in range(20)]
+    odd += [spare[i] | {"doc_id": None, "text": own[i], "source": None, "lang": None, "n_chars": None} for i in range(20, 25)]
+    odd += [spare[i] | {"doc_id": 7_000_000, "text": own[i]} for i in range(25, 45)]  # one id, many texts
+    odd += [spare[45] | {"doc_id": 7_000_001, "text": own[45]}] * 30  # one row, many times
+    odd += [spare[46] | {"doc_id": None, "text": own[46]}] * 3
+    odd += [spare[47] | {"doc_id": None, "text": None}] * 2
+    docs = stage(docs.unionByName(spark.createDataFrame(odd, docs.schema)), "test-odd")
+    row = lambda r: (r.doc_id, r.text, r.source)
+    for name, function in corpus_pipeline.STAGES:
+        before = docs.collect()
+        docs = stage(function(spark, docs, SF), f"test-{name}")
+        rows = docs.collect()
+        if name == "exact_dedup":
+            assert Counter(lower(r.text) for r in rows) == Counter({lower(r.text): 1 for r in before})
+            assert {own[45], own[46]} <= {r.text for r in rows}
+        elif name == "mix_sources":
+            told = mix_sources(stage(spark.createDataFrame(before, docs.schema), "test-before")).collect()
+            want, got = Counter(), Counter((r.doc_id, len(re.findall(r"[^\x20\x09-\x0D]+", r.text))) for r in rows)
+            for r in told:
+                want[r.doc_id, r.size] += r.copies
+            assert got == +want
+            most = Counter(map(row, before))
+            assert all(n <= 2 * most[r] for r, n in Counter(map(row, rows)).items())
+            assert sum(r.doc_id is None for r in rows) and sum(r.doc_id == 7_000_000 for r in rows)
+        elif name == "sentencepiece":
+            assert Counter(r.doc_id for r in rows) == Counter(r.doc_id for r in before)
+
+
 def test_every_stage_against_brute_force(spark):
     docs = table(spark, SF, "documents")
     columns = docs.columns
