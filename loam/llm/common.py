@@ -76,7 +76,9 @@ def without(docs: DataFrame, key: Column, gone: DataFrame, n: int = 1 << 19) ->
         .join(slots(gone, "_loam_key", n=n).withColumn("_loam_hit", F.lit(True)), "_slot", "left")
     )
     sure = marked.where("_loam_hit is null").select(*docs.columns)
-    checked = marked.where("_loam_hit").join(gone, "_loam_key", "left_anti").select(*docs.columns)
+    # not an anti-join: the optimizer would move that below the prefilter, to all rows with their texts
+    found = gone.withColumn("_loam_gone", F.lit(True))
+    checked = marked.where("_loam_hit").join(found, "_loam_key", "left").where("_loam_gone is null").select(*docs.columns)
     return sure.unionByName(checked)
 
 

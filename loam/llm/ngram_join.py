@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loam.llm.common import ready, slices, slot_of, slots, stage, without
+from loam.llm.common import once, ready, row_name, slices, slot_of, slots, stage, without
 from loam.llm.components import components
 from loam.llm.kernels import lowered, mix, shingles, word_hashes
 
@@ -365,6 +365,22 @@ def ngram_jaccard_join(
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each class of :func:`ngram_jaccard_join`, the one of least id; all columns kept."""
-    classes = ngram_jaccard_join(docs, id_col, text_col, **options)
-    return without(docs, docs[id_col], classes.where(F.col(id_col) != F.col("component_id")).select(id_col))
+    """``docs`` with one document of each class of :func:`ngram_jaccard_join`, the one of least id; all columns kept.
+
+    Rows are judged by id and text together: of rows that share an id, one may
+    go and the others stay.  A null id comes after all others, and of equal ids
+    the least SHA-256 of the text stays.  Of rows that repeat the id and the
+    text of the one that stays, the least by its columns in order does.  Rows
+    without words are in no class and stay.
+    """
+    sha = F.sha2(F.coalesce(docs[text_col], F.lit("")), 256)
+    whole = F.struct(docs[id_col].isNull().alias("absent"), docs[id_col].alias("id"), sha.alias("sha"))
+    classes = ngram_jaccard_join(docs.select(whole.alias("row"), docs[text_col].alias("text")), "row", "text", **options)
+    name = row_name(F.col("row.id"), F.col("row.sha")).alias("key")
+    kept = F.col("row").eqNullSafe(F.col("component_id")).alias("kept")
+    judged = stage(
+        classes.where("n_shingles > 0").groupBy(name, kept).count().where("not kept or count > 1"), "jaccard-judged"
+    )
+    key = row_name(F.col(id_col), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
+    left = without(docs, key, judged.where("not kept").select("key"))
+    return once(left, key, judged.where("kept").select("key"))

@@ -137,3 +137,19 @@ def test_one_document_of_each_class_stays(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n", F.lit(1))
     kept = {r.doc_id for r in drop_near_duplicates(df).collect()}
     assert kept == {d for d, (_, c) in brute(rows).items() if d == c}
+
+
+def test_near_copies_go_by_id_and_text(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    far = " ".join(f"x{i}" for i in range(60))
+    lone = " ".join(f"y{i}" for i in range(60))
+    rows = [(4, text), (9, text + " more"), (9, far), (None, text + " much more"), (None, lone), (None, lone + " z")]
+    rows += [(5, far + " z")] * 3 + [(None, None), (6, ""), (6, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in drop_near_duplicates(df).collect()]
+    left = [(4, text), (5, far + " z"), (None, None), (6, ""), (6, "")]
+    order = lambda r: (r[0] or 0, r[1] or "")
+    assert sorted((r for r in kept if "y0" not in (r[1] or "")), key=order) == sorted(left, key=order)
+    assert len([r for r in kept if r in ((None, lone), (None, lone + " z"))]) == 1 and len(kept) == 6
+    apart = spark.createDataFrame([(4, text), (9, text + " more"), (9, lone)], df.schema)
+    assert sorted(map(tuple, drop_near_duplicates(apart).collect())) == [(4, text), (9, lone)]
