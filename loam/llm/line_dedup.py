@@ -11,6 +11,8 @@ from loam.llm.common import stage
 RATIO = 0.1
 #: On hosts with fewer pages a share says nothing; their lines stay.
 MIN_PAGES = 5
+#: ASCII white space, trimmed from both ends of a line.
+BLANKS = " \t\n\x0b\x0c\r"
 #: A host with more than this part of all pages is hot (so at most as many hosts are); its pages meet its boilerplate
 #: in SALTS groups.
 HOT_PART, SALTS = 1024, 64
@@ -38,7 +40,7 @@ def line_dedup(
     """Drop the lines that more than ``ratio`` of a host's pages hold.
 
     Returns ``id_col, host_col, n_lines, n_dropped, text``: ``n_lines`` and
-    ``n_dropped`` count lines with text (trimmed), ``text`` joins the lines that stay.
+    ``n_dropped`` count lines with text (trimmed of ASCII white space), ``text`` joins the lines that stay.
 
     Pages of a host and pages holding a line are counted by grouped sums
     (combined before the shuffle, so a hot host or line costs one row a task).
@@ -58,7 +60,7 @@ def line_dedup(
         pages[id_col].alias("_id"),
         pages[host_col].alias("_host"),
         F.filter(
-            F.transform(F.split(F.coalesce(pages[text_col], F.lit("")), "\n"), lambda x: F.trim(x)), lambda x: x != ""
+            F.transform(F.split(F.coalesce(pages[text_col], F.lit("")), "\n"), lambda x: F.trim(x, F.lit(BLANKS))), lambda x: x != ""
         ).alias("_lines"),
     )
     totals = stage(base.groupBy("_host").agg(F.count(F.lit(1)).alias("_pages")), "line-hosts")

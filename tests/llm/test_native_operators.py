@@ -167,6 +167,13 @@ def test_line_dedup_matches_brute_force(spark):
     assert line_dedup(spark.createDataFrame([], df.schema)).count() == 0
 
 
+def test_line_dedup_trims_tabs_and_carriage_returns(spark):
+    menu = ["Menu", "\tMenu", "Menu\r", " \t Menu \x0b\x0c\r"]
+    rows = [(i, "a.org", f"{menu[i % 4]}\n\t\n\r\ntext {i}\r\n\t") for i in range(8)]
+    got = line_dedup(spark.createDataFrame(rows, "page_id long, host string, text string"), ratio=0.5).collect()
+    assert sorted((r.page_id, r.n_lines, r.n_dropped, r.text) for r in got) == [(i, 2, 1, f"text {i}") for i in range(8)]
+
+
 def test_html_lines_and_host(spark):
     df = spark.range(1).select(
         html_lines(F.lit("<p>a</p><script>var x='<p>';</script>b<!-- c --><br>d")).alias("t"),
