@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from loam.llm.common import table
 from loam.llm.exact_dedup import exact_dedup
 from loam.llm.html_extract import extract_text
+from loam.llm.lexical_search import lexical_search
 from loam.llm.line_dedup import html_lines, line_dedup, url_host
+from loam.llm.merkle_manifest import merkle_manifest
 from loam.llm.mixing import mix_sources
 from loam.llm.ngram_join import ngram_jaccard_join
 from loam.llm.quality_classifier import quality_classifier
 from loam.llm.quality_rules import quality_rules
 from loam.llm.sentencepiece_codec import encode
+from loam.llm.substring_dedup import substring_dedup
 from loam.llm.suffix_dedup import suffix_dedup
 from loam.llm.url_filter import url_filter
 
@@ -75,6 +78,19 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every ``benchmark`` item as a query against all documents."""
+    return lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_line_dedup": op2_line_dedup,
@@ -86,4 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_html_extraction": op9_html_extraction,
     "op10_mix_sources": op10_mix_sources,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_substring_dedup": op12_substring_dedup,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
