@@ -2,14 +2,19 @@
 
 A polygon is a list of rings, a ring a list of points without the closing one;
 inside is where a ray crosses the rings an odd number of times, so the rings'
-directions don't matter.
+directions don't matter.  Edges that meet and points inside are found through
+grid cells of edges, so time is about linear in the number of vertices.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import defaultdict
+from collections.abc import Iterator
+
+from loam.functions.edge_grid import EdgeGrid, PointIndex
 
 Point = tuple[float, float]
 Ring = list[Point]
@@ -81,15 +86,18 @@ def _meet(p: Point, q: Point, a: Point, b: Point, eps: float) -> list[Point]:
     return found
 
 
-def _pieces(edges, others, eps, snap):
-    """Undirected sub-segments of ``edges`` after all splits."""
+def _pieces(edges, eps, snap):
+    """Undirected sub-segments of ``edges`` after all splits by one another."""
     out = set()
+    if not edges:
+        return out
+    grid = EdgeGrid(edges, 8 * eps)
     for p, q in edges:
         dx, dy = q[0] - p[0], q[1] - p[1]
         size = dx * dx + dy * dy
         lo, hi = (min(p[0], q[0]) - eps, min(p[1], q[1]) - eps), (max(p[0], q[0]) + eps, max(p[1], q[1]) + eps)
         at = {0.0: p, 1.0: q}
-        for a, b in others:
+        for a, b in (edges[k] for k in grid.near((p, q))):
             if max(a[0], b[0]) < lo[0] or min(a[0], b[0]) > hi[0] or max(a[1], b[1]) < lo[1] or min(a[1], b[1]) > hi[1]:
                 continue
             for c in _meet(p, q, a, b, eps):
@@ -102,28 +110,37 @@ def _pieces(edges, others, eps, snap):
 
 
 def _rings(directed: list[tuple[Point, Point]]) -> list[Ring]:
-    """Rings of directed edges whose interior lies to the left, the smallest faces first."""
+    """Rings of directed edges whose interior lies to the left, the smallest faces first.
+
+    An edge that leads nowhere (the side of a sliver thinner than the
+    tolerance) is dropped and the walk goes on from where it began.
+    """
     leaving = defaultdict(list)
     for a, b in directed:
         leaving[a].append(b)
     rings = []
-    while leaving:
-        start = min(leaving)
-        ring, here, came = [start], start, None
-        while True:
-            if came is None:
-                nxt = min(leaving[here])
-            else:
-                back = math.atan2(came[1] - here[1], came[0] - here[0])
-                nxt = min(leaving[here], key=lambda c: (back - math.atan2(c[1] - here[1], c[0] - here[0])) % math.tau or math.tau)
-            leaving[here].remove(nxt)
-            if not leaving[here]:
-                del leaving[here]
-            came, here = here, nxt
-            if here == start:
-                break
-            ring.append(here)
-        rings.append(ring)
+    for start in sorted(leaving):
+        while start in leaving:
+            ring, here, came = [start], start, None
+            while True:
+                if came is None:
+                    nxt = min(leaving[here])
+                else:
+                    back = math.atan2(came[1] - here[1], came[0] - here[0])
+                    nxt = min(leaving[here], key=lambda c: (back - math.atan2(c[1] - here[1], c[0] - here[0])) % math.tau or math.tau)
+                leaving[here].remove(nxt)
+                if not leaving[here]:
+                    del leaving[here]
+                came, here = here, nxt
+                if here == start:
+                    rings.append(ring)
+                    break
+                ring.append(here)
+                while ring and here not in leaving:
+                    ring.pop()
+                    here, came = (ring[-1], ring[-2] if len(ring) > 1 else None) if ring else (start, None)
+                if not ring:
+                    break
     return rings
 
 
@@ -161,29 +178,89 @@ def intersection(first: list[Ring], second: list[Ring]) -> list[list[Ring]]:
                     return grid[k[0] + i, k[1] + j]
         return grid.setdefault(k, p)
 
-    a, b = _edges(first), _edges(second)
-    every = a + b
+    both = _edges(first), _edges(second)
+    if not all(both):
+        return []
+    ins = [PointIndex(edges, 8 * eps) for edges in both]
+    # nothing of the result, and no edge that cuts it, lies beyond the overlap of the two boxes
+    grids = [x.grid for x in ins]
+    x0, x1 = max(g.x0 for g in grids), min(g.x1 for g in grids)
+    y0, y1 = max(g.y0 for g in grids), min(g.y1 for g in grids)
+    every = [(p, q) for edges in both for p, q in edges
+             if max(p[0], q[0]) >= x0 and min(p[0], q[0]) <= x1 and max(p[1], q[1]) >= y0 and min(p[1], q[1]) <= y1]
     directed = []
-    for p, q in _pieces(every, every, eps, snap):
+    for p, q in _pieces(every, eps, snap):
         dx, dy = q[0] - p[0], q[1] - p[1]
         size = math.hypot(dx, dy)
         mx, my = (p[0] + q[0]) / 2, (p[1] + q[1]) / 2
-        off = min(1e4 * eps, size / 1000) / size
+        off = min(1e3 * eps, size / 1000) / size
         left, right = (mx - dy * off, my + dx * off), (mx + dy * off, my - dx * off)
-        in_left = inside(left, first) and inside(left, second)
-        in_right = inside(right, first) and inside(right, second)
+        in_left = left in ins[0] and left in ins[1]
+        in_right = right in ins[0] and right in ins[1]
         if in_left != in_right:
             directed.append((p, q) if in_left else (q, p))
     rings = [r for r in (_tidy(x, eps) for x in _rings(directed)) if r]
     outers = sorted(([r] for r in rings if ring_area(r) > 0), key=lambda part: part[0][0])
-    for hole in (r for r in rings if ring_area(r) < 0):
-        for part in outers:
-            if inside(_inner_point(hole), [part[0]]):
-                part.append(hole)
-                break
+    _give_holes(outers, [r for r in rings if ring_area(r) < 0], eps)
     return outers
 
 
+def _give_holes(outers: list[list[Ring]], holes: list[Ring], eps: float) -> None:
+    """Append each hole to the first part whose outer ring holds it; rings start at their least point, parts are in its order."""
+    starts = [part[0][0] for part in outers]
+    boxes = [(max(x for x, _ in r), min(y for _, y in r), max(y for _, y in r)) for r in (part[0] for part in outers)]
+    index: dict[int, PointIndex] = {}
+    for hole in holes:
+        p = _inner_point(hole)
+        for k in range(bisect_right(starts, (p[0], math.inf))):
+            if p[0] <= boxes[k][0] and boxes[k][1] <= p[1] <= boxes[k][2]:
+                if k not in index:
+                    index[k] = PointIndex(_edges([outers[k][0]]), 8 * eps)
+                if p in index[k]:
+                    outers[k].append(hole)
+                    break
+
+
+def frame_of(rings: list[Ring]) -> list[Ring]:
+    """A box around ``rings``: the intersection with it is the polygon itself, tidied."""
+    xs, ys = [x for r in rings for x, _ in r], [y for r in rings for _, y in r]
+    if not rings:
+        return []
+    wide = max(max(xs) - min(xs), max(ys) - min(ys)) / 100
+    x0, y0, x1, y1 = min(xs) - wide, min(ys) - wide, max(xs) + wide, max(ys) + wide
+    return [[(x0, y0), (x1, y0), (x1, y1), (x0, y1)]]
+
+
+def outline_rows(rings: list[Ring], cell: float) -> Iterator[tuple[int, list[tuple[int, bool]]]]:
+    """Rows of square grid cells that an outline touches: (row, [(column, whether wholly inside)]).
+
+    Cells that an edge passes, or nearly passes, are never inside.
+    """
+    near = 1e-9 * cell
+    passed: dict[int, set[int]] = defaultdict(set)
+    edges = _edges(rings)
+    for p, q in edges:
+        a, b = sorted((p, q), key=lambda c: c[1])
+        low, high = math.floor((a[1] - near) / cell), math.floor((b[1] + near) / cell)
+        rise = b[1] - a[1]
+        for i in range(low, high + 1):
+            left, right = min(a[0], b[0]), max(a[0], b[0])
+            if low != high and rise > near:
+                t0 = min(max((i * cell - near - a[1]) / rise, 0.0), 1.0)
+                t1 = min(max(((i + 1) * cell + near - a[1]) / rise, 0.0), 1.0)
+                left, right = sorted((a[0] + t0 * (b[0] - a[0]), a[0] + t1 * (b[0] - a[0])))
+            passed[i].update(range(math.floor((left - near) / cell), math.floor((right + near) / cell) + 1))
+    ins = PointIndex(edges, near)
+    for i in sorted(passed):
+        held = sorted(passed[i])
+        row = [(j, False) for j in held]
+        for left, right in zip(held, held[1:]):
+            # the cells between two passed ones are all inside or all outside
+            if right - left > 1 and ((left + 1.5) * cell, (i + 0.5) * cell) in ins:
+                row.extend((j, True) for j in range(left + 1, right))
+        yield i, sorted(row)
+
+
 def _inner_point(ring: Ring) -> Point:
     """A point just inside a ring."""
     (x1, y1), (x2, y2) = ring[0], ring[1]

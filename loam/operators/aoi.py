@@ -1,8 +1,10 @@
 """Area-of-interest operators: AOI rings, polygon clipping, map units inside an AOI.
 
-Map-unit polygons travel as WKT text (lon/lat).  Bounding boxes and the grid
-join that pairs polygons with AOIs are Spark SQL expressions; only the exact
-clip of the surviving pairs runs in Python, in Arrow batches, once per pair.
+Outlines are cut into the cells of a grid, each cell marked as inside the AOI
+or on its edge.  Polygons meet the cells by id and box; their WKT text (lon/lat)
+is joined to the pairs afterwards.  A polygon whose cells all lie inside needs
+no clip against the outline, and none at all where only its key is asked for;
+the others are clipped exactly, in Arrow batches, once per pair.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loam.functions.polygons import intersection, parts_area, read_wkt, write_wkt
+from loam.functions.polygons import frame_of, intersection, outline_rows, parts_area, read_wkt, write_wkt
 from loam.session import ship_package
 
 DEFAULT_GRID_CELL = 0.1   # degrees
@@ -61,74 +63,112 @@ def wkt_box(wkt: Column) -> list[Column]:
             F.array_min(axis(2)).alias("miny"), F.array_max(axis(2)).alias("maxy")]
 
 
-def _in_cells(boxes: DataFrame, cell: float, prefix: str = "") -> DataFrame:
-    """One row per grid cell that a bounding box touches (generated row by row)."""
-    span = lambda lo, hi: F.sequence(F.floor(F.col(prefix + lo) / cell), F.floor(F.col(prefix + hi) / cell))
-    return boxes.withColumn("_cx", F.explode(span("minx", "maxx"))).withColumn("_cy", F.explode(span("miny", "maxy")))
+BOX = ["minx", "maxx", "miny", "maxy"]
 
 
-def box_pairs(polys: DataFrame, aois: DataFrame, cell: float) -> DataFrame:
-    """Pairs whose bounding boxes overlap, by an equi-join on grid cells.
+def with_boxes(polygons: DataFrame) -> DataFrame:
+    """``polygons`` with their box, read from the text unless they carry it (see ``sources.polygon_store``)."""
+    return polygons if set(BOX) <= set(polygons.columns) else polygons.select("*", *wkt_box(F.col("wkt")))
 
-    Each pair is kept only in the cell that holds the lower-left corner of
-    the two boxes' overlap, so a pair sharing several cells appears once
-    without a distinct.  One plan for any number of AOIs; a small side is
-    broadcast by Spark's own size check.
+
+def _outline_cells(cell: float):
+    """Grid cells of each outline: those that its edge passes, and those wholly inside."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for aoi, wkt in zip(batch.column("aoi_id").to_pylist(), batch.column("a_wkt").to_pylist()):
+                for row in outline_rows(read_wkt(wkt), cell):
+                    xs, inner = zip(*row[1])
+                    n = len(xs)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([aoi] * n, pa.int32()), pa.array(xs, pa.int64()), pa.array([row[0]] * n, pa.int64()),
+                         pa.array(inner, pa.bool_())], names=["aoi_id", "_cx", "_cy", "inner"])
+
+    return run
+
+
+def aoi_cells(rings: DataFrame, cell: float) -> DataFrame:
+    """``aoi_id, _cx, _cy, inner`` of every grid cell that an AOI touches."""
+    return rings.select("aoi_id", "a_wkt").mapInArrow(_outline_cells(cell), "aoi_id int, _cx long, _cy long, inner boolean")
+
+
+def aoi_pairs(polygons: DataFrame, rings: DataFrame, cell: float) -> DataFrame:
+    """``aoi_id, poly_id, mukey, areasymbol, inside`` of the polygons whose box meets a cell of an AOI.
+
+    ``inside`` says that all cells of the box lie inside the AOI.  Only ids,
+    boxes and cells are shuffled; a small side is broadcast by Spark's own
+    size check.  Pairs whose boxes merely touch, and polygons that lie in the
+    AOI's box but in none of its cells, do not come out.
     """
-    j = _in_cells(polys, cell).join(_in_cells(aois, cell, "a_"), ["_cx", "_cy"], "inner")
-    overlap = (
-        (F.col("minx") < F.col("a_maxx")) & (F.col("maxx") > F.col("a_minx"))
-        & (F.col("miny") < F.col("a_maxy")) & (F.col("maxy") > F.col("a_miny"))
+    ident = ["poly_id", "mukey", "areasymbol"]
+    span = lambda lo, hi: F.sequence(F.floor(F.col(lo) / cell), F.floor(F.col(hi) / cell))
+    boxes = with_boxes(polygons).select(*ident, *BOX)
+    cells = (
+        boxes.withColumn("_n", F.size(span("minx", "maxx")) * F.size(span("miny", "maxy")))
+        .withColumn("_cx", F.explode(span("minx", "maxx"))).withColumn("_cy", F.explode(span("miny", "maxy")))
     )
-    first = (F.col("_cx") == F.floor(F.greatest("minx", "a_minx") / cell)) & (
-        F.col("_cy") == F.floor(F.greatest("miny", "a_miny") / cell))
-    return j.filter(overlap & first).drop("_cx", "_cy")
+    outlines = rings.select("aoi_id", F.array_min("xs").alias("a_minx"), F.array_max("xs").alias("a_maxx"),
+                            F.array_min("ys").alias("a_miny"), F.array_max("ys").alias("a_maxy"))
+    met = cells.join(aoi_cells(rings, cell), ["_cx", "_cy"]).groupBy("aoi_id", *ident, *BOX).agg(
+        F.count_if("inner").alias("_inner"), F.max("_n").alias("_n"))
+    overlap = ((F.col("minx") < F.col("a_maxx")) & (F.col("maxx") > F.col("a_minx"))
+               & (F.col("miny") < F.col("a_maxy")) & (F.col("maxy") > F.col("a_miny")))
+    return met.join(outlines, "aoi_id").where(overlap).select("aoi_id", *ident, (F.col("_inner") == F.col("_n")).alias("inside"))
+
+
+CLIP_ROWS = 64
 
 
 def _clip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Clip each pair; pairs that share no area give no row."""
-    for batch in batches:
-        out = {c: [] for c in ("aoi_id", "poly_id", "mukey", "areasymbol", "area", "minx", "miny", "maxx", "maxy", "wkt",
-                               "parts")}
-        outlines: dict[str, list] = {}
-        for row in batch.to_pylist():
-            if row["a_wkt"] not in outlines:
-                outlines[row["a_wkt"]] = read_wkt(row["a_wkt"])
-            parts = intersection(read_wkt(row["wkt"]), outlines[row["a_wkt"]])
-            if not parts:
-                continue
-            xs = [x for part in parts for x, _ in part[0]]
-            ys = [y for part in parts for _, y in part[0]]
-            found = {**{c: row[c] for c in ("aoi_id", "poly_id", "mukey", "areasymbol")}, "area": parts_area(parts),
-                     "minx": min(xs), "miny": min(ys), "maxx": max(xs), "maxy": max(ys), "wkt": write_wkt(parts),
-                     "parts": len(parts)}
-            for c, v in found.items():
-                out[c].append(v)
-        types = {"aoi_id": pa.int32(), "parts": pa.int32(), **{c: pa.float64() for c in ("area", "minx", "miny", "maxx", "maxy")}}
-        yield pa.RecordBatch.from_arrays([pa.array(v, types.get(c, pa.string())) for c, v in out.items()], names=list(out))
+    """Clip each pair, to the outline or (none given: the polygon lies inside) as it is; no common area gives no row."""
+    types = {"aoi_id": pa.int32(), "parts": pa.int32(), **{c: pa.float64() for c in ("area", "minx", "miny", "maxx", "maxy")}}
+    names = ("aoi_id", "poly_id", "mukey", "areasymbol", "area", "minx", "miny", "maxx", "maxy", "wkt", "parts")
+    for whole in batches:
+        for start in range(0, whole.num_rows, CLIP_ROWS):
+            out = {c: [] for c in names}
+            outlines: dict[str, list] = {}
+            for row in whole.slice(start, CLIP_ROWS).to_pylist():
+                rings, frame = read_wkt(row["wkt"]), row["a_wkt"]
+                if frame is not None and frame not in outlines:
+                    outlines[frame] = read_wkt(frame)
+                parts = intersection(rings, outlines[frame] if frame is not None else frame_of(rings))
+                if not parts:
+                    continue
+                xs = [x for part in parts for x, _ in part[0]]
+                ys = [y for part in parts for _, y in part[0]]
+                found = {**{c: row[c] for c in ("aoi_id", "poly_id", "mukey", "areasymbol")}, "area": parts_area(parts),
+                         "minx": min(xs), "miny": min(ys), "maxx": max(xs), "maxy": max(ys), "wkt": write_wkt(parts),
+                         "parts": len(parts)}
+                for c, v in found.items():
+                    out[c].append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(v, types.get(c, pa.string())) for c, v in out.items()], names=list(out))
+
+
+def _rings_of(points: DataFrame) -> DataFrame:
+    return aoi_rings(points).select("aoi_id", ring_wkt(F.col("xs"), F.col("ys")).alias("a_wkt"), "xs", "ys")
+
+
+def _clip_pairs(pairs: DataFrame, polygons: DataFrame, rings: DataFrame) -> DataFrame:
+    """The clip of each pair; polygons inside get no outline."""
+    outlines = rings.select("aoi_id", "a_wkt", F.lit(False).alias("inside"))
+    framed = pairs.select("aoi_id", "poly_id", "inside").join(outlines, ["aoi_id", "inside"], "left")
+    return framed.drop("inside").join(polygons.select("poly_id", "mukey", "areasymbol", "wkt"), "poly_id").mapInArrow(
+        _clip,
+        "aoi_id int, poly_id string, mukey string, areasymbol string, area double, minx double, miny double, "
+        "maxx double, maxy double, wkt string, parts int",
+    )
 
 
 def aoi_clip_parts(polygons: DataFrame, points: DataFrame, grid_cell: float = DEFAULT_GRID_CELL) -> DataFrame:
     """Map-unit polygons clipped to each AOI, with the number of ``parts`` of the result.
 
-    Polygons may have holes and several parts; an AOI is any simple outline.
-    Only ids and boxes of the AOIs go through the grid; the outline is joined
-    to the pairs by id, and each pair is clipped once.  ``grid_cell`` (in map
-    units) should be near the usual size of a polygon.
+    Polygons (each with a ``poly_id`` of its own) may have holes and several
+    parts; an AOI is any simple outline.  ``grid_cell`` (in map units) should
+    be near the usual size of a polygon; results don't depend on it.
     """
     ship_package(polygons.sparkSession)
-    rings = aoi_rings(points).select("aoi_id", ring_wkt(F.col("xs"), F.col("ys")).alias("a_wkt"), "xs", "ys")
-    boxes = rings.select(
-        "aoi_id", F.array_min("xs").alias("a_minx"), F.array_max("xs").alias("a_maxx"),
-        F.array_min("ys").alias("a_miny"), F.array_max("ys").alias("a_maxy"),
-    )
-    polys = polygons.select("poly_id", "mukey", "areasymbol", "wkt", *wkt_box(F.col("wkt")))
-    pairs = box_pairs(polys, boxes, grid_cell).select("aoi_id", "poly_id", "mukey", "areasymbol", "wkt")
-    return pairs.join(rings.select("aoi_id", "a_wkt"), "aoi_id").mapInArrow(
-        _clip,
-        "aoi_id int, poly_id string, mukey string, areasymbol string, area double, minx double, miny double, "
-        "maxx double, maxy double, wkt string, parts int",
-    )
+    rings = _rings_of(points)
+    return _clip_pairs(aoi_pairs(polygons, rings, grid_cell), polygons, rings)
 
 
 def aoi_clip(polygons: DataFrame, points: DataFrame, grid_cell: float = DEFAULT_GRID_CELL,
@@ -153,3 +193,21 @@ def aoi_clip_dropped(polygons: DataFrame, points: DataFrame, grid_cell: float =
 def aoi_mukeys(clipped: DataFrame) -> DataFrame:
     """Distinct (aoi_id, mukey) of the clipped polygons: the key list for ``filter_mukeys``."""
     return clipped.select("aoi_id", "mukey").distinct()
+
+
+def aoi_keys(polygons: DataFrame, points: DataFrame, grid_cell: float = DEFAULT_GRID_CELL,
+             single_part: bool = True) -> DataFrame:
+    """The key list of :func:`aoi_mukeys` without the clips that it can do without.
+
+    A ``POLYGON`` whose cells all lie inside the AOI is in as it stands.  Of
+    the others, only those are clipped whose map unit no such polygon has
+    brought in.
+    """
+    ship_package(polygons.sparkSession)
+    rings = _rings_of(points)
+    one = F.col("wkt").startswith("POLYGON") if single_part else F.lit(True)
+    pairs = aoi_pairs(polygons, rings, grid_cell).join(polygons.select("poly_id", one.alias("_one")), "poly_id")
+    sure = pairs.where(F.col("inside") & F.col("_one")).select("aoi_id", "mukey").distinct()
+    doubtful = pairs.where(~(F.col("inside") & F.col("_one"))).join(sure, ["aoi_id", "mukey"], "left_anti")
+    clipped = _clip_pairs(doubtful, polygons, rings)
+    return sure.union(aoi_mukeys(clipped.filter("parts = 1") if single_part else clipped)).distinct()

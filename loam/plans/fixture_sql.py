@@ -224,7 +224,10 @@ def _closure(names) -> list[str]:
 
 
 def with_fixture(sql: str, tables, extra_ctes: list[tuple[str, str]] | None = None) -> str:
-    """Prepend the fixture CTEs ``tables`` (plus dependencies) and ``extra_ctes`` to ``sql``."""
+    """Prepend the fixture CTEs ``tables`` (plus dependencies) and ``extra_ctes`` to ``sql``.
+
+    An extra CTE whose name ends in ``!`` is materialised, so that no join order reaches into it.
+    """
     ctes = [f"{n} AS ({FIXTURE_CTES[n]})" for n in _closure(tables)]
-    ctes += [f"{n} AS ({body})" for n, body in (extra_ctes or [])]
+    ctes += [f"{n.rstrip('!')} AS {'MATERIALIZED ' * n.endswith('!')}({body})" for n, body in (extra_ctes or [])]
     return "WITH " + ",\n".join(ctes) + "\n" + sql

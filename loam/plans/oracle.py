@@ -120,17 +120,21 @@ def _reasons_all_cte() -> str:
 
 def _interp_dom_comp() -> str:
     ctes = [
-        ("mu", MU), ("dom", _dom()),
-        ("d0", f"SELECT cokey, mrulename, interphr, interphrc FROM cointerp WHERE ruledepth = 0 "
-               f"AND mrulename IN {RULES_IN}"),
-        ("rules", f"SELECT unnest({RULES_LIST}) AS mrulename"),
-        ("rd", _reasons_dominant_cte()),
+        ("dom!", _dom("compkind")),
+        ("d0!", f"SELECT cokey, mrulename, interphr, interphrc FROM cointerp WHERE ruledepth = 0 "
+                f"AND mrulename IN {RULES_IN}"),
+        ("sub!", "SELECT cokey, mrulename, interphr, interphrc FROM cointerp WHERE ruledepth != 0 "
+                 f"AND lower(interphrc) NOT LIKE 'not%' AND mrulename IN {RULES_IN}"),
+        ("rd!", "SELECT mukey, mrulename, string_agg(interphrc, '; ' ORDER BY interphr DESC NULLS LAST, interphrc) AS reason "
+                "FROM (SELECT DISTINCT dom.mukey, sub.mrulename, sub.interphrc, sub.interphr FROM sub JOIN dom USING (cokey) "
+                "WHERE lower(dom.compkind) != 'miscellaneous area') GROUP BY mukey, mrulename"),
+        ("mu!", f"SELECT *, unnest({RULES_LIST}) AS mrulename FROM ({MU})"),
     ]
     sql = (
-        f"SELECT {MU_COLS}, r.mrulename, d0.interphr AS rating, d0.interphrc AS \"class\", rd.reason "
-        "FROM mu JOIN dom ON dom.mukey = mu.mukey CROSS JOIN rules r "
-        "LEFT JOIN d0 ON d0.cokey = dom.cokey AND d0.mrulename = r.mrulename "
-        "LEFT JOIN rd ON rd.mukey = mu.mukey AND rd.mrulename = r.mrulename"
+        f"SELECT {MU_COLS}, mu.mrulename, d0.interphr AS rating, d0.interphrc AS \"class\", rd.reason "
+        "FROM mu JOIN dom ON dom.mukey = mu.mukey "
+        "LEFT JOIN d0 ON d0.cokey = dom.cokey AND d0.mrulename = mu.mrulename "
+        "LEFT JOIN rd ON rd.mukey = mu.mukey AND rd.mrulename = mu.mrulename"
     )
     return with_fixture(sql, INTERP_TABLES, ctes)
 
@@ -408,7 +412,7 @@ def _aoi_clip() -> str:
     return with_fixture(f"SELECT *, 'POLYGON ((' || {ring} || '))' AS wkt FROM clip", AOI_TABLES, _aoi_ctes())
 
 
-def _aoi_clip_holes() -> str:
+def _aoi_piece_ctes() -> list[tuple[str, str]]:
     """Closed formulas: a box against a right triangle (half-plane sums) or an L (box minus its notch)."""
     key = "CAST(mukey AS BIGINT)"
     x, y = f"({key} % 500) * 10", f"({key} // 500) * 10"
@@ -430,7 +434,7 @@ def _aoi_clip_holes() -> str:
         f"(greatest(least({u1}, {w1}) - greatest({u0}, {w0}), 0) * "
         f"greatest(least({v1}, {h1}) - greatest({v0}, {h0}), 0))")
     bent = f"({over(0, 200, 0, 130)} - {over(80, 200, 60, 130)})"
-    ctes = [
+    return [
         ("mu", "SELECT areasymbol, mukey FROM mapunit JOIN legend USING (lkey)"),
         ("box", boxes),
         ("shape", "SELECT CAST(r_regionkey AS INTEGER) AS aoi_id, r_regionkey * 100 + 3.5::DOUBLE AS ax, "
@@ -438,9 +442,27 @@ def _aoi_clip_holes() -> str:
         ("piece", f"SELECT aoi_id, areasymbol, mukey, sg * CASE WHEN aoi_id % 2 = 0 THEN {triangle} ELSE {bent} END "
                   "AS a FROM box, shape"),
     ]
+
+
+def _aoi_clip_holes() -> str:
     sql = ("SELECT aoi_id, mukey || '.s' AS poly_id, mukey, areasymbol, sum(a) AS area FROM piece "
            "GROUP BY aoi_id, mukey, areasymbol HAVING sum(a) > 0")
-    return with_fixture(sql, ["mapunit", "legend"], ctes)
+    return with_fixture(sql, ["mapunit", "legend"], _aoi_piece_ctes())
+
+
+def _aoi_clip_dropped() -> str:
+    """Two-part shapes with both parts in the AOI, and holed boxes whose hole reaches across a sharp corner of a triangle.
+
+    A box in a triangle or an L is one piece, a holed box in an L too.
+    """
+    key = "CAST(mukey AS BIGINT)"
+    across = lambda a, b, h, k: f"{a} >= {h} + 3 AND {a} < {h} + 9 AND ax + ay + 150 - ({k} + 9) < {h} + 9 AND {b} + 150 > {k} + 9"
+    x, y = f"({key} % 500) * 10", f"({key} // 500) * 10"
+    sql = ("SELECT aoi_id, mukey || '.s' AS poly_id, mukey, areasymbol, sum(a) AS area, CAST(2 AS INTEGER) AS parts "
+           f"FROM piece JOIN shape USING (aoi_id) WHERE ({key} % 3 = 2 AND a > 0) OR ({key} % 3 = 1 AND aoi_id % 2 = 0 "
+           f"AND (({across('ay', 'ax', y, x)}) OR ({across('ax', 'ay', x, y)}))) "
+           "GROUP BY aoi_id, mukey, areasymbol HAVING count(*) = 2")
+    return with_fixture(sql, ["mapunit", "legend"], _aoi_piece_ctes())
 
 
 def _aoi_mukeys() -> str:
@@ -568,7 +590,12 @@ def oracle_sql() -> dict[str, str]:
         "filter_area_like": _filter_area_like(),
         "interp_rule_like": _interp_rule_like(),
         "aoi_clip_holes": _aoi_clip_holes(),
+        "aoi_clip_dropped": _aoi_clip_dropped(),
         "aoi_prop_dom_cond": _in_aoi(_prop_dom_cond()),
+        "aoi_prop_dom_comp": _in_aoi(_prop_dom_comp_cat()),
+        "aoi_prop_min": _in_aoi(_prop_min_max("claytotal_r", "MIN")),
+        "aoi_prop_multi": _in_aoi(_weighted_sql(MULTI_PROPS, 0, 50, dominant_only=False)),
+        "aoi_interp_dom_cond": _in_aoi(_interp_dom_cond()),
         "aoi_interp_dom_comp": _in_aoi(_interp_dom_comp()),
         "aoi_interp_weighted_avg": _in_aoi(_interp_weighted_avg()),
         "coverage_requests": _coverage_requests(),

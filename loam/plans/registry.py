@@ -211,31 +211,64 @@ def p_aoi_clip_holes(t):
         "aoi_id", "poly_id", "mukey", "areasymbol", "area")
 
 
+def _aoi_keys(t):
+    return A.aoi_keys(t.mupolygon, t.aoi_points, GRID_CELL)
+
+
+def p_aoi_clip_dropped(t):
+    """What the clip to one part leaves out: the pairs whose clip falls into several parts."""
+    return A.aoi_clip_dropped(t.mupolygon_shapes, t.aoi_shapes, GRID_CELL)
+
+
 def p_aoi_mukeys(t):
-    return A.aoi_mukeys(_clipped(t))
+    return _aoi_keys(t)
 
 
 def p_aoi_prop_weighted_avg(t):
     """The AOI property tool: weighted average for the map units inside any AOI."""
-    mus, comps, hz = selected_tables(t, mukeys=A.aoi_mukeys(_clipped(t)), child="chorizon")
+    mus, comps, hz = selected_tables(t, mukeys=_aoi_keys(t), child="chorizon")
     return P.prop_weighted_avg(mus, comps, hz, t.chtexturegrp, "claytotal_r", TOP, BOTTOM, selected=True)
 
 
 def p_aoi_prop_dom_cond(t):
     """The AOI property tool: dominant condition."""
-    mus, comps = selected_tables(t, mukeys=A.aoi_mukeys(_clipped(t)))
+    mus, comps = selected_tables(t, mukeys=_aoi_keys(t))
     return P.prop_dom_cond(mus, comps, "drainagecl")
 
 
+def p_aoi_prop_dom_comp(t):
+    """The AOI property tool: dominant component."""
+    mus, comps = selected_tables(t, mukeys=_aoi_keys(t))
+    return P.prop_dom_comp_cat(mus, comps, "drainagecl")
+
+
+def p_aoi_prop_min(t):
+    """The AOI property tool: profile minimum."""
+    mus, comps, hz = selected_tables(t, mukeys=_aoi_keys(t), child="chorizon")
+    return P.prop_min_max(mus, comps, hz, "claytotal_r", "MIN")
+
+
+def p_aoi_prop_multi(t):
+    """The AOI property tool: weighted averages of several properties."""
+    mus, comps, hz = selected_tables(t, mukeys=_aoi_keys(t), child="chorizon")
+    return P.prop_multi("Weighted Average", mus, comps, hz, t.chtexturegrp, MULTI_PROPS, 0, 50, selected=True)
+
+
+def p_aoi_interp_dom_cond(t):
+    """The AOI interpretation tool: dominant condition, both rules."""
+    mus, comps, ci = selected_tables(t, mukeys=_aoi_keys(t), child="cointerp")
+    return I.interp_dom_cond(mus, comps, ci, RULE_NAMES)
+
+
 def p_aoi_interp_dom_comp(t):
     """The AOI interpretation tool: dominant component, both rules."""
-    mus, comps, ci = selected_tables(t, mukeys=A.aoi_mukeys(_clipped(t)), child="cointerp")
+    mus, comps, ci = selected_tables(t, mukeys=_aoi_keys(t), child="cointerp")
     return I.interp_dom_comp(mus, comps, ci, RULE_NAMES)
 
 
 def p_aoi_interp_weighted_avg(t):
     """The AOI interpretation tool: weighted average, both rules."""
-    mus, comps, ci = selected_tables(t, mukeys=A.aoi_mukeys(_clipped(t)), child="cointerp")
+    mus, comps, ci = selected_tables(t, mukeys=_aoi_keys(t), child="cointerp")
     return I.interp_weighted_avg(mus, comps, ci, RULE_NAMES)
 
 
@@ -316,7 +349,12 @@ PLANS: dict[str, PlanFn] = {
     "aoi_clip": p_aoi_clip,
     "aoi_mukeys": p_aoi_mukeys,
     "aoi_clip_holes": p_aoi_clip_holes,
+    "aoi_clip_dropped": p_aoi_clip_dropped,
     "aoi_prop_dom_cond": p_aoi_prop_dom_cond,
+    "aoi_prop_dom_comp": p_aoi_prop_dom_comp,
+    "aoi_prop_min": p_aoi_prop_min,
+    "aoi_prop_multi": p_aoi_prop_multi,
+    "aoi_interp_dom_cond": p_aoi_interp_dom_cond,
     "aoi_interp_dom_comp": p_aoi_interp_dom_comp,
     "aoi_interp_weighted_avg": p_aoi_interp_weighted_avg,
     "coverage_requests": p_coverage_requests,

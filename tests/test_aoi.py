@@ -1,10 +1,16 @@
 """AOI ring, exact clip against brute-force areas, multi-part results (Q19)."""
 
+import math
+import random
+import time
+
 import numpy as np
 import pytest
 
-from loam.functions.polygons import intersection, parts_area, read_wkt, write_wkt
+from loam.functions.edge_grid import PointIndex
+from loam.functions.polygons import inside, intersection, outline_rows, parts_area, read_wkt, write_wkt
 from loam.operators import aoi as A
+from loam.sources.polygon_store import cover, read_polygons, write_polygons
 
 
 def _points(spark, aoi_id, pts):
@@ -54,6 +60,9 @@ SHAPES = {
     "sliver": [[(0.3, 4.7), (9.9, 5.2), (9.8, 5.6)]],
 }
 
+SHAPES_F = {k: [(float(x), float(y)) for x, y in r[0]] for k, r in SHAPES.items()}
+SHAPES_H = [(float(x), float(y)) for x, y in SHAPES["hole"][1]]
+
 
 @pytest.mark.parametrize("first", SHAPES)
 @pytest.mark.parametrize("second", SHAPES)
@@ -97,7 +106,8 @@ def test_concave_aoi_and_one_clip_per_pair(spark):
     df = A.aoi_clip(polys, aoi, 10.0)
     assert [r.area for r in df.collect()] == [64.0]
     plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert plan.count("MapInArrow") == 1 and "NestedLoop" not in plan and "Cartesian" not in plan
+    # one pass over the outlines (their cells), one over the pairs (the clip)
+    assert plan.count("MapInArrow") == 2 and "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 def test_clip_independent_of_partitioning(spark):
@@ -118,3 +128,116 @@ def test_grid_cell_size_does_not_matter(spark):
     for cell in (7.0, 50.0, 1000.0):
         g = A.aoi_clip(fx.mupolygon, fx.aoi_points, cell)
         assert sorted(map(tuple, g.collect())) == sorted(map(tuple, b.collect()))
+
+
+def _coast(n, cx=0.0, cy=0.0, r=10.0, seed=1):
+    rnd = random.Random(seed)
+    waves = [(rnd.random() * 6.3, 0.3 / k, k) for k in range(1, 30)]
+    out = []
+    for i in range(n):
+        a = 2 * math.pi * i / n
+        s = r * (1 + 0.4 * sum(h * math.sin(k * a + f) for f, h, k in waves) + rnd.random() / n)
+        out.append((cx + s * math.cos(a), cy + s * math.sin(a)))
+    return out
+
+
+def _comb(n):
+    k = n // 4
+    teeth = [p for i in range(k) for p in ((20 * i / k, 20.0), (20 * (i + 0.5) / k, 20.0), (20 * (i + 0.5) / k, 1.0), (20 * (i + 1) / k, 1.0))]
+    return [(0.0, 0.0), *teeth, (20.0, 0.0)]
+
+
+def test_clip_time_is_near_linear():
+    """Fifty times the vertices take far less than the square of it, also where a line crosses every tooth of a comb."""
+    box = [[(-1.0, 5.0), (25.0, 5.0), (25.0, 15.0), (-1.0, 15.0)]]
+    for shape, other in ((_coast, [_coast(200, 3, 2, seed=2)]), (_comb, box)):
+        took = {}
+        for n in (400, 20_000):
+            t = time.perf_counter()
+            parts = intersection([shape(n)], other)
+            took[n] = time.perf_counter() - t
+            assert parts
+        assert took[20_000] < 50**1.5 * took[400]
+    assert len(parts) == 5_000 and parts_area(parts) == pytest.approx(100)
+
+
+def test_point_index_agrees_with_the_ray(rnd=random.Random(4)):
+    for n in (3, 10, 400):
+        rings = [_coast(n, seed=n), _coast(5, r=2)]
+        index = PointIndex([(a, b) for r in rings for a, b in zip(r, r[1:] + r[:1])], 1e-9)
+        for _ in range(300):
+            p = (rnd.uniform(-15, 15), rnd.uniform(-15, 15))
+            assert (p in index) == inside(p, rings)
+    assert (0.0, 0.0) not in PointIndex([], 1e-9)
+
+
+def test_outline_cells_against_points():
+    """Marked cells cover the outline; a cell marked inside holds inner points only, an unmarked one none."""
+    for rings in ([_coast(60)], [[(0.0, 0.0), (9.0, 0.0), (9.0, 9.0), (0.0, 9.0)]], [SHAPES_F["U"]], [SHAPES_F["hole"], SHAPES_H]):
+        cells = {(j, i): inner for i, row in outline_rows(rings, 0.7) for j, inner in row}
+        rnd = random.Random(2)
+        for _ in range(3000):
+            x, y = rnd.uniform(-16, 16), rnd.uniform(-16, 16)
+            inner = cells.get((math.floor(x / 0.7), math.floor(y / 0.7)))
+            assert inner is False or inside((x, y), rings) == (inner is True)
+        assert any(cells.values())
+
+
+def _mixed(spark, n=120):
+    rnd = random.Random(8)
+    rows = []
+    for i in range(n):
+        x, y, r = rnd.uniform(-12, 12), rnd.uniform(-12, 12), rnd.choice([0.3, 1.0, 4.0])
+        ring = lambda q: "(" + ", ".join(f"{a!r} {b!r}" for a, b in [*q, q[0]]) + ")"
+        one = _coast(rnd.choice([4, 9, 40]), x, y, r, seed=i)
+        wkt = f"MULTIPOLYGON (({ring(one)}), ({ring(_coast(5, x + 3 * r, y, r / 2, seed=i))}))" if i % 5 == 0 else f"POLYGON ({ring(one)})"
+        rows.append(("A", str(i % 50), f"{i}.1", wkt))
+    return _polys(spark, rows)
+
+
+def test_key_list_without_clips_is_that_of_the_clips(spark):
+    polys = _mixed(spark)
+    aois = _points(spark, 1, _coast(30, seed=3)).union(_points(spark, 2, _coast(12, 5, 5, 3, seed=4)))
+    for single in (True, False):
+        want = {tuple(r) for r in A.aoi_mukeys(A.aoi_clip(polys, aois, 1.3, single)).collect()}
+        for cell in (0.4, 1.3, 50.0):
+            got = A.aoi_keys(polys, aois, cell, single).collect()
+            assert {tuple(r) for r in got} == want and len(got) == len(want)
+    rings = A._rings_of(aois)
+    inner = [A.aoi_pairs(polys, rings, c).where("inside").count() for c in (0.4, 50.0)]
+    assert inner[0] > 20 and inner[1] == 0
+
+
+def test_grid_join_moves_no_outline(spark):
+    polys, aois = _mixed(spark), _points(spark, 1, _coast(30, seed=3))
+    pairs = A.aoi_pairs(polys, aois.transform(A._rings_of), 1.3)
+    assert "wkt" not in pairs.columns
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    joined = [line for line in plan.splitlines() if "Join Inner" in line or "Aggregate" in line]
+    assert joined and not any("wkt" in line for line in joined)
+
+
+def _scanned(df):
+    """Rows that the scan of ``df`` handed on, by its metric."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().get("numOutputRows").get().value() for i in range(leaves.size()))
+
+
+def test_stored_polygons_are_read_near_the_aoi_only(spark, scratch):
+    cells = 200
+    box = "concat('POLYGON ((', {0}, ' ', {1}, ', ', {0} + 1, ' ', {1}, ', ', {0} + 1, ' ', {1} + 1, ', ', {0}, ' ', {1} + 1, ', ', {0}, ' ', {1}, '))')"
+    polys = spark.range(cells * cells).selectExpr(
+        "'A' as areasymbol", "cast(id as string) as mukey", "concat(id, '.1') as poly_id", box.format(f"id % {cells}", f"id div {cells}") + " as wkt")
+    write_polygons(polys, scratch + "/polys", files=4, group_bytes=64 << 10)
+    aoi = _points(spark, 1, [(20.5, 30.5), (25.5, 30.5), (25.5, 33.5), (20.5, 33.5)]).union(
+        _points(spark, 2, [(150.5, 170.5), (152.5, 170.5), (151.5, 172.5)]))
+    stored = read_polygons(spark, scratch + "/polys", aoi)
+    read, everything = _scanned(stored), _scanned(read_polygons(spark, scratch + "/polys"))
+    assert everything == cells * cells and read < everything / 10
+    want = {tuple(r) for r in A.aoi_clip(polys, aoi, 2.0).collect()}
+    assert {tuple(r) for r in A.aoi_clip(stored, aoi, 2.0).collect()} == want and len(want) > 24
+    assert cover(aoi.limit(0)) == [] and read_polygons(spark, scratch + "/polys", aoi.limit(0)).count() == 0
+    many = spark.range(100).selectExpr("cast(id as int) as aoi_id", "1 as seq", "id * 1.0D as x", "id % 7 * 1.0D as y")
+    boxes = cover(many)
+    assert len(boxes) <= 16 and all(any(a <= i <= b and c <= i % 7 <= d for a, b, c, d in boxes) for i in range(100))
