@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loam.functions.polygons import frame_of, intersection, outline_rows, parts_area, read_wkt, write_wkt
-from loam.session import ship_package
+from loam.session import materialize, ship_package
 
 DEFAULT_GRID_CELL = 0.1   # degrees
 
@@ -52,15 +52,15 @@ def aoi_ring(points: DataFrame) -> DataFrame:
                     ring_wkt(F.col("xs"), F.col("ys")).alias("wkt"))
 
 
-_COORDINATES = r"(-?[0-9][0-9.eE+-]*)\s+(-?[0-9][0-9.eE+-]*)"
-
-
-def wkt_box(wkt: Column) -> list[Column]:
-    """``minx, maxx, miny, maxy`` of all rings of a WKT polygon."""
-    axis = lambda k: F.transform(F.regexp_extract_all(wkt, F.lit(_COORDINATES), F.lit(k)),
-                                 lambda v: v.cast("double"))
-    return [F.array_min(axis(1)).alias("minx"), F.array_max(axis(1)).alias("maxx"),
-            F.array_min(axis(2)).alias("miny"), F.array_max(axis(2)).alias("maxy")]
+def wkt_box(polygons: DataFrame) -> DataFrame:
+    """``polygons`` with ``minx, maxx, miny, maxy`` of all rings of their WKT: one pass over the text."""
+    numbers = F.translate(F.expr("substring(wkt, instr(wkt, '('))"), "()", "")
+    points = F.split(F.trim(numbers), r"\s*,\s*")
+    axis = lambda k: F.transform("_points", lambda p: F.split_part(p, F.lit(" "), F.lit(k)).try_cast("double"))
+    cut = polygons.withColumn("_points", F.transform(points, lambda p: F.regexp_replace(p, r"\s+", " ")))
+    cut = cut.select(*polygons.columns, axis(1).alias("_xs"), axis(2).alias("_ys"))
+    return cut.select(*polygons.columns, F.array_min("_xs").alias("minx"), F.array_max("_xs").alias("maxx"),
+                      F.array_min("_ys").alias("miny"), F.array_max("_ys").alias("maxy"))
 
 
 BOX = ["minx", "maxx", "miny", "maxy"]
@@ -68,7 +68,7 @@ BOX = ["minx", "maxx", "miny", "maxy"]
 
 def with_boxes(polygons: DataFrame) -> DataFrame:
     """``polygons`` with their box, read from the text unless they carry it (see ``sources.polygon_store``)."""
-    return polygons if set(BOX) <= set(polygons.columns) else polygons.select("*", *wkt_box(F.col("wkt")))
+    return polygons if set(BOX) <= set(polygons.columns) else wkt_box(polygons)
 
 
 def _outline_cells(cell: float):
@@ -93,16 +93,16 @@ def aoi_cells(rings: DataFrame, cell: float) -> DataFrame:
 
 
 def aoi_pairs(polygons: DataFrame, rings: DataFrame, cell: float) -> DataFrame:
-    """``aoi_id, poly_id, mukey, areasymbol, inside`` of the polygons whose box meets a cell of an AOI.
+    """``aoi_id, poly_id, mukey, areasymbol, single, inside`` of the polygons whose box meets a cell of an AOI.
 
-    ``inside`` says that all cells of the box lie inside the AOI.  Only ids,
+    ``single`` says that the polygon has one part, ``inside`` that all cells of its box lie inside the AOI.  Only ids,
     boxes and cells are shuffled; a small side is broadcast by Spark's own
     size check.  Pairs whose boxes merely touch, and polygons that lie in the
     AOI's box but in none of its cells, do not come out.
     """
-    ident = ["poly_id", "mukey", "areasymbol"]
+    ident = ["poly_id", "mukey", "areasymbol", "single"]
     span = lambda lo, hi: F.sequence(F.floor(F.col(lo) / cell), F.floor(F.col(hi) / cell))
-    boxes = with_boxes(polygons).select(*ident, *BOX)
+    boxes = with_boxes(polygons).withColumn("single", F.col("wkt").startswith("POLYGON")).select(*ident, *BOX)
     cells = (
         boxes.withColumn("_n", F.size(span("minx", "maxx")) * F.size(span("miny", "maxy")))
         .withColumn("_cx", F.explode(span("minx", "maxx"))).withColumn("_cy", F.explode(span("miny", "maxy")))
@@ -205,9 +205,9 @@ def aoi_keys(polygons: DataFrame, points: DataFrame, grid_cell: float = DEFAULT_
     """
     ship_package(polygons.sparkSession)
     rings = _rings_of(points)
-    one = F.col("wkt").startswith("POLYGON") if single_part else F.lit(True)
-    pairs = aoi_pairs(polygons, rings, grid_cell).join(polygons.select("poly_id", one.alias("_one")), "poly_id")
-    sure = pairs.where(F.col("inside") & F.col("_one")).select("aoi_id", "mukey").distinct()
-    doubtful = pairs.where(~(F.col("inside") & F.col("_one"))).join(sure, ["aoi_id", "mukey"], "left_anti")
+    pairs = materialize(aoi_pairs(polygons, rings, grid_cell))
+    settled = F.col("inside") & F.col("single") if single_part else F.col("inside")
+    sure = pairs.where(settled).select("aoi_id", "mukey").distinct()
+    doubtful = pairs.where(~settled).join(sure, ["aoi_id", "mukey"], "left_anti")
     clipped = _clip_pairs(doubtful, polygons, rings)
     return sure.union(aoi_mukeys(clipped.filter("parts = 1") if single_part else clipped)).distinct()

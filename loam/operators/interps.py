@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from loam.functions.interp_bins import interp_class_bins, interp_design
 from loam.functions.numeric import round2
+from loam.functions.text import not_like, text_ne
 from loam.operators.dominant import dominant_component
 from loam.operators.filters import filter_reason, filter_reason_components, filter_rule
 
@@ -33,29 +34,30 @@ def _per_rule(mapunits_with_comp: DataFrame, rules: Sequence[str], extra: Sequen
     return mapunits_with_comp.select(*KEY_COLS, *extra, _rules_col(rules))
 
 
-def overall_ratings(cointerp: DataFrame, rules: Sequence[str]) -> DataFrame:
-    """Depth-0 rows (the overall rating) of the requested rules."""
+def rule_facts(cointerp: DataFrame, rules: Sequence[str], case_sensitive: bool = False) -> DataFrame:
+    """Rating rows that a rollup needs, from one scan: overall rows (``_overall``) and sub-rules that carry a reason."""
     ci = cointerp.select("cokey", "mrulename", "ruledepth", "ruledesign", "interphr", "interphrc")
-    return filter_rule(ci, rules, overall=True).drop("ruledepth")
+    overall = F.col("ruledepth") == 0
+    reason = (F.col("ruledepth") != 0) & not_like("interphrc", "Not%", case_sensitive)
+    wanted = ci.filter(F.col("mrulename").isin(list(rules)) & (overall | reason))
+    return wanted.select("cokey", "mrulename", "ruledesign", "interphr", "interphrc", overall.alias("_overall"))
 
 
-def overall_rating_unique(cointerp: DataFrame, rules: Sequence[str]) -> DataFrame:
-    """One depth-0 row per (cokey, rule); a second row raises, as the scalar subquery would.
+def _talks(case_sensitive: bool) -> Column:
+    """Whether a component may give reasons."""
+    return F.coalesce(text_ne("compkind", "miscellaneous area", case_sensitive), F.lit(False)).alias("_talks")
 
-    The check is an aggregate on the join key, so the join that follows
-    reuses its partitioning.
-    """
-    g = overall_ratings(cointerp, rules).groupBy("cokey", "mrulename").agg(
-        F.count(F.lit(1)).alias("_n"), F.max("interphr").alias("interphr"), F.max("interphrc").alias("interphrc")
-    )
-    dup = F.col("_n") > 1
-    msg = F.concat(F.lit("more than one overall rating row for component "), F.col("cokey"), F.lit(", rule "),
-                   F.col("mrulename"))
-    return g.select(
-        "cokey", "mrulename",
-        F.when(dup, F.raise_error(msg)).otherwise(F.col("interphr")).alias("interphr"),
-        F.col("interphrc"),
-    )
+
+def _joined(values: Column, reason_chars: int | None) -> Column:
+    """Sorted texts as one list; NULL when there are none."""
+    text = F.when(F.size(values) > 0, F.array_join(values, "; "))
+    return text if reason_chars is None else F.substring(text, 1, reason_chars)
+
+
+def _by_value(pairs: Column) -> Column:
+    """Classes of distinct (value, class) pairs, value DESC (NULL last), then class."""
+    keyed = F.transform(pairs, lambda r: F.struct(r["interphr"].isNull(), -r["interphr"], r["interphrc"].alias("c")))
+    return F.transform(F.array_sort(keyed), lambda r: r["c"])
 
 
 def _listagg(value: str, order_sql: str) -> Column:
@@ -103,23 +105,33 @@ def interp_reasons_all(component: DataFrame, cointerp: DataFrame, rules: Sequenc
     return agg.select("mukey", "mrulename", _cut("_r", reason_chars).alias("reason"))
 
 
+def _with_component(mapunits: DataFrame, dom: DataFrame) -> DataFrame:
+    """Map units that have a component; naming the component's key lets both uses of ``dom`` share its shuffle."""
+    return mapunits.join(dom.select("mukey", "cokey").where("cokey is not null"), "mukey", "inner")
+
+
 def interp_dom_comp(mapunits: DataFrame, component: DataFrame, cointerp: DataFrame, rules: Sequence[str],
                     case_sensitive: bool = False, reason_chars: int | None = None) -> DataFrame:
     """Rating and class of the dominant component's overall row; reasons of the dominant component.
 
-    The dominant component is found once; it brings its kind along for the reasons.
+    Ratings and reasons come from one pass over the rows of the dominant
+    components.  A second overall row of one raises, as the scalar subquery
+    would (SURVEY Q7).
     """
-    dom = dominant_component(component, ["compkind"])
-    rows = _per_rule(mapunits.join(dom.select("mukey", "cokey"), "mukey", "inner"), rules, ["cokey"])
-    rated = rows.join(overall_rating_unique(cointerp, rules), ["cokey", "mrulename"], "left")
-    reasons = interp_reasons_dominant(dom, cointerp, rules, case_sensitive, reason_chars)
-    return rated.join(reasons, ["mukey", "mrulename"], "left").select(
-        *KEY_COLS, "mrulename", F.col("interphr").alias("rating"), F.col("interphrc").alias("class"), "reason"
+    dom = dominant_component(component, ["compkind"]).select("mukey", "cokey", _talks(case_sensitive))
+    rows = rule_facts(cointerp, rules, case_sensitive).join(dom, "cokey")
+    over = lambda c: F.when(F.col("_overall"), F.col(c))
+    found = rows.groupBy("mukey", "mrulename").agg(
+        F.count_if("_overall").alias("_n"), F.max(over("interphr")).alias("_value"), F.max(over("interphrc")).alias("class"),
+        F.collect_set(F.when(~F.col("_overall") & F.col("_talks"), F.struct("interphr", "interphrc"))).alias("_reasons"), F.max("cokey").alias("_cokey"),
     )
-
-
-def _overall_with_pct(component: DataFrame, cointerp: DataFrame, rules: Sequence[str]) -> DataFrame:
-    return overall_ratings(cointerp, rules).join(component.select("mukey", "cokey", "comppct_r"), "cokey", "inner")
+    several = F.concat(F.lit("more than one overall rating row for component "), F.col("_cokey"), F.lit(", rule "), F.col("mrulename"))
+    found = found.select(
+        "mukey", "mrulename", F.when(F.col("_n") > 1, F.raise_error(several)).otherwise(F.col("_value")).alias("rating"), "class",
+        _joined(_by_value(F.col("_reasons")), reason_chars).alias("reason"),
+    )
+    base = _per_rule(_with_component(mapunits, dom), rules)
+    return base.join(found, ["mukey", "mrulename"], "left").select(*OUT_COLS)
 
 
 def interp_dom_cond(mapunits: DataFrame, component: DataFrame, cointerp: DataFrame, rules: Sequence[str],
@@ -130,35 +142,36 @@ def interp_dom_cond(mapunits: DataFrame, component: DataFrame, cointerp: DataFra
     mean of the distinct values of the top group's class, rounded to 2.
     class: distinct (class, percent) pairs summed per class; the top class.
     Ties: larger sum first, then value ascending (NULL last), then class.
+    reason: as for the dominant component.
+
+    One pass over the rating rows, and a chain of aggregates from fine keys to
+    coarse ones, each combined before its shuffle.
     """
-    rows = _overall_with_pct(component, cointerp, rules)
-    # rows of one class, value and percent become one; a NULL class stands as a flag, so that it joins
-    unit = ["mukey", "mrulename", "_none", "_class"]
-    counted = rows.select(
-        "mukey", "mrulename", F.col("interphrc").isNull().alias("_none"),
-        F.coalesce("interphrc", F.lit("")).alias("_class"), "interphr", "comppct_r",
-    ).groupBy(*unit, "interphr", "comppct_r").agg(F.count(F.lit(1)).alias("_rows"))
-    values = counted.groupBy(*unit, "interphr").agg(F.sum(F.col("comppct_r") * F.col("_rows")).alias("_s"))
+    dom = dominant_component(component, ["compkind"]).select("mukey", "cokey", _talks(case_sensitive))
+    comps = component.select("mukey", "cokey", "comppct_r").join(
+        dom.select("cokey", "_talks", F.lit(True).alias("_dom")), "cokey", "left")
+    rows = rule_facts(cointerp, rules, case_sensitive).join(comps, "cokey").filter(
+        F.col("_overall") | (F.col("_dom") & F.col("_talks")))
+    over = lambda c: F.when(F.col("_overall"), c)
+    unit = ["mukey", "mrulename", "_overall", "interphrc"]
+    values = rows.groupBy(*unit, "interphr").agg(
+        F.sum(over(F.col("comppct_r"))).alias("_s"), F.collect_set(over(F.col("comppct_r"))).alias("_pcts"))
     key = F.struct(F.col("_s").isNull(), -F.col("_s"), F.col("interphr").isNull(), F.col("interphr"))
-    ratings = values.groupBy(*unit).agg(F.avg("interphr").alias("_cavg"), F.min(key).alias("_k"))
-    shares = (
-        counted.groupBy(*unit, "comppct_r").agg(F.lit(1)).groupBy(*unit).agg(F.sum("comppct_r").alias("_cs"))
-    )
-    classes = ratings.join(shares, unit)
-    cls_key = F.struct(F.col("_cs").isNull(), -F.col("_cs"), F.col("_none"), F.col("_class"))
-    best = classes.groupBy("mukey", "mrulename").agg(
-        F.min_by("_cavg", F.struct("_k", "_none", "_class")).alias("_cavg"),
-        F.min_by(F.when(~F.col("_none"), F.col("_class")), cls_key).alias("class"),
-    ).select("mukey", "mrulename", round2(F.col("_cavg")).alias("rating"), "class")
-
-    dom = dominant_component(component, ["compkind"])
-    base = _per_rule(mapunits.join(dom.select("mukey"), "mukey", "inner"), rules)
-    reasons = interp_reasons_dominant(dom, cointerp, rules, case_sensitive, reason_chars)
-    return (
-        base.join(best, ["mukey", "mrulename"], "left")
-        .join(reasons, ["mukey", "mrulename"], "left")
-        .select(*OUT_COLS)
+    classes = values.groupBy(*unit).agg(
+        F.avg("interphr").alias("_cavg"), F.min(key).alias("_k"), F.array_distinct(F.flatten(F.collect_list("_pcts"))).alias("_pcts"),
+        F.collect_list(F.when(~F.col("_overall"), F.struct("interphr", "interphrc"))).alias("_reasons"),
     )
+    # distinct percents of a class, summed; NULL where it has none
+    share = F.when(F.size("_pcts") > 0, F.aggregate("_pcts", F.lit(0).cast("long"), lambda a, x: a + x))
+    none = F.col("interphrc").isNull()
+    found = classes.withColumn("_cs", share).groupBy("mukey", "mrulename").agg(
+        F.min_by("_cavg", over(F.struct("_k", none, "interphrc"))).alias("_cavg"),
+        F.min_by("interphrc", over(F.struct(F.col("_cs").isNull(), -F.col("_cs"), none, F.col("interphrc")))).alias("class"),
+        F.flatten(F.collect_list("_reasons")).alias("_reasons"),
+    ).select("mukey", "mrulename", round2(F.col("_cavg")).alias("rating"), "class",
+             _joined(_by_value(F.col("_reasons")), reason_chars).alias("reason"))
+    base = _per_rule(_with_component(mapunits, dom), rules)
+    return base.join(found, ["mukey", "mrulename"], "left").select(*OUT_COLS)
 
 
 def interp_weighted_avg(mapunits: DataFrame, component: DataFrame, cointerp: DataFrame, rules: Sequence[str],
@@ -167,26 +180,28 @@ def interp_weighted_avg(mapunits: DataFrame, component: DataFrame, cointerp: Dat
 
     A zero denominator gives NULL (-> 99) instead of an error (SURVEY Q8).
     The class is the band of the rounded ratio for the rule's direction.
+    One pass over the rating rows and one aggregate give rating and reasons.
     """
-    rows = _overall_with_pct(component, cointerp, rules)
+    comps = component.select("mukey", "cokey", "comppct_r", _talks(case_sensitive))
+    rows = rule_facts(cointerp, rules, case_sensitive).join(comps, "cokey")
+    over = lambda c: F.when(F.col("_overall"), c)
     agg = rows.groupBy("mukey", "mrulename").agg(
-        F.sum(F.col("interphr") * F.col("comppct_r")).alias("_raw"),
-        F.sum(F.when(F.col("interphr").isNotNull(), F.col("comppct_r"))).alias("_sc"),
-        F.min("ruledesign").alias("_design"),
+        F.sum(over(F.col("interphr") * F.col("comppct_r"))).alias("_raw"),
+        F.sum(over(F.when(F.col("interphr").isNotNull(), F.col("comppct_r")))).alias("_sc"),
+        F.min(over(F.col("ruledesign"))).alias("_design"), F.count_if("_overall").alias("_n"),
+        F.collect_set(F.when(~F.col("_overall") & F.col("_talks"), F.col("interphrc"))).alias("_reasons"),
     )
     raw = round2(F.col("_raw"))
     ratio = round2(F.try_divide(raw, round2(F.col("_sc"))))
     scored = agg.select(
         "mukey", "mrulename",
-        F.coalesce(ratio, F.lit(99.0)).alias("rating"),
+        F.when(F.col("_n") > 0, F.coalesce(ratio, F.lit(99.0))).alias("rating"),
         interp_class_bins(raw, ratio, interp_design(F.col("_design"))).alias("_class"),
+        _joined(F.array_sort("_reasons"), reason_chars).alias("reason"),
     )
-    has_comp = component.select("mukey").distinct()
-    base = _per_rule(mapunits.join(has_comp, "mukey", "inner"), rules)
-    reasons = interp_reasons_all(component, cointerp, rules, case_sensitive, reason_chars)
-    out = base.join(scored, ["mukey", "mrulename"], "left").join(reasons, ["mukey", "mrulename"], "left")
+    base = _per_rule(mapunits.join(component.select("mukey").distinct(), "mukey", "inner"), rules)
     # a map unit with no overall row for the rule: rating NULL -> 99, class Not Rated
-    return out.select(
+    return base.join(scored, ["mukey", "mrulename"], "left").select(
         *KEY_COLS, "mrulename",
         F.coalesce(F.col("rating"), F.lit(99.0)).alias("rating"),
         F.when(F.col("rating").isNull(), F.lit("Not Rated")).otherwise(F.col("_class")).alias("class"),

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loam.functions.numeric import dec52
@@ -122,23 +122,23 @@ def thickness_total(rows: DataFrame, count: str = "_ntex") -> DataFrame:
 
 
 MEAN_TYPE = "decimal(29,10)"  # sum of decimal(19,10) terms
+SLICE_TYPE = "decimal(15,2)"  # values of one thickness, summed
 
 
 def component_mean(rows: DataFrame, props: Sequence[str]) -> DataFrame:
     """Per component: sum over horizon rows of (thickness / total thickness) x value.
 
-    Every term needs its component's total thickness.  Identical rows (copies
-    of a horizon) are first collapsed into one row with a count, an aggregate
-    that combines map-side; the total is an aggregate over those rows joined
-    back on ``cokey``, which adaptive execution can split.  Both sides of the
-    join read the same shuffled rows.
+    Rows of one thickness share the ratio, so their values are summed first:
+    an aggregate that combines map-side and leaves a component at most as
+    many rows as the depth range has whole centimetres.  Those rows, moved
+    once, give the total (a window over that few rows) and the mean.
     """
-    # the count stays INT so n x term is an exact decimal(30,10)
-    distinct_rows = rows.groupBy("cokey", "_thk_int", "thickness", *props).agg(F.sum("_ntex").alias("_n"))
-    with_total = distinct_rows.join(thickness_total(distinct_rows, "_n"), "cokey", "inner")
-    return with_total.groupBy("cokey").agg(
-        *[F.sum((F.col("thickness") / F.col("sum_thickness")) * F.col(p) * F.col("_n").cast("int")).cast(MEAN_TYPE).alias(p)
-          for p in props]
+    sums = [F.sum(F.col(p) * F.col("_ntex").cast("int")).cast(SLICE_TYPE).alias(p) for p in props]
+    slices = rows.groupBy("cokey", "_thk_int").agg(F.sum("_ntex").alias("_n"), *sums).repartition("cokey")
+    total = dec52(F.sum(F.col("_thk_int") * F.col("_n")).over(Window.partitionBy("cokey")))
+    ratio = dec52(F.col("_thk_int")) / F.col("sum_thickness")
+    return slices.withColumn("sum_thickness", total).groupBy("cokey").agg(
+        *[F.sum(ratio * F.col(p)).cast(MEAN_TYPE).alias(p) for p in props]
     )
 
 

@@ -25,6 +25,7 @@ from loam.operators import reports as R
 from loam.operators import summaries as S
 from loam.operators.filters import filter_area, requested_areas, resolve_rules
 from loam.operators.joins import mapunit_frame, polygon_attribute_join, polygon_extract
+from loam.session import materialize
 from loam.sources import reports as RS
 from loam.plans.tools import selected_tables
 from loam.sources.catalog import catalog_frame, property_catalog, resolve_property
@@ -212,7 +213,8 @@ def p_aoi_clip_holes(t):
 
 
 def _aoi_keys(t):
-    return A.aoi_keys(t.mupolygon, t.aoi_points, GRID_CELL)
+    """The key list, found once for all the branches of a rollup that it selects."""
+    return materialize(A.aoi_keys(t.mupolygon, t.aoi_points, GRID_CELL))
 
 
 def p_aoi_clip_dropped(t):
