@@ -106,3 +106,47 @@ def unique_names(labels: Sequence[str], names: Sequence[str]) -> dict[str, str]:
 def write_result(df: DataFrame, path: str, sort_key: str = "mukey", mode: str = "overwrite") -> None:
     """One table per property / rule as Parquet, rows sorted by key within each file."""
     df.sortWithinPartitions(sort_key).write.mode(mode).parquet(path)
+
+
+RUNS = "_runs"
+
+
+def write_areas(df: DataFrame, path: str, areas: Sequence[str], run: str, sort_key: str = "mukey") -> None:
+    """Write the rows of ``areas`` into a table with a folder per survey area; other areas' rows stay.
+
+    Folders of the written areas are replaced as a whole when the job commits
+    (dynamic partition overwrite), so a run that fails leaves the table as it
+    was and a run repeated gives the same table.  An area of the list without
+    rows loses its folder.  Rows of areas that aren't listed raise.  Each run
+    that ended leaves a marker (:func:`finished_runs`).
+    """
+    spark, wanted = df.sparkSession, list(dict.fromkeys(areas))
+    stranger = F.raise_error(F.concat(F.lit("area was not asked for: "), F.coalesce("areasymbol", F.lit("NULL"))))
+    checked = df.withColumn("areasymbol", F.when(F.col("areasymbol").isin(wanted), F.col("areasymbol")).otherwise(stranger))
+    out = checked.repartition("areasymbol").sortWithinPartitions("areasymbol", sort_key)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("areasymbol").parquet(path)
+    written = {r.areasymbol: r.n for r in read_areas(spark, path, df.schema).where(F.col("areasymbol").isin(wanted))
+               .groupBy("areasymbol").agg(F.count(F.lit(1)).alias("n")).collect()}
+    held = {r.areasymbol for r in df.select("areasymbol").distinct().collect()}
+    for area in wanted:
+        if area not in held:
+            _remove(spark, f"{path.rstrip('/')}/areasymbol={area}")
+    marks = [(run, a, written.get(a, 0) if a in held else 0) for a in wanted]
+    spark.createDataFrame(marks, "run string, areasymbol string, n_rows long").coalesce(1).write.mode("overwrite").parquet(
+        f"{path.rstrip('/')}/{RUNS}/run={run}")
+
+
+def _remove(spark, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def read_areas(spark, path: str, schema) -> DataFrame:
+    """A table of :func:`write_areas`; folders of marks are not read (Spark passes over names with a leading ``_``)."""
+    return spark.read.schema(schema).parquet(path)
+
+
+def finished_runs(spark, path: str) -> DataFrame:
+    """``run, areasymbol, n_rows`` of every run of :func:`write_areas` that ended."""
+    return spark.read.schema("areasymbol string, n_rows long, run string").parquet(f"{path.rstrip('/')}/{RUNS}").select(
+        "run", "areasymbol", "n_rows")

@@ -36,21 +36,29 @@ def filter_area(legend: DataFrame, areas: Iterable[str] | DataFrame | str | None
     return legend.join(req, fold(F.col("areasymbol")) == F.col("_area"), "left_semi")
 
 
+def unmatched_requests(values: DataFrame, col: str, requests: Iterable[str] | str, case_sensitive: bool = False) -> DataFrame:
+    """Requests (names or LIKE patterns) that match no value of ``col``, as they stand, under the name ``col``.
+
+    One aggregate over the column: a flag per request.
+    """
+    asked = request_list(requests)
+    if not asked:
+        return values.select(col).limit(0)
+    hit = [F.struct(F.lit(r).alias(col), F.coalesce(F.bool_or(like(col, r, case_sensitive)), F.lit(False)).alias("_hit")) for r in asked]
+    return values.agg(F.array(*hit).alias("_r")).select(F.inline("_r")).where(~F.col("_hit")).select(col)
+
+
 def requested_areas(legend: DataFrame, areas: Iterable[str] | DataFrame | str | None = None,
                     case_sensitive: bool = False) -> DataFrame:
-    """The ``areasymbol`` list a caller asked for: matching legend areas, and requests that match none as they stand."""
+    """The ``areasymbol`` list a caller asked for: matching legend areas, and requests (patterns too) that match none as they stand."""
     have = filter_area(legend, areas, case_sensitive).select("areasymbol")
     if areas is None:
         return have.distinct()
-    if isinstance(areas, DataFrame):
-        wanted = areas.select(F.col("areasymbol").alias("_area"))
-    else:
-        wanted = _as_frame(legend.sparkSession, request_list(areas), "_area")
-    # a pattern has an answer when it matches some area; plain requests are compared as text
+    if not isinstance(areas, DataFrame):
+        return have.distinct().union(unmatched_requests(legend, "areasymbol", areas, case_sensitive))
     fold = (lambda c: c) if case_sensitive else F.lower
     known = have.select(fold(F.col("areasymbol")).alias("_known")).distinct()
-    plain = wanted.filter(~F.col("_area").rlike("[%_]"))
-    missing = plain.join(known, fold(F.col("_area")) == F.col("_known"), "left_anti")
+    missing = areas.select(F.col("areasymbol").alias("_area")).join(known, fold(F.col("_area")) == F.col("_known"), "left_anti")
     return have.union(missing).distinct()
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loam.sources.reports import report_split_project
+from loam.sources.reports import report_split_area, report_split_project
 
 UNKNOWN = "UNK"
 MERGED_COLUMNS = ["report_id", "mukey", "int_mukey", "n_rating", "n_class", "n_type", "n_kind", "m_rating",
@@ -22,9 +22,16 @@ def merge_ratings_wide(wide: DataFrame) -> DataFrame:
     )
 
 
-def drop_malformed(framed: DataFrame) -> DataFrame:
-    """Routed record lines rejected by the field-count / numeric-key check, with the reason."""
-    rows = report_split_project(framed).filter(~F.col("ok"))
+def drop_malformed(framed: DataFrame, form: str = "project") -> DataFrame:
+    """Record lines of a report that its parse leaves out, with the reason.
+
+    Project form: lines of either rating kind.  Area form: every framed line,
+    so the header (a key that is no number) shows too.  A key that is no
+    number comes before a lack of fields.
+    """
+    if form not in ("project", "area"):
+        raise ValueError(f"unknown report form: {form}")
+    rows = (report_split_project if form == "project" else report_split_area)(framed).filter(~F.col("ok"))
     reason = F.when(F.col("mukey").try_cast("bigint").isNull(), F.lit("non-numeric key")).otherwise(
         F.lit("too few fields")
     )

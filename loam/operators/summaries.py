@@ -60,9 +60,21 @@ def parent_material(mapunits: DataFrame, component: DataFrame, copmgrp: DataFram
     per_comp = copmgrp.groupBy("cokey").agg(F.min("pmgroupname").alias("pmgroupname"))
     dom = dominant_component(component, ["compname", "comppct_r"])
     rows = dom.join(per_comp, "cokey", "inner")
-    name = parent_material_general(F.col("pmgroupname"), case_sensitive) if general else F.col("pmgroupname")
-    return mapunits.join(rows, "mukey", "inner").select(*KEY_COLS, "compname", "comppct_r",
-                                                         name.alias("pmgroupname"))
+    if general:
+        rows = generalised(rows, case_sensitive)
+    return mapunits.join(rows, "mukey", "inner").select(*KEY_COLS, "compname", "comppct_r", "pmgroupname")
+
+
+def generalised(rows: DataFrame, case_sensitive: bool = False) -> DataFrame:
+    """``rows`` with ``pmgroupname`` replaced by its broad group.
+
+    The rules are tried once per distinct name, not per row; the dictionary of
+    names is joined back (broadcast where Spark finds it small).
+    """
+    names = rows.select(F.col("pmgroupname").alias("_name")).distinct()
+    groups = names.select("_name", parent_material_general(F.col("_name"), case_sensitive).alias("_group"))
+    others = [c for c in rows.columns if c != "pmgroupname"]
+    return rows.join(groups, F.col("pmgroupname").eqNullSafe(F.col("_name"))).select(*others, F.col("_group").alias("pmgroupname"))
 
 
 def muaggatt_extract(mapunits: DataFrame, muaggatt: DataFrame, columns: Sequence[str] = MUAGGATT_COLUMNS) -> DataFrame:

@@ -525,6 +525,25 @@ def _coverage_requests() -> str:
     return with_fixture(sql, ["legend"], ctes)
 
 
+def _coverage_patterns() -> str:
+    ctes = _area_parsed_ctes() + [("rk", _report_parse_area_sql())]
+    sql = ("SELECT areasymbol, 'area report' AS request FROM (SELECT areasymbol FROM legend WHERE areasymbol LIKE 'NC01_' "
+           "UNION ALL SELECT unnest(['ZZ%', 'XX___', 'zz999'])) WHERE areasymbol NOT IN (SELECT report_id FROM rk)")
+    return with_fixture(sql, ["legend"], ctes)
+
+
+def _report_rejects_area() -> str:
+    sql = ("SELECT f.report_id, f.line_no, f.line, CASE WHEN TRY_CAST(mukey AS BIGINT) IS NULL THEN 'non-numeric key' "
+           "ELSE 'too few fields' END AS reason FROM av JOIN framed f USING (report_id, line_no) WHERE NOT ok")
+    return with_fixture(sql, ["legend"], _area_parsed_ctes())
+
+
+def _reject_channel() -> str:
+    part = lambda sql, form: (f"SELECT 'report {form}' AS decoder, report_id AS source, line_no AS position, line AS record, "
+                              f"reason FROM ({sql})")
+    return f"{part(_report_rejects(), 'project')} UNION ALL {part(_report_rejects_area(), 'area')}"
+
+
 def _coverage_report() -> str:
     ctes = _area_parsed_ctes() + [("rk", _report_parse_area_sql())]
     sql = ("SELECT s.areasymbol, 'area report' AS request FROM sacatalog s "
@@ -599,6 +618,9 @@ def oracle_sql() -> dict[str, str]:
         "aoi_interp_dom_comp": _in_aoi(_interp_dom_comp()),
         "aoi_interp_weighted_avg": _in_aoi(_interp_weighted_avg()),
         "coverage_requests": _coverage_requests(),
+        "coverage_patterns": _coverage_patterns(),
+        "report_rejects_area": _report_rejects_area(),
+        "reject_channel": _reject_channel(),
         "interp_dom_comp": _interp_dom_comp(),
         "interp_dom_cond": _interp_dom_cond(),
         "interp_weighted_avg": _interp_weighted_avg(),

@@ -30,6 +30,7 @@ from loam.sources import reports as RS
 from loam.plans.tools import selected_tables
 from loam.sources.catalog import catalog_frame, property_catalog, resolve_property
 from loam.sources.fixtures import SoilFixture
+from loam.sources.rejects import all_rejects, report_channel
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 PlanFn = Callable[[object], DataFrame]
@@ -42,6 +43,7 @@ RULE_NAMES = ["ENG - Dwellings", "AGR - Corn Suitability"]
 RULE_REQUEST = "eng - dwell%; No Such Rule"
 AREA_REQUEST = "nc00%; NC021; zz999"
 COVERAGE_AREAS = "NC001; nc003; NC01%; ZZ999"
+COVERAGE_PATTERNS = "nc01_; ZZ%; XX___; zz999"
 GRID_CELL = 25.0
 
 
@@ -176,6 +178,17 @@ def p_report_rejects(t):
     return R.drop_malformed(_project_framed(t))
 
 
+def p_report_rejects_area(t):
+    """Lines of area reports that their parse leaves out, the header among them."""
+    return R.drop_malformed(_area_framed(t), "area")
+
+
+def p_reject_channel(t):
+    """Rejects of both report forms in one table."""
+    return all_rejects(report_channel(R.drop_malformed(_project_framed(t)), "project"),
+                       report_channel(R.drop_malformed(_area_framed(t), "area"), "area"))
+
+
 def p_report_parse_area(t):
     return RS.report_parse_area(_area_framed(t))
 
@@ -286,6 +299,12 @@ def p_coverage_requests(t):
     return B.coverage_report(requested_areas(t.legend, COVERAGE_AREAS), ["area report"], parsed, "request")
 
 
+def p_coverage_patterns(t):
+    """Areas asked for by pattern: those without a parsed report, and patterns that match no area."""
+    parsed = RS.report_parse_area(_area_framed(t)).withColumnRenamed("report_id", "areasymbol")
+    return B.coverage_report(requested_areas(t.legend, COVERAGE_PATTERNS), ["area report"], parsed, "request")
+
+
 def p_legend_breaks_numeric(t):
     return B.legend_breaks(p_prop_weighted_avg(t), "claytotal_r")
 
@@ -343,6 +362,8 @@ PLANS: dict[str, PlanFn] = {
     "report_extract": p_report_extract,
     "report_merge_ratings": p_report_merge_ratings,
     "report_rejects": p_report_rejects,
+    "report_rejects_area": p_report_rejects_area,
+    "reject_channel": p_reject_channel,
     "report_parse_area": p_report_parse_area,
     "report_parse_area_batch": p_report_parse_area_batch,
     "report_single_kind": p_report_single_kind,
@@ -360,6 +381,7 @@ PLANS: dict[str, PlanFn] = {
     "aoi_interp_dom_comp": p_aoi_interp_dom_comp,
     "aoi_interp_weighted_avg": p_aoi_interp_weighted_avg,
     "coverage_requests": p_coverage_requests,
+    "coverage_patterns": p_coverage_patterns,
     "aoi_prop_weighted_avg": p_aoi_prop_weighted_avg,
     "coverage_report": p_coverage_report,
     "legend_breaks_numeric": p_legend_breaks_numeric,

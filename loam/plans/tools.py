@@ -19,6 +19,7 @@ from loam.operators import interps as I
 from loam.operators import properties as P
 from loam.operators import reports as R
 from loam.operators import summaries as S
+from loam.operators.aoi import DEFAULT_GRID_CELL, aoi_keys
 from loam.operators.bookkeeping import coverage_report, table_name, unique_names, write_result
 from loam.operators.filters import filter_area, filter_mukeys, requested_areas, resolve_rules, restrict_to_mapunits
 from loam.operators.joins import mapunit_frame
@@ -84,11 +85,13 @@ def run_property_tool(tables, out_dir: str, labels: Sequence[str], method: str,
 
 
 def run_interp_tool(tables, out_dir: str, rules: Sequence[str] | str, method: str, areas=None, mukeys=None,
-                    reason_chars: int | None = None) -> dict[str, str]:
+                    reason_chars: int | None = None, unescape: bool | None = None) -> dict[str, str]:
     """Write one table per rule that the requests match (all in one plan); returns {rule: path}.
 
     ``rules`` is a list or ``;``-separated text of names or LIKE patterns.
-    Requests that match no rule show in ``coverage`` for every area.
+    Requests that match no rule show in ``coverage`` for every area.  Reasons
+    stay as they come for requests by area; for a key list (an AOI's) their
+    XML entities are undone, unless ``unescape`` says otherwise.
     """
     if method not in INTERP_METHODS:
         raise ValueError(f"unable to determine aggregation method: {method}")
@@ -99,8 +102,9 @@ def run_interp_tool(tables, out_dir: str, rules: Sequence[str] | str, method: st
     paths: dict[str, str] = {}
     answered = None
     if found:
-        allrules = materialize(INTERP_ROLLUPS[method](mu, comp, ci, found, reason_chars=reason_chars).withColumn(
-            "reason", unescape_entities("reason")))
+        plain = (mukeys is not None) if unescape is None else unescape
+        allrules = INTERP_ROLLUPS[method](mu, comp, ci, found, reason_chars=reason_chars)
+        allrules = materialize(allrules.withColumn("reason", unescape_entities("reason")) if plain else allrules)
         names = unique_names(found, [table_name(r, method) for r in found])
         for rule in found:
             paths[rule] = f"{out_dir.rstrip('/')}/{names[rule]}"
@@ -134,24 +138,44 @@ def run_summary_tool(tables, out_dir: str, kind: str, areas=None, mukeys=None) -
     return path
 
 
+def run_aoi_tool(tables, points: DataFrame, out_dir: str, requests: Sequence[str] | str, method: str, kind: str = "property",
+                 grid_cell: float = DEFAULT_GRID_CELL, **options) -> dict[str, str]:
+    """The AOI tools end to end: outline points in, one table per property label or rule out; returns {request: path}.
+
+    The key list of the map units inside any AOI is found once from
+    ``tables.mupolygon`` and written as ``aoi_mukeys``; ``kind`` is
+    ``property`` or ``interp``, ``options`` go to that tool.
+    """
+    tools = {"property": run_property_tool, "interp": run_interp_tool}
+    if kind not in tools:
+        raise ValueError(f"unknown tool: {kind}")
+    keys = materialize(aoi_keys(tables.mupolygon, points, grid_cell))
+    write_result(keys, f"{out_dir.rstrip('/')}/aoi_mukeys")
+    return tools[kind](tables, out_dir, requests, method, mukeys=keys.select("mukey"), **options)
+
+
 def run_report_tool(lines: DataFrame, out_dir: str, rule: str, form: str = "area") -> dict[str, str]:
-    """Write the ratings of framed report lines, and the rejected lines; returns {'ratings': path, 'rejects': path}.
+    """Write the ratings of report lines, the rejected lines and the coverage; returns {'ratings': path, 'rejects': path}.
 
-    ``form`` is ``area`` (one kind of rating) or ``project`` (both kinds
-    merged per map unit); the table is named after the rule.
+    ``form`` is ``area`` (one kind of rating, the last line of a key wins),
+    ``batch`` (the area form line by line, with a text key) or ``project``
+    (both kinds merged per map unit); the table is named after the rule.
+    ``coverage`` lists the reports without any rating.
     """
     name = table_name(report_rule_name(rule), "Dominant Condition") + "_rt"
     base = out_dir.rstrip("/")
-    paths = {"ratings": f"{base}/{name}"}
-    if form == "project":
-        framed = RS.report_extract(lines)
-        write_result(R.merge_ratings_wide(RS.report_parse_project_wide(framed)), paths["ratings"])
-        paths["rejects"] = f"{base}/{name}_rejects"
-        write_result(R.drop_malformed(framed), paths["rejects"], "line_no")
-    elif form == "area":
-        write_result(RS.report_parse_area(RS.report_extract(lines, min_lines=2)), paths["ratings"])
-    else:
+    parse = {"project": lambda f: R.merge_ratings_wide(RS.report_parse_project_wide(f)), "area": RS.report_parse_area,
+             "batch": RS.report_parse_area_batch}.get(form)
+    if parse is None:
         raise ValueError(f"unknown report form: {form}")
+    framed = RS.report_extract(lines, min_lines=None if form == "project" else 2)
+    ratings = materialize(parse(framed))
+    paths = {"ratings": f"{base}/{name}", "rejects": f"{base}/{name}_rejects"}
+    write_result(ratings, paths["ratings"])
+    write_result(R.drop_malformed(framed, "project" if form == "project" else "area"), paths["rejects"], "line_no")
+    reports = lines.select(F.col("report_id").alias("areasymbol")).distinct()
+    answered = ratings.select(F.col("report_id").alias("areasymbol"), F.lit(rule).alias("request"))
+    _write_coverage(reports, [rule], answered, out_dir)
     return paths
 
 
@@ -162,5 +186,5 @@ def _write_coverage(areas: DataFrame, requests: list[str], answered: DataFrame |
     miss.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/coverage")
 
 
-__all__ = ["catalog_frame", "resolve_labels", "run_interp_tool", "run_property_tool", "run_report_tool",
+__all__ = ["catalog_frame", "resolve_labels", "run_aoi_tool", "run_interp_tool", "run_property_tool", "run_report_tool",
            "run_summary_tool", "selected_tables"]

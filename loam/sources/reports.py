@@ -126,7 +126,8 @@ def report_parse_project(framed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return out[0], out[1]
 
 
-def _split_area(framed: DataFrame) -> DataFrame:
+def report_split_area(framed: DataFrame) -> DataFrame:
+    """Fields of area-form lines; ``ok`` is false for fewer than five fields or a non-numeric key."""
     clean = F.replace(F.col("line"), F.lit('"'), F.lit(""))
     parts = F.split(clean, r"\|")
     out = framed.select("report_id", "line_no", "line", clean.alias("_clean"), parts.alias("_p"))
@@ -140,7 +141,7 @@ def report_parse_area(framed: DataFrame) -> DataFrame:
 
     Fields are split on ``|`` directly, so a comma inside a class is kept (SURVEY Q15).
     """
-    rows = _split_area(framed).filter("ok")
+    rows = report_split_area(framed).filter("ok")
     last = _last_wins(rows, ["report_id", "mukey"], ["rating", "class", "kind"])
     return last.select("report_id", "mukey", F.col("mukey").try_cast("bigint").alias("int_mukey"), "rating", "class",
                        "kind")
@@ -148,6 +149,6 @@ def report_parse_area(framed: DataFrame) -> DataFrame:
 
 def report_parse_area_batch(framed: DataFrame) -> DataFrame:
     """Batch area form: lines starting with a digit, five fields, a text key copy; no de-duplication."""
-    rows = _split_area(framed).filter(F.col("_clean").rlike("^[0-9]"))
+    rows = report_split_area(framed).filter(F.col("_clean").rlike("^[0-9]"))
     return rows.select("report_id", "line_no", F.col("mukey").try_cast("bigint").alias("mukey"), "musym", "rating",
                        "class", "kind", F.col("mukey").alias("str_mukey"))

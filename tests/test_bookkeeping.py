@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loam.operators import bookkeeping as B
+from loam.operators.filters import requested_areas
 from loam.sources.catalog import PROPERTY_LABELS, catalog_frame, property_catalog, resolve_property
 
 
@@ -217,3 +218,43 @@ def test_cluster_conf(spark):
         if k != "spark.sql.shuffle.partitions":
             spark.conf.set(k, v)
     assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+
+
+def test_requests_without_a_match_are_listed_patterns_too(spark):
+    legend = spark.createDataFrame([("1", "NC001"), ("2", "NC002")], "lkey string, areasymbol string")
+    got = sorted(r.areasymbol for r in requested_areas(legend, "NC001;ZZ%;ZZ999;nc00_;N_X").collect())
+    assert got == ["NC001", "NC002", "N_X", "ZZ%", "ZZ999"]
+    assert sorted(r.areasymbol for r in requested_areas(legend.limit(0), ["A%", "B"]).collect()) == ["A%", "B"]
+    assert requested_areas(legend, "").count() == 0
+
+
+def test_partial_writes_keep_other_areas_and_survive_a_failure(spark, scratch):
+    path = scratch + "/t"
+    rows = lambda *r: spark.createDataFrame(list(r), "mukey string, v int, areasymbol string")
+    read = lambda: sorted(tuple(r) for r in B.read_areas(spark, path, rows(("1", 1, "A")).schema).collect())
+    B.write_areas(rows(("1", 1, "A"), ("2", 2, "B"), ("3", 3, "C")), path, ["A", "B", "C"], "one")
+    B.write_areas(rows(("2", 20, "B"), ("4", 40, "D")), path, ["B", "C", "D"], "two")   # overlaps; C has no rows now
+    want = [("1", 1, "A"), ("2", 20, "B"), ("4", 40, "D")]
+    assert read() == want
+    B.write_areas(rows(("2", 20, "B"), ("4", 40, "D")), path, ["B", "C", "D"], "two")   # the same again
+    assert read() == want
+    failing = rows(("1", 9, "A"), ("2", 9, "B")).withColumn("v", F.when(F.col("mukey") == "2", F.raise_error(F.lit("lost"))).otherwise(F.col("v")))
+    for bad, areas in ((failing, ["A", "B"]), (rows(("1", 9, "A"), ("5", 9, "E")), ["A"])):
+        with pytest.raises(Exception, match="lost|not asked for"):
+            B.write_areas(bad, path, areas, "three")
+        assert read() == want
+    marks = sorted(tuple(r) for r in B.finished_runs(spark, path).collect())
+    assert marks == [("one", "A", 1), ("one", "B", 1), ("one", "C", 1), ("two", "B", 1), ("two", "C", 0), ("two", "D", 1)]
+
+
+def test_broken_xml_records_are_listed(spark, scratch):
+    from loam.sources.tabular import read_tabular_xml, tabular_xml_rejects
+
+    text = "<r><Table><a>1</a><b>x</b></Table><Table><a>2</a><b>y</Table><Table><a>3</a></Table></r>"
+    with open(scratch + "/x.xml", "w") as f:
+        f.write(text)
+    good = read_tabular_xml(spark, scratch + "/x.xml", ["a", "b"])
+    assert sorted((r.a, r.b) for r in good.collect()) == [("1", "x"), ("3", None)]
+    bad = tabular_xml_rejects(spark, scratch + "/x.xml", ["a", "b"]).collect()
+    assert [(r.decoder, r.position, r.reason) for r in bad] == [("tabular xml", None, "not well-formed")]
+    assert bad[0].source.endswith("x.xml") and "<a>2</a>" in bad[0].record

