@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -59,10 +60,12 @@ def signatures(sh: np.ndarray, percent: int) -> np.ndarray:
     """Index entries of one set of shingle hashes, in its own band and the one above.
 
     Allocation by cost: an empty segment is the dearest entry of all (every
-    set of the band that lacks it shares it), so it is skipped.  What that
+    set of the band that lacks it would share it), so it has none.  What that
     loses is bought back by the first segments, which are also indexed with
     each of their elements left out: a pair may differ there by one element.
-    A set that lacks more than they buy back indexes its empty segments too.
+    A set that lacks more takes as many more of them as it needs, and beyond
+    the last one begins again with two elements left out.  Of two linked sets
+    the one that needs less then finds the other's entries, whatever that took.
     """
     n = len(sh)
     floors = band_floors(percent)
@@ -73,7 +76,6 @@ def signatures(sh: np.ndarray, percent: int) -> np.ndarray:
         m = segment_count(band, percent)
         if m < 2:
             continue  # linked sets are equal here
-        extra = extra_count(m)
         seg = (place % _U(m)).astype(np.int64)
         order = np.argsort(seg, kind="stable")
         sizes = np.bincount(seg, minlength=m)
@@ -81,16 +83,42 @@ def signatures(sh: np.ndarray, percent: int) -> np.ndarray:
         sums = np.concatenate(([_U(0)], np.cumsum(value[order])))
         total = sums[ends] - sums[ends - sizes]
         salt = mix(np.arange(m, dtype=np.uint64) + _U((band * 0x9E3779B97F4A7C15) % (1 << 64)))
-        # what the pair may differ by, over all segments, and still share an entry
-        allowed = np.count_nonzero(sizes) + np.count_nonzero(sizes[:extra] > 1)
-        short = allowed < m
-        out.append(mix(total ^ salt)[slice(None) if short else sizes > 0])
-        dropped = order[: ends[extra - 1]]
-        dropped = dropped if short else dropped[sizes[seg[dropped]] > 1]
+        out.append(mix(total ^ salt)[sizes > 0])
+        steps = neighbourhoods(sizes, extra_count(m))
+        dropped = order[: ends[min(steps, m) - 1]]
+        dropped = dropped[sizes[seg[dropped]] > 1]
         out.append(mix((total[seg[dropped]] - value[dropped]) ^ salt[seg[dropped]]))
+        for level, last in deeper(steps, m):
+            for s in np.flatnonzero(sizes[:last] > level):
+                held = value[order[ends[s] - sizes[s] : ends[s]]]
+                left_out = np.array([sum(int(v) for v in c) % (1 << 64) for c in combinations(held, level)], np.uint64)
+                out.append(mix((total[s] - left_out) ^ salt[s]))
     return np.unique(np.concatenate(out)) if out else np.zeros(0, np.uint64)
 
 
+def neighbourhoods(sizes: np.ndarray, least: int) -> int:
+    """How many segments a set indexes with elements left out (counting on from the first again, one element more each round).
+
+    To leave a set without a shared entry, a partner must differ in every
+    filled segment, and in ``k + 1`` elements (or all) where up to ``k`` are
+    left out; as many segments are taken as make that more than a link allows.
+    """
+    m, need = len(sizes), len(sizes) - np.count_nonzero(sizes)
+    taken, level = 0, 1
+    while True:
+        gain = np.cumsum(sizes > level)
+        if gain[-1] >= need or level >= sizes.max():
+            return max(least, taken + int(np.searchsorted(gain, need)) + 1 if need > 0 else 0)
+        need -= gain[-1]
+        taken, level = taken + m, level + 1
+
+
+def deeper(steps: int, m: int) -> Iterator[tuple[int, int]]:
+    """(elements left out, segments) of the rounds after the first."""
+    for level in range(2, (steps - 1) // m + 2):
+        yield level, min(m, steps - (level - 1) * m)
+
+
 def set_key(sh: np.ndarray) -> int:
     """A 64-bit name of a set of shingles."""
     return int(mix(np.array([mix(sh ^ _U(0x3C6EF372FE94F82B)).sum() + _U(len(sh))], np.uint64)).view(np.int64)[0])

@@ -5,7 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from loam.llm.ngram_join import band_floors, drop_near_duplicates, ngram_jaccard_join, segment_count, signatures
+from loam.llm.ngram_join import band_floors, deeper, drop_near_duplicates, neighbourhoods, ngram_jaccard_join, segment_count, signatures
 import numpy as np
 
 
@@ -153,3 +153,36 @@ def test_near_copies_go_by_id_and_text(spark):
     assert len([r for r in kept if r in ((None, lone), (None, lone + " z"))]) == 1 and len(kept) == 6
     apart = spark.createDataFrame([(4, text), (9, text + " more"), (9, lone)], df.schema)
     assert sorted(map(tuple, drop_near_duplicates(apart).collect())) == [(4, text), (9, lone)]
+
+
+def test_linked_pairs_share_an_entry_at_both_settings_and_sizes():
+    """Also sets that lack many segments: with few elements, or crowded into few segments."""
+    r = np.random.default_rng(6)
+    for percent in (80, 85):
+        for k in range(1500):
+            n = int(r.integers(4, 40) if k % 2 else r.integers(40, 400))
+            common = r.integers(1, 1 << 62, n, dtype=np.uint64)
+            extra = r.integers(1, 1 << 62, int(r.integers(1, max(2, n * (100 - percent) // percent + 1))), dtype=np.uint64)
+            cut = int(r.integers(0, len(extra) + 1))
+            a, b = np.unique(np.concatenate((common, extra[:cut]))), np.unique(np.concatenate((common, extra[cut:])))
+            shared = len(np.intersect1d(a, b))
+            if 100 * shared >= percent * (len(a) + len(b) - shared):
+                assert np.intersect1d(signatures(a, percent), signatures(b, percent)).size
+
+
+def test_crowded_segments_are_taken_deeper():
+    """Steps make up for every empty segment: filled ones count once, and once more per element that may be left out."""
+    for sizes in ([0, 0, 9], [5, 0, 0, 0], [1, 1, 1, 3, 0], [2, 2, 2], [0, 7, 1, 0, 1]):
+        sizes = np.array(sizes)
+        steps = neighbourhoods(sizes, 1)
+        levels = [min(len(sizes), steps)] + [last for _, last in deeper(steps, len(sizes))]
+        assert np.count_nonzero(sizes) + sum(int((sizes[:last] > k).sum()) for k, last in enumerate(levels, 1)) >= len(sizes)
+
+
+def test_unrelated_sets_share_no_entry():
+    """No bucket grows with the number of unrelated sets."""
+    r = np.random.default_rng(7)
+    for percent in (80, 85):
+        entries = [signatures(np.unique(r.integers(1, 1 << 62, int(r.integers(150, 400)), dtype=np.uint64)), percent) for _ in range(3000)]
+        counts = np.unique(np.concatenate(entries), return_counts=True)[1]
+        assert counts.max() == 1
