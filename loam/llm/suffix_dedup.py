@@ -25,7 +25,7 @@ DOC_SLOTS = 1 << 19
 GRAM = 40
 
 _NULL_ID = -(1 << 63)
-_PARSE = "id long, place long, phrase long, trigger int, cores long"
+_PARSE = "id long, h long, place long, phrase long, trigger int, cores long"
 
 
 def trigger_groups(s: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -51,35 +51,27 @@ def trigger_groups(s: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, n
     return first, last, at[first], h[at[first]]
 
 
-#: A place packs, from high to low: 15 bits of the text's hash, 34 of a position, 7 of the trigger's offset, 7 of the
-#: number of starts; so rows stay slim and places of one id sort by text, then position.
+#: A place packs, from high to low: a position, 7 bits of the trigger's offset, 7 of the number of starts; so rows stay
+#: slim.  A document is an id and the hash ``h`` of its text; documents sort by both, starts of one by place.
 _POS, _OFF, _RUN = 14, 7, 0
 
 
-def _tag(text_hash: int) -> int:
-    return (text_hash & 0x7FFF) << 48
-
-
-def _tag_of(place):
-    return F.shiftright(place, 48)
-
-
 def _pos_of(place):
-    return F.shiftright(place, _POS).bitwiseAND(F.lit((1 << 34) - 1))
+    return F.shiftright(place, _POS)
 
 
 def _bits(place, low: int):
     return F.shiftright(place, low).bitwiseAND(F.lit(127)).cast("int")
 
 
-def _repeats_in_batch(keys: np.ndarray, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
+def _repeats_in_batch(keys: np.ndarray, ids: np.ndarray, hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Rows that some earlier row of the same key in this batch precedes (map-side combine)."""
-    order = np.lexsort((at, ids, keys))
-    k, i, a = keys[order], ids[order], at[order]
+    order = np.lexsort((at, hashes, ids, keys))
+    k, i, h, a = keys[order], ids[order], hashes[order], at[order]
     new = np.concatenate(([True], k[1:] != k[:-1]))
     head = np.flatnonzero(new)[np.cumsum(new) - 1]
     later = np.zeros(len(keys), dtype=bool)
-    later[order] = (i != i[head]) | (a != a[head])
+    later[order] = (i != i[head]) | (h != h[head]) | (a != a[head])
     return later
 
 
@@ -105,32 +97,34 @@ def _parse(length: int, gram: int):
                 left = window_hashes(s, np.maximum(at - half, 0), at + gram) >> np.uint64(33)
                 right = window_hashes(s, at, np.minimum(at + gram + half, len(data))) >> np.uint64(33)
                 cores = (left + np.uint64(1)) * before.astype(np.uint64) << np.uint64(32) | (right + np.uint64(1)) * after.astype(np.uint64)
-                place = (first << _POS) + ((at - first) << _OFF) + (last - first + 1) + _tag(h)
-                parts.append((np.full(len(first), i), place, phrase, th >> np.uint64(32), cores))
+                place = (first << _POS) + ((at - first) << _OFF) + (last - first + 1)
+                parts.append((np.full(len(first), i), np.full(len(first), h), place, phrase, th >> np.uint64(32), cores))
             if not parts:
                 continue
-            ids, place, phrase, trigger, cores = (np.concatenate(x) for x in zip(*parts))
+            ids, hashes, place, phrase, trigger, cores = (np.concatenate(x) for x in zip(*parts))
             trigger = trigger.astype(np.uint32).view(np.int32)
-            later = _repeats_in_batch(phrase, ids, place)
+            later = _repeats_in_batch(phrase, ids, hashes, place)
             # neighbouring ready phrases of one text become one row, dealt out by the text and not by the phrase
-            r_id, r_at, r_n = ids[later], place[later] >> _POS, place[later] & 127
+            r_id, r_h, r_at, r_n = ids[later], hashes[later], place[later] >> _POS, place[later] & 127
             if len(r_id):
-                new = np.concatenate(([True], (r_id[1:] != r_id[:-1]) | (r_at[1:] != r_at[:-1] + r_n[:-1])))
+                apart = (r_id[1:] != r_id[:-1]) | (r_h[1:] != r_h[:-1]) | (r_at[1:] != r_at[:-1] + r_n[:-1])
+                new = np.concatenate(([True], apart))
                 head = np.flatnonzero(new)
                 r_n = np.add.reduceat(r_n, head)
-                r_id, r_at = r_id[head], r_at[head]
-            spread = mix(r_id.astype(np.uint64) + r_at.astype(np.uint64)).astype(np.uint32).view(np.int32)
+                r_id, r_h, r_at = r_id[head], r_h[head], r_at[head]
+            spread = mix(r_h.view(np.uint64) + r_at.astype(np.uint64)).astype(np.uint32).view(np.int32)
             keep = ~later
             none = np.zeros(len(r_id), np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate((ids[keep], r_id))),
+                    pa.array(np.concatenate((hashes[keep], r_h))),
                     pa.array(np.concatenate((place[keep], r_at << _POS))),
                     pa.array(np.concatenate((_as_int64(phrase[keep]), r_n))),
                     pa.array(np.concatenate((trigger[keep], spread))),
                     pa.array(np.concatenate((_as_int64(cores[keep]), none))),
                 ],
-                names=["id", "place", "phrase", "trigger", "cores"],
+                names=["id", "h", "place", "phrase", "trigger", "cores"],
             )
 
     return parse
@@ -143,6 +137,7 @@ def _suffixes(length: int):
             for i, h, text, phrases in zip(*(batch.column(c).to_pylist() for c in ("id", "h", "text", "phrases"))):
                 data = np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)
                 starts = np.concatenate([np.arange(p["pos"], p["pos"] + p["starts"]) for p in phrases])
+                starts = starts[starts + length <= len(data)]
                 one = window_hashes(prefix_sums(data), starts, starts + length)
                 two = window_hashes(prefix_sums(data, OTHER_VALUES), starts, starts + length)
                 yield pa.RecordBatch.from_arrays(
@@ -150,9 +145,10 @@ def _suffixes(length: int):
                         pa.array(_as_int64(one)),
                         pa.array(_as_int64(two)),
                         pa.array(np.full(len(starts), i)),
-                        pa.array((starts << _POS) + _tag(h)),
+                        pa.array(np.full(len(starts), h)),
+                        pa.array(starts << _POS),
                     ],
-                    names=["one", "two", "id", "place"],
+                    names=["one", "two", "id", "h", "place"],
                 )
 
     return suffixes
@@ -194,8 +190,8 @@ def _cut(length: int):
 def repeated_starts(docs: DataFrame, length: int = 100, gram: int = GRAM) -> DataFrame:
     """Runs of starts whose next ``length`` bytes also start earlier.
 
-    ``docs`` has ``id`` (long), ``h`` (a hash of the text) and ``text``; returns ``id, place, starts``, where ``place``
-    packs the hash's low bits and the first start's position.
+    ``docs`` has ``id`` (long), ``h`` (a hash of the text) and ``text``; returns ``id, h, place, starts``, where ``place``
+    packs the first start's position.
 
     The parse: one row per phrase occurrence with a hash of all the bytes its
     starts need.  Equal rows next to each other in (trigger, phrase, place)
@@ -208,7 +204,7 @@ def repeated_starts(docs: DataFrame, length: int = 100, gram: int = GRAM) -> Dat
     another are settled before that.
     """
     parse = docs.mapInArrow(_parse(length, gram), _PARSE)
-    block = Window.partitionBy("trigger", "phrase").orderBy("id", "place")
+    block = Window.partitionBy("trigger", "phrase").orderBy("id", "h", "place")
     of_trigger = Window.partitionBy("trigger")
     ready_run = _bits("place", _RUN) == 0
     ranked = parse.select(
@@ -220,6 +216,7 @@ def repeated_starts(docs: DataFrame, length: int = 100, gram: int = GRAM) -> Dat
     ranked = stage(
         ranked.select(
             "id",
+            "h",
             "place",
             F.when(ready_run, F.col("phrase")).otherwise(_bits("place", _RUN)).alias("starts"),
             whole.alias("whole"),
@@ -233,7 +230,7 @@ def repeated_starts(docs: DataFrame, length: int = 100, gram: int = GRAM) -> Dat
     several = lambda core: F.count(F.lit(1)).over(Window.partitionBy("trigger", core)) > 1
     opened = (
         ranked.where("not whole")
-        .select("id", "place", "trigger", left.alias("left"), right.alias("right"))
+        .select("id", "h", "place", "trigger", left.alias("left"), right.alias("right"))
         .distinct()
         .withColumn("before", (F.col("left") != 0) & several("left"))
         .withColumn("after", (F.col("right") != 0) & several("right"))
@@ -244,24 +241,24 @@ def repeated_starts(docs: DataFrame, length: int = 100, gram: int = GRAM) -> Dat
     skipped = F.when(F.col("before"), F.lit(0)).otherwise(F.greatest(F.lit(0), offset - half))
     ended = F.when(F.col("after"), run).otherwise(F.least(run, offset - half + 1))
     open_phrases = (
-        opened.select("id", _tag_of("place").alias("tag"), (pos + skipped).alias("pos"), (ended - skipped).alias("starts"))
+        opened.select("id", "h", (pos + skipped).alias("pos"), (ended - skipped).alias("starts"))
         .where("starts > 0")
-        .groupBy("id", "tag")
+        .groupBy("id", "h")
         .agg(F.collect_list(F.struct("pos", "starts")).alias("phrases"))
     )
     open_phrases = stage(open_phrases, "repeat-open")
-    few = docs.withColumn("_slot", slot_of("id", n=DOC_SLOTS)).join(
-        slots(open_phrases, "id", n=DOC_SLOTS), "_slot", "left_semi"
+    few = docs.withColumn("_slot", slot_of("id", "h", n=DOC_SLOTS)).join(
+        slots(open_phrases, "id", "h", n=DOC_SLOTS), "_slot", "left_semi"
     )
-    texts = few.withColumn("tag", F.col("h").bitwiseAND(0x7FFF)).join(open_phrases, ["id", "tag"])
+    texts = few.join(open_phrases, ["id", "h"])
     # rows that repeat id and text give the same suffixes: one of them is enough
-    suffixes = texts.dropDuplicates(["id", "tag"]).select("id", "h", "text", "phrases").mapInArrow(
-        _suffixes(length), "one long, two long, id long, place long"
+    suffixes = texts.dropDuplicates(["id", "h"]).select("id", "h", "text", "phrases").mapInArrow(
+        _suffixes(length), "one long, two long, id long, h long, place long"
     )
-    first = Window.partitionBy("one", "two").orderBy("id", "place")
-    single = suffixes.select("id", "place", F.rank().over(first).alias("_rank")).where("_rank > 1")
-    return ranked.where("whole").select("id", "place", "starts").unionByName(
-        single.select("id", "place", F.lit(1).cast("long").alias("starts"))
+    first = Window.partitionBy("one", "two").orderBy("id", "h", "place")
+    single = suffixes.select("id", "h", "place", F.rank().over(first).alias("_rank")).where("_rank > 1")
+    return ranked.where("whole").select("id", "h", "place", "starts").unionByName(
+        single.select("id", "h", "place", F.lit(1).cast("long").alias("starts"))
     )
 
 
@@ -282,9 +279,9 @@ def suffix_dedup(
     size.  Hashes stand for strings: 96 bits for phrases, 128 for suffixes.
 
     Edge cases: null counts as empty; a text shorter than ``length`` stays
-    whole; ids are integers, a null id comes before all others; of two texts
-    with one id the one with the smaller 15-bit hash comes first; rows that
-    repeat id and text do not make one another repeats and get equal results;
+    whole; ids are integers, a null id comes before all others; of texts with
+    one id (null too) the one with the smaller 64-bit hash comes first; rows that
+    repeat id and text are one document and get equal results;
     an empty table gives an empty result; other columns are ignored.
     """
     ready(docs.sparkSession)
@@ -296,16 +293,15 @@ def suffix_dedup(
         text.alias("text"),
     )
     runs = stage(repeated_starts(base.select("id", "h", "text"), length, gram), "repeat-starts")
-    per_text = runs.groupBy("id", _tag_of("place").alias("tag")).agg(
+    per_text = runs.groupBy("id", "h").agg(
         F.collect_list(F.struct(_pos_of("place").alias("pos"), "starts")).alias("repeats")
     )
-    marked = base.withColumn("_slot", slot_of("id", n=DOC_SLOTS)).join(
-        slots(runs, "id", n=DOC_SLOTS).withColumn("_hit", F.lit(True)), "_slot", "left"
+    marked = base.withColumn("_slot", slot_of("id", "h", n=DOC_SLOTS)).join(
+        slots(runs, "id", "h", n=DOC_SLOTS).withColumn("_hit", F.lit(True)), "_slot", "left"
     )
     touched = (
         marked.where("_hit")
-        .withColumn("tag", F.col("h").bitwiseAND(0x7FFF))
-        .join(per_text, ["id", "tag"], "left")
+        .join(per_text, ["id", "h"], "left")
         .select("doc", "text", "repeats")
     )
     kind = docs.schema[id_col].dataType.simpleString()

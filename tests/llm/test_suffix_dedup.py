@@ -65,3 +65,19 @@ def test_removed_runs_and_nulls(spark):
 
 def test_empty_table(spark):
     assert run(spark, []) == []
+
+
+def test_many_texts_under_one_id(spark):
+    """2,000 texts without an id and 500 under one id, with shared passages: told apart by the whole hash of the text."""
+    r = random.Random(9)
+    passages = ["".join(r.choice("abcdefgh ") for _ in range(150)) for _ in range(40)]
+    some = lambda: "".join(r.choice("abcdefgh ") for _ in range(r.randint(0, 60)))
+    texts = [some() + r.choice(passages)[: r.randint(90, 150)] + some() for _ in range(2520)]
+    ids = [None] * 2000 + [7] * 500 + list(range(20))
+    df = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    named = df.select("doc_id", "text", F.xxhash64("text").alias("h")).distinct().collect()
+    order = sorted(named, key=lambda x: (x.doc_id is not None, x.doc_id or 0, x.h))
+    want = brute([((x.doc_id, x.text), x.text) for x in order], 100)
+    got = sorted((str(x.doc_id), x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in suffix_dedup(df.repartition(6)).collect())
+    assert got == sorted((str(i), *want[i, t]) for i, t in zip(ids, texts))
+    assert sum(x[2] > 0 for x in got) > 2000
