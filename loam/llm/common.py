@@ -63,22 +63,33 @@ def slot_of(*cols: str | Column, n: int) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(n))
 
 
+def fresh(name: str, taken: Iterable[str]) -> str:
+    """``name``, or as many underscores after it as make it differ from all ``taken`` ones."""
+    used = {c.lower() for c in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
+def _packed(docs: DataFrame, key: Column, n: int) -> DataFrame:
+    """``row`` (all columns), ``key`` and its ``slot``: no name of the caller's can clash."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(whole.alias("row"), key.alias("key")).withColumn("slot", slot_of("key", n=n))
+
+
 def without(docs: DataFrame, key: Column, gone: DataFrame, n: int = 1 << 19) -> DataFrame:
     """``docs`` without the rows whose ``key`` is in ``gone`` (one column); null keys stay.
 
     Rows whose slot no key of ``gone`` has pass at once; only the others, with
     their texts, are shuffled for the exact anti-join.
     """
-    gone = stage(gone.select(F.col(gone.columns[0]).alias("_loam_key")).where("_loam_key is not null").distinct(), "gone")
-    marked = (
-        docs.withColumn("_loam_key", key)
-        .withColumn("_slot", slot_of("_loam_key", n=n))
-        .join(slots(gone, "_loam_key", n=n).withColumn("_loam_hit", F.lit(True)), "_slot", "left")
-    )
-    sure = marked.where("_loam_hit is null").select(*docs.columns)
+    gone = stage(gone.select(F.col(gone.columns[0]).alias("key")).where("key is not null").distinct(), "gone")
+    near = slots(gone, "key", n=n).select(F.col("_slot").alias("slot"), F.lit(True).alias("hit"))
+    marked = _packed(docs, key, n).join(near, "slot", "left")
+    sure = marked.where("hit is null").select("row.*")
     # not an anti-join: the optimizer would move that below the prefilter, to all rows with their texts
-    found = gone.withColumn("_loam_gone", F.lit(True))
-    checked = marked.where("_loam_hit").join(found, "_loam_key", "left").where("_loam_gone is null").select(*docs.columns)
+    found = gone.withColumn("gone", F.lit(True))
+    checked = marked.where("hit").join(found, "key", "left").where("gone is null").select("row.*")
     return sure.unionByName(checked)
 
 
@@ -93,11 +104,13 @@ def once(docs: DataFrame, key: Column, repeated: DataFrame, n: int = 1 << 19) ->
     Rows that share a key must be repeats of one another.  Only rows whose slot
     a key of ``repeated`` has are grouped, combined before the shuffle.
     """
-    marked = docs.withColumn("_loam_key", key).withColumn("_slot", slot_of("_loam_key", n=n))
-    marked = marked.join(slots(repeated, repeated.columns[0], n=n).withColumn("_loam_hit", F.lit(True)), "_slot", "left")
-    sure = marked.where("_loam_hit is null").select(*docs.columns)
-    least = marked.where("_loam_hit").groupBy("_loam_key").agg(F.min(F.struct(*docs.columns)).alias("_loam_row"))
-    return sure.unionByName(least.select("_loam_row.*"))
+    near = slots(repeated, repeated.columns[0], n=n).select(F.col("_slot").alias("slot"), F.lit(True).alias("hit"))
+    marked = _packed(docs, key, n).join(near, "slot", "left")
+    # maps have no order; their rows are ordered by their JSON text
+    has_map = "map<" in docs.schema.simpleString()
+    least = F.min_by("row", F.to_json("row")) if has_map else F.min("row")
+    found = marked.where("hit").groupBy("key").agg(least.alias("row"))
+    return marked.where("hit is null").select("row.*").unionByName(found.select("row.*"))
 
 
 def slices(batch: pa.RecordBatch, rows: int = 500) -> Iterator[pa.RecordBatch]:

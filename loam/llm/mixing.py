@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loam.llm.common import stage, word_count
+from loam.llm.common import fresh, stage, word_count
 
 #: Hex digits of the random key that name its range: 16 ** 3 ranges per source.
 RANGE_DIGITS = 3
@@ -150,9 +150,11 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataF
     and meet their copies by number, so ids may be null or repeated; the
     numbered rows are written first, which fixes the numbers.
     """
-    rows = stage(docs.withColumn("_mix_row", F.monotonically_increasing_id()), "mix-rows")
-    taken = mix_sources(rows, id_col, **options, row_col="_mix_row").where("copies > 0").select(
-        F.col("_mix_row").alias("_mix_id"), F.sequence(F.lit(1), "copies").alias("_mix_copies")
+    number = fresh("_mix_row", docs.columns)
+    rows = stage(docs.withColumn(number, F.monotonically_increasing_id()), "mix-rows")
+    taken = mix_sources(rows, id_col, **options, row_col=number).where("copies > 0").select(
+        F.col(number).alias("taken_row"), F.sequence(F.lit(1), "copies").alias("copies")
     )
-    joined = rows.join(taken, rows["_mix_row"] == taken["_mix_id"])
-    return joined.withColumn("_mix_copy", F.explode("_mix_copies")).select(*[rows[c] for c in docs.columns])
+    packed = rows.select(F.col(number).alias("row_number"), F.struct(*[rows[c] for c in docs.columns]).alias("row"))
+    joined = packed.join(taken, F.col("row_number") == F.col("taken_row"))
+    return joined.select("row", F.explode("copies")).select("row.*")

@@ -4,10 +4,12 @@ import re
 from collections import Counter
 
 import sentencepiece
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from loam.llm.common import stage, table
-from loam.llm.mixing import mix_sources
+from loam.llm.common import stage, table, without
+from loam.llm.exact_dedup import drop_exact_duplicates
+from loam.llm.mixing import mix_sources, mixed_documents
 from loam.llm.quality_rules import quality_rules
 from loam.llm.sentencepiece_codec import MODEL
 from .test_native_operators import lower
@@ -101,3 +103,14 @@ def test_every_stage_against_brute_force(spark):
             assert all(r.ids == own.encode(before[r.doc_id]) for r in rows)
         docs = out
     assert corpus_pipeline.run(spark, SF).count() == len(rows)
+
+
+def test_extra_columns_keep_their_values(spark):
+    """Columns under the helpers' own names, and a map column, come out as they went in."""
+    rows = [(1, "a b c", "s", 5, 6, 7, {"k": 1}), (2, "A B C", "s", 8, 9, 10, {"k": 2}), (2, "A B C", "s", 8, 9, 10, {"k": 2}), (3, "d e", "s", 11, 12, 13, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, _slot int, row int, _mix_row int, key map<string,int>")
+    kept = sorted(tuple(r) for r in drop_exact_duplicates(df, single=True).collect())
+    assert kept == [rows[1], rows[3]]
+    assert {tuple(r)[:6] for r in mixed_documents(df).collect()} <= {r[:6] for r in rows}
+    gone = sorted(tuple(r) for r in without(df, F.col("doc_id"), spark.createDataFrame([(2,)], "slot long")).collect())
+    assert gone == [rows[0], rows[3]]
