@@ -99,15 +99,17 @@ def usable_horizons(chorizon: DataFrame, chtexturegrp: DataFrame, props: Sequenc
     join), so each horizon enters the join once and carries its count.
     NULL values count as 0 (Q2).
     """
+    # texture rows that carry their component's key (bucketed tables) meet the horizons by it, so in the same partition
+    by = ["cokey", "chkey"] if "cokey" in chtexturegrp.columns else ["chkey"]
     hz = chorizon.select("chkey", "cokey", "hzname", "hzdept_r", "hzdepb_r", *props)
     hz = filter_mineral_horizon(filter_horizon_depth(hz, top, bottom), case_sensitive)
-    tex = filter_texture(chtexturegrp.select("chkey", "rvindicator", "texture"), case_sensitive)
+    tex = filter_texture(chtexturegrp.select(*by, "rvindicator", "texture"), case_sensitive)
     if selected:
         # the horizons are few: texture rows of others go before the shuffle (a broadcast by Spark's size check)
-        tex = tex.join(hz.select("chkey"), "chkey", "left_semi")
-    tex_n = tex.groupBy("chkey").agg(F.count(F.lit(1)).alias("_ntex"))
+        tex = tex.join(hz.select(*by), by, "left_semi")
+    tex_n = tex.groupBy(*by).agg(F.count(F.lit(1)).alias("_ntex"))
     t, b = depth_clip(top, bottom)
-    return hz.join(tex_n, "chkey", "inner").select(
+    return hz.join(tex_n, by, "inner").select(
         "cokey",
         (b - t).alias("_thk_int"),
         dec52(b - t).alias("thickness"),
@@ -134,7 +136,7 @@ def component_mean(rows: DataFrame, props: Sequence[str]) -> DataFrame:
     once, give the total (a window over that few rows) and the mean.
     """
     sums = [F.sum(F.col(p) * F.col("_ntex").cast("int")).cast(SLICE_TYPE).alias(p) for p in props]
-    slices = rows.groupBy("cokey", "_thk_int").agg(F.sum("_ntex").alias("_n"), *sums).repartition("cokey")
+    slices = rows.groupBy("cokey", "_thk_int").agg(F.sum("_ntex").alias("_n"), *sums)
     total = dec52(F.sum(F.col("_thk_int") * F.col("_n")).over(Window.partitionBy("cokey")))
     ratio = dec52(F.col("_thk_int")) / F.col("sum_thickness")
     return slices.withColumn("sum_thickness", total).groupBy("cokey").agg(
@@ -162,8 +164,8 @@ def mapunit_total(comps: DataFrame, means: DataFrame, props: Sequence[str]) -> D
     """
     c = comps.select("mukey", "cokey", "comppct_r")
     sums = c.groupBy("mukey").agg(F.sum("comppct_r").alias("_sum_pct"))
-    weights = c.join(sums, "mukey", "inner").select("mukey", "cokey", component_weight().alias("_w"))
-    j = weights.join(means, "cokey", "inner")
+    # by component first, where the means are; then one shuffle by map unit serves the weights and their sum
+    j = c.join(means, "cokey", "left").join(sums, "mukey").withColumn("_w", component_weight())
     return j.groupBy("mukey").agg(*[dec52(F.sum(F.col("_w") * F.col(p))).cast("double").alias(p) for p in props])
 
 

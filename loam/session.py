@@ -21,6 +21,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
@@ -49,6 +50,8 @@ def cluster_conf(shuffle_bytes: int, target_partition_bytes: int = 256 << 20) ->
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        # tables bucketed by component key join on more keys without a shuffle
+        "spark.sql.requireAllClusterKeysForCoPartition": "false",
     }
 
 

@@ -4,7 +4,7 @@ A report is one text file: noise, a line containing ``START``, records,
 a line equal to ``STOP``, noise.  Lines are handled as a DataFrame
 ``(report_id, line_no, line)`` so many reports are framed and parsed in one
 job; ``read_report_lines`` builds that shape from files (one report per
-file, read whole so the line order is exact).
+file, in byte ranges).
 """
 
 from __future__ import annotations
@@ -19,11 +19,22 @@ MLRA = "mmu"
 
 
 def read_report_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(report_id = file path, line_no, line) for every line of every report file under ``path``."""
-    raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("report_id"), "value")
-    return raw.select("report_id", F.posexplode(F.split("value", r"\r?\n")).alias("line_no", "line")).select(
-        "report_id", F.col("line_no").cast("bigint"), "line"
-    )
+    """(report_id = file path, line_no from 0, line) for every line of every report file under ``path``.
+
+    Files are read in byte ranges, so one large report is many tasks.  A line
+    knows its range and its place among the range's rows; the lines of earlier
+    ranges of its file, a prefix sum over one row per range, make that its
+    number.  Lines end with ``\\n`` or ``\\r\\n``; a line break at the end of the
+    file opens no further line.
+    """
+    raw = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("report_id"), F.col("_metadata.file_block_start").alias("_range"),
+        F.monotonically_increasing_id().alias("_row"), F.regexp_replace("value", "\r$", "").alias("line"))
+    ranges = raw.groupBy("report_id", "_range").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("report_id").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    return raw.join(ranges, ["report_id", "_range"]).select(
+        "report_id", (F.col("_before") + F.col("_row") - F.col("_first")).alias("line_no"), "line")
 
 
 WHITESPACE = " \t\r\n\f\u000b"

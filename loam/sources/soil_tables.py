@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -107,6 +109,50 @@ def write_soil_tables(tables: dict[str, DataFrame], path: str, files: int | None
         (writer.partitionBy(AREA) if name in keys else writer).parquet(table_path(path, name))
 
 
+# The key that each table of the hierarchy is bucketed by; texture groups get their component's key for it.
+BUCKET_KEYS = {"component": "cokey", "chorizon": "cokey", "chtexturegrp": "cokey", "cointerp": "cokey", "copmgrp": "cokey"}
+
+
+def write_bucketed_tables(tables: dict[str, DataFrame], path: str, buckets: int) -> None:
+    """Store the tables of :data:`BUCKET_KEYS` in ``buckets`` buckets by component key, sorted by it within each.
+
+    Joins and rollups by component then need no shuffle.  ``chtexturegrp`` is
+    stored with the ``cokey`` of its horizon; texture rows without a horizon
+    are left out, as no rollup meets them.
+    """
+    for name, key in BUCKET_KEYS.items():
+        if name not in tables:
+            continue
+        df = tables[name]
+        cols = [(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in SOIL_SCHEMAS[name].fields]
+        out = df.select(*cols)
+        if name == "chtexturegrp":
+            out = out.join(tables["chorizon"].select("chkey", "cokey"), "chkey")
+        out = out.repartition(buckets, key)
+        table = _bucket_table(path, name, buckets)
+        out.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", table_path(path, name)).saveAsTable(table)
+
+
+def _bucket_table(path: str, name: str, buckets: int) -> str:
+    return f"loam_{name}_{buckets}_{zlib.crc32(path.encode()):08x}"
+
+
+def read_bucketed_tables(spark: SparkSession, path: str, buckets: int) -> dict[str, DataFrame]:
+    """The tables of :func:`write_bucketed_tables`, known to the session as bucketed (a catalogue entry over the files)."""
+    out = {}
+    for name, key in BUCKET_KEYS.items():
+        where = table_path(path, name)
+        if not _exists(spark, where):
+            continue
+        fields = list(SOIL_SCHEMAS[name].fields) + ([StructField("cokey", StringType())] if name == "chtexturegrp" else [])
+        table = _bucket_table(path, name, buckets)
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING PARQUET "
+                  f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS LOCATION '{where}'")
+        out[name] = spark.table(table)
+    return out
+
+
 class SoilTables:
     """Attribute access to stored soil tables, shaped like the fixture object the plans take."""
 
