@@ -7,10 +7,8 @@ from pyspark.sql import functions as F
 
 from loam.llm.common import stage
 
-#: A line is boilerplate when more than this share of its host's pages hold it.
-RATIO = 0.1
-#: On hosts with fewer pages a share says nothing; their lines stay.
-MIN_PAGES = 5
+#: A line is boilerplate when more than this share of its host's pages hold it, with so many standard errors to spare.
+RATIO, SPREAD = 0.1, 2.0
 #: ASCII white space, trimmed from both ends of a line.
 BLANKS = " \t\n\x0b\x0c\r"
 #: A host with more than this part of all pages is hot (so at most as many hosts are); its pages meet its boilerplate
@@ -29,15 +27,26 @@ def html_lines(html: Column) -> Column:
     return F.regexp_replace(quiet, r"<[^>]*>", "\n")
 
 
+def surely_above(n: Column, pages: Column, ratio: float, spread: float) -> Column:
+    """Whether the share ``n / pages`` lies above ``ratio``: the lower end of its score interval (Wilson) does."""
+    n, pages, z = n.cast("double"), pages.cast("double"), spread * spread
+    return n + z / 2 - spread * F.sqrt(n * (pages - n) / pages + z / 4) > ratio * (pages + z)
+
+
 def line_dedup(
     pages: DataFrame,
     id_col: str = "page_id",
     host_col: str = "host",
     text_col: str = "text",
     ratio: float = RATIO,
-    min_pages: int = MIN_PAGES,
+    spread: float = SPREAD,
 ) -> DataFrame:
-    """Drop the lines that more than ``ratio`` of a host's pages hold.
+    """Drop the lines that more than ``ratio`` of a host's pages hold, and at least two of them.
+
+    One rule for hosts of every size: the share has to lie above the ratio by
+    ``spread`` standard errors (see :func:`surely_above`).  So a line on both
+    pages of a host of two is boilerplate, and one on two pages of nineteen is
+    not; on large hosts the ratio alone decides.
 
     Returns ``id_col, host_col, n_lines, n_dropped, text``: ``n_lines`` and
     ``n_dropped`` count lines with text (trimmed of ASCII white space), ``text`` joins the lines that stay.
@@ -74,11 +83,10 @@ def line_dedup(
         .agg(F.count(F.lit(1)).alias("_n"))
         .where("_n > 1")
     )
-    limits = totals.where(F.col("_pages") >= min_pages)
     boiler = (
         held.alias("h")
-        .join(limits.alias("t"), F.col("h._host").eqNullSafe(F.col("t._host")))
-        .where(F.col("_n") > F.lit(ratio) * F.col("_pages"))
+        .join(totals.alias("t"), F.col("h._host").eqNullSafe(F.col("t._host")))
+        .where(surely_above(F.col("_n"), F.col("_pages"), ratio, spread))
         .groupBy(F.col("t._host").alias("_bhost"))
         .agg(F.collect_list("_sha").alias("_boiler"))
     )

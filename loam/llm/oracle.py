@@ -54,13 +54,13 @@ WITH base AS (
   SELECT page_id, lower(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1)) AS host,
          list_filter(list_transform(string_split(regexp_replace(regexp_replace(coalesce(html, ''),
            '(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->', chr(10), 'g'), '<[^>]*>', chr(10), 'g'), chr(10)),
-           lambda x: trim(x, ' ')), lambda x: x <> '') AS lines
+           lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))), lambda x: x <> '') AS lines
   FROM pages),
 totals AS (SELECT host, count(*) AS n_pages FROM base GROUP BY host),
 held AS (SELECT host, line, count(*) AS n FROM
   (SELECT host, unnest(list_distinct(lines)) AS line FROM base) GROUP BY host, line),
 boiler AS (SELECT host, list(line) AS boiler FROM held JOIN totals USING (host)
-  WHERE n > 1 AND n_pages >= 5 AND n > 0.1::DOUBLE * n_pages GROUP BY host),
+  WHERE n > 1 AND n + 2::DOUBLE - 2 * sqrt(n::DOUBLE * (n_pages - n) / n_pages + 1) > 0.1::DOUBLE * (n_pages + 4) GROUP BY host),
 kept AS (SELECT page_id, base.host, lines,
     list_filter(lines, lambda x: NOT list_contains(coalesce(boiler, []), x)) AS stay
   FROM base LEFT JOIN boiler USING (host))

@@ -1,6 +1,7 @@
 """Exact dedup, mixing, line dedup and URL filter: brute force on small tables, edge cases."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -156,17 +157,35 @@ def test_line_dedup_matches_brute_force(spark):
         for line in {x.strip(" ") for x in (text or "").split("\n")} - {""}:
             held[host, line] += 1
     df = spark.createDataFrame(rows, "page_id long, host string, text string").withColumn("n_lines", F.lit("clash"))
-    got = {x.page_id: x for x in line_dedup(df, ratio=0.3, min_pages=4).collect()}
+    got = {x.page_id: x for x in line_dedup(df, ratio=0.3, spread=1.0).collect()}
     dropped = 0
+
+    def boilerplate(n, of):
+        p = n / of
+        low = (p + 0.5 / of - math.sqrt(p * (1 - p) / of + 0.25 / of**2)) / (1 + 1 / of)
+        assert abs(low - 0.3) > 1e-9
+        return n > 1 and low > 0.3
+
     for i, host, text in rows:
         lines = [x for x in (y.strip(" ") for y in (text or "").split("\n")) if x]
-        stay = [x for x in lines if not (pages[host] >= 4 and held[host, x] > 0.3 * pages[host] and held[host, x] > 1)]
+        stay = [x for x in lines if not boilerplate(held[host, x], pages[host])]
         dropped += len(lines) - len(stay)
         assert (got[i].host, got[i].n_lines, got[i].n_dropped, got[i].text) == (host, len(lines), len(lines) - len(stay), "\n".join(stay))
     assert dropped
     assert line_dedup(spark.createDataFrame([], df.schema)).count() == 0
 
 
+def test_one_rule_for_hosts_of_every_size(spark):
+    """A footer on every page goes on hosts of any size; a sentence on two pages stays on those of more than five."""
+    sizes = (1, 2, 3, 4, 5, 6, 10, 19, 20, 25, 200)
+    rows = [(1000 * n + i, f"h{n}", "footer\n" + ("twice" if i < 2 else f"own {i}")) for n in sizes for i in range(n)]
+    got = line_dedup(spark.createDataFrame(rows, "page_id long, host string, text string")).collect()
+    for n in sizes:
+        texts = [r.text for r in got if r.host == f"h{n}"]
+        assert sum("footer" in t for t in texts) == (n == 1)
+        assert sum("twice" in t for t in texts) == (1 if n == 1 else 2 if n > 5 else 0)
+
+
 def test_line_dedup_trims_tabs_and_carriage_returns(spark):
     menu = ["Menu", "\tMenu", "Menu\r", " \t Menu \x0b\x0c\r"]
     rows = [(i, "a.org", f"{menu[i % 4]}\n\t\n\r\ntext {i}\r\n\t") for i in range(8)]
