@@ -23,8 +23,9 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
     "strike strong sub sup time tt u var wbr".split()
 )
-#: Elements whose text is never shown as text.
-UNSEEN = frozenset("script style head title noscript template svg math iframe object canvas audio video map datalist".split())
+#: Elements whose text is never shown as text; of all others (formulas, objects, text for browsers without scripts) the
+#: marginals decide.
+UNSEEN = frozenset("script style head title template".split())
 #: Start tags that end an open paragraph.
 ENDS_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 "

@@ -69,3 +69,11 @@ def test_nulls_repeats_clashes_and_empty_table(spark):
     got = sorted((r.page_id or 0, r.text, r.n_chars) for r in extract_text(df).collect())
     assert got == [(0, T1, len(T1)), (1, "", 0), (1, "", 0)]
     assert extract_text(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_text_of_rare_elements_in_an_article_stays():
+    body = "This is a long paragraph of the article with many words in it, as articles have them. "
+    page = (f"<html><body><nav><a href=a>Home</a> <a href=b>News</a></nav><article><h1>Head</h1><p>{body}</p><p>{body}<math>E=mc2</math></p>"
+            f"<noscript><p>{body}Plain.</p></noscript><object><p>{body}Object.</p></object></article></body></html>")
+    text = main_text(page, learn())
+    assert all(x in text for x in ("E=mc2", "Plain.", "Object.")) and "News" not in text
