@@ -211,6 +211,11 @@ def _interp_reasons_all() -> str:
                         [("ra", _reasons_all_cte())])
 
 
+def _reasons_unescaped() -> str:
+    return with_fixture("SELECT mukey, mrulename, replace(replace(reason, '&', '&amp;'), '-', '&lt;-&gt;') AS escaped, "
+                        "replace(reason, '-', '<->') AS reason FROM ra", ["component", "cointerp"], [("ra", _reasons_all_cte())])
+
+
 HYDRIC_COUNTS_SQL = (
     "SELECT mukey, COUNT(*) AS comp_count, "
     "COUNT(*) FILTER (WHERE lower(majcompflag) = 'yes') AS count_maj_comp, "
@@ -627,6 +632,8 @@ def oracle_sql() -> dict[str, str]:
         "interp_reasons_all": _interp_reasons_all(),
         "hydric_counts": _hydric_counts(),
         "hydric_rating": _hydric_rating(),
+        "stored_hydric_rating": _hydric_rating(),
+        "reasons_unescaped": _reasons_unescaped(),
         "parent_material": _parent_material(False),
         "parent_material_general": _parent_material(True),
         "muaggatt_extract": _muaggatt_extract(),

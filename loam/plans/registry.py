@@ -12,11 +12,13 @@ as a user of the batch tools would set them.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loam.functions.text import unescape_entities
 from loam.operators import aoi as A
 from loam.operators import bookkeeping as B
 from loam.operators import interps as I
@@ -25,12 +27,13 @@ from loam.operators import reports as R
 from loam.operators import summaries as S
 from loam.operators.filters import filter_area, requested_areas, resolve_rules
 from loam.operators.joins import mapunit_frame, polygon_attribute_join, polygon_extract
-from loam.session import materialize
+from loam.session import ensure_checkpoint_dir, materialize
 from loam.sources import reports as RS
 from loam.plans.tools import selected_tables
 from loam.sources.catalog import catalog_frame, property_catalog, resolve_property
 from loam.sources.fixtures import SoilFixture
 from loam.sources.rejects import all_rejects, report_channel
+from loam.sources.soil_tables import read_soil_tables, write_soil_tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 PlanFn = Callable[[object], DataFrame]
@@ -136,6 +139,13 @@ def p_interp_reasons_all(t):
     return I.interp_reasons_all(t.component, t.cointerp, RULE_NAMES)
 
 
+def p_reasons_unescaped(t):
+    """Reason lists as the AOI tool writes them: escaped by the service, undone here."""
+    reasons = I.interp_reasons_all(t.component, t.cointerp, RULE_NAMES)
+    escaped = F.replace(F.replace("reason", F.lit("&"), F.lit("&amp;")), F.lit("-"), F.lit("&lt;-&gt;"))
+    return reasons.withColumn("escaped", escaped).select("mukey", "mrulename", "escaped", unescape_entities("escaped").alias("reason"))
+
+
 # ---- map-unit summaries -----------------------------------------------------------
 def p_hydric_counts(t):
     return S.hydric_counts(_mu(t), t.component)
@@ -145,6 +155,18 @@ def p_hydric_rating(t):
     return S.hydric_rating(_mu(t), t.component)
 
 
+def p_stored_hydric_rating(t):
+    """Soil tables written and read again, rolled up, the result written and read again."""
+    spark = t.legend.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/loam-stored-{uuid.uuid4().hex}"
+    names = ("legend", "mapunit", "component")
+    write_soil_tables({n: getattr(t, n) for n in names}, path, by_area=True)
+    stored = read_soil_tables(spark, path, names)
+    rated = S.hydric_rating(mapunit_frame(stored["legend"], stored["mapunit"]), stored["component"])
+    B.write_result(rated, path + "/result")
+    return spark.read.schema(rated.schema).parquet(path + "/result")
+
+
 def p_parent_material(t):
     return S.parent_material(_mu(t), t.component, t.copmgrp, general=False)
 
@@ -354,8 +376,10 @@ PLANS: dict[str, PlanFn] = {
     "interp_dom_cond": p_interp_dom_cond,
     "interp_weighted_avg": p_interp_weighted_avg,
     "interp_reasons_all": p_interp_reasons_all,
+    "reasons_unescaped": p_reasons_unescaped,
     "hydric_counts": p_hydric_counts,
     "hydric_rating": p_hydric_rating,
+    "stored_hydric_rating": p_stored_hydric_rating,
     "parent_material": p_parent_material,
     "parent_material_general": p_parent_material_general,
     "muaggatt_extract": p_muaggatt_extract,
