@@ -45,8 +45,13 @@ ENDS_ITEM = {
 #: Elements that hold parts of a page.
 CONTAINER = frozenset("div section article main aside header footer nav form center".split())
 
+#: Where text has no element of its own: a run of it becomes a node, which is judged like any part of the page.
+BARE = frozenset(("#root", "html", "body"))
+
 PLACES = 1 << 11
-KINDS = 4
+KINDS = 5
+#: Potentials kept for reuse at once.
+MEMO = 1 << 16
 
 
 @dataclass(slots=True)
@@ -59,6 +64,7 @@ class Node:
     links: int = 0
     total: int = 0
     unseen: bool = False
+    runs: str | None = None
 
 
 @dataclass
@@ -74,36 +80,61 @@ class _Builder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.page = Page([Node("#root", -1, [])])
         self.stack = [0]
+        #: Depths of the open elements, by tag and of blocks, so that no tag walks the whole stack.
+        self.at: dict[str, list[int]] = {}
+        self.blocks = [0]
+
+    def _push(self, i: int) -> None:
+        tag, depth = self.page.nodes[i].tag, len(self.stack)
+        self.stack.append(i)
+        self.at.setdefault(tag, []).append(depth)
+        if tag not in INLINE:
+            self.blocks.append(depth)
 
     def _pop(self, depth: int) -> None:
         for i in self.stack[depth:]:
-            if self.page.nodes[i].tag not in INLINE:
+            tag = self.page.nodes[i].tag
+            self.at[tag].pop()
+            if tag not in INLINE:
+                self.blocks.pop()
                 self.page.pieces.append((i, None))
         del self.stack[depth:]
 
+    def _last(self, tags) -> int:
+        """Depth of the innermost open element of the tags; 0 without one."""
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=0)
+
     def _end_open(self, tags, until) -> None:
-        for depth in range(len(self.stack) - 1, 0, -1):
-            tag = self.page.nodes[self.stack[depth]].tag
-            if tag in tags:
-                self._pop(depth)
-            elif tag in until:
-                return
+        while (depth := self._last(tags)) and depth > self._last(until):
+            self._pop(depth)
+
+    def _run(self) -> None:
+        """Opens a node for text (with the inline elements in it) that stands right under the body."""
+        up = self.page.nodes[self.stack[-1]]
+        if up.tag in BARE:
+            self.page.nodes.append(Node("#run", self.stack[-1], [], up.runs, unseen=up.unseen))
+            self.page.pieces.append((len(self.page.nodes) - 1, None))
+            self._push(len(self.page.nodes) - 1)
 
     def handle_starttag(self, tag, attrs):
         if tag in ENDS_P:
             self._end_open(("p",), ENDS_P - {"p"})
         if tag in ENDS_ITEM:
             self._end_open(*ENDS_ITEM[tag])
-        found = {k: v or "" for k, v in attrs}
-        names = re.findall(r"[a-z]+", " ".join(found.get(k, "") for k in ("class", "id", "role")).lower())
         nodes = self.page.nodes
+        if tag in INLINE:
+            self._run()
+        elif nodes[self.stack[-1]].tag == "#run" and tag not in VOID and tag not in UNSEEN:
+            self._pop(len(self.stack) - 1)
+        found = {k: v or "" for k, v in attrs}
+        names = re.findall(r"[a-z]+", " ".join(found.get(k, "") for k in ("class", "id", "role")).lower()) if attrs else []
         up = self.stack[-1]
-        node = Node(tag, up, names, found.get("data-main"), unseen=nodes[up].unseen or tag in UNSEEN)
+        node = Node(tag, up, names, found.get("data-main"), unseen=nodes[up].unseen or tag in UNSEEN, runs=found.get("data-runs"))
         nodes.append(node)
         if tag not in INLINE:
             self.page.pieces.append((len(nodes) - 1, None))
         if tag not in VOID:
-            self.stack.append(len(nodes) - 1)
+            self._push(len(nodes) - 1)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -111,15 +142,14 @@ class _Builder(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        for depth in range(len(self.stack) - 1, 0, -1):
-            open_tag = self.page.nodes[self.stack[depth]].tag
-            if open_tag == tag:
-                self._pop(depth)
-                return
-            if tag in INLINE and open_tag not in INLINE:
-                return  # a stray end tag doesn't close blocks
+        depth = self._last((tag,))
+        # a stray end tag of an inline element doesn't close blocks
+        if depth and (tag not in INLINE or depth > self.blocks[-1]):
+            self._pop(depth)
 
     def handle_data(self, data):
+        if data.strip():
+            self._run()
         self.page.pieces.append((self.stack[-1], data))
 
 
@@ -152,22 +182,34 @@ def _place(name: str) -> int:
     return crc32(name.encode()) % PLACES
 
 
-def node_features(page: Page, i: int) -> list[int]:
-    """Hash places of what is known about a node by itself."""
+def node_key(page: Page, i: int) -> tuple:
+    """What is known about a node by itself: (edge kind, tag, length, names, share of links)."""
     n = page.nodes[i]
     linked = n.links / n.total if n.total else 0.0
-    found = [f"linked {round(4 * linked)}"] if linked > 0.4 else []
-    if edge_kind(page, i) in (1, 3):
-        # a part of the page speaks for itself; text inside a part follows it
-        found += [f"tag {n.tag}", f"length {min(3, len(str(n.total)))}"]
-    found += [f"name {x}" for x in n.names]
-    found += [f"part {x[:k]}" for x in n.names for k in (2, 4, 6) if len(x) > k]
+    kind = edge_kind(page, i)
+    # a part of the page speaks for itself; text inside a part follows it
+    part = (n.tag, min(3, len(str(n.total)))) if kind in (1, 3, 4) else ("", 0)
+    return kind, *part, tuple(n.names), round(4 * linked) if linked > 0.4 else 0
+
+
+def node_features(key: tuple) -> list[int]:
+    """Hash places of a node's features (:func:`node_key`)."""
+    kind, tag, length, names, linked = key
+    found = [f"linked {linked}"] if linked else []
+    if kind == 4:
+        found.append(f"run {length}")
+    elif tag:
+        found += [f"tag {tag}", f"length {length}"]
+    found += [f"name {x}" for x in names]
+    found += [f"part {x[:k]}" for x in names for k in (2, 4, 6) if len(x) > k]
     return sorted({_place(x) for x in found})
 
 
 def edge_kind(page: Page, i: int) -> int:
-    """Kind of the edge to a node from its parent: 0 inline, 1 a part of the page, 2 a block of text, 3 a container."""
+    """Kind of the edge to a node from its parent: 0 inline, 1 a part of the page, 2 a block of text, 3 a container, 4 a run of bare text."""
     node = page.nodes[i]
+    if node.tag == "#run":
+        return 4
     if node.tag in INLINE or node.tag == "br":
         return 0
     if page.nodes[node.parent].tag in ("#root", "html", "body"):
@@ -183,12 +225,17 @@ class TreeModel:
     start: np.ndarray
     follow: np.ndarray
     seen: np.ndarray
+    memo: dict = field(default_factory=dict)
 
     def potential(self, page: Page, i: int) -> np.ndarray:
         """Log probabilities of node ``i``'s label (columns) given its parent's (rows)."""
-        kind = edge_kind(page, i)
-        z = self.weights[node_features(page, i)].sum() + self.start[kind] + self.follow[kind] * np.arange(2)
-        return -np.logaddexp(0, np.outer(z, [1, -1]))
+        key = node_key(page, i)
+        if key not in self.memo:
+            if len(self.memo) >= MEMO:
+                self.memo.clear()
+            z = self.weights[node_features(key)].sum() + self.start[key[0]] + self.follow[key[0]] * np.arange(2)
+            self.memo[key] = -np.logaddexp(0, np.outer(z, [1, -1]))
+        return self.memo[key]
 
     def evidence(self, page: Page, i: int) -> np.ndarray:
         """Log likelihood of what node ``i``'s own text looks like, by label."""
@@ -220,7 +267,7 @@ def learn(pages: list[str] = LABELLED_PAGES, steps: int = 25, penalty: float = 0
         for i, node in enumerate(page.nodes):
             if not i or node.unseen or not node.total:
                 continue
-            rows.append(node_features(page, i))
+            rows.append(node_features(node_key(page, i)))
             kinds.append(edge_kind(page, i))
             ups.append(y[node.parent])
             labels.append(y[i])
@@ -313,8 +360,9 @@ def extract_text(
     Rows are independent, so there is no shuffle; a page is read whole.
 
     Edge cases: a null html counts as empty and gives an empty text; markup
-    that is cut off gives the text up to there; text outside any content node,
-    scripts, styles and comments give nothing; repeated rows repeat; an empty
+    that is cut off gives the text up to there; a run of text right under the
+    body, or of a page without any markup, is a node of its own; text outside
+    any content node, scripts, styles and comments give nothing; repeated rows repeat; an empty
     table gives an empty result; other columns are ignored.
     """
     ready(pages.sparkSession)

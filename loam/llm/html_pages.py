@@ -2,7 +2,8 @@
 
 ``data-main="1"`` marks an element whose text, with that of its descendants, is
 main text, ``data-main="0"`` one where it is not; unmarked elements take their
-parent's mark, the root has 0.  The attribute is never a feature.
+parent's mark, the root has 0.  ``data-runs`` marks the runs of text that stand
+right under an element.  The attributes are never features.
 """
 
 LOREM = (
@@ -63,4 +64,10 @@ LABELLED_PAGES = [
 <div class="ads advertisement" data-main="0"><p>{_D}</p></div><p>{_H}</p></article></div><div class="comments" id="comments"><ul><li>{_G}</li><li>{_E}</li></ul></div><div class="copyright footer">{_F}</div></div></body></html>""",
     f"""<html><body><div class="alert notification">{_E} {_G}</div><div role="navigation"><ul><li><a href="/q">{_B}</a></li></ul></div><div role="main" data-main="1"><p>{_F}</p><p>{_D}</p></div>
 <div role="contentinfo"><p>{_A}</p></div><div class="popup modal subscribe"><p>{_C}</p></div><div role="complementary" class="widget"><p>{_H}</p></div></body></html>""",
+    # text right under the body
+    f"""<html><body data-runs="1">{_A} {_B}<br>{_C} <b>{_D}</b> and so on.<p data-main="1">{_E}</p><div class="footer">{_G}</div></body></html>""",
+    f"""<html><body data-runs="1">{_H}</body></html>""",
+    f"""<html><body data-runs="1"><h1 data-main="1">Lakes</h1>{_E} <i>{_F}</i><div class="ad">{_A}</div></body></html>""",
+    f"""<html><body data-runs="0">Skip | <a href="/l">Log in</a><article data-main="1"><h1>{_B}</h1><p>{_D} {_A}</p></article>Imprint<footer>{_C}</footer></body></html>""",
+    f"""<html><body data-runs="0"><a href="#main">Skip to content</a><main data-main="1"><p>{_G}</p><p>{_H}</p></main>&gt;&gt;</body></html>""",
 ]

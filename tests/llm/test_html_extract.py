@@ -2,6 +2,7 @@
 
 import html as entities
 import re
+import time
 
 import numpy as np
 import pytest
@@ -77,3 +78,20 @@ def test_text_of_rare_elements_in_an_article_stays():
             f"<noscript><p>{body}Plain.</p></noscript><object><p>{body}Object.</p></object></article></body></html>")
     text = main_text(page, learn())
     assert all(x in text for x in ("E=mc2", "Plain.", "Object.")) and "News" not in text
+
+
+@pytest.mark.parametrize("page,text", [
+    (f"<body>{T1} {T2}<br>{T2} <i>{T1}</i><p>A paragraph of its own, long enough to be read.</p></body>", f"{T1} {T2} {T2} {T1} A paragraph of its own, long enough to be read."),
+    (f"{T1}\n {T2}", f"{T1} {T2}"),
+    (f"<html><body><nav><a href='/'>Home</a></nav>{T1}<div class='comments'><p>{T2}</p></div></body></html>", T1),
+    (f"<body><a href='/'>Log in</a> | <article><h1>Snow</h1><p>{T1}</p></article>Imprint</body>", f"Snow {T1}"),
+])
+def test_text_right_under_the_body(model, page, text):
+    assert main_text(page, model) == text
+
+
+def test_time_grows_with_the_page_only(model):
+    for part in ("<b>" * 20_000 + "<li>x</li>" * 20_000, "<b>" * 20_000 + "</i>" * 20_000, "<table>" + "<b>" * 20_000 + "<td>x" * 20_000):
+        start = time.perf_counter()
+        read_page(f"<article>{part}</article>")
+        assert time.perf_counter() - start < 5
