@@ -113,6 +113,23 @@ def once(docs: DataFrame, key: Column, repeated: DataFrame, n: int = 1 << 19) ->
     return marked.where("hit is null").select("row.*").unionByName(found.select("row.*"))
 
 
+def labelled_rows(docs: DataFrame, labels: DataFrame, bound: int, seed: int) -> DataFrame:
+    """At most ``bound`` rows of ``docs`` (``doc, text``) that carry a label (``doc, label``): ``doc, label, text``.
+
+    The bound is on what is fitted, not on the labels: an id may repeat among
+    the documents.  Rows that repeat id and text count once; of two labels of
+    one id the smaller counts.  Ids and text hashes, a few bytes each, decide
+    (least hash of both), and only the chosen texts are moved.
+    """
+    known = labels.where("doc is not null and label is not null").groupBy("doc").agg(F.min("label").alias("label"))
+    known = known.orderBy(F.xxhash64(F.col("doc"), F.lit(seed)), "doc").limit(bound)
+    hashed = docs.withColumn("sha", F.xxhash64("text"))
+    seen = hashed.join(F.broadcast(known), "doc").select("doc", "label", "sha").distinct()
+    chosen = seen.orderBy(F.xxhash64(F.col("doc"), F.col("sha"), F.lit(seed)), "doc", "sha").limit(bound)
+    found = hashed.join(F.broadcast(chosen), ["doc", "sha"])
+    return found.groupBy("doc", "sha").agg(F.first("label").alias("label"), F.first("text").alias("text")).drop("sha")
+
+
 def slices(batch: pa.RecordBatch, rows: int = 500) -> Iterator[pa.RecordBatch]:
     """A batch in small parts, so that what a task makes of it stays small too."""
     for start in range(0, batch.num_rows, rows):

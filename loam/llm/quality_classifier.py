@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loam.llm.common import ready
+from loam.llm.common import labelled_rows, ready
 from loam.llm.kernels import mix, prefix_sums, window_hashes, word_bounds
 
 #: Vocabulary places: words are hashed to a fixed table, word ends (last three bytes) to another.
@@ -18,7 +18,7 @@ WORD_PLACES, END_PLACES = 1 << 15, 1 << 13
 DIM = 32
 #: Non-zero entries of an index vector, and words to each side that count as context.
 ENTRIES, REACH = 4, 2
-#: Bound of the labelled sample that the network is fitted on (rows of least id hash).
+#: Bound of the labelled sample that the network is fitted on (documents of least hash of id and text).
 MAX_LABELLED = 20_000
 HIDDEN = 32
 #: Places per row of the summed table.
@@ -206,16 +206,9 @@ def fit_network(x: np.ndarray, y: np.ndarray, held: np.ndarray, epochs: int = 40
 
 def train(docs: DataFrame, labels: DataFrame, vectors, max_labelled: int) -> Network | float:
     """The network, or one probability when the labels it may see hold one class at most."""
-    learnt = (
-        labels.where("doc is not null and label is not null")
-        .where(F.pmod(F.crc32(F.col("doc").cast("string")), F.lit(3)) != 1)
-        .dropDuplicates(["doc"])
-        .orderBy(F.xxhash64(F.col("doc"), F.lit(3)), "doc")
-        .limit(max_labelled)
-    )
+    learnt = labels.where(F.pmod(F.crc32(F.col("doc").cast("string")), F.lit(3)) != 1)
     rows = (
-        docs.join(F.broadcast(learnt), "doc")
-        .select("doc", "label", "text")
+        labelled_rows(docs, learnt, max_labelled, seed=3)
         .mapInArrow(_pool(vectors), f"doc {docs.schema['doc'].dataType.simpleString()}, label int, x binary")
         .toPandas()
         .sort_values(["doc", "x"])
@@ -255,7 +248,7 @@ def quality_classifier(
     rows with ``crc32(id as text) % 3 != 1``, at most ``max_labelled`` of them;
     ``held_out`` marks the others.  A score depends on the text alone.
 
-    Two scans read all texts, one the labelled ones; vectors travel as one
+    Two scans read all texts, two look for the labelled ones; vectors travel as one
     broadcast of fixed size, documents are never shuffled.
 
     Edge cases: null and empty texts get the network's value of an all-zero

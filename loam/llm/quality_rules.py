@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loam.llm.common import ready
+from loam.llm.common import labelled_rows, ready
 from loam.llm.kernels import mix, powers, prefix_sums, window_hashes, word_bounds
 
 #: Fixed base rules.
@@ -18,7 +18,7 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: Documents with a calibrated probability of good quality below this go.
 KEEP_AT = 0.5
-#: Bound of the labelled sample that is fitted (rows of least id hash), a documented parameter.
+#: Bound of the labelled sample that is fitted (documents of least hash of id and text), a documented parameter.
 MAX_LABELLED = 4000
 #: Hash places of word and of character n-grams.
 WORD_PLACES, CHAR_PLACES = 1 << 11, 1 << 11
@@ -135,21 +135,14 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4, steps: int
 
 
 def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Model | None:
-    """Fit on at most ``max_labelled`` labelled rows; None when a class is missing.
+    """Fit on at most ``max_labelled`` labelled documents; None when a class is missing.
 
     ``docs`` has ``doc, text``; ``labels`` has ``doc, label``.  A fifth of the
     rows (by hash) is kept for the calibration.
     """
-    chosen = (
-        labels.where("doc is not null and label is not null")
-        .dropDuplicates(["doc"])
-        .withColumn("fold", F.pmod(F.xxhash64("doc"), F.lit(1000)))
-        .orderBy(F.xxhash64(F.col("doc"), F.lit(7)), "doc")
-        .limit(max_labelled)
-    )
     rows = (
-        docs.where("text is not null")
-        .join(F.broadcast(chosen), "doc")
+        labelled_rows(docs.where("text is not null"), labels, max_labelled, seed=7)
+        .withColumn("fold", F.pmod(F.xxhash64("doc"), F.lit(1000)))
         .mapInArrow(_labelled_features, "x binary, label int, fold long")
         .toPandas()
         .sort_values(["fold", "x"])
@@ -221,9 +214,9 @@ def quality_rules(
     reaches ``keep_at``.  The labelled documents are looked up in
     ``train_docs`` (``docs`` by default).
 
-    One scan fits the model on a bounded labelled sample (vectors of 16-bit
+    Two scans fit the model on a bounded labelled sample (vectors of 16-bit
     floats come to the driver, the documents don't), one scan scores; nothing
-    is shuffled but the labels' least hashes.  Each text is read whole, in
+    is shuffled but the labels' least hashes and the texts of the sample.  Each text is read whole, in
     Arrow batches.
 
     Edge cases: a null text has no words and fails; with labels of one class

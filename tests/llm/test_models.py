@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import functions as F
 
-from loam.llm.common import table
+from loam.llm.common import labelled_rows, table
 from loam.llm.quality_classifier import DIM, PLACES, add_contexts, index_entries, quality_classifier, word_places, word_vectors
 from loam.llm.quality_rules import base_counts, keep_quality, parse, quality_rules
 
@@ -108,3 +108,16 @@ def test_classifier_edge_cases(spark):
     only = quality_classifier(df, spark.createDataFrame([(2, 0), (None, 1)], label)).collect()
     assert {r.score for r in only} == {0.0 if zlib.crc32(b"2") % 3 != 1 else 0.5}
     assert quality_classifier(spark.createDataFrame([], schema), spark.createDataFrame([], label)).count() == 0
+
+
+def test_sample_is_bounded_by_documents_not_labels(spark):
+    """One labelled id that repeats with many texts, and many rows that repeat id and text."""
+    rows = [(1, f"text {i}") for i in range(500)] + [(2, "same")] * 300 + [(3, None), (None, "x"), (4, "no label")]
+    docs = spark.createDataFrame(rows, "doc long, text string").repartition(7)
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 1), (3, 0), (None, 1), (5, None)], "doc long, label int")
+    got = labelled_rows(docs, labels, 50, seed=3).collect()
+    assert len(got) == 50 and len({(r.doc, r.text) for r in got}) == 50
+    again = labelled_rows(docs.coalesce(1), labels, 50, seed=3).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+    everything = labelled_rows(docs, labels, 1000, seed=3).collect()
+    assert sorted({(r.doc, r.label) for r in everything}) == [(1, 0), (2, 1), (3, 0)] and len(everything) == 502
