@@ -41,13 +41,9 @@ def word_places(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return word, (word % _U(WORD_PLACES)).astype(np.int64), WORD_PLACES + (end % _U(END_PLACES)).astype(np.int64)
 
 
-def index_entries(end_place: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Columns and signs of each word's sparse random index vector, drawn from its end.
-
-    Index vectors of words with one end are equal, so that words seen once
-    still tell their neighbours something.
-    """
-    r = mix(end_place.astype(np.uint64) * _U(0x9E3779B97F4A7C15))
+def index_entries(word: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Columns and signs of each word's sparse random index vector, drawn from the word's own hash."""
+    r = mix(word * _U(0x9E3779B97F4A7C15))
     columns = [((r >> _U(8 * k)) % _U(DIM)).astype(np.int64) for k in range(ENTRIES)]
     signs = [1.0 - 2.0 * ((r >> _U(40 + k)) & _U(1)).astype(np.float64) for k in range(ENTRIES)]
     return columns, signs
@@ -55,16 +51,17 @@ def index_entries(end_place: np.ndarray) -> tuple[list[np.ndarray], list[np.ndar
 
 def add_contexts(table: np.ndarray, texts: list[str]) -> None:
     """Add each word's neighbours' index vectors to the word's place and its end's; column DIM counts words."""
-    words, ends, owner = [], [], []
+    hashes, words, ends, owner = [], [], [], []
     for i, text in enumerate(texts):
-        _, w, e = word_places(text or "")
+        h, w, e = word_places(text or "")
+        hashes.append(h)
         words.append(w)
         ends.append(e)
         owner.append(np.full(len(w), i))
     words, ends, owner = np.concatenate(words), np.concatenate(ends), np.concatenate(owner)
     if not len(words):
         return
-    columns, signs = index_entries(ends)
+    columns, signs = index_entries(np.concatenate(hashes))
     flat = np.zeros(PLACES * DIM)
     for reach in range(1, REACH + 1):
         here = np.flatnonzero(owner[reach:] == owner[:-reach])
@@ -134,10 +131,10 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
 
 def pooled(vectors: np.ndarray, text: str) -> np.ndarray:
     """Means and spreads of a document's word and end vectors, how far neighbours lie apart, its mean index vector and length."""
-    _, words, ends = word_places(text or "")
+    hashes, words, ends = word_places(text or "")
     if not len(words):
         return np.zeros(6 * DIM + 1, np.float32)
-    columns, signs = index_entries(ends)
+    columns, signs = index_entries(hashes)
     own = sum(np.bincount(c, weights=s, minlength=DIM) for c, s in zip(columns, signs)) / len(words)
     w, e = vectors[words], vectors[ends]
     apart = np.abs(w[1:] - w[:-1]).mean(0) if len(w) > 1 else w.std(0)

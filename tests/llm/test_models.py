@@ -71,8 +71,8 @@ def test_context_sums_match_brute_force(spark):
     add_contexts(table_, texts)
     want = np.zeros_like(table_)
     for text in texts:
-        _, words, ends = word_places(text or "")
-        columns, signs = index_entries(ends)
+        hashes, words, ends = word_places(text or "")
+        columns, signs = index_entries(hashes)
         for i in range(len(words)):
             for place in (words[i], ends[i]):
                 want[place, DIM] += 1
