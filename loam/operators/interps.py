@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loam.functions.interp_bins import interp_class_bins, interp_design
@@ -34,6 +34,15 @@ def _per_rule(mapunits_with_comp: DataFrame, rules: Sequence[str], extra: Sequen
     return mapunits_with_comp.select(*KEY_COLS, *extra, _rules_col(rules))
 
 
+def _rule_no(rules: Sequence[str]) -> Column:
+    """Place of the rule in the request: a number moves and groups cheaper than a name."""
+    return F.array_position(F.array(*[F.lit(r) for r in rules]), F.col("mrulename")).cast("int").alias("_rule")
+
+
+def _rule_name(rules: Sequence[str]) -> Column:
+    return F.element_at(F.array(*[F.lit(r) for r in rules]), F.col("_rule")).alias("mrulename")
+
+
 def rule_facts(cointerp: DataFrame, rules: Sequence[str], case_sensitive: bool = False) -> DataFrame:
     """Rating rows that a rollup needs, from one scan: overall rows (``_overall``) and sub-rules that carry a reason."""
     ci = cointerp.select("cokey", "mrulename", "ruledepth", "ruledesign", "interphr", "interphrc")
@@ -144,34 +153,32 @@ def interp_dom_cond(mapunits: DataFrame, component: DataFrame, cointerp: DataFra
     Ties: larger sum first, then value ascending (NULL last), then class.
     reason: as for the dominant component.
 
-    One pass over the rating rows, and a chain of aggregates from fine keys to
-    coarse ones, each combined before its shuffle.
+    Overall rows and reasons go apart, since reasons need the dominant
+    components only.  Overall rows are dealt once by map unit; there two sorts
+    (which spill) serve all sums and picks, no hash table of fine keys.
     """
-    dom = dominant_component(component, ["compkind"]).select("mukey", "cokey", _talks(case_sensitive))
-    comps = component.select("mukey", "cokey", "comppct_r").join(
-        dom.select("cokey", "_talks", F.lit(True).alias("_dom")), "cokey", "left")
-    rows = rule_facts(cointerp, rules, case_sensitive).join(comps, "cokey").filter(
-        F.col("_overall") | (F.col("_dom") & F.col("_talks")))
-    over = lambda c: F.when(F.col("_overall"), c)
-    unit = ["mukey", "mrulename", "_overall", "interphrc"]
-    values = rows.groupBy(*unit, "interphr").agg(
-        F.sum(over(F.col("comppct_r"))).alias("_s"), F.collect_set(over(F.col("comppct_r"))).alias("_pcts"))
-    key = F.struct(F.col("_s").isNull(), -F.col("_s"), F.col("interphr").isNull(), F.col("interphr"))
-    classes = values.groupBy(*unit).agg(
-        F.avg("interphr").alias("_cavg"), F.min(key).alias("_k"), F.array_distinct(F.flatten(F.collect_list("_pcts"))).alias("_pcts"),
-        F.collect_list(F.when(~F.col("_overall"), F.struct("interphr", "interphrc"))).alias("_reasons"),
-    )
-    # distinct percents of a class, summed; NULL where it has none
-    share = F.when(F.size("_pcts") > 0, F.aggregate("_pcts", F.lit(0).cast("long"), lambda a, x: a + x))
+    # without keys there is nothing to report to; said here, so that both uses of ``dom`` share its shuffle
+    dom = dominant_component(component.filter(F.col("mukey").isNotNull()), ["compkind"])
+    reasons = interp_reasons_dominant(dom, cointerp, rules, case_sensitive, reason_chars)
+    overall = filter_rule(cointerp.select("cokey", "mrulename", "ruledepth", "interphr", "interphrc"), rules)
+    rows = overall.join(component.select("mukey", "cokey", "comppct_r"), "cokey").select(
+        "mukey", _rule_no(rules), "interphrc", "interphr", "comppct_r").repartition("mukey")
+    unit = ["mukey", "_rule", "interphrc"]
+    # a percent counts once in its class, and a value once in the class's mean
+    one = lambda key, then: F.row_number().over(Window.partitionBy(*unit, key).orderBy(then)) == 1
+    rows = rows.withColumn("_first_pct", one("comppct_r", "interphr")).withColumn("_first", one("interphr", "comppct_r"))
+    whole = Window.partitionBy(*unit)
+    rows = rows.withColumn("_s", F.sum("comppct_r").over(Window.partitionBy(*unit, "interphr"))).withColumn(
+        "_cavg", F.avg(F.when(F.col("_first"), F.col("interphr"))).over(whole)).withColumn(
+        "_cs", F.sum(F.when(F.col("_first_pct"), F.col("comppct_r"))).over(whole))
     none = F.col("interphrc").isNull()
-    found = classes.withColumn("_cs", share).groupBy("mukey", "mrulename").agg(
-        F.min_by("_cavg", over(F.struct("_k", none, "interphrc"))).alias("_cavg"),
-        F.min_by("interphrc", over(F.struct(F.col("_cs").isNull(), -F.col("_cs"), none, F.col("interphrc")))).alias("class"),
-        F.flatten(F.collect_list("_reasons")).alias("_reasons"),
-    ).select("mukey", "mrulename", round2(F.col("_cavg")).alias("rating"), "class",
-             _joined(_by_value(F.col("_reasons")), reason_chars).alias("reason"))
+    key = F.struct(F.col("_s").isNull(), -F.col("_s"), F.col("interphr").isNull(), F.col("interphr"), none, F.col("interphrc"))
+    found = rows.groupBy("mukey", "_rule").agg(
+        F.min_by("_cavg", key).alias("_cavg"),
+        F.min_by("interphrc", F.struct(F.col("_cs").isNull(), -F.col("_cs"), none, F.col("interphrc"))).alias("class"),
+    ).select("mukey", _rule_name(rules), round2(F.col("_cavg")).alias("rating"), "class")
     base = _per_rule(_with_component(mapunits, dom), rules)
-    return base.join(found, ["mukey", "mrulename"], "left").select(*OUT_COLS)
+    return base.join(found, ["mukey", "mrulename"], "left").join(reasons, ["mukey", "mrulename"], "left").select(*OUT_COLS)
 
 
 def interp_weighted_avg(mapunits: DataFrame, component: DataFrame, cointerp: DataFrame, rules: Sequence[str],
@@ -180,21 +187,27 @@ def interp_weighted_avg(mapunits: DataFrame, component: DataFrame, cointerp: Dat
 
     A zero denominator gives NULL (-> 99) instead of an error (SURVEY Q8).
     The class is the band of the rounded ratio for the rule's direction.
-    One pass over the rating rows and one aggregate give rating and reasons.
+    One pass over the rating rows, dealt once by map unit; there plain sums by
+    reason come first, so that only distinct reasons are gathered.
     """
     comps = component.select("mukey", "cokey", "comppct_r", _talks(case_sensitive))
-    rows = rule_facts(cointerp, rules, case_sensitive).join(comps, "cokey")
+    rows = rule_facts(cointerp, rules, case_sensitive).join(comps, "cokey").filter(F.col("_overall") | F.col("_talks"))
     over = lambda c: F.when(F.col("_overall"), c)
-    agg = rows.groupBy("mukey", "mrulename").agg(
+    rows = rows.select("mukey", _rule_no(rules), "_overall", "ruledesign", "interphr", "comppct_r",
+                       F.when(~F.col("_overall"), F.col("interphrc")).alias("_reason")).repartition("mukey")
+    by_reason = rows.groupBy("mukey", "_rule", "_reason").agg(
         F.sum(over(F.col("interphr") * F.col("comppct_r"))).alias("_raw"),
         F.sum(over(F.when(F.col("interphr").isNotNull(), F.col("comppct_r")))).alias("_sc"),
         F.min(over(F.col("ruledesign"))).alias("_design"), F.count_if("_overall").alias("_n"),
-        F.collect_set(F.when(~F.col("_overall") & F.col("_talks"), F.col("interphrc"))).alias("_reasons"),
+    )
+    agg = by_reason.groupBy("mukey", "_rule").agg(
+        F.sum("_raw").alias("_raw"), F.sum("_sc").alias("_sc"), F.min("_design").alias("_design"), F.sum("_n").alias("_n"),
+        F.collect_list("_reason").alias("_reasons"),
     )
     raw = round2(F.col("_raw"))
     ratio = round2(F.try_divide(raw, round2(F.col("_sc"))))
     scored = agg.select(
-        "mukey", "mrulename",
+        "mukey", _rule_name(rules),
         F.when(F.col("_n") > 0, F.coalesce(ratio, F.lit(99.0))).alias("rating"),
         interp_class_bins(raw, ratio, interp_design(F.col("_design"))).alias("_class"),
         _joined(F.array_sort("_reasons"), reason_chars).alias("reason"),
