@@ -61,20 +61,26 @@ def prop_dom_cond(mapunits: DataFrame, component: DataFrame, prop: str | Sequenc
     to the smallest value, NULL last (Q4).
     """
     props = _codes(prop, "component")
-    pct = F.sum_distinct("comppct_r") if distinct_pct else F.sum("comppct_r")
     types = dict(component.select(*props).dtypes)
     # one row per component and column, values side by side by type, so that ties compare as what they are
     texts = [p for p in props if types[p] == "string"]
-    value = [F.struct(F.lit(p).alias("_prop"),
+    value = [F.struct(F.lit(i).alias("_prop"),
                       (F.col(p) if p in texts else F.lit(None).cast("string")).alias("_text"),
                       (F.lit(None).cast("double") if p in texts else F.col(p).cast("double")).alias("_number"))
-             for p in props]
-    long = component.select("mukey", "comppct_r", F.inline(F.array(*value)))
-    per_value = long.groupBy("mukey", "_prop", "_text", "_number").agg(pct.alias("_pct"))
+             for i, p in enumerate(props)]
+    # components move once, by map unit; one sort there (which spills) serves the sums and the pick
+    dealt = component.filter(F.col("mukey").isNotNull()).select("mukey", "comppct_r", *props).repartition("mukey")
+    long = dealt.select("mukey", "comppct_r", F.inline(F.array(*value)))
+    same = Window.partitionBy("mukey", "_prop", "_text", "_number")
+    if distinct_pct:
+        again = F.lag("comppct_r").over(same.orderBy("comppct_r")) == F.col("comppct_r")
+        long = long.withColumn("_counts", ~F.coalesce(again, F.lit(False)))
+    pct = F.when(F.col("_counts"), F.col("comppct_r")) if distinct_pct else F.col("comppct_r")
+    per_value = long.withColumn("_pct", F.sum(pct).over(same))
     empty = F.col("_text").isNull() & F.col("_number").isNull()
     order = F.struct(F.col("_pct").isNull(), -F.col("_pct"), empty, F.col("_text"), F.col("_number"))
-    picked = [F.min_by(F.col("_text" if p in texts else "_number"), F.when(F.col("_prop") == p, order)).cast(types[p])
-              .alias(p) for p in props]
+    picked = [F.min_by(F.col("_text" if p in texts else "_number"), F.when(F.col("_prop") == i, order)).cast(types[p])
+              .alias(p) for i, p in enumerate(props)]
     best = per_value.groupBy("mukey").agg(*picked)
     return mapunits.join(best, "mukey", "inner").select(*KEY_COLS, *props)
 
@@ -124,23 +130,20 @@ def thickness_total(rows: DataFrame, count: str = "_ntex") -> DataFrame:
 
 
 MEAN_TYPE = "decimal(29,10)"  # sum of decimal(19,10) terms
-SLICE_TYPE = "decimal(15,2)"  # values of one thickness, summed
+SLICE_TYPE = "decimal(15,2)"  # a value times its multiplicity
 
 
 def component_mean(rows: DataFrame, props: Sequence[str]) -> DataFrame:
     """Per component: sum over horizon rows of (thickness / total thickness) x value.
 
-    Rows of one thickness share the ratio, so their values are summed first:
-    an aggregate that combines map-side and leaves a component at most as
-    many rows as the depth range has whole centimetres.  Those rows, moved
-    once, give the total (a window over that few rows) and the mean.
+    The rows move once, by component; there the total is a window and the mean
+    an aggregate, both on that one partitioning.
     """
-    sums = [F.sum(F.col(p) * F.col("_ntex").cast("int")).cast(SLICE_TYPE).alias(p) for p in props]
-    slices = rows.groupBy("cokey", "_thk_int").agg(F.sum("_ntex").alias("_n"), *sums)
-    total = dec52(F.sum(F.col("_thk_int") * F.col("_n")).over(Window.partitionBy("cokey")))
+    total = dec52(F.sum(F.col("_thk_int") * F.col("_ntex")).over(Window.partitionBy("cokey")))
     ratio = dec52(F.col("_thk_int")) / F.col("sum_thickness")
-    return slices.withColumn("sum_thickness", total).groupBy("cokey").agg(
-        *[F.sum(ratio * F.col(p)).cast(MEAN_TYPE).alias(p) for p in props]
+    value = {p: (F.col(p) * F.col("_ntex").cast("int")).cast(SLICE_TYPE) for p in props}
+    return rows.withColumn("sum_thickness", total).groupBy("cokey").agg(
+        *[F.sum(ratio * value[p]).cast(MEAN_TYPE).alias(p) for p in props]
     )
 
 
