@@ -25,11 +25,10 @@ from loam.operators import interps as I
 from loam.operators import properties as P
 from loam.operators import reports as R
 from loam.operators import summaries as S
-from loam.operators.filters import filter_area, requested_areas, resolve_rules
+from loam.operators.filters import filter_area, filter_mukeys, requested_areas, resolve_rules, restrict_to_mapunits
 from loam.operators.joins import mapunit_frame, polygon_attribute_join, polygon_extract
-from loam.session import ensure_checkpoint_dir, materialize
+from loam.session import ensure_checkpoint_dir, stored
 from loam.sources import reports as RS
-from loam.plans.tools import selected_tables
 from loam.sources.catalog import catalog_frame, property_catalog, resolve_property
 from loam.sources.fixtures import SoilFixture
 from loam.sources.rejects import all_rejects, report_channel
@@ -249,7 +248,19 @@ def p_aoi_clip_holes(t):
 
 def _aoi_keys(t):
     """The key list, found once for all the branches of a rollup that it selects."""
-    return materialize(A.aoi_keys(t.mupolygon, t.aoi_points, GRID_CELL))
+    return stored(A.aoi_keys(t.mupolygon, t.aoi_points, GRID_CELL))
+
+
+def _aoi_tables(t, child=None):
+    """(map units, components, child rows) inside any AOI.
+
+    Map units and components are stored: each is found in one pass, and small
+    ones are broadcast to the child tables, which are then cut before any shuffle.
+    """
+    mus = stored(filter_mukeys(_mu(t), _aoi_keys(t)))
+    comps = stored(restrict_to_mapunits(mus, t.component)[0])
+    kids = [getattr(t, child).join(comps.select("cokey"), "cokey", "left_semi")] if child else []
+    return (mus, comps, *kids)
 
 
 def p_aoi_clip_dropped(t):
@@ -263,49 +274,49 @@ def p_aoi_mukeys(t):
 
 def p_aoi_prop_weighted_avg(t):
     """The AOI property tool: weighted average for the map units inside any AOI."""
-    mus, comps, hz = selected_tables(t, mukeys=_aoi_keys(t), child="chorizon")
+    mus, comps, hz = _aoi_tables(t, child="chorizon")
     return P.prop_weighted_avg(mus, comps, hz, t.chtexturegrp, "claytotal_r", TOP, BOTTOM, selected=True)
 
 
 def p_aoi_prop_dom_cond(t):
     """The AOI property tool: dominant condition."""
-    mus, comps = selected_tables(t, mukeys=_aoi_keys(t))
+    mus, comps = _aoi_tables(t)
     return P.prop_dom_cond(mus, comps, "drainagecl")
 
 
 def p_aoi_prop_dom_comp(t):
     """The AOI property tool: dominant component."""
-    mus, comps = selected_tables(t, mukeys=_aoi_keys(t))
+    mus, comps = _aoi_tables(t)
     return P.prop_dom_comp_cat(mus, comps, "drainagecl")
 
 
 def p_aoi_prop_min(t):
     """The AOI property tool: profile minimum."""
-    mus, comps, hz = selected_tables(t, mukeys=_aoi_keys(t), child="chorizon")
+    mus, comps, hz = _aoi_tables(t, child="chorizon")
     return P.prop_min_max(mus, comps, hz, "claytotal_r", "MIN")
 
 
 def p_aoi_prop_multi(t):
     """The AOI property tool: weighted averages of several properties."""
-    mus, comps, hz = selected_tables(t, mukeys=_aoi_keys(t), child="chorizon")
+    mus, comps, hz = _aoi_tables(t, child="chorizon")
     return P.prop_multi("Weighted Average", mus, comps, hz, t.chtexturegrp, MULTI_PROPS, 0, 50, selected=True)
 
 
 def p_aoi_interp_dom_cond(t):
     """The AOI interpretation tool: dominant condition, both rules."""
-    mus, comps, ci = selected_tables(t, mukeys=_aoi_keys(t), child="cointerp")
+    mus, comps, ci = _aoi_tables(t, child="cointerp")
     return I.interp_dom_cond(mus, comps, ci, RULE_NAMES)
 
 
 def p_aoi_interp_dom_comp(t):
     """The AOI interpretation tool: dominant component, both rules."""
-    mus, comps, ci = selected_tables(t, mukeys=_aoi_keys(t), child="cointerp")
+    mus, comps, ci = _aoi_tables(t, child="cointerp")
     return I.interp_dom_comp(mus, comps, ci, RULE_NAMES)
 
 
 def p_aoi_interp_weighted_avg(t):
     """The AOI interpretation tool: weighted average, both rules."""
-    mus, comps, ci = selected_tables(t, mukeys=_aoi_keys(t), child="cointerp")
+    mus, comps, ci = _aoi_tables(t, child="cointerp")
     return I.interp_weighted_avg(mus, comps, ci, RULE_NAMES)
 
 
