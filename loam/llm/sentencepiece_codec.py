@@ -16,12 +16,10 @@ from __future__ import annotations
 import heapq
 import re
 import uuid
-import zlib
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain
 from operator import add
 
 import numpy as np
@@ -33,12 +31,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from loam.llm.common import ready, slices, stage
+from loam.llm.kernels import prefix_sums, window_hashes
 from loam.session import ensure_checkpoint_dir
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Characters of text whose distinct words are numbered together; a longer text is a chunk by itself.
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 8_000_000
 #: Hash buckets of words for each shuffle partition, so that partitions fill evenly.
 BUCKETS_PER_PARTITION = 16
 #: Words up to this length are folded in SQL (places fit one long), longer ones by :func:`merge_long`.
@@ -195,7 +194,7 @@ def pack(numbers: np.ndarray, ends: np.ndarray | None = None) -> bytes | list[by
     return [data[x:y] for x, y in zip(cuts, cuts[1:])]
 
 
-def unpack(data: bytes) -> np.ndarray:
+def unpack(data: bytes | np.ndarray) -> np.ndarray:
     b = np.frombuffer(data, np.uint8)
     if not len(b):
         return np.zeros(0, np.int64)
@@ -205,68 +204,136 @@ def unpack(data: bytes) -> np.ndarray:
     return np.add.reduceat((b & 127).astype(np.int64) << (7 * place), first)
 
 
+def word_starts(data: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """Where the words of :func:`words_of` start in the bytes of texts that begin at ``docs`` (spaces already replaced)."""
+    space = np.zeros(len(data), bool)
+    space[:-2] = (data[:-2] == 0xE2) & (data[1:-1] == 0x96) & (data[2:] == 0x81)
+    first = space.copy()
+    first[3:] &= ~space[:-3]
+    lines = np.flatnonzero(data == 10)
+    first[lines] = True
+    first[lines[lines + 1 < len(data)] + 1] = True
+    first[docs] = True
+    return np.flatnonzero(first)
+
+
+def unit_starts(words: pa.LargeStringArray, pairs: np.ndarray) -> np.ndarray:
+    """Where the units of :func:`units_of` start in the bytes of ``words``; ``pairs`` are sorted, first character in the high half."""
+    data, offsets = _bytes_of(words)
+    points = np.frombuffer(data.tobytes().decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32)
+    size = 1 + sum((points >= least).astype(np.int64) for least in (0x80, 0x800, 0x10000))
+    pair = points[:-1].astype(np.uint64) << np.uint64(32) | points[1:]
+    known = pairs[np.minimum(np.searchsorted(pairs, pair), len(pairs) - 1)] == pair if len(pairs) else np.zeros(len(pair), bool)
+    first = np.zeros(len(data), bool)
+    first[np.cumsum(size)[:-1][~known]] = True
+    first[offsets[:-1]] = True
+    return np.flatnonzero(first)
+
+
+def _large(text: str) -> pa.Scalar:
+    return pa.scalar(text, pa.large_string())
+
+
+def _bytes_of(texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of ``texts`` (without nulls) and where each begins, with the end."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    held = texts.buffers()[2]
+    data = np.frombuffer(held, np.uint8) if held is not None else np.zeros(0, np.uint8)
+    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def _cut_at(data: np.ndarray, starts: np.ndarray) -> pa.DictionaryArray:
+    """The texts that begin at ``starts``, as a dictionary in the order of their first occurrence."""
+    offsets = np.append(starts, len(data)).astype(np.int64)
+    return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(data)).dictionary_encode()
+
+
 def _chunks(buckets: int, chunk_chars: int, kind: pa.DataType, pairs: frozenset[str]):
-    """Per document its units' numbers in its chunk; per chunk and bucket the distinct units, sorted, and their numbers."""
-
-    def flush(chunk, numbers):
-        by_bucket: dict[int, list[str]] = {}
-        where: dict[int, list[int]] = {}
-        for word, number in numbers.items():
-            b = zlib.crc32(word.encode("utf-8", "surrogatepass")) % buckets
-            by_bucket.setdefault(b, []).append(word)
-            where.setdefault(b, []).append(number)
-        for b, words in by_bucket.items():
-            order = sorted(range(len(words)), key=words.__getitem__)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([chunk], pa.int64()),
-                    pa.nulls(1, kind),
-                    pa.nulls(1, pa.binary()),
-                    pa.array([b], pa.int32()),
-                    # one text, which shuffles well: the chunk, then the words; a line break stands alone, as the empty line
-                    pa.array(["\n".join([str(chunk), *(words[i] if words[i] != "\n" else "" for i in order)])], pa.string()),
-                    pa.array([pack(np.array([where[b][i] for i in order]))], pa.binary()),
-                ],
-                names=["chunk", "doc", "units", "bucket", "words", "numbers"],
-            )
+    """Per document its units' numbers in its chunk; per chunk and bucket the distinct units, sorted, and their numbers.
+
+    Units that aren't folded in SQL (see :func:`is_plain`) are in bucket -1.
+    """
+    names = ["chunk", "doc", "units", "bucket", "words", "numbers"]
+    known = np.sort(np.array([ord(p[0]) << 32 | ord(p[1]) for p in pairs], np.uint64))
+
+    def of_chunk(chunk: int, docs: pa.Array, texts: pa.Array) -> Iterator[pa.RecordBatch]:
+        full = pc.not_equal(texts, "")
+        spaced = pc.binary_join_element_wise(_large(SPACE), pc.replace_substring(texts, " ", SPACE), _large(""))
+        data, offsets = _bytes_of(pc.if_else(full, spaced, _large("")))
+        data = np.ascontiguousarray(data)
+        starts = word_starts(data, np.unique(offsets[offsets < len(data)])) if len(data) else np.zeros(0, np.int64)
+        coded = _cut_at(data, starts)
+        at = coded.indices.to_numpy()
+        own, bounds = _bytes_of(coded.dictionary)
+        own = np.ascontiguousarray(own)
+        cuts = unit_starts(coded.dictionary, known) if len(own) else np.zeros(0, np.int64)
+        numbered = _cut_at(own, cuts)
+        units, first = numbered.indices.to_numpy(), np.searchsorted(cuts, bounds)
+        # every word's units one after another
+        each = np.diff(first)[at]
+        after = np.concatenate(([0], np.cumsum(each)))
+        place = np.repeat(first[:-1][at] - after[:-1], each) + np.arange(after[-1])
+        packed = pack(units[place], after[np.searchsorted(starts, offsets[1:])])
+        n = len(packed)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(n, chunk)), docs, pa.array(packed, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.string()), pa.nulls(n, pa.binary())],
+            names=names,
+        )
+        distinct = numbered.dictionary
+        if not len(distinct):
+            return
+        own, bounds = _bytes_of(distinct)
+        bucket = (window_hashes(prefix_sums(own), bounds[:-1], bounds[1:]) % np.uint64(buckets)).astype(np.int32)
+        bucket[~is_plain(distinct)] = -1
+        table = pa.table({"bucket": bucket, "word": distinct})
+        order = pc.sort_indices(table, [("bucket", "ascending"), ("word", "ascending")]).to_numpy()
+        begins = np.flatnonzero(np.diff(bucket[order], prepend=-2))
+        ends = np.append(begins[1:], len(order))
+        # one text, which shuffles well: the chunk, then the words; a line break stands alone, as the empty line
+        words = distinct.take(pa.array(order))
+        words = pc.if_else(pc.equal(words, "\n"), _large(""), words)
+        lists = pa.LargeListArray.from_arrays(pa.array(np.append(begins, len(order))), words)
+        lines = pc.binary_join_element_wise(_large(str(chunk)), pc.binary_join(lists, _large("\n")), _large("\n"))
+        m = len(begins)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(m, chunk)), pa.nulls(m, kind), pa.nulls(m, pa.binary()), pa.array(bucket[order][begins]), lines.cast(pa.string()), pa.array(pack(order, ends), pa.binary())],
+            names=names,
+        )
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk = TaskContext.get().partitionId() << 32
-        numbers: dict[str, int] = {}
-        known: dict[str, list[int]] = {}
-        size = 0
+        chunk, size = TaskContext.get().partitionId() << 32, 0
+        held: list[tuple[pa.Array, pa.Array]] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            docs, texts = (pa.concat_arrays(parts) for parts in zip(*held))
+            return of_chunk(chunk, docs, texts)
+
         for batch in (part for whole in batches for part in slices(whole)):
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            if size and size + sum(map(len, texts)) > chunk_chars:
-                yield from flush(chunk, numbers)
-                chunk, numbers, known, size = chunk + 1, {}, {}, 0
-            size += sum(map(len, texts)) + 1
-            words = [words_of(t) for t in texts]
-            coded = pa.array(list(chain.from_iterable(words)), pa.string()).dictionary_encode()
-            distinct, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-            for word in distinct:
-                if word not in known:
-                    known[word] = [numbers.setdefault(u, len(numbers)) for u in units_of(word, pairs)]
-            own = [known[w] for w in distinct]
-            sizes = np.fromiter(map(len, own), np.int64, len(own))
-            units = np.fromiter(chain.from_iterable(own), np.int64)
-            # every word's units one after another
-            each = sizes[at]
-            after = np.cumsum(each)
-            place = np.repeat((np.cumsum(sizes) - sizes)[at] - (after - each), each) + np.arange(int(each.sum()))
-            ends = np.concatenate(([0], after))[np.cumsum([len(w) for w in words], dtype=np.int64)]
-            packed = pack(units[place], ends)
-            n = len(packed)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, chunk)), batch.column("doc"), pa.array(packed, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.string()), pa.nulls(n, pa.binary())],
-                names=["chunk", "doc", "units", "bucket", "words", "numbers"],
-            )
-        if numbers:
-            yield from flush(chunk, numbers)
+            texts = pc.fill_null(batch.column("text").cast(pa.large_string()), "")
+            chars = np.cumsum(pc.utf8_length(texts).to_numpy() + 1)
+            row, before = 0, 0
+            while row < len(chars):
+                end = int(np.searchsorted(chars, before + chunk_chars - size, side="right"))
+                if end <= row and size:
+                    yield from flush()
+                    chunk, size, held = chunk + 1, 0, []
+                    continue
+                end = max(end, row + 1)
+                held.append((batch.column("doc").slice(row, end - row), texts.slice(row, end - row)))
+                size += int(chars[end - 1]) - before
+                row, before = end, int(chars[end - 1])
+        if held:
+            yield from flush()
 
     return chunks
 
 
+def is_plain(words: pa.LargeStringArray) -> np.ndarray:
+    """Whether words are folded in SQL: not the very long ones and not runs of spaces."""
+    runs = pc.starts_with(words, SPACE + SPACE)
+    return pc.and_not(pc.less_equal(pc.utf8_length(words), FOLD_CHARS), runs).to_numpy(zero_copy_only=False)
+
+
 # --- the lattice --------------------------------------------------------------------------------
 
 
@@ -444,7 +511,8 @@ def encode(
        however often it occurs.
     2. Within a bucket the corpus's distinct words go through the lattice
        (:func:`encode_words`).  The bucket's grouping serves every step, there
-       is no further shuffle.
+       is no further shuffle.  Very long words and runs of spaces stay with
+       their chunk and are merged there one by one.
     3. Each chunk gets its words' ids back, packed by bucket, and its texts are
        put together.
 
@@ -468,7 +536,7 @@ def encode(
     staged = _by_chunk(rows, partitions)
     # four tasks for each partition: a word's lattice takes more memory than the word
     # (the text is the one column beside the bucket, so that all steps below share one shuffle)
-    dealt = staged.where("words is not null").select("bucket", "words").repartition(4 * partitions, "bucket")
+    dealt = staged.where("words is not null and bucket >= 0").select("bucket", "words").repartition(4 * partitions, "bucket")
     lines = F.split("words", "\n")
     rest = F.transform(F.slice(lines, 2, F.size(lines)), lambda w: F.when(w == "", F.lit("\n")).otherwise(w))
     # read the text before the explode: beside it, it would be split again for every word
@@ -477,29 +545,38 @@ def encode(
     width = 2 if len(vocabulary.pieces) <= 1 << 16 else 4
     digits = lambda i: F.lpad(F.hex(i), 2 * width, "0")
     with _grouping_kept(spark):
-        replies = None
-        for encoded in encode_words(listed.select("bucket", "word").distinct(), vocabulary):
-            some = (
-                listed.join(encoded, ["bucket", "word"])
-                .groupBy("bucket", "chunk")
-                .agg(F.sort_array(F.collect_list(F.struct("pos", "ids"))).alias("found"))
-                .select(
-                    "chunk",
-                    "bucket",
-                    F.col("found.pos").alias("pos"),
-                    F.transform("found.ids", lambda x: F.size(x)).alias("sizes"),
-                    F.unhex(F.array_join(F.transform(F.flatten("found.ids"), digits), "")).alias("ids"),
-                )
+        encoded, _ = encode_words(listed.select("bucket", "word").distinct(), vocabulary)
+        # by word first: within a bucket, that is what sorting can tell rows apart by
+        replies = (
+            listed.join(encoded, ["word", "bucket"])
+            .groupBy("bucket", "chunk")
+            .agg(F.sort_array(F.collect_list(F.struct("pos", "ids"))).alias("found"))
+            .select(
+                "chunk",
+                "bucket",
+                F.col("found.pos").alias("pos"),
+                F.transform("found.ids", lambda x: F.size(x)).alias("sizes"),
+                F.unhex(F.array_join(F.transform(F.flatten("found.ids"), digits), "")).alias("ids"),
             )
-            replies = some if replies is None else replies.unionByName(some)
+        )
         replies = stage(replies, "piece-replies")
-    texts = staged.select("chunk", "doc", "units", "bucket", "numbers")
+    # long words and runs of spaces are not many: they stay in their chunk
+    own_words = F.when(F.col("bucket") < 0, F.col("words")).alias("words")
+    texts = staged.select("chunk", "doc", "units", "bucket", own_words, "numbers")
+    one_by_one = merge_long if vocabulary.bpe else viterbi_long
     spelled = spellings(vocabulary) if decoded else []
 
     def together(left: pa.Table, right: pa.Table) -> pa.Table:
         """One chunk: number -> ids, then every text's ids."""
-        numbered = {b: n for b, n in zip(left.column("bucket").to_pylist(), left.column("numbers").to_pylist()) if b is not None}
+        listed = left.filter(pc.is_valid(left.column("bucket")))
+        numbered = dict(zip(listed.column("bucket").to_pylist(), listed.column("numbers").to_pylist()))
         number, sizes, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        for words, own in zip(listed.column("words").to_pylist(), listed.column("numbers").to_pylist()):
+            if words is not None:
+                found = [np.array(one_by_one(w, vocabulary), np.int32) for w in words.split("\n")[1:]]
+                number.append(unpack(own))
+                sizes.append(np.array([len(i) for i in found], np.int64))
+                ids += found
         for b, p, s, i in zip(right.column("bucket").to_pylist(), *(right.column(c) for c in ("pos", "sizes", "ids"))):
             number.append(unpack(numbered[b])[p.values.to_numpy()])
             sizes.append(s.values.to_numpy())
@@ -508,19 +585,19 @@ def encode(
         starts, lengths = np.zeros(len(number), np.int64), np.zeros(len(number), np.int64)
         starts[number], lengths[number] = np.cumsum(sizes) - sizes, sizes
         docs_only = left.filter(pc.is_valid(left.column("units")))
-        out, ends = [], [0]
-        for units in docs_only.column("units"):
-            u = unpack(units.as_py())
-            size = lengths[u]
-            total = int(size.sum())
-            at = np.repeat(starts[u] - (np.cumsum(size) - size), size) + np.arange(total)
-            out.append(ids[at])
-            ends.append(ends[-1] + total)
-        flat = np.concatenate(out) if out else np.zeros(0, np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(np.array(ends), pa.int32()), pa.array(flat, pa.int32()))
+        packed = docs_only.column("units").combine_chunks()
+        raw, held = packed.buffers()[2], np.frombuffer(packed.buffers()[1], np.int32)[packed.offset : packed.offset + len(packed) + 1]
+        data = (np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8))[held[0] : held[-1]]
+        u = unpack(data)
+        size = lengths[u]
+        after = np.concatenate(([0], np.cumsum(size)))
+        flat = ids[np.repeat(starts[u] - after[:-1], size) + np.arange(after[-1])]
+        # a document's numbers end where its bytes do
+        ends = after[np.concatenate(([0], np.cumsum(data < 128)))[held - held[0]]]
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
         found = {"doc": docs_only.column("doc"), "ids": lists, "n_ids": pa.array(np.diff(ends), pa.int64())}
         if decoded:
-            found["text"] = pa.array([decode_ids(i.tolist(), spelled) for i in out], pa.string())
+            found["text"] = pa.array([decode_ids(flat[x:y], spelled) for x, y in zip(ends, ends[1:])], pa.string())
         return pa.table(found)
 
     joined = texts.groupBy("chunk").cogroup(replies.groupBy("chunk"))
@@ -530,7 +607,7 @@ def encode(
 
 def decode_ids(ids: list[int] | np.ndarray, spelled: list[bytes]) -> str:
     """Text of piece ids: bytes joined, the leading space of the whole dropped, malformed bytes replaced."""
-    text = b"".join([spelled[i] for i in ids]).decode("utf-8", "replace")
+    text = b"".join(map(spelled.__getitem__, ids.tolist() if isinstance(ids, np.ndarray) else ids)).decode("utf-8", "replace")
     return text[1:] if text.startswith(" ") else text
 
 

@@ -6,7 +6,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 from loam.llm import sentencepiece_codec as S
-from loam.llm.common import table
+from loam.llm.common import stage, table
 
 SF = "/root/testdata/sf0.001"
 
@@ -96,3 +96,39 @@ def test_numbers_pack_and_unpack():
         assert (S.unpack(S.pack(x)) == x).all()
     edge = np.array([0, 127, 128, 16383, 16384, 2**21 - 1, 2**21, 2**28, 2**31])
     assert (S.unpack(S.pack(edge)) == edge).all()
+
+
+def test_words_and_units_by_position_are_those_of_each_text():
+    """Cutting the bytes of many texts at once gives the words and units that the plain functions give one by one."""
+    import numpy as np
+    import pyarrow as pa
+
+    pairs = S.load_vocabulary().pairs
+    known = np.sort(np.array([ord(p[0]) << 32 | ord(p[1]) for p in pairs], np.uint64))
+    r = random.Random(5)
+    texts = ["".join(r.choice("ab \n▁é𝔘the") for _ in range(r.randint(1, 30))) for _ in range(300)] + [" ", "\n", "a ", "▁", "☃" * 70]
+    spaced = [S.SPACE + t.replace(" ", S.SPACE) for t in texts]
+    data, offsets = S._bytes_of(pa.array(spaced, pa.large_string()))
+    cut = S._cut_at(data, S.word_starts(data, offsets[:-1])).cast(pa.large_string())
+    words = [w for t in texts for w in S.words_of(t)]
+    assert cut.to_pylist() == words
+    data, _ = S._bytes_of(cut)
+    units = S._cut_at(data, S.unit_starts(cut, known)).cast(pa.large_string()).to_pylist()
+    assert units == [u for w in words for u in S.units_of(w, pairs)]
+
+
+def test_words_are_dealt_out_once(spark, monkeypatch):
+    """The words of the chunks go through one shuffle, long ones and runs of spaces through none."""
+    plans = []
+
+    def noted(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return stage(df, name)
+
+    monkeypatch.setattr(S, "stage", noted)
+    texts = ["a plain text", " " * 9 + "x", "y" * 200]
+    rows = S.encode(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.ids for r in rows} == dict(enumerate(library().encode(texts)))
+    (plan,) = plans
+    assert plan.count("RepartitionByExpression") == 2  # both sides of one join, the same rows
+    assert "Union" not in plan and "MapInArrow" not in plan
