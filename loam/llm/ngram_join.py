@@ -250,7 +250,9 @@ class _Verifier:
         """The pairs (``a``, ``b``, with set sizes ``n_a``, ``n_b``) whose sets are linked."""
         near = stage(pairs.distinct(), f"{name}-near")
         large = F.greatest("n_a", "n_b") > WIDE_FROM
-        near = stage(near.where(~large).unionByName(self._nearer(near.where(large))), f"{name}-nearer")
+        wide = near.where(large).count()
+        if wide:
+            near = stage(near.where(~large).unionByName(self._nearer(near.where(large), wide)), f"{name}-nearer")
         items = self._items(near)
         side = lambda c: items.select(F.col("key").alias(c), F.col("items").alias(f"items_{c}"))
         joined = near.join(side("b"), "b").join(side("a"), "a")
@@ -271,15 +273,15 @@ class _Verifier:
             .join(keys, "key", "left_semi")
         )
 
-    def _nearer(self, pairs: DataFrame) -> DataFrame:
-        """``pairs`` that wide sketches leave room for.
+    def _nearer(self, pairs: DataFrame, count: int) -> DataFrame:
+        """``pairs`` (``count`` of them) that wide sketches leave room for.
 
         A block join: keys fall into as many groups as the number of pairs
         asks for, a block holds the pairs of two groups, and a sketch goes to
         the blocks of its group; so sketches are sent a few times each, and not
         once for each pair.
         """
-        groups = max(2, math.ceil(math.sqrt(pairs.count() / BLOCK_PAIRS)))
+        groups = max(2, math.ceil(math.sqrt(count / BLOCK_PAIRS)))
         group = lambda c: F.pmod(F.xxhash64(c), F.lit(groups)).cast("int")
         blocked = pairs.withColumn("block", group("a") * groups + group("b"))
         every = F.sequence(F.lit(0), F.lit(groups - 1))

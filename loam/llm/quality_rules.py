@@ -134,6 +134,12 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4, steps: int
     return w, float(b)
 
 
+def vectors_of(packed: pa.BinaryArray) -> np.ndarray:
+    """Rows of 16-bit floats, as they lie in ``packed`` (no nulls, all of one length)."""
+    held = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset : packed.offset + len(packed) + 1]
+    return np.frombuffer(packed.buffers()[2], np.uint8)[held[0] : held[-1]].view(np.float16).reshape(len(packed), -1)
+
+
 def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Model | None:
     """Fit on at most ``max_labelled`` labelled documents; None when a class is missing.
 
@@ -144,22 +150,25 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
         labelled_rows(docs.where("text is not null"), labels, max_labelled, seed=7)
         .withColumn("fold", F.pmod(F.xxhash64("doc"), F.lit(1000)))
         .mapInArrow(_labelled_features, "x binary, label int, fold long")
-        .toPandas()
-        .sort_values(["fold", "x"])
+        .toArrow()
+        .combine_chunks()
     )
-    if rows.label.nunique() < 2:
+    # the vectors stay 16-bit and in one block until a part of them is fitted: the driver holds them once
+    rows = rows.sort_by([("fold", "ascending"), ("x", "ascending")])
+    y, fold = rows.column("label").to_numpy().astype(np.float32), rows.column("fold").to_numpy() % 5
+    if len(np.unique(y)) < 2:
         return None
-    x = np.stack([np.frombuffer(r, np.float16) for r in rows.x]).astype(np.float32)
-    y, fold = rows.label.to_numpy(np.float32), rows.fold.to_numpy() % 5
+    x = vectors_of(rows.column("x").combine_chunks())
+    del rows
     fitted = fold != 0
     if len(np.unique(y[fitted])) < 2 or len(np.unique(y[~fitted])) < 2:
         fitted = np.ones(len(y), bool)
         held = fitted
     else:
         held = ~fitted
-    w, b = fit_logistic(x[fitted], y[fitted])
+    w, b = fit_logistic(x[fitted].astype(np.float32), y[fitted])
     # Platt scaling on the held rows as they are, with smoothed targets
-    z = x[held] @ w + b
+    z = x[held].astype(np.float32) @ w + b
     good = y[held].sum()
     target = np.where(y[held] == 1, (good + 1) / (good + 2), 1 / (held.sum() - good + 2))
     slope, offset = 1.0, 0.0

@@ -121,3 +121,19 @@ def test_sample_is_bounded_by_documents_not_labels(spark):
     assert sorted(map(str, got)) == sorted(map(str, again))
     everything = labelled_rows(docs, labels, 1000, seed=3).collect()
     assert sorted({(r.doc, r.label) for r in everything}) == [(1, 0), (2, 1), (3, 0)] and len(everything) == 502
+
+
+def test_quality_rules_fit_without_a_data_frame_of_python_objects(spark, monkeypatch):
+    """The sample's vectors come to the driver as one block, and the rows' order among the tasks doesn't matter."""
+    from pyspark.sql import functions as F
+
+    from loam.llm import quality_rules as Q
+
+    rows = [(i, " ".join(f"{'good' if i % 2 else 'bad'}{(i * j) % 17}" for j in range(70)), i % 2) for i in range(60)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc long, label int")
+    monkeypatch.setattr(type(docs), "toPandas", None)
+    one, other = Q.train(docs, labels), Q.train(docs.orderBy(F.desc("doc")).repartition(3), labels)
+    assert (one.weights == other.weights).all() and one.bias == other.bias
+    assert one.weights.dtype == "float32" and abs(one.weights).max() > 0
+    assert Q.train(docs, labels.where("label = 1")) is None and Q.train(docs, labels.limit(0)) is None

@@ -186,3 +186,24 @@ def test_unrelated_sets_share_no_entry():
         entries = [signatures(np.unique(r.integers(1, 1 << 62, int(r.integers(150, 400)), dtype=np.uint64)), percent) for _ in range(3000)]
         counts = np.unique(np.concatenate(entries), return_counts=True)[1]
         assert counts.max() == 1
+
+
+def test_wide_sketches_are_made_for_large_sets_only(spark, monkeypatch):
+    """Without a pair of large sets, the texts aren't read again for sketches that none would use."""
+    from loam.llm import ngram_join as N
+
+    names = []
+
+    def noted(df, name):
+        names.append(name)
+        return stage_before(df, name)
+
+    stage_before = N.stage
+    monkeypatch.setattr(N, "stage", noted)
+    for length, wide in ((60, False), (2 * N.WIDE_FROM, True)):
+        names.clear()
+        words = [f"w{i}" for i in range(length)]
+        texts = [" ".join(words), " ".join([*words[:-1], "other"]), "nothing like the two before it"]
+        got = N.ngram_jaccard_join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+        assert {r.doc_id: r.component_id for r in got} == {0: 0, 1: 0, 2: 2}
+        assert ("jaccard-stars-nearer" in names) == wide
