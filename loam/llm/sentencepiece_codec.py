@@ -38,6 +38,12 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Characters of text whose distinct words are numbered together; a longer text is a chunk by itself.
 CHUNK_CHARS = 8_000_000
+#: Bytes, or numbers, of a chunk that are worked on together: a task's arrays are as large as a block, not as the chunk.
+BLOCK = 1 << 18
+#: The same for distinct words.
+WORDS_BLOCK = 1 << 14
+#: Rows sent to a Python worker at once.
+ROWS_AT_ONCE = 1_000
 #: Hash buckets of words for each shuffle partition, so that partitions fill evenly.
 BUCKETS_PER_PARTITION = 16
 #: Words up to this length are folded in SQL (places fit one long), longer ones by :func:`merge_long`.
@@ -177,57 +183,97 @@ def _fallback(char: str, vocabulary: Vocabulary) -> list[int]:
 # --- numbering the words of a chunk -------------------------------------------------------------
 
 
+def _blocks(n: int, size: int) -> Iterator[slice]:
+    for start in range(0, n, size):
+        yield slice(start, min(start + size, n))
+
+
 def pack(numbers: np.ndarray, ends: np.ndarray | None = None) -> bytes | list[bytes]:
     """Numbers as groups of 7 bits, low group first, the high bit set where more follow; a list of such, cut at ``ends``."""
-    n = numbers.astype(np.uint64)
-    size = 1 + sum((n >= np.uint64(1 << (7 * k))).astype(np.int64) for k in range(1, 5))
-    after = np.cumsum(size)
-    out = np.zeros(int(after[-1]) if len(n) else 0, np.uint8)
-    for k in range(5):
-        has = size > k
-        more = (size > k + 1)[has].astype(np.uint8) << 7
-        out[(after - size)[has] + k] = ((n[has] >> np.uint64(7 * k)) & np.uint64(127)).astype(np.uint8) | more
+    parts, cuts, done = [], np.zeros(len(ends) + 1 if ends is not None else 1, np.int64), 0
+    for block in _blocks(len(numbers), BLOCK):
+        n = numbers[block].astype(np.uint64)
+        size = 1 + sum((n >= np.uint64(1 << (7 * k))).astype(np.int64) for k in range(1, 5))
+        after = np.cumsum(size)
+        out = np.zeros(int(after[-1]), np.uint8)
+        for k in range(5):
+            has = size > k
+            more = (size > k + 1)[has].astype(np.uint8) << 7
+            out[(after - size)[has] + k] = ((n[has] >> np.uint64(7 * k)) & np.uint64(127)).astype(np.uint8) | more
+        if ends is not None:
+            lo, hi = np.searchsorted(ends, [block.start, block.stop], side="right")
+            cuts[lo + 1 : hi + 1] = done + after[ends[lo:hi] - block.start - 1]
+        parts.append(out.tobytes())
+        done += len(out)
+    data = b"".join(parts)
     if ends is None:
-        return out.tobytes()
-    cuts = np.concatenate(([0], after))[np.concatenate(([0], ends))].tolist()
-    data = out.tobytes()
-    return [data[x:y] for x, y in zip(cuts, cuts[1:])]
+        return data
+    at = cuts.tolist()
+    return [data[x:y] for x, y in zip(at, at[1:])]
 
 
-def unpack(data: bytes | np.ndarray) -> np.ndarray:
+def unpacked(data: bytes | np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The numbers of :func:`pack`, block by block: where each one's bytes end, and the numbers."""
     b = np.frombuffer(data, np.uint8)
-    if not len(b):
-        return np.zeros(0, np.int64)
-    last = np.flatnonzero(b < 128)
-    first = np.concatenate(([0], last[:-1] + 1))
-    place = np.arange(len(b)) - np.repeat(first, last - first + 1)
-    return np.add.reduceat((b & 127).astype(np.int64) << (7 * place), first)
+    start = 0
+    while start < len(b):
+        end = min(start + BLOCK, len(b))
+        while b[end - 1] >= 128:
+            end += 1
+        part = b[start:end]
+        last = np.flatnonzero(part < 128)
+        first = np.concatenate(([0], last[:-1] + 1))
+        place = np.arange(len(part)) - np.repeat(first, last - first + 1)
+        yield last + start + 1, np.add.reduceat((part & 127).astype(np.int64) << (7 * place), first)
+        start = end
+
+
+def unpack(data: bytes | np.ndarray) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.int64), *(numbers for _, numbers in unpacked(data))])
+
+
+def runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``starts[i], starts[i] + 1, ...``, ``sizes[i]`` of them, for every ``i``."""
+    after = np.cumsum(sizes)
+    return np.repeat(starts - after + sizes, sizes) + np.arange(after[-1] if len(after) else 0)
 
 
 def word_starts(data: np.ndarray, docs: np.ndarray) -> np.ndarray:
     """Where the words of :func:`words_of` start in the bytes of texts that begin at ``docs`` (spaces already replaced)."""
-    space = np.zeros(len(data), bool)
-    space[:-2] = (data[:-2] == 0xE2) & (data[1:-1] == 0x96) & (data[2:] == 0x81)
-    first = space.copy()
-    first[3:] &= ~space[:-3]
-    lines = np.flatnonzero(data == 10)
-    first[lines] = True
-    first[lines[lines + 1 < len(data)] + 1] = True
-    first[docs] = True
-    return np.flatnonzero(first)
+
+    def inside(block: slice) -> np.ndarray:
+        low = max(block.start - 3, 0)  # the character before the block may be a space or a line break
+        part = data[low : block.stop + 2]
+        space = np.zeros(len(part), bool)
+        space[:-2] = (part[:-2] == 0xE2) & (part[1:-1] == 0x96) & (part[2:] == 0x81)
+        first = space.copy()
+        first[3:] &= ~space[:-3]
+        lines = np.flatnonzero(part == 10)
+        first[lines] = True
+        first[lines[lines + 1 < len(part)] + 1] = True
+        lo, hi = np.searchsorted(docs, [block.start, block.stop])
+        first[docs[lo:hi] - low] = True
+        return np.flatnonzero(first[block.start - low : block.stop - low]) + block.start
+
+    return np.concatenate([np.zeros(0, np.int64), *map(inside, _blocks(len(data), BLOCK))])
 
 
 def unit_starts(words: pa.LargeStringArray, pairs: np.ndarray) -> np.ndarray:
     """Where the units of :func:`units_of` start in the bytes of ``words``; ``pairs`` are sorted, first character in the high half."""
-    data, offsets = _bytes_of(words)
-    points = np.frombuffer(data.tobytes().decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32)
-    size = 1 + sum((points >= least).astype(np.int64) for least in (0x80, 0x800, 0x10000))
-    pair = points[:-1].astype(np.uint64) << np.uint64(32) | points[1:]
-    known = pairs[np.minimum(np.searchsorted(pairs, pair), len(pairs) - 1)] == pair if len(pairs) else np.zeros(len(pair), bool)
-    first = np.zeros(len(data), bool)
-    first[np.cumsum(size)[:-1][~known]] = True
-    first[offsets[:-1]] = True
-    return np.flatnonzero(first)
+    _, bounds = _bytes_of(words)
+
+    def inside(block: slice) -> np.ndarray:
+        data, offsets = _bytes_of(words.slice(block.start, block.stop - block.start))
+        points = np.frombuffer(data.tobytes().decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32)
+        size = 1 + sum((points >= least).astype(np.int64) for least in (0x80, 0x800, 0x10000))
+        pair = points[:-1].astype(np.uint64) << np.uint64(32) | points[1:]
+        known = pairs[np.minimum(np.searchsorted(pairs, pair), len(pairs) - 1)] == pair if len(pairs) else np.zeros(len(pair), bool)
+        first = np.zeros(len(data), bool)
+        first[np.cumsum(size)[:-1][~known]] = True
+        first[offsets[:-1]] = True
+        return np.flatnonzero(first) + bounds[block.start]
+
+    return np.concatenate([np.zeros(0, np.int64), *map(inside, _blocks(len(words), WORDS_BLOCK))])
 
 
 def _large(text: str) -> pa.Scalar:
@@ -256,10 +302,15 @@ def _chunks(buckets: int, chunk_chars: int, kind: pa.DataType, pairs: frozenset[
     names = ["chunk", "doc", "units", "bucket", "words", "numbers"]
     known = np.sort(np.array([ord(p[0]) << 32 | ord(p[1]) for p in pairs], np.uint64))
 
+    def bucket_of(words: pa.LargeStringArray) -> np.ndarray:
+        own, bounds = _bytes_of(words)
+        return (window_hashes(prefix_sums(own), bounds[:-1], bounds[1:]) % np.uint64(buckets)).astype(np.int32)
+
     def of_chunk(chunk: int, docs: pa.Array, texts: pa.Array) -> Iterator[pa.RecordBatch]:
         full = pc.not_equal(texts, "")
         spaced = pc.binary_join_element_wise(_large(SPACE), pc.replace_substring(texts, " ", SPACE), _large(""))
         data, offsets = _bytes_of(pc.if_else(full, spaced, _large("")))
+        del texts, spaced
         data = np.ascontiguousarray(data)
         starts = word_starts(data, np.unique(offsets[offsets < len(data)])) if len(data) else np.zeros(0, np.int64)
         coded = _cut_at(data, starts)
@@ -270,10 +321,13 @@ def _chunks(buckets: int, chunk_chars: int, kind: pa.DataType, pairs: frozenset[
         numbered = _cut_at(own, cuts)
         units, first = numbered.indices.to_numpy(), np.searchsorted(cuts, bounds)
         # every word's units one after another
-        each = np.diff(first)[at]
-        after = np.concatenate(([0], np.cumsum(each)))
-        place = np.repeat(first[:-1][at] - after[:-1], each) + np.arange(after[-1])
-        packed = pack(units[place], after[np.searchsorted(starts, offsets[1:])])
+        each = np.diff(first)
+        after = np.concatenate(([0], np.cumsum(each[at])))
+        placed = [units[runs(first[:-1][at[b]], each[at[b]])] for b in _blocks(len(at), BLOCK)]
+        ends = after[np.searchsorted(starts, offsets[1:])]
+        del data, starts, coded, at, after
+        packed = pack(np.concatenate([units[:0], *placed]), ends)
+        del placed
         n = len(packed)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.full(n, chunk)), docs, pa.array(packed, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.string()), pa.nulls(n, pa.binary())],
@@ -282,9 +336,10 @@ def _chunks(buckets: int, chunk_chars: int, kind: pa.DataType, pairs: frozenset[
         distinct = numbered.dictionary
         if not len(distinct):
             return
-        own, bounds = _bytes_of(distinct)
-        bucket = (window_hashes(prefix_sums(own), bounds[:-1], bounds[1:]) % np.uint64(buckets)).astype(np.int32)
-        bucket[~is_plain(distinct)] = -1
+        plain = is_plain(distinct)
+        dealt = distinct.filter(pa.array(plain))
+        bucket = np.full(len(distinct), -1, np.int32)
+        bucket[plain] = np.concatenate([np.zeros(0, np.int32), *(bucket_of(dealt.slice(b.start, WORDS_BLOCK)) for b in _blocks(len(dealt), WORDS_BLOCK))])
         table = pa.table({"bucket": bucket, "word": distinct})
         order = pc.sort_indices(table, [("bucket", "ascending"), ("word", "ascending")]).to_numpy()
         begins = np.flatnonzero(np.diff(bucket[order], prepend=-2))
@@ -306,6 +361,7 @@ def _chunks(buckets: int, chunk_chars: int, kind: pa.DataType, pairs: frozenset[
 
         def flush() -> Iterator[pa.RecordBatch]:
             docs, texts = (pa.concat_arrays(parts) for parts in zip(*held))
+            held.clear()  # they hold on to the whole batches
             return of_chunk(chunk, docs, texts)
 
         for batch in (part for whole in batches for part in slices(whole)):
@@ -316,7 +372,8 @@ def _chunks(buckets: int, chunk_chars: int, kind: pa.DataType, pairs: frozenset[
                 end = int(np.searchsorted(chars, before + chunk_chars - size, side="right"))
                 if end <= row and size:
                     yield from flush()
-                    chunk, size, held = chunk + 1, 0, []
+                    pa.default_memory_pool().release_unused()
+                    chunk, size = chunk + 1, 0
                     continue
                 end = max(end, row + 1)
                 held.append((batch.column("doc").slice(row, end - row), texts.slice(row, end - row)))
@@ -324,6 +381,7 @@ def _chunks(buckets: int, chunk_chars: int, kind: pa.DataType, pairs: frozenset[
                 row, before = end, int(chars[end - 1])
         if held:
             yield from flush()
+        pa.default_memory_pool().release_unused()  # the worker stays, idle, through the steps that follow
 
     return chunks
 
@@ -470,10 +528,14 @@ _SETTINGS = {
 }
 
 
+#: Small batches: the texts that go to a Python worker are held three times over on their way, outside the heap.
+_SMALL_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(ROWS_AT_ONCE)}
+
+
 @contextmanager
-def _grouping_kept(spark: SparkSession):
-    before = {k: spark.conf.get(k) for k in _SETTINGS}
-    for k, v in _SETTINGS.items():
+def _with(spark: SparkSession, settings: dict[str, str]):
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
         spark.conf.set(k, v)
     try:
         yield
@@ -533,10 +595,11 @@ def encode(
         _chunks(buckets, chunk_chars, to_arrow_type(kind), vocabulary.pairs),
         f"chunk long, doc {kind.simpleString()}, units binary, bucket int, words string, numbers binary",
     )
-    staged = _by_chunk(rows, partitions)
-    # four tasks for each partition: a word's lattice takes more memory than the word
+    with _with(spark, _SMALL_BATCHES):
+        staged = _by_chunk(rows, partitions)
+    # a task for each bucket: a word's lattice takes far more memory than the word, and all of a task's are held at once
     # (the text is the one column beside the bucket, so that all steps below share one shuffle)
-    dealt = staged.where("words is not null and bucket >= 0").select("bucket", "words").repartition(4 * partitions, "bucket")
+    dealt = staged.where("words is not null and bucket >= 0").select("bucket", "words").repartition(buckets, "bucket")
     lines = F.split("words", "\n")
     rest = F.transform(F.slice(lines, 2, F.size(lines)), lambda w: F.when(w == "", F.lit("\n")).otherwise(w))
     # read the text before the explode: beside it, it would be split again for every word
@@ -544,7 +607,7 @@ def encode(
     listed = read.select("bucket", "chunk", F.posexplode("rest").alias("pos", "word"))
     width = 2 if len(vocabulary.pieces) <= 1 << 16 else 4
     digits = lambda i: F.lpad(F.hex(i), 2 * width, "0")
-    with _grouping_kept(spark):
+    with _with(spark, _SETTINGS):
         encoded, _ = encode_words(listed.select("bucket", "word").distinct(), vocabulary)
         # by word first: within a bucket, that is what sorting can tell rows apart by
         replies = (
@@ -588,16 +651,22 @@ def encode(
         packed = docs_only.column("units").combine_chunks()
         raw, held = packed.buffers()[2], np.frombuffer(packed.buffers()[1], np.int32)[packed.offset : packed.offset + len(packed) + 1]
         data = (np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8))[held[0] : held[-1]]
-        u = unpack(data)
-        size = lengths[u]
-        after = np.concatenate(([0], np.cumsum(size)))
-        flat = ids[np.repeat(starts[u] - after[:-1], size) + np.arange(after[-1])]
-        # a document's numbers end where its bytes do
-        ends = after[np.concatenate(([0], np.cumsum(data < 128)))[held - held[0]]]
+        held = held - held[0]
+        ends, flat, done = np.zeros(len(held), np.int64), [np.zeros(0, np.int32)], 0
+        for stops, u in unpacked(data):
+            size = lengths[u]
+            after = np.cumsum(size)
+            flat.append(ids[runs(starts[u], size)])
+            # a document's numbers end where its bytes do
+            lo, hi = np.searchsorted(held, [stops[0] - 1, stops[-1]], side="right")
+            ends[lo:hi] = done + after[np.searchsorted(stops, held[lo:hi], side="right") - 1]
+            done += int(after[-1])
+        flat = np.concatenate(flat)
         lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
         found = {"doc": docs_only.column("doc"), "ids": lists, "n_ids": pa.array(np.diff(ends), pa.int64())}
         if decoded:
             found["text"] = pa.array([decode_ids(flat[x:y], spelled) for x, y in zip(ends, ends[1:])], pa.string())
+        pa.default_memory_pool().release_unused()
         return pa.table(found)
 
     joined = texts.groupBy("chunk").cogroup(replies.groupBy("chunk"))

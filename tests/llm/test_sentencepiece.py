@@ -132,3 +132,63 @@ def test_words_are_dealt_out_once(spark, monkeypatch):
     (plan,) = plans
     assert plan.count("RepartitionByExpression") == 2  # both sides of one join, the same rows
     assert "Union" not in plan and "MapInArrow" not in plan
+
+
+def test_blocks_give_the_same_as_the_whole(monkeypatch):
+    """Numbers, words and units are those of the whole arrays wherever a block ends."""
+    import numpy as np
+    import pyarrow as pa
+
+    r, rng = random.Random(8), np.random.default_rng(8)
+    known = np.sort(np.array([ord(p[0]) << 32 | ord(p[1]) for p in S.load_vocabulary().pairs], np.uint64))
+    texts = ["".join(r.choice("ab \n▁é𝔘the") for _ in range(r.randint(1, 30))) for _ in range(60)] + [" " * 9, "\n\n", "▁", "☃" * 7]
+    numbers = rng.integers(0, 2 ** rng.integers(1, 31, 500))
+    ends = np.sort(np.append(rng.integers(0, 501, 40), [0, 0, 500, 500]))
+    data, offsets = S._bytes_of(pa.array([S.SPACE + t.replace(" ", S.SPACE) for t in texts], pa.large_string()))
+    whole = S.pack(numbers), S.pack(numbers, ends), S.word_starts(data, offsets[:-1])
+    cut = S._cut_at(data, whole[2]).dictionary
+    units = S.unit_starts(cut, known)
+    for size in (1, 2, 3, 5, 64):
+        monkeypatch.setattr(S, "BLOCK", size)
+        monkeypatch.setattr(S, "WORDS_BLOCK", size)
+        assert S.pack(numbers) == whole[0] and S.pack(numbers, ends) == whole[1]
+        assert b"".join(whole[1]) == whole[0] and (S.unpack(whole[0]) == numbers).all()
+        stops = np.concatenate([x for x, _ in S.unpacked(whole[0])])
+        assert (stops == np.flatnonzero(np.frombuffer(whole[0], np.uint8) < 128) + 1).all()
+        assert (S.word_starts(data, offsets[:-1]) == whole[2]).all()
+        assert (S.unit_starts(cut, known) == units).all()
+
+
+def test_memory_of_a_chunk_is_bounded(monkeypatch):
+    """Arrays made on the way are of a block's size: a whole chunk takes a few times its text."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import numpy as np
+    import pyarrow as pa
+
+    monkeypatch.setattr(S, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    r = random.Random(9)
+    words = ["".join(r.choice("etaoinshr") for _ in range(r.randint(2, 7))) for _ in range(20_000)]
+    texts = [" ".join(r.choices(words, k=1_000)) for _ in range(1_400)]
+    batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], names=["doc", "text"])
+    chars = sum(map(len, texts))
+    assert S.CHUNK_CHARS * 0.9 < chars < S.CHUNK_CHARS
+    chunks = S._chunks(128, S.CHUNK_CHARS, pa.int64(), S.load_vocabulary().pairs)
+    tracemalloc.start()
+    first, second = chunks(iter([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert first.num_rows == len(texts) and set(second.column("bucket").to_pylist()) <= set(range(-1, 128))
+    assert peak < 12 * chars, peak
+    assert S.unpack(first.column("units")[3].as_py()).size >= 1_000
+
+
+def test_every_bucket_is_a_task(spark, monkeypatch):
+    """The lattices of one task are held in memory at once, so a task gets one bucket."""
+    plans = []
+    monkeypatch.setattr(S, "stage", lambda df, name: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), stage(df, name))[1])
+    S.encode(spark.createDataFrame([(1, "a b")], "doc_id long, text string"))
+    partitions = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    dealt = [line for line in plans[0].splitlines() if "RepartitionByExpression" in line]
+    assert dealt and all(line.rstrip().endswith(f", {partitions * S.BUCKETS_PER_PARTITION}") for line in dealt)
