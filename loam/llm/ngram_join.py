@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loam.llm.common import once, ready, row_name, slices, slot_of, slots, stage, without
-from loam.llm.components import components
+from loam.llm.components import components, with_links
 from loam.llm.kernels import lowered, mix, shingles, word_hashes
 
 SHINGLE = 4
@@ -294,12 +294,12 @@ class _Verifier:
         )
 
 
-def ngram_links(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """(described documents, links between distinct sets).
+def ngram_roots(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """(described documents, components of the links between distinct sets).
 
     ``docs`` has ``doc`` and ``text``.  The first has ``doc, n, key`` per row;
-    equal sets share a key.  The second has pairs ``a, b`` of keys: every
-    linked pair is a link or lies within one component of the links.
+    equal sets share a key.  The second has ``node, root``, both keys, for every
+    linked set but the one of least key in its component.
 
     In a bucket (one index entry), every set is first paired with the bucket's
     hub only: the set that shares the most buckets with others, so of a family
@@ -307,7 +307,9 @@ def ngram_links(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     outside the hub's component are then paired with all sets of the bucket
     that lie in another component.  So a family of ``k`` near copies costs
     about ``k`` pairs, and no link between components is lost.  Both joins hold
-    the pair against sizes and sketches before it becomes a row.
+    the pair against sizes and sketches before it becomes a row.  The links of
+    the second step then join components of the first, whose own links are not
+    followed again.
     """
     kind = docs.schema["doc"].dataType.simpleString()
     described = stage(docs.mapInArrow(_describe(size), f"doc {kind}, n long, key long, sketch array<long>"), "jaccard-sets")
@@ -337,9 +339,9 @@ def ngram_links(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
         for c, n in (("key", "b"), ("n", "n_b"))
     ]
     links = verify(stars.select(*pair("set", "hub")), "jaccard-stars")
-    roots = components(links, "jaccard-star-parts").withColumnRenamed("node", "_node")
+    roots = components(links, "jaccard-star-parts")
     placed = stage(
-        members.join(roots, F.col("set.key") == F.col("_node"), "left").select(
+        members.join(roots, F.col("set.key") == F.col("node"), "left").select(
             "sig", "rank", "set", F.coalesce("root", "set.key").alias("part")
         ),
         "jaccard-placed",
@@ -350,7 +352,7 @@ def ngram_links(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     apart = (F.col("s.sig") == F.col("r.sig")) & (F.col("part") != F.col("other_part")) & verify.may_link("set", "other")
     cross = stray.alias("s").join(rest.alias("r"), apart)
     more = verify(cross.select(*pair("set", "other")), "jaccard-cross")
-    return described, links.unionByName(more)
+    return described, with_links(roots, more, "jaccard-parts")
 
 
 def ngram_jaccard_join(
@@ -363,7 +365,7 @@ def ngram_jaccard_join(
     Returns ``id_col, n_shingles, component_id``, one row per input row;
     ``component_id`` is the least id reachable by links, itself included.
 
-    Copies share a set and enter the join once; see :func:`ngram_links` for
+    Copies share a set and enter the join once; see :func:`ngram_roots` for
     the pairs, :func:`signatures` for the index.  Candidates are first held
     against sizes and 512-bit parity sketches (a lower bound of the elements
     in which the sets differ), then verified on the whole sets.  Sets and
@@ -376,8 +378,7 @@ def ngram_jaccard_join(
     """
     ready(docs.sparkSession)
     base = docs.select(docs[id_col].alias("doc"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
-    described, links = ngram_links(base, size, percent)
-    roots = components(links, "jaccard-parts")
+    described, roots = ngram_roots(base, size, percent)
     classed = (
         described.select("doc", "n", "key")
         .join(roots, F.col("key") == F.col("node"), "left")

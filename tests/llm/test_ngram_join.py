@@ -207,3 +207,19 @@ def test_wide_sketches_are_made_for_large_sets_only(spark, monkeypatch):
         got = N.ngram_jaccard_join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
         assert {r.doc_id: r.component_id for r in got} == {0: 0, 1: 0, 2: 2}
         assert ("jaccard-stars-nearer" in names) == wide
+
+
+def test_links_of_the_first_step_are_followed_once(spark, monkeypatch):
+    """The second step's components are worked out over links between components only."""
+    from loam.llm import components as C
+
+    given, before = {}, C.components
+
+    def noted(links, name="links"):
+        given[name] = links.where("a <> b").count()
+        return before(links, name)
+
+    monkeypatch.setattr(C, "components", noted)
+    rows = corpus(4)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in run(spark, rows)} == brute(rows)
+    assert given["jaccard-parts"] == 0  # no family of near copies here needs the second step
