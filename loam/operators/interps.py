@@ -52,6 +52,44 @@ def rule_facts(cointerp: DataFrame, rules: Sequence[str], case_sensitive: bool =
     return wanted.select("cokey", "mrulename", "ruledesign", "interphr", "interphrc", overall.alias("_overall"))
 
 
+HASHED = ["_k1", "_k2"]
+#: Between the texts of one component, and the sign that stands for it inside a text.
+SEP, MARK = "\x01", "\x02"
+
+
+def _hashed(key: str) -> list[Column]:
+    """A text key as 128 bits of hash (NULL for NULL), which is less to move and to sort; :data:`HASHED`."""
+    there = F.col(key).isNotNull()
+    return [F.when(there, F.xxhash64(key)).alias("_k1"), F.when(there, F.xxhash64(F.lit(1), F.col(key))).alias("_k2")]
+
+
+def _marked(text: str) -> Column:
+    """Text in which :data:`SEP` does not occur; :func:`_unmarked` undoes it."""
+    return F.replace(F.replace(F.col(text), F.lit(MARK), F.lit(MARK + "b")), F.lit(SEP), F.lit(MARK + "a"))
+
+
+def _unmarked(text: Column) -> Column:
+    return F.replace(F.replace(text, F.lit(MARK + "a"), F.lit(SEP)), F.lit(MARK + "b"), F.lit(MARK))
+
+
+def _per_key(rows: DataFrame, col: str) -> DataFrame:
+    """One row per :data:`HASHED` key with the list of its values of a column.
+
+    The rows move as they are and are sorted by key, which the join that
+    follows needs anyway; a hash aggregate of fine keys would sort twice.
+    """
+    found = rows.select(*HASHED, F.collect_list(col).over(Window.partitionBy(*HASHED)).alias(col))
+    return found.groupBy(*HASHED).agg(F.first(col).alias(col))
+
+
+def _as_asked(found: DataFrame, rules: Sequence[str]) -> DataFrame:
+    """Rows of distinct rules, repeated for a rule that is asked for more than once."""
+    if len(set(rules)) == len(rules):
+        return found
+    again = F.filter(F.array(*[F.lit(r) for r in rules]), lambda r: r == F.col("mrulename"))
+    return found.withColumn("mrulename", F.explode(again))
+
+
 def _talks(case_sensitive: bool) -> Column:
     """Whether a component may give reasons."""
     return F.coalesce(text_ne("compkind", "miscellaneous area", case_sensitive), F.lit(False)).alias("_talks")
@@ -187,18 +225,35 @@ def interp_weighted_avg(mapunits: DataFrame, component: DataFrame, cointerp: Dat
 
     A zero denominator gives NULL (-> 99) instead of an error (SURVEY Q8).
     The class is the band of the rounded ratio for the rule's direction.
-    One pass over the rating rows, dealt once by map unit; there plain sums by
-    reason come first, so that only distinct reasons are gathered.
+    One pass over the rating rows.  They move by component as one short text
+    each (``rule|design|value``, or ``rule:reason``) with a hash for the key,
+    and on to the map unit as one row per component; there plain sums by reason
+    come first, so that only distinct reasons are gathered.
     """
-    comps = component.select("mukey", "cokey", "comppct_r", _talks(case_sensitive))
-    rows = rule_facts(cointerp, rules, case_sensitive).join(comps, "cokey").filter(F.col("_overall") | F.col("_talks"))
-    over = lambda c: F.when(F.col("_overall"), c)
-    rows = rows.select("mukey", _rule_no(rules), "_overall", "ruledesign", "interphr", "comppct_r",
-                       F.when(~F.col("_overall"), F.col("interphrc")).alias("_reason")).repartition("mukey")
+    asked = list(dict.fromkeys(rules))
+    facts = rule_facts(cointerp, asked, case_sensitive).filter(F.col("cokey").isNotNull())
+    no, blank = _rule_no(asked).cast("string"), lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    text = F.when(F.col("_overall"), F.concat_ws("|", no, blank("ruledesign"), blank("interphr"))).otherwise(
+        F.concat_ws(":", no, _marked("interphrc")))
+    gives = lambda t: F.contains(t, F.lit(":"))
+    per_comp = _per_key(facts.select(*_hashed("cokey"), text.alias("_text")), "_text")
+    # components without rating rows stay: their map units are reported
+    comps = component.filter(F.col("mukey").isNotNull()).select(*_hashed("cokey"), "mukey", "comppct_r", _talks(case_sensitive))
+    told = F.when(F.col("_talks"), F.col("_text")).otherwise(F.filter("_text", lambda t: ~gives(t)))
+    dealt = comps.join(per_comp, HASHED, "left").select("mukey", "comppct_r", F.concat_ws(SEP, told).alias("_told")).repartition("mukey")
+    every = [F.lit(str(i + 1)) for i in range(len(asked))]
+    rows = dealt.select("mukey", "comppct_r", F.explode(F.split(F.concat_ws(SEP, *every, F.nullif("_told", F.lit(""))), SEP)).alias("_text"))
+    over = lambda c: F.when(~gives(F.col("_text")) & F.contains("_text", F.lit("|")), c)
+    rows = rows.select(
+        "mukey", F.substring_index(F.substring_index("_text", ":", 1), "|", 1).cast("int").alias("_rule"), "comppct_r",
+        over(F.substring_index("_text", "|", -1)).try_cast("double").alias("_value"),
+        over(F.substring_index(F.substring_index("_text", "|", 2), "|", -1)).alias("_design"),
+        F.when(gives(F.col("_text")), _unmarked(F.expr("substring(_text, instr(_text, ':') + 1)"))).alias("_reason"),
+    )
     by_reason = rows.groupBy("mukey", "_rule", "_reason").agg(
-        F.sum(over(F.col("interphr") * F.col("comppct_r"))).alias("_raw"),
-        F.sum(over(F.when(F.col("interphr").isNotNull(), F.col("comppct_r")))).alias("_sc"),
-        F.min(over(F.col("ruledesign"))).alias("_design"), F.count_if("_overall").alias("_n"),
+        F.sum(F.col("_value") * F.col("comppct_r")).alias("_raw"),
+        F.sum(F.when(F.col("_value").isNotNull(), F.col("comppct_r"))).alias("_sc"),
+        F.min(F.col("_design").try_cast("int")).alias("_design"), F.count("_design").alias("_n"),
     )
     agg = by_reason.groupBy("mukey", "_rule").agg(
         F.sum("_raw").alias("_raw"), F.sum("_sc").alias("_sc"), F.min("_design").alias("_design"), F.sum("_n").alias("_n"),
@@ -207,14 +262,13 @@ def interp_weighted_avg(mapunits: DataFrame, component: DataFrame, cointerp: Dat
     raw = round2(F.col("_raw"))
     ratio = round2(F.try_divide(raw, round2(F.col("_sc"))))
     scored = agg.select(
-        "mukey", _rule_name(rules),
+        "mukey", _rule_name(asked),
         F.when(F.col("_n") > 0, F.coalesce(ratio, F.lit(99.0))).alias("rating"),
         interp_class_bins(raw, ratio, interp_design(F.col("_design"))).alias("_class"),
         _joined(F.array_sort("_reasons"), reason_chars).alias("reason"),
     )
-    base = _per_rule(mapunits.join(component.select("mukey").distinct(), "mukey", "inner"), rules)
-    # a map unit with no overall row for the rule: rating NULL -> 99, class Not Rated
-    return base.join(scored, ["mukey", "mrulename"], "left").select(
+    # every asked rule has its row; with no overall row for it: rating NULL -> 99, class Not Rated
+    return _as_asked(mapunits.join(scored, "mukey"), rules).select(
         *KEY_COLS, "mrulename",
         F.coalesce(F.col("rating"), F.lit(99.0)).alias("rating"),
         F.when(F.col("rating").isNull(), F.lit("Not Rated")).otherwise(F.col("_class")).alias("class"),
