@@ -5,6 +5,7 @@ from contextlib import contextmanager
 from helpers import comp, mapunits, rows, table
 from test_plan_shape import exchanges, rated
 
+from loam.operators import bookkeeping as B
 from loam.operators import interps as I
 
 
@@ -53,3 +54,10 @@ def test_weighted_ratings_of_odd_rows(spark):
         ("1", "R", 0.3, "Slightly limited ", why), ("1", "S", 0.5, "Somewhat limited ", None), ("1", "S", 0.5, "Somewhat limited ", None),
         ("2", "R", *none), ("2", "S", *none), ("2", "S", *none), ("3", "R", *none[:2], "Slope"), ("3", "S", *none), ("3", "S", *none),
         ("4", "R", 0.25, "Poorly suited", None), ("4", "S", *none), ("4", "S", *none)]
+
+
+def test_text_breaks_move_short_rows_too(spark):
+    with no_broadcast(spark):
+        breaks = B.legend_breaks(I.interp_weighted_avg(*rated(spark), ["R"]), "class")
+        assert not [line for line in exchanges(breaks) if "mrulename" in line or "cokey" in line]
+        assert [r.break_value for r in breaks.collect()] == ["Somewhat limited "]
