@@ -8,12 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def dominance_order() -> Column:
+def dominance_columns() -> list[Column]:
     """Highest comppct_r first, NULL percent last, tie -> lowest cokey.
 
     A leading NULL flag is needed because NULL sorts first inside a struct.
     """
-    return F.struct(F.col("comppct_r").isNull(), -F.col("comppct_r"), F.col("cokey"))
+    return [F.col("comppct_r").isNull(), -F.col("comppct_r"), F.col("cokey")]
+
+
+def dominance_order() -> Column:
+    """:func:`dominance_columns` as one value."""
+    return F.struct(*dominance_columns())
 
 
 def dominant_component(component: DataFrame, cols: Sequence[str] = ()) -> DataFrame:

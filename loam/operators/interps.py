@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from loam.functions.interp_bins import interp_class_bins, interp_design
 from loam.functions.numeric import round2
 from loam.functions.text import not_like, text_ne
-from loam.operators.dominant import dominant_component
+from loam.operators.dominant import dominance_columns, dominant_component
 from loam.operators.filters import filter_reason, filter_reason_components, filter_rule
 
 KEY_COLS = ["areasymbol", "musym", "muname", "mukey", "int_mukey"]
@@ -63,9 +63,9 @@ def _hashed(key: str) -> list[Column]:
     return [F.when(there, F.xxhash64(key)).alias("_k1"), F.when(there, F.xxhash64(F.lit(1), F.col(key))).alias("_k2")]
 
 
-def _marked(text: str) -> Column:
+def _marked(text: Column | str) -> Column:
     """Text in which :data:`SEP` does not occur; :func:`_unmarked` undoes it."""
-    return F.replace(F.replace(F.col(text), F.lit(MARK), F.lit(MARK + "b")), F.lit(SEP), F.lit(MARK + "a"))
+    return F.replace(F.replace(F.col(text) if isinstance(text, str) else text, F.lit(MARK), F.lit(MARK + "b")), F.lit(SEP), F.lit(MARK + "a"))
 
 
 def _unmarked(text: Column) -> Column:
@@ -73,15 +73,54 @@ def _unmarked(text: Column) -> Column:
 
 
 def _per_key(rows: DataFrame, col: str) -> DataFrame:
-    """One row per :data:`HASHED` key with the list of its values of a column.
+    """One row per :data:`HASHED` key with the sorted texts of a column, :data:`SEP` between them.
 
     The rows move as they are and are sorted by key, which the join that
     follows needs anyway; a hash aggregate of fine keys would sort twice.
     """
-    found = rows.select(*HASHED, F.collect_list(col).over(Window.partitionBy(*HASHED)).alias(col))
+    whole = Window.partitionBy(*HASHED).orderBy(col).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    found = rows.select(*HASHED, F.listagg(col, F.lit(SEP)).over(whole).alias(col))
     return found.groupBy(*HASHED).agg(F.first(col).alias(col))
 
 
+def _texts(joined: str) -> Column:
+    return F.split(joined, SEP)
+
+
+def _overall_texts(joined: str) -> Column:
+    """The overall ratings of sorted texts, which come before reasons; NULL when there are none."""
+    return F.when(~_is_reason(F.col(joined)), F.substring_index(joined, SEP + ":", 1))
+
+
+def _is_reason(text: Column) -> Column:
+    """Whether a text tells of a reason (``:rule:...``), not of an overall rating (``rule|...``)."""
+    return F.startswith(text, F.lit(":"))
+
+
+def _after(text: Column, sep: str, n: int) -> Column:
+    """What follows the ``n``-th separator; NULL where there are fewer."""
+    before = F.substring_index(text, sep, n)
+    return F.when(F.length(before) < F.length(text), F.substring(text, F.length(before) + F.lit(2), F.length(text)))
+
+
+def _blank(col: str) -> Column:
+    return F.coalesce(F.col(col).cast("string"), F.lit(""))
+
+
+def _reason_list(rule: Column, reason_chars: int | None) -> Column:
+    """Reasons of a rule (``:rule``) in a component's ``_text``: distinct (value, class), value DESC (NULL last), then class.
+
+    NULL when there are none, which is asked of the text: the list is worked out once, and only where it has reasons.
+    """
+    start = F.concat(rule, F.lit(":"))
+    some = F.contains(F.concat(F.lit(SEP), F.col("_text")), F.concat(F.lit(SEP), start))
+    told = F.transform(F.filter(_texts("_text"), lambda t: F.startswith(t, start)), lambda t: _after(t, ":", 2))
+    pairs = F.array_distinct(F.transform(told, lambda t: F.struct(F.substring_index(t, ":", 1).try_cast("double").alias("v"), _after(t, ":", 1).alias("c"))))
+    keyed = F.transform(pairs, lambda r: F.struct(r["v"].isNull(), ~F.isnan(r["v"]), -r["v"], _unmarked(r["c"]).alias("c")))
+    text = F.array_join(F.transform(F.sort_array(keyed), lambda r: r["c"]), "; ")
+    return _marked(F.when(some, text if reason_chars is None else F.substring(text, 1, reason_chars)))
+
+
 def _as_asked(found: DataFrame, rules: Sequence[str]) -> DataFrame:
     """Rows of distinct rules, repeated for a rule that is asked for more than once."""
     if len(set(rules)) == len(rules):
@@ -191,16 +230,36 @@ def interp_dom_cond(mapunits: DataFrame, component: DataFrame, cointerp: DataFra
     Ties: larger sum first, then value ascending (NULL last), then class.
     reason: as for the dominant component.
 
-    Overall rows and reasons go apart, since reasons need the dominant
-    components only.  Overall rows are dealt once by map unit; there two sorts
-    (which spill) serve all sums and picks, no hash table of fine keys.
+    Components move by map unit, which tells the dominant one, then by their
+    key, to which the rating rows move as one short text each
+    (``rule|value|class``, or ``:rule:value:reason``).  From there one row per
+    component goes to the map unit; reasons go along with the dominant one
+    only.  At the map unit two sorts (which spill) serve all sums and picks,
+    no hash table of fine keys.
     """
-    # without keys there is nothing to report to; said here, so that both uses of ``dom`` share its shuffle
-    dom = dominant_component(component.filter(F.col("mukey").isNotNull()), ["compkind"])
-    reasons = interp_reasons_dominant(dom, cointerp, rules, case_sensitive, reason_chars)
-    overall = filter_rule(cointerp.select("cokey", "mrulename", "ruledepth", "interphr", "interphrc"), rules)
-    rows = overall.join(component.select("mukey", "cokey", "comppct_r"), "cokey").select(
-        "mukey", _rule_no(rules), "interphrc", "interphr", "comppct_r").repartition("mukey")
+    asked = list(dict.fromkeys(rules))
+    no = _rule_no(asked).cast("string")
+    facts = rule_facts(cointerp, asked, case_sensitive).filter(F.col("cokey").isNotNull())
+    text = F.when(F.col("_overall"), F.concat_ws("|", no, _blank("interphr"), _marked("interphrc"))).otherwise(
+        F.concat_ws(":", F.lit(""), no, _blank("interphr"), _marked("interphrc")))
+    per_comp = _per_key(facts.select(*_hashed("cokey"), text.alias("_text")), "_text")
+    # without a map unit there is nothing to report to
+    dealt = component.filter(F.col("mukey").isNotNull()).select("mukey", "cokey", "comppct_r", _talks(case_sensitive)).repartition("mukey")
+    place = F.row_number().over(Window.partitionBy("mukey").orderBy(*dominance_columns()))
+    comps = dealt.withColumn("_dominant", place == 1).filter(F.col("cokey").isNotNull()).select(
+        *_hashed("cokey"), "mukey", "comppct_r", "_dominant", (F.col("_dominant") & F.col("_talks")).alias("_talks"))
+    # the dominant component's texts ``:rule`` or ``:rule:reasons`` also say that its map unit is reported
+    every = F.array(*[F.lit(f":{i + 1}") for i in range(len(asked))])
+    lists = F.transform(every, lambda i: F.concat_ws(":", i, F.when(F.col("_talks"), _reason_list(i, reason_chars))))
+    told = F.concat_ws(SEP, _overall_texts("_text"), F.when(F.col("_dominant"), lists))
+    rows = comps.join(per_comp, HASHED, "left").filter("_dominant or _text is not null").select("mukey", "comppct_r", told.alias("_told")).repartition("mukey")
+    rows = rows.select("mukey", "comppct_r", F.explode(_texts("_told")).alias("_text")).filter("_text != ''")
+    t, said = F.col("_text"), _is_reason(F.col("_text"))
+    rows = rows.select(
+        "mukey", F.when(said, F.substring_index(_after(t, ":", 1), ":", 1)).otherwise(F.substring_index(t, "|", 1)).cast("int").alias("_rule"),
+        F.when(~said, F.col("comppct_r")).alias("comppct_r"), said.alias("_said"), F.when(said, _unmarked(_after(t, ":", 2))).alias("_reason"),
+        F.when(~said, F.substring_index(_after(t, "|", 1), "|", 1)).try_cast("double").alias("interphr"), F.when(~said, _unmarked(_after(t, "|", 2))).alias("interphrc"),
+    )
     unit = ["mukey", "_rule", "interphrc"]
     # a percent counts once in its class, and a value once in the class's mean
     one = lambda key, then: F.row_number().over(Window.partitionBy(*unit, key).orderBy(then)) == 1
@@ -210,13 +269,14 @@ def interp_dom_cond(mapunits: DataFrame, component: DataFrame, cointerp: DataFra
         "_cavg", F.avg(F.when(F.col("_first"), F.col("interphr"))).over(whole)).withColumn(
         "_cs", F.sum(F.when(F.col("_first_pct"), F.col("comppct_r"))).over(whole))
     none = F.col("interphrc").isNull()
-    key = F.struct(F.col("_s").isNull(), -F.col("_s"), F.col("interphr").isNull(), F.col("interphr"), none, F.col("interphrc"))
+    rated = lambda *order: F.when(~F.col("_said"), F.struct(*order))
+    key = rated(F.col("_s").isNull(), -F.col("_s"), F.col("interphr").isNull(), F.col("interphr"), none, F.col("interphrc"))
     found = rows.groupBy("mukey", "_rule").agg(
         F.min_by("_cavg", key).alias("_cavg"),
-        F.min_by("interphrc", F.struct(F.col("_cs").isNull(), -F.col("_cs"), none, F.col("interphrc"))).alias("class"),
-    ).select("mukey", _rule_name(rules), round2(F.col("_cavg")).alias("rating"), "class")
-    base = _per_rule(_with_component(mapunits, dom), rules)
-    return base.join(found, ["mukey", "mrulename"], "left").join(reasons, ["mukey", "mrulename"], "left").select(*OUT_COLS)
+        F.min_by("interphrc", rated(F.col("_cs").isNull(), -F.col("_cs"), none, F.col("interphrc"))).alias("class"),
+        F.max("_reason").alias("reason"), F.bool_or("_said").alias("_said"),
+    ).filter("_said").select("mukey", _rule_name(asked), round2(F.col("_cavg")).alias("rating"), "class", "reason")
+    return _as_asked(mapunits.join(found, "mukey"), rules).select(*OUT_COLS)
 
 
 def interp_weighted_avg(mapunits: DataFrame, component: DataFrame, cointerp: DataFrame, rules: Sequence[str],
@@ -226,29 +286,27 @@ def interp_weighted_avg(mapunits: DataFrame, component: DataFrame, cointerp: Dat
     A zero denominator gives NULL (-> 99) instead of an error (SURVEY Q8).
     The class is the band of the rounded ratio for the rule's direction.
     One pass over the rating rows.  They move by component as one short text
-    each (``rule|design|value``, or ``rule:reason``) with a hash for the key,
+    each (``rule|design|value``, or ``:rule:reason``) with a hash for the key,
     and on to the map unit as one row per component; there plain sums by reason
     come first, so that only distinct reasons are gathered.
     """
     asked = list(dict.fromkeys(rules))
     facts = rule_facts(cointerp, asked, case_sensitive).filter(F.col("cokey").isNotNull())
-    no, blank = _rule_no(asked).cast("string"), lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    text = F.when(F.col("_overall"), F.concat_ws("|", no, blank("ruledesign"), blank("interphr"))).otherwise(
-        F.concat_ws(":", no, _marked("interphrc")))
-    gives = lambda t: F.contains(t, F.lit(":"))
+    no = _rule_no(asked).cast("string")
+    text = F.when(F.col("_overall"), F.concat_ws("|", no, _blank("ruledesign"), _blank("interphr"))).otherwise(
+        F.concat_ws(":", F.lit(""), no, _marked("interphrc")))
     per_comp = _per_key(facts.select(*_hashed("cokey"), text.alias("_text")), "_text")
     # components without rating rows stay: their map units are reported
     comps = component.filter(F.col("mukey").isNotNull()).select(*_hashed("cokey"), "mukey", "comppct_r", _talks(case_sensitive))
-    told = F.when(F.col("_talks"), F.col("_text")).otherwise(F.filter("_text", lambda t: ~gives(t)))
-    dealt = comps.join(per_comp, HASHED, "left").select("mukey", "comppct_r", F.concat_ws(SEP, told).alias("_told")).repartition("mukey")
-    every = [F.lit(str(i + 1)) for i in range(len(asked))]
-    rows = dealt.select("mukey", "comppct_r", F.explode(F.split(F.concat_ws(SEP, *every, F.nullif("_told", F.lit(""))), SEP)).alias("_text"))
-    over = lambda c: F.when(~gives(F.col("_text")) & F.contains("_text", F.lit("|")), c)
+    told = F.when(F.col("_talks"), F.col("_text")).otherwise(_overall_texts("_text"))
+    dealt = comps.join(per_comp, HASHED, "left").select("mukey", "comppct_r", told.alias("_told")).repartition("mukey")
+    every = F.concat_ws(SEP, *[F.lit(str(i + 1)) for i in range(len(asked))], "_told")
+    rows = dealt.select("mukey", "comppct_r", every.alias("_told")).select("mukey", "comppct_r", F.explode(_texts("_told")).alias("_text"))
+    t, reason = F.col("_text"), _is_reason(F.col("_text"))
     rows = rows.select(
-        "mukey", F.substring_index(F.substring_index("_text", ":", 1), "|", 1).cast("int").alias("_rule"), "comppct_r",
-        over(F.substring_index("_text", "|", -1)).try_cast("double").alias("_value"),
-        over(F.substring_index(F.substring_index("_text", "|", 2), "|", -1)).alias("_design"),
-        F.when(gives(F.col("_text")), _unmarked(F.expr("substring(_text, instr(_text, ':') + 1)"))).alias("_reason"),
+        "mukey", F.when(reason, F.substring_index(_after(t, ":", 1), ":", 1)).otherwise(F.substring_index(t, "|", 1)).cast("int").alias("_rule"),
+        "comppct_r", F.when(~reason, F.substring_index(_after(t, "|", 1), "|", 1)).alias("_design"),
+        F.when(~reason, _after(t, "|", 2)).try_cast("double").alias("_value"), F.when(reason, _unmarked(_after(t, ":", 2))).alias("_reason"),
     )
     by_reason = rows.groupBy("mukey", "_rule", "_reason").agg(
         F.sum(F.col("_value") * F.col("comppct_r")).alias("_raw"),

@@ -61,3 +61,27 @@ def test_text_breaks_move_short_rows_too(spark):
         breaks = B.legend_breaks(I.interp_weighted_avg(*rated(spark), ["R"]), "class")
         assert not [line for line in exchanges(breaks) if "mrulename" in line or "cokey" in line]
         assert [r.break_value for r in breaks.collect()] == ["Somewhat limited "]
+
+
+def test_dominant_condition_moves_components_and_ratings_once(spark):
+    with no_broadcast(spark):
+        found = I.interp_dom_cond(*rated(spark), ["R", "S"])
+        moved = exchanges(found)
+    keys = [line.split("hashpartitioning(")[1].split(", 8)")[0] for line in moved]
+    assert not [k for k in keys if "mrulename" in k or "cokey" in k]
+    assert sum("_k1" in k for k in keys) == 2 and sum("mukey" in k for k in keys) == 3  # of components, texts, map units
+
+
+def test_dominant_condition_of_odd_rows(spark):
+    mu, component, ratings = odd(spark)
+    more = table(spark, "component", [comp(None, "5", 90), comp("c8", "5", 80)])
+    extra = table(spark, "cointerp", [
+        ci("c1", 2, 0.2, "a"), ci("c1", 3, None, "n"), ci("c1", 3, 0.2, "a"), ci("c1", 4, 0.9, "\x02b|;"), ci("c8", 0, 0.5, "b"), ci("c7", 0, None, None), ci("c7", 0, 0.5, "")])
+    got = rows(I.interp_dom_cond(mu, component.unionByName(more), ratings.unionByName(extra), ["R", "S", "S"]), ["mukey", "mrulename"])
+    found = [(r["mukey"], r["mrulename"], r["rating"], r["class"], r["reason"]) for r in got]
+    # map units 2 and 5 have a dominant component without key: not reported
+    why = "\x02b|;; a; x|:\x01y; n"
+    assert found == [
+        ("1", "R", 0.5, "b", why), ("1", "S", 0.5, "b", None), ("1", "S", 0.5, "b", None),
+        ("3", "R", None, None, "Slope"), ("3", "S", None, None, None), ("3", "S", None, None, None),
+        ("4", "R", 0.25, "d", None), ("4", "S", None, None, None), ("4", "S", None, None, None)]
