@@ -24,15 +24,12 @@ def dominance_order() -> Column:
 def dominant_component(component: DataFrame, cols: Sequence[str] = ()) -> DataFrame:
     """One row per map unit: the dominant component's ``cokey`` and ``cols``.
 
-    ``min_by`` is an ordinary aggregate, so each map task pre-aggregates its
+    ``min`` is an ordinary aggregate, so each map task pre-aggregates its
     rows before the shuffle on ``mukey`` (a huge map unit costs one row per
-    task, not all its components in one task).  All components compete, not
-    only the major ones.
+    task, not all its components in one task).  The key moves once, in the
+    order itself.  All components compete, not only the major ones.
     """
     cols = [c for c in cols if c not in ("mukey", "cokey")]
-    payload = F.struct(F.col("cokey"), *[F.col(c) for c in cols])
-    return (
-        component.groupBy("mukey")
-        .agg(F.min_by(payload, dominance_order()).alias("_d"))
-        .select("mukey", *[F.col(f"_d.{c}").alias(c) for c in ["cokey", *cols]])
-    )
+    none, pct, cokey = dominance_columns()
+    first = F.min(F.struct(none.alias("_none"), pct.alias("_pct"), cokey, *[F.col(c) for c in cols]))
+    return component.groupBy("mukey").agg(first.alias("_d")).select("mukey", *[F.col(f"_d.{c}").alias(c) for c in ["cokey", *cols]])

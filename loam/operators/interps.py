@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loam.functions.interp_bins import interp_class_bins, interp_design
+from loam.functions.keys import HASHED, hashed
 from loam.functions.numeric import round2
 from loam.functions.text import not_like, text_ne
 from loam.operators.dominant import dominance_columns, dominant_component
@@ -52,17 +53,10 @@ def rule_facts(cointerp: DataFrame, rules: Sequence[str], case_sensitive: bool =
     return wanted.select("cokey", "mrulename", "ruledesign", "interphr", "interphrc", overall.alias("_overall"))
 
 
-HASHED = ["_k1", "_k2"]
 #: Between the texts of one component, and the sign that stands for it inside a text.
 SEP, MARK = "\x01", "\x02"
 
 
-def _hashed(key: str) -> list[Column]:
-    """A text key as 128 bits of hash (NULL for NULL), which is less to move and to sort; :data:`HASHED`."""
-    there = F.col(key).isNotNull()
-    return [F.when(there, F.xxhash64(key)).alias("_k1"), F.when(there, F.xxhash64(F.lit(1), F.col(key))).alias("_k2")]
-
-
 def _marked(text: Column | str) -> Column:
     """Text in which :data:`SEP` does not occur; :func:`_unmarked` undoes it."""
     return F.replace(F.replace(F.col(text) if isinstance(text, str) else text, F.lit(MARK), F.lit(MARK + "b")), F.lit(SEP), F.lit(MARK + "a"))
@@ -242,12 +236,12 @@ def interp_dom_cond(mapunits: DataFrame, component: DataFrame, cointerp: DataFra
     facts = rule_facts(cointerp, asked, case_sensitive).filter(F.col("cokey").isNotNull())
     text = F.when(F.col("_overall"), F.concat_ws("|", no, _blank("interphr"), _marked("interphrc"))).otherwise(
         F.concat_ws(":", F.lit(""), no, _blank("interphr"), _marked("interphrc")))
-    per_comp = _per_key(facts.select(*_hashed("cokey"), text.alias("_text")), "_text")
+    per_comp = _per_key(facts.select(*hashed("cokey"), text.alias("_text")), "_text")
     # without a map unit there is nothing to report to
     dealt = component.filter(F.col("mukey").isNotNull()).select("mukey", "cokey", "comppct_r", _talks(case_sensitive)).repartition("mukey")
     place = F.row_number().over(Window.partitionBy("mukey").orderBy(*dominance_columns()))
     comps = dealt.withColumn("_dominant", place == 1).filter(F.col("cokey").isNotNull()).select(
-        *_hashed("cokey"), "mukey", "comppct_r", "_dominant", (F.col("_dominant") & F.col("_talks")).alias("_talks"))
+        *hashed("cokey"), "mukey", "comppct_r", "_dominant", (F.col("_dominant") & F.col("_talks")).alias("_talks"))
     # the dominant component's texts ``:rule`` or ``:rule:reasons`` also say that its map unit is reported
     every = F.array(*[F.lit(f":{i + 1}") for i in range(len(asked))])
     lists = F.transform(every, lambda i: F.concat_ws(":", i, F.when(F.col("_talks"), _reason_list(i, reason_chars))))
@@ -295,9 +289,9 @@ def interp_weighted_avg(mapunits: DataFrame, component: DataFrame, cointerp: Dat
     no = _rule_no(asked).cast("string")
     text = F.when(F.col("_overall"), F.concat_ws("|", no, _blank("ruledesign"), _blank("interphr"))).otherwise(
         F.concat_ws(":", F.lit(""), no, _marked("interphrc")))
-    per_comp = _per_key(facts.select(*_hashed("cokey"), text.alias("_text")), "_text")
+    per_comp = _per_key(facts.select(*hashed("cokey"), text.alias("_text")), "_text")
     # components without rating rows stay: their map units are reported
-    comps = component.filter(F.col("mukey").isNotNull()).select(*_hashed("cokey"), "mukey", "comppct_r", _talks(case_sensitive))
+    comps = component.filter(F.col("mukey").isNotNull()).select(*hashed("cokey"), "mukey", "comppct_r", _talks(case_sensitive))
     told = F.when(F.col("_talks"), F.col("_text")).otherwise(_overall_texts("_text"))
     dealt = comps.join(per_comp, HASHED, "left").select("mukey", "comppct_r", told.alias("_told")).repartition("mukey")
     every = F.concat_ws(SEP, *[F.lit(str(i + 1)) for i in range(len(asked))], "_told")

@@ -19,6 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loam.functions.keys import HASHED, hashed
 from loam.functions.numeric import dec52
 from loam.operators.dominant import dominant_component, dominance_order
 from loam.operators.filters import (
@@ -100,33 +101,43 @@ def usable_horizons(chorizon: DataFrame, chtexturegrp: DataFrame, props: Sequenc
     """Horizon rows that enter a weighted rollup, with clipped thickness, decimal values and a multiplicity.
 
     Several representative texture rows repeat the horizon (SURVEY Q6): the
-    texture rows are counted per horizon first (``_ntex``, an aggregate that
-    combines map-side and leaves its output partitioned by ``chkey`` for the
-    join), so each horizon enters the join once and carries its count.
+    texture rows are counted per horizon first (``_ntex``), so each horizon
+    enters the join once and carries its count.  Both sides meet by a hash of
+    the horizon's key, and go on with one of the component's (:data:`HASHED`);
+    texture rows that carry their component's key (bucketed tables) meet the
+    horizons by the keys as they are, so in the same partition.
     NULL values count as 0 (Q2).
     """
-    # texture rows that carry their component's key (bucketed tables) meet the horizons by it, so in the same partition
-    by = ["cokey", "chkey"] if "cokey" in chtexturegrp.columns else ["chkey"]
+    stored = "cokey" in chtexturegrp.columns
+    by = ["cokey", "chkey"] if stored else ["chkey"]
     hz = chorizon.select("chkey", "cokey", "hzname", "hzdept_r", "hzdepb_r", *props)
     hz = filter_mineral_horizon(filter_horizon_depth(hz, top, bottom), case_sensitive)
     tex = filter_texture(chtexturegrp.select(*by, "rvindicator", "texture"), case_sensitive)
     if selected:
         # the horizons are few: texture rows of others go before the shuffle (a broadcast by Spark's size check)
         tex = tex.join(hz.select(*by), by, "left_semi")
-    tex_n = tex.groupBy(*by).agg(F.count(F.lit(1)).alias("_ntex"))
+    component = ["cokey"] if stored else HASHED
+    if not stored:
+        by = ["_h1", "_h2"]
+        tex = tex.filter(F.col("chkey").isNotNull()).select(*hashed("chkey", by)).repartition(*by)
+        hz = hz.filter(F.col("chkey").isNotNull()).select(*hashed("chkey", by), *hashed("cokey"), "hzdept_r", "hzdepb_r", *props)
     t, b = depth_clip(top, bottom)
+    hz = hz.select(*dict.fromkeys([*by, *component]), (b - t).alias("_thk_int"), *props)
+    tex_n = tex.groupBy(*by).agg(F.count(F.lit(1)).alias("_ntex"))
+    # a value out of range raises here, so only for a horizon that counts
     return hz.join(tex_n, by, "inner").select(
-        "cokey",
-        (b - t).alias("_thk_int"),
-        dec52(b - t).alias("thickness"),
-        *[dec52(F.coalesce(F.col(p), F.lit(0))).alias(p) for p in props],
-        "_ntex",
+        *component, "_thk_int", dec52(F.col("_thk_int")).alias("thickness"),
+        *[dec52(F.coalesce(F.col(p), F.lit(0))).alias(p) for p in props], "_ntex",
     )
 
 
+def _component_key(rows: DataFrame) -> list[str]:
+    return ["cokey"] if "cokey" in rows.columns else HASHED
+
+
 def thickness_total(rows: DataFrame, count: str = "_ntex") -> DataFrame:
     """Per component: total clipped thickness (each row counted with its multiplicity) as decimal(5,2)."""
-    return rows.groupBy("cokey").agg(dec52(F.sum(F.col("_thk_int") * F.col(count))).alias("sum_thickness"))
+    return rows.groupBy(*_component_key(rows)).agg(dec52(F.sum(F.col("_thk_int") * F.col(count))).alias("sum_thickness"))
 
 
 MEAN_TYPE = "decimal(29,10)"  # sum of decimal(19,10) terms
@@ -139,10 +150,11 @@ def component_mean(rows: DataFrame, props: Sequence[str]) -> DataFrame:
     The rows move once, by component; there the total is a window and the mean
     an aggregate, both on that one partitioning.
     """
-    total = dec52(F.sum(F.col("_thk_int") * F.col("_ntex")).over(Window.partitionBy("cokey")))
+    key = _component_key(rows)
+    total = dec52(F.sum(F.col("_thk_int") * F.col("_ntex")).over(Window.partitionBy(*key)))
     ratio = dec52(F.col("_thk_int")) / F.col("sum_thickness")
     value = {p: (F.col(p) * F.col("_ntex").cast("int")).cast(SLICE_TYPE) for p in props}
-    return rows.withColumn("sum_thickness", total).groupBy("cokey").agg(
+    return rows.withColumn("sum_thickness", total).groupBy(*key).agg(
         *[F.sum(ratio * value[p]).cast(MEAN_TYPE).alias(p) for p in props]
     )
 
@@ -161,14 +173,14 @@ def mapunit_total(comps: DataFrame, means: DataFrame, props: Sequence[str]) -> D
 
     ``comps`` are the weighted components (mukey, cokey, comppct_r); all of
     them share the weight, also those without usable horizons (SURVEY Q2).
-    The percent total per map unit is a map-side-combined aggregate joined
-    back on ``mukey`` (AQE splits a skewed map unit), and the final sum is
-    again an ordinary aggregate.
+    ``means`` are by component key or by its hash.  Components move by that key
+    to their means, then by map unit once: there the percent total is a window.
     """
-    c = comps.select("mukey", "cokey", "comppct_r")
-    sums = c.groupBy("mukey").agg(F.sum("comppct_r").alias("_sum_pct"))
-    # by component first, where the means are; then one shuffle by map unit serves the weights and their sum
-    j = c.join(means, "cokey", "left").join(sums, "mukey").withColumn("_w", component_weight())
+    key = _component_key(means)
+    there = comps.filter(F.col("mukey").isNotNull())
+    c = there.select("mukey", *(["cokey"] if key == ["cokey"] else hashed("cokey")), "comppct_r")
+    whole = Window.partitionBy("mukey")
+    j = c.join(means, key, "left").withColumn("_sum_pct", F.sum("comppct_r").over(whole)).withColumn("_w", component_weight())
     return j.groupBy("mukey").agg(*[dec52(F.sum(F.col("_w") * F.col(p))).cast("double").alias(p) for p in props])
 
 

@@ -2,11 +2,13 @@
 
 from contextlib import contextmanager
 
-from helpers import comp, mapunits, rows, table
+from helpers import comp, hz, mapunits, rows, table
 from test_plan_shape import exchanges, rated
 
 from loam.operators import bookkeeping as B
 from loam.operators import interps as I
+from loam.operators import properties as P
+from loam.operators.dominant import dominant_component
 
 
 @contextmanager
@@ -85,3 +87,34 @@ def test_dominant_condition_of_odd_rows(spark):
         ("1", "R", 0.5, "b", why), ("1", "S", 0.5, "b", None), ("1", "S", 0.5, "b", None),
         ("3", "R", None, None, "Slope"), ("3", "S", None, None, None), ("3", "S", None, None, None),
         ("4", "R", 0.25, "d", None), ("4", "S", None, None, None), ("4", "S", None, None, None)]
+
+
+def test_weighted_averages_move_by_short_keys(spark):
+    component = table(spark, "component", [comp("c1", "1", 60), comp("c2", "1", 40)])
+    hzs = table(spark, "chorizon", [hz("h1", "c1", 0, 10, clay=10.0)])
+    tex = table(spark, "chtexturegrp", [("h1", "Yes", "L")])
+    with no_broadcast(spark):
+        moved = exchanges(P.prop_weighted_avg(mapunits(spark, ["1"]), component, hzs, tex, "claytotal_r", 0, 100))
+    keys = [line.split("hashpartitioning(")[1].split(", 8)")[0] for line in moved]
+    assert not [k for k in keys if "chkey" in k or "cokey" in k]
+    assert sum("mukey" in k for k in keys) == 2  # components with their means, map units
+
+
+def test_weighted_average_of_odd_rows(spark):
+    component = table(spark, "component", [
+        comp("c1", "1", 60), comp("c1", "1", 60), comp("c2", "1", 40), comp(None, "2", 50), comp("c4", "3", 10), comp("c5", None, 10), comp("c6", "4", None)])
+    hzs = table(spark, "chorizon", [
+        hz("h1", "c1", 0, 10, clay=10.0), hz("h2", "c1", 10, 30, clay=40.0), hz("h3", "c2", 0, 20, clay=None), hz(None, "c2", 0, 20, clay=9.0),
+        hz("h4", None, 0, 20, clay=9.0), hz("h5", "c4", 0, 20, clay=5000.0), hz("h6", "c6", 0, 20, clay=7.0), hz("h1", "c9", 0, 10, clay=1.0)])
+    tex = table(spark, "chtexturegrp", [
+        ("h1", "Yes", "L"), ("h2", "Yes", "L"), ("h2", "yes", "SIL"), ("h2", "No", "L"), ("h3", "Yes", "L"), (None, "Yes", "L"), ("h4", "Yes", "L"), ("h6", "Yes", "L")])
+    got = rows(P.prop_weighted_avg(mapunits(spark, ["1", "2", "3", "4", "5"]), component, hzs, tex, "claytotal_r", 0, 100), ["mukey"])
+    # c1: (10 x 10 + 20 x 40 x 2) / 50 = 34, twice at 60 of 160 (0.38); the 5000 of h5 has no texture row, so it does not count
+    assert [(r["mukey"], r["claytotal_r"]) for r in got] == [("1", 25.84), ("2", None), ("3", None), ("4", None), ("5", None)]
+
+
+def test_dominant_component_moves_its_key_once(spark):
+    component = table(spark, "component", [comp("c2", "1", 60, drain="wet"), comp("c1", "1", 60, drain="dry"), comp("c0", "1", None), comp("c3", "2", None)])
+    found = dominant_component(component, ["drainagecl", "comppct_r"])
+    assert "min_by" not in found._jdf.queryExecution().executedPlan().toString()  # which keeps what it picks beside the order
+    assert [tuple(r) for r in found.orderBy("mukey").collect()] == [("1", "c1", "dry", 60), ("2", "c3", None, None)]
