@@ -295,7 +295,7 @@ def interp_weighted_avg(mapunits: DataFrame, component: DataFrame, cointerp: Dat
     told = F.when(F.col("_talks"), F.col("_text")).otherwise(_overall_texts("_text"))
     dealt = comps.join(per_comp, HASHED, "left").select("mukey", "comppct_r", told.alias("_told")).repartition("mukey")
     every = F.concat_ws(SEP, *[F.lit(str(i + 1)) for i in range(len(asked))], "_told")
-    rows = dealt.select("mukey", "comppct_r", every.alias("_told")).select("mukey", "comppct_r", F.explode(_texts("_told")).alias("_text"))
+    rows = dealt.select("mukey", "comppct_r", every.alias("_told")).select("mukey", "comppct_r", F.explode(_texts("_told")).alias("_text")).filter("_text != ''")
     t, reason = F.col("_text"), _is_reason(F.col("_text"))
     rows = rows.select(
         "mukey", F.when(reason, F.substring_index(_after(t, ":", 1), ":", 1)).otherwise(F.substring_index(t, "|", 1)).cast("int").alias("_rule"),

@@ -58,6 +58,11 @@ def test_weighted_ratings_of_odd_rows(spark):
         ("4", "R", 0.25, "Poorly suited", None), ("4", "S", *none), ("4", "S", *none)]
 
 
+def test_no_rules_no_rows(spark):
+    for rollup in (I.interp_weighted_avg, I.interp_dom_cond):
+        assert rollup(*rated(spark), []).collect() == []
+
+
 def test_text_breaks_move_short_rows_too(spark):
     with no_broadcast(spark):
         breaks = B.legend_breaks(I.interp_weighted_avg(*rated(spark), ["R"]), "class")
